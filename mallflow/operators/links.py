@@ -2,8 +2,8 @@
 
 A device's path is its named sightings in order of (date_time, name). One device may hold a large share of a day's pings, so a
 path is never gathered in one task. Repeats of a sighting within one second change no move and are folded first, on the map
-side; the path is then cut into clock hours, moves are found inside each hour, and the hours are tied together through a table
-with one row per device and hour that holds its first and last shop.
+side; the path is then cut into clock hours and walked inside each hour. The hours are tied together through their edges: the
+first and last sighting of a device in an hour, at most two rows however many pings there were.
 """
 
 from __future__ import annotations
@@ -16,67 +16,54 @@ from mallflow.schema import LINK
 # Length of the ``yyyy-MM-dd HH`` prefix. A prefix keeps text order, so every part lies wholly before the next.
 _HOUR_PREFIX = 13
 
-MOVE, ENDS = "move", "ends"
-
 
 def _sightings(dw: DataFrame) -> DataFrame:
-    return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select(
-        "p_dt", "mac", "date_time", "name", F.substring("date_time", 1, _HOUR_PREFIX).alias("part")
-    )
+    return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select("p_dt", "mac", "date_time", "name")
 
 
 def _differ(a: str, b: str) -> Column:
     return F.lower(a) != F.lower(b)
 
 
-def _links(moves: DataFrame, *keys: str) -> DataFrame:
-    return moves.where(_differ("from_name", "to_name")).select(
-        *keys, "mac", "date_time", "from_name", "to_name", F.lit(1).alias("times")
+def _links(steps: DataFrame) -> DataFrame:
+    return steps.where(_differ("from_name", "to_name")).select(
+        "mac", "date_time", "from_name", "to_name", F.lit(1).alias("times"), "p_dt"
     )
 
 
-def hour_moves(dw: DataFrame) -> DataFrame:
-    """Moves inside each (p_dt, part), from every sighting to the next differently named one."""
-    folded = _sightings(dw).distinct()
+def hour_steps(dw: DataFrame) -> DataFrame:
+    """Every sighting with the shop before it in its hour, and whether it opens or closes the device's hour."""
+    part = F.substring("date_time", 1, _HOUR_PREFIX)
+    folded = _sightings(dw).distinct().withColumn("part", part)
     path = Window.partitionBy("p_dt", "part", "mac").orderBy("date_time", "name")
-    steps = folded.select(
-        "p_dt", "part", "mac", "date_time", F.lag("name").over(path).alias("from_name"), F.col("name").alias("to_name")
-    )
-    return _links(steps, "p_dt", "part")
-
-
-def hour_ends(dw: DataFrame) -> DataFrame:
-    """First sighting and last shop of each device in each (p_dt, part)."""
-    at = F.struct("date_time", "name")
-    ends = _sightings(dw).groupBy("p_dt", "part", "mac").agg(F.min(at).alias("head"), F.max(at).alias("tail"))
-    return ends.select(
+    return folded.select(
         "p_dt",
         "part",
         "mac",
-        F.col("head.date_time").alias("date_time"),
-        F.col("head.name").alias("first_name"),
-        F.col("tail.name").alias("last_name"),
+        "date_time",
+        F.lag("name").over(path).alias("from_name"),
+        F.col("name").alias("to_name"),
+        F.lag("name").over(path).isNull().alias("opens"),
+        F.lead("name").over(path).isNull().alias("closes"),
     )
 
 
-def bridge_moves(ends: DataFrame) -> DataFrame:
+def hour_links(steps: DataFrame) -> DataFrame:
+    """Moves inside the hours."""
+    return _links(steps)
+
+
+def edge_links(steps: DataFrame) -> DataFrame:
     """Moves from the last shop of one hour to the first of the device's next one."""
-    path = Window.partitionBy("p_dt", "mac").orderBy("part")
-    steps = ends.select(
-        "p_dt",
-        "part",
-        "mac",
-        "date_time",
-        F.lag("last_name").over(path).alias("from_name"),
-        F.col("first_name").alias("to_name"),
-    )
-    return _links(steps, "p_dt", "part")
+    path = Window.partitionBy("p_dt", "mac").orderBy("date_time", "to_name")
+    edges = steps.where(F.col("opens") | F.col("closes"))
+    return _links(edges.withColumn("from_name", F.lag("to_name").over(path)).where("opens"))
 
 
 def consecutive_links(dw: DataFrame) -> DataFrame:
     """Moves between consecutive differently named shops, per device and ``p_dt``."""
-    moves = hour_moves(dw).unionByName(bridge_moves(hour_ends(dw)))
-    return moves.select(*LINK.names, "p_dt")
+    steps = hour_steps(dw)
+    return hour_links(steps).unionByName(edge_links(steps))
 
 
 def anchor_links(dw: DataFrame) -> DataFrame:
@@ -85,12 +72,9 @@ def anchor_links(dw: DataFrame) -> DataFrame:
     Every sighting is a row of its own here, so nothing is folded: the first shop is a plain aggregate, joined back. A device
     with very many rows makes a skewed join partition, which the adaptive planner splits.
     """
-    sightings = _sightings(dw).drop("part")
-    first = sightings.groupBy("p_dt", "mac").agg(
-        F.min(F.struct("date_time", "name"))["name"].alias("from_name")
-    )
-    steps = sightings.withColumnRenamed("name", "to_name").join(first, ["p_dt", "mac"])
-    return _links(steps, "p_dt").select(*LINK.names, "p_dt")
+    sightings = _sightings(dw)
+    first = sightings.groupBy("p_dt", "mac").agg(F.min(F.struct("date_time", "name"))["name"].alias("from_name"))
+    return _links(sightings.withColumnRenamed("name", "to_name").join(first, ["p_dt", "mac"]))
 
 
 def link_matrix(links: DataFrame) -> DataFrame:
@@ -98,27 +82,3 @@ def link_matrix(links: DataFrame) -> DataFrame:
     pairs = links.groupBy("from_name", "to_name").agg(F.count(F.lit(1)).alias("times"))
     out = Window.partitionBy("from_name")
     return pairs.withColumn("total", F.sum("times").over(out))
-
-
-def link_parts(dw: DataFrame) -> DataFrame:
-    """Both halves of :func:`consecutive_links` as one storable table, so that single hours can be refreshed."""
-    none = F.lit(None).cast("string")
-    moves = hour_moves(dw).select(
-        "p_dt", "part", F.lit(MOVE).alias("kind"), "mac", "date_time", "from_name", "to_name"
-    )
-    ends = hour_ends(dw).select(
-        "p_dt", "part", F.lit(ENDS).alias("kind"), "mac", "date_time",
-        F.col("last_name").alias("from_name"), F.coalesce("first_name", none).alias("to_name"),
-    )
-    return moves.unionByName(ends)
-
-
-def joined_parts(parts: DataFrame) -> DataFrame:
-    """The links of the stored parts, equal to :func:`consecutive_links` over the same pings."""
-    moves = parts.where(F.col("kind") == MOVE).select(
-        "p_dt", "mac", "date_time", "from_name", "to_name", F.lit(1).alias("times")
-    )
-    ends = parts.where(F.col("kind") == ENDS).select(
-        "p_dt", "part", "mac", "date_time", F.col("from_name").alias("last_name"), F.col("to_name").alias("first_name")
-    )
-    return moves.unionByName(bridge_moves(ends).drop("part")).select(*LINK.names, "p_dt")

@@ -2,47 +2,43 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mallflow.functions import cell, clock, date_part, epoch_seconds
+from mallflow.functions import cell, clock
 from mallflow.schema import PING
 
 # Field order of a message. Further fields are ignored.
 MESSAGE_FIELDS = ["shopcode", "date_time", "mac", "ipAddr", "locID", "locName", "rawX", "rawY"]
 
 
-def _fields(lines: DataFrame) -> DataFrame:
-    parts = F.split("value", ",")
-    named = [F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(MESSAGE_FIELDS)]
-    return lines.select("value", *named)
+def _readable() -> Column:
+    return F.col("ts").isNotNull() & F.col("posX").isNotNull() & F.col("posY").isNotNull()
 
 
-def _readable():
-    return F.coalesce(
-        clock(F.col("date_time")).isNotNull() & cell(F.col("rawX")).isNotNull() & cell(F.col("rawY")).isNotNull(),
-        F.lit(False),
+def _read(lines: DataFrame) -> DataFrame:
+    # Stacked projections: the split and the clock are each computed once and used by name further up.
+    parts = F.split("value", ",")
+    fields = lines.select("value", *[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(MESSAGE_FIELDS)])
+    return fields.select(
+        "*", clock(F.col("date_time")).alias("ts"), cell(F.col("rawX")).alias("posX"), cell(F.col("rawY")).alias("posY")
     )
 
 
 def parse_pings(lines: DataFrame) -> DataFrame:
     """Ping records from the ``value`` column; unreadable lines are left to :func:`dead_letters`."""
-    when = F.col("date_time")
-    derived = {
-        "dt_year": date_part(when, "year"),
-        "dt_month": date_part(when, "month"),
-        "dt_day": date_part(when, "day"),
-        "dt_hour": date_part(when, "hour"),
-        "dt_min": date_part(when, "minute"),
-        "dt_sec": date_part(when, "second"),
-        "time_stamp": epoch_seconds(when),
-        "posX": cell(F.col("rawX")),
-        "posY": cell(F.col("rawY")),
+    parts = {
+        "dt_year": F.year("ts"),
+        "dt_month": F.month("ts"),
+        "dt_day": F.dayofmonth("ts"),
+        "dt_hour": F.hour("ts"),
+        "dt_min": F.minute("ts"),
+        "dt_sec": F.second("ts"),
+        "time_stamp": F.unix_timestamp("ts").cast("int"),
     }
-    columns = [derived.get(name, F.col(name)).alias(name) for name in PING.names]
-    return _fields(lines).where(_readable()).select(*columns)
+    return _read(lines).where(_readable()).select(*[parts.get(c, F.col(c)).alias(c) for c in PING.names])
 
 
 def dead_letters(lines: DataFrame) -> DataFrame:
     """The lines that are no ping: too few fields, no such instant, or a coordinate that is no integer."""
-    return _fields(lines).where(~_readable()).select("value")
+    return _read(lines).where(~_readable()).select("value")
