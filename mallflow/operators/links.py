@@ -48,6 +48,11 @@ def hour_steps(dw: DataFrame) -> DataFrame:
     )
 
 
+def needed_steps(steps: DataFrame) -> DataFrame:
+    """The steps that moves are made of: those that change shop, and the edges of the hours."""
+    return steps.where(_differ("from_name", "to_name") | F.col("opens") | F.col("closes"))
+
+
 def hour_links(steps: DataFrame) -> DataFrame:
     """Moves inside the hours."""
     return _links(steps)

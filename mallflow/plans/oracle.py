@@ -139,5 +139,90 @@ _TAILS = {
 }
 
 
+_STORED = "count(*) AS pings, count(DISTINCT mac) AS macs, CAST(sum(time_stamp) AS BIGINT) AS seconds"
+
+_TAILS |= {
+    "scan_day": f"SELECT p_dt, {_STORED} FROM dated WHERE p_dt = '20240115' GROUP BY p_dt",
+    "text_scan": """
+        SELECT 'spot=' || locName AS directory, count(*) AS lines,
+               CAST(sum(length(concat_ws(',', shopcode, date_time, mac, ipAddr, locID, locName, raw_x, raw_y))) AS BIGINT) AS chars
+        FROM folded GROUP BY locName""",
+    "sink_ods_append": f"""
+        SELECT p_dt, {_STORED} FROM (
+          SELECT '20240115' AS p_dt, * FROM ping UNION ALL SELECT '20240116', * FROM ping WHERE dt_hour < 12)
+        GROUP BY p_dt""",
+    "sink_dw_overwrite": f"""
+        SELECT p_dt, {_STORED} FROM (SELECT '20240115' AS p_dt, * FROM dw UNION ALL SELECT '20240116', * FROM clean)
+        GROUP BY p_dt""",
+    "late_data_partition": """
+        SELECT '20240131' AS p_dt, p_dt AS event_date, count(*) AS pings FROM dated GROUP BY dated.p_dt""",
+    "brand_link_backfill": """
+        , dated_dw AS (
+          SELECT a.p_dt, a.mac, a.date_time, b.name
+          FROM dated a JOIN shop b ON a.posX = b.posx AND a.posY = b.posy AND a.locName = b.floor
+          WHERE a.dt_hour >= 9 AND a.dt_hour < 23 AND NOT EXISTS (SELECT 1 FROM listed c WHERE c.mac = a.mac)),
+        dated_steps AS (
+          SELECT p_dt, mac, date_time, lag(name) OVER (PARTITION BY p_dt, mac ORDER BY date_time, name) AS from_name,
+                 name AS to_name
+          FROM dated_dw)
+        SELECT mac, date_time, from_name, to_name, 1 AS times, p_dt FROM dated_steps
+        WHERE lower(from_name) <> lower(to_name)""",
+    "stream_minute_flow": """
+        SELECT CAST(dt_hour AS BIGINT) AS dt_hour, CAST(dt_min AS BIGINT) AS dt_min,
+               count(mac) AS all_flow, count(DISTINCT mac) AS all_customer
+        FROM clean GROUP BY dt_hour, dt_min""",
+}
+
+# Per metric: the view its rows come from, its value keys as SQL, and its hour and minute.
+_PADDED = ("'23'", "'30'")
+_DOCUMENTS = {
+    "today_flow": ("today_flow", {"count": "all_customer", "staty": "round(stay_min, 6)"}, _PADDED),
+    "today_total": ("today_total", {"all_customer": "all_customer", "all_stay": "round(all_stay, 6)"}, _PADDED),
+    "rt_max_shop": ("rt_top_shops", {"shop": "shop", "flow": "flow"}, _PADDED),
+    "day_max_shop": ("day_shop_rank", {"shop": "shop", "flow": "flow"}, _PADDED),
+    "rt_floor_flow": (
+        "rt_floor_flow",
+        {"floor": "floor", "uv": "uv", "stay": "round(stay, 6)", "shop": "shop", "flow": "flow"},
+        _PADDED,
+    ),
+    "day_catalog": ("day_top_category", {"catalog": "catalog", "total": "total"}, _PADDED),
+    "rt_catalog": ("rt_top_category", {"catalog": "catalog", "total": "total"}, _PADDED),
+    "floor_day_flow": ("floor_minute_flow", {"floor": "locName", "count": "cnt"}, ("dt_hour", "dt_min")),
+    "heat_map": ("heat_map", {"floor": "floor", "x": "x", "y": "y", "count": "cnt"}, _PADDED),
+}
+
+
+def _entries(bi_name: str, view: str | None = None) -> str:
+    table, values, (hour, minute) = _DOCUMENTS[bi_name]
+    return " UNION ALL ".join(
+        f"""SELECT 'sh001' AS mall_id, '20240115' AS p_dt, '2024' AS dt_year, '01' AS dt_month, '15' AS dt_day,
+                   CAST({hour} AS VARCHAR) AS dt_hour, CAST({minute} AS VARCHAR) AS dt_min,
+                   '{bi_name}' AS bi_name, '{key}' AS key, CAST({sql} AS VARCHAR) AS value FROM {view or table}"""
+        for key, sql in values.items()
+    )
+
+
+_TWO_HOURS = """
+        , two_hours AS (
+          SELECT all_customer, CAST(t.stay_time AS DOUBLE) / t.total_mac / 60.0::DOUBLE AS stay_min
+          FROM (SELECT count(DISTINCT mac) AS all_customer FROM clean WHERE dt_hour IN (13, 14) GROUP BY dt_hour, dt_min) m,
+               (SELECT CAST(sum(stay) AS BIGINT) AS stay_time, count(mac) AS total_mac FROM mac_dwell) t)
+        """
+
+_DAY = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map")
+
+_TAILS |= {
+    "metric_documents": " UNION ALL ".join(_entries(name) for name in _DOCUMENTS),
+    "sink_metric_replace": _entries("day_max_shop"),
+    "sink_metric_append": _TWO_HOURS + _entries("today_flow", "two_hours"),
+    "stream_day_metrics": f"""
+        SELECT bi_name, key, value FROM ({" UNION ALL ".join(_entries(name) for name in _DAY)})
+        UNION ALL
+        SELECT 'brand_link', from_name || '>' || to_name, CAST(count(*) AS VARCHAR) FROM links GROUP BY from_name, to_name
+        UNION ALL
+        SELECT 'status', unnest(['batch_counts', 'brand_link', {", ".join(f"'{name}'" for name in _DOCUMENTS)}]), '2'""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: _VIEWS + tail for name, tail in _TAILS.items()}

@@ -3,19 +3,30 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mallflow import fixtures
 from mallflow.functions import date_keys, date_path
 from mallflow.operators import clean, floors, flow, links, parse, shops
-from mallflow.session import configure
+from mallflow.plans import backfill, documents
+from mallflow.plans.warehouse import LINKS, Warehouse
+from mallflow.schema import METRIC, PING, with_keys
+from mallflow.session import configure, scratch_dir
+from mallflow.sources import messages, tables, text
+from mallflow.sources.metrics import MetricStore
+from mallflow.streaming import flow as flow_stream
+from mallflow.streaming.job import MallJob
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 _REGISTRY: dict[str, Query] = {}
 
+DATED_PING = with_keys(PING, ("p_dt", T.StringType()))
+
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -66,6 +77,12 @@ def _rt_and_dw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return clean.clean_batch(_rt_pings(spark, sf_dir), dims), clean.wash_day(_pings(spark, sf_dir), dims)
 
 
+def _clean_and_dw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    dims = fixtures.dimensions(spark, sf_dir)
+    pings = _pings(spark, sf_dir)
+    return clean.clean_batch(pings, dims), clean.wash_day(pings, dims)
+
+
 def _dated_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dw(spark, sf_dir).withColumn("p_dt", F.lit(fixtures.FOLDED_DATE_KEY))
 
@@ -211,3 +228,168 @@ def brand_link_anchor(spark, sf_dir):
 @query
 def brand_link_matrix(spark, sf_dir):
     return links.link_matrix(links.consecutive_links(_dated_dw(spark, sf_dir)))
+
+
+# --- sources and sinks ---------------------------------------------------------------------------
+
+
+@query
+def scan_day(spark, sf_dir):
+    root = scratch_dir(spark, "scan")
+    tables.replace_partitions(fixtures.dated_pings(_events(spark, sf_dir)), root, "p_dt")
+    day = tables.scan_day(spark, root, DATED_PING, fixtures.FOLDED_DATE_KEY)
+    return _stored(day)
+
+
+@query
+def text_scan(spark, sf_dir):
+    root = scratch_dir(spark, "text")
+    lines = fixtures.messages(_events(spark, sf_dir))
+    spot = F.split("value", ",")[5]
+    lines.withColumn("spot", spot).write.partitionBy("spot").text(root)
+    directories = [f"{root}/spot=F{n}" for n in range(1, 5)]
+    return (
+        text.read_directory(spark, *directories)
+        .groupBy("directory")
+        .agg(F.count(F.lit(1)).alias("lines"), F.sum(F.length("value")).alias("chars"))
+    )
+
+
+@query
+def sink_ods_append(spark, sf_dir):
+    """Two batches on two processing dates; the second is written twice, as after a failure."""
+    root = scratch_dir(spark, "ods")
+    pings = _pings(spark, sf_dir)
+    early, late = pings.where(F.col("dt_hour") < 12), pings.where(F.col("dt_hour") >= 12)
+    tables.append_batch(early, root, "20240115", 0)
+    tables.append_batch(late, root, "20240115", 1)
+    tables.append_batch(late, root, "20240115", 1)
+    tables.append_batch(early, root, "20240116", 2)
+    return _stored(tables.scan(spark, root, DATED_PING))
+
+
+@query
+def sink_dw_overwrite(spark, sf_dir):
+    """Two days are stored, then one is overwritten by its washed rows."""
+    root = scratch_dir(spark, "dw")
+    clean_pings, dw = _clean_and_dw(spark, sf_dir)
+    tables.overwrite_day(clean_pings, root, "20240115")
+    tables.overwrite_day(clean_pings, root, "20240116")
+    tables.overwrite_day(dw, root, "20240115")
+    return _stored(tables.scan(spark, root, backfill.DATED_CLEAN_PING))
+
+
+def _stored(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("p_dt").agg(
+        F.count(F.lit(1)).alias("pings"), F.count_distinct("mac").alias("macs"), F.sum("time_stamp").alias("seconds")
+    )
+
+
+@query
+def sink_metric_replace(spark, sf_dir):
+    """The day's shop ranking of all hours is stored, then replaced by that of the business hours; a third metric is emptied."""
+    store = MetricStore(spark, scratch_dir(spark, "replace"))
+    clean_pings, dw = _clean_and_dw(spark, sf_dir)
+    for batch_id, day in enumerate((clean_pings, dw)):
+        state = documents.snapshot(day, day)
+        store.replace(documents.product_documents("day_max_shop", state, AS_OF), "day_max_shop", AS_OF_DATE, batch_id)
+        emptied = state if batch_id == 0 else documents.snapshot(day, day.where(F.lit(False)))
+        store.replace(documents.product_documents("day_catalog", emptied, AS_OF), "day_catalog", AS_OF_DATE, batch_id)
+    return _flattened(store.read())
+
+
+@query
+def sink_metric_append(spark, sf_dir):
+    """Flow of two batches is added up; the second is written twice, as after a failure."""
+    store = MetricStore(spark, scratch_dir(spark, "append"))
+    clean_pings, dw = _clean_and_dw(spark, sf_dir)
+    for batch_id, hour in ((0, 13), (1, 14), (1, 14)):
+        state = documents.snapshot(clean_pings.where(F.col("dt_hour") == hour), dw)
+        store.append(documents.product_documents("today_flow", state, AS_OF), "today_flow", AS_OF_DATE, batch_id)
+    return _flattened(store.read())
+
+
+@query
+def late_data_partition(spark, sf_dir):
+    """Pings of many event dates arrive on one processing date and are stored under it, unchanged."""
+    root = scratch_dir(spark, "late")
+    tables.append_batch(fixtures.dated_pings(_events(spark, sf_dir)).drop("p_dt"), root, "20240131", 0)
+    stored = tables.scan_day(spark, root, DATED_PING, "20240131")
+    event_date = F.concat(F.substring("date_time", 1, 4), F.substring("date_time", 6, 2), F.substring("date_time", 9, 2))
+    return stored.groupBy("p_dt", event_date.alias("event_date")).agg(F.count(F.lit(1)).alias("pings"))
+
+
+@query
+def brand_link_backfill(spark, sf_dir):
+    dw_root, links_root = scratch_dir(spark, "dw"), scratch_dir(spark, "links")
+    dw = clean.wash_day(fixtures.dated_pings(_events(spark, sf_dir)), fixtures.dimensions(spark, sf_dir))
+    tables.replace_partitions(dw, dw_root, "p_dt")
+    days = [f"202401{day:02d}" for day in range(1, 31)]
+    backfill.backfill_links(spark, dw_root, links_root, days)
+    return tables.scan(spark, links_root, LINKS)
+
+
+# --- documents and streams -----------------------------------------------------------------------
+
+AS_OF = "2024-01-15 23:30:00"
+AS_OF_DATE = fixtures.FOLDED_DATE_KEY
+_FRACTIONS = ("staty", "all_stay", "stay")
+
+
+def _flattened(docs: DataFrame) -> DataFrame:
+    """One row per document entry, fractions to six places."""
+    rows = docs.select(
+        *[c for c in METRIC.names if c != "bi_value"], F.explode("bi_value").alias("key", "value")
+    )
+    shown = F.round(F.col("value").try_cast("double"), 6).cast("string")
+    return rows.withColumn("value", F.when(F.col("key").isin(*_FRACTIONS), shown).otherwise(F.col("value")))
+
+
+@query
+def metric_documents(spark, sf_dir):
+    state = documents.snapshot(*_rt_and_dw(spark, sf_dir))
+    docs = [documents.product_documents(bi_name, state, AS_OF) for bi_name in documents.PRODUCTS]
+    return _flattened(reduce(DataFrame.unionByName, docs))
+
+
+def _message_stream(spark: SparkSession, sf_dir: str, label: str, batches: int | None = None) -> DataFrame:
+    """The messages as text files, streamed in the given number of micro-batches."""
+    root = scratch_dir(spark, label)
+    lines = fixtures.messages(_events(spark, sf_dir))
+    if batches is None:
+        lines.write.text(root)
+        return messages.file_messages(spark, root)
+    files = batches * max(1, -(-lines.rdd.getNumPartitions() // batches))
+    lines.repartition(files).write.text(root)
+    return messages.file_messages(spark, root, files // batches)
+
+
+@query
+def stream_minute_flow(spark, sf_dir):
+    root = scratch_dir(spark, "flow")
+    lines = _message_stream(spark, sf_dir, "messages")
+    job = flow_stream.stream_minute_flow(lines, fixtures.dimensions(spark, sf_dir), root, availableNow=True)
+    job.awaitTermination()
+    stored = tables.scan(spark, f"{root}/flow", flow_stream.MINUTE_FLOW)
+    return stored.select(_long("dt_hour"), _long("dt_min"), "all_flow", "all_customer")
+
+
+STREAM_BATCHES = 2
+_DAY_PRODUCTS = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map")
+
+
+@query
+def stream_day_metrics(spark, sf_dir):
+    """Day metrics, moves and step outcomes after all micro-batches."""
+    house = Warehouse(spark, scratch_dir(spark, "mall"))
+    job = MallJob(house, lambda: fixtures.dimensions(spark, sf_dir), clock=lambda _: AS_OF)
+    job.start(_message_stream(spark, sf_dir, "messages", STREAM_BATCHES), availableNow=True).awaitTermination()
+    metrics = _flattened(house.metrics.read().where(F.col("bi_name").isin(*_DAY_PRODUCTS)))
+    moves = links.link_matrix(house.links(AS_OF_DATE)).select(
+        F.lit("brand_link").alias("bi_name"),
+        F.concat_ws(">", "from_name", "to_name").alias("key"),
+        F.col("times").cast("string").alias("value"),
+    )
+    outcomes = job.status(AS_OF_DATE).groupBy("step").agg(F.count_if("ok").cast("string").alias("value"))
+    outcomes = outcomes.select(F.lit("status").alias("bi_name"), F.col("step").alias("key"), "value")
+    return metrics.select("bi_name", "key", "value").unionByName(moves).unionByName(outcomes)
