@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import lru_cache, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +12,11 @@ from pyspark.sql import types as T
 from mallflow import fixtures
 from mallflow.functions import date_keys, date_path
 from mallflow.operators import clean, floors, flow, links, parse, shops
+from mallflow.operators.lookup import Dimensions
 from mallflow.plans import backfill, documents
 from mallflow.plans.warehouse import LINKS, Warehouse
 from mallflow.schema import METRIC, PING, with_keys
-from mallflow.session import configure, scratch_dir
+from mallflow.session import configure, scratch_dir, size_for, stored_bytes
 from mallflow.sources import messages, tables, text
 from mallflow.sources.metrics import MetricStore
 from mallflow.streaming import flow as flow_stream
@@ -48,20 +49,32 @@ def _round(name: str) -> Column:
     return F.round(name, 6).alias(name)
 
 
+@lru_cache(maxsize=4)
+def _events_size(spark: SparkSession, sf_dir: str) -> int:
+    return stored_bytes(spark, f"{sf_dir}/events.parquet")
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    size_for(spark, _events_size(spark, sf_dir))
     return fixtures.table(spark, sf_dir, "events")
 
 
+@lru_cache(maxsize=4)
+def _dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
+    # The provided tables do not change, so they are measured once per session and directory.
+    return fixtures.dimensions(spark, sf_dir)
+
+
 def _pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.pings(_events(spark, sf_dir))
 
 
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_batch(_pings(spark, sf_dir), fixtures.dimensions(spark, sf_dir))
+    return clean.clean_batch(_pings(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
 def _dw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.wash_day(_pings(spark, sf_dir), fixtures.dimensions(spark, sf_dir))
+    return clean.wash_day(_pings(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
 def _rt_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,16 +82,16 @@ def _rt_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_batch(_rt_pings(spark, sf_dir), fixtures.dimensions(spark, sf_dir))
+    return clean.clean_batch(_rt_pings(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
 def _rt_and_dw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    dims = fixtures.dimensions(spark, sf_dir)
+    dims = _dimensions(spark, sf_dir)
     return clean.clean_batch(_rt_pings(spark, sf_dir), dims), clean.wash_day(_pings(spark, sf_dir), dims)
 
 
 def _clean_and_dw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    dims = fixtures.dimensions(spark, sf_dir)
+    dims = _dimensions(spark, sf_dir)
     pings = _pings(spark, sf_dir)
     return clean.clean_batch(pings, dims), clean.wash_day(pings, dims)
 
@@ -112,12 +125,12 @@ def date_key_parts(spark, sf_dir):
 
 @query
 def enrich_shop(spark, sf_dir):
-    return clean.enrich_shop(_pings(spark, sf_dir), fixtures.dimensions(spark, sf_dir).shops)
+    return clean.enrich_shop(_pings(spark, sf_dir), _dimensions(spark, sf_dir).shops)
 
 
 @query
 def exclude_blacklist(spark, sf_dir):
-    return clean.exclude_blacklist(_pings(spark, sf_dir), fixtures.dimensions(spark, sf_dir).blacklist)
+    return clean.exclude_blacklist(_pings(spark, sf_dir), _dimensions(spark, sf_dir).blacklist)
 
 
 @query
@@ -322,7 +335,7 @@ def late_data_partition(spark, sf_dir):
 @query
 def brand_link_backfill(spark, sf_dir):
     dw_root, links_root = scratch_dir(spark, "dw"), scratch_dir(spark, "links")
-    dw = clean.wash_day(fixtures.dated_pings(_events(spark, sf_dir)), fixtures.dimensions(spark, sf_dir))
+    dw = clean.wash_day(fixtures.dated_pings(_events(spark, sf_dir)), _dimensions(spark, sf_dir))
     tables.replace_partitions(dw, dw_root, "p_dt")
     days = [f"202401{day:02d}" for day in range(1, 31)]
     backfill.backfill_links(spark, dw_root, links_root, days)
@@ -352,15 +365,11 @@ def metric_documents(spark, sf_dir):
     return _flattened(reduce(DataFrame.unionByName, docs))
 
 
-def _message_stream(spark: SparkSession, sf_dir: str, label: str, batches: int | None = None) -> DataFrame:
+def _message_stream(spark: SparkSession, sf_dir: str, label: str, batches: int = 1) -> DataFrame:
     """The messages as text files, streamed in the given number of micro-batches."""
     root = scratch_dir(spark, label)
-    lines = fixtures.messages(_events(spark, sf_dir))
-    if batches is None:
-        lines.write.text(root)
-        return messages.file_messages(spark, root)
-    files = batches * max(1, -(-lines.rdd.getNumPartitions() // batches))
-    lines.repartition(files).write.text(root)
+    files = batches * max(1, spark.sparkContext.defaultParallelism // batches)
+    fixtures.messages(_events(spark, sf_dir)).repartition(files).write.text(root)
     return messages.file_messages(spark, root, files // batches)
 
 
@@ -368,7 +377,7 @@ def _message_stream(spark: SparkSession, sf_dir: str, label: str, batches: int |
 def stream_minute_flow(spark, sf_dir):
     root = scratch_dir(spark, "flow")
     lines = _message_stream(spark, sf_dir, "messages")
-    job = flow_stream.stream_minute_flow(lines, fixtures.dimensions(spark, sf_dir), root, availableNow=True)
+    job = flow_stream.stream_minute_flow(lines, _dimensions(spark, sf_dir), root, availableNow=True)
     job.awaitTermination()
     stored = tables.scan(spark, f"{root}/flow", flow_stream.MINUTE_FLOW)
     return stored.select(_long("dt_hour"), _long("dt_min"), "all_flow", "all_customer")

@@ -20,6 +20,7 @@ from mallflow.operators.floors import floor_minute_flow
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.visits import visit_summary
 from mallflow.schema import CLEAN_PING, LINK, PING, VISIT, with_keys
+from mallflow.session import together
 from mallflow.sources.metrics import MetricStore
 from mallflow.sources.tables import append_batch, replace_day, replace_partitions, scan_day
 
@@ -109,9 +110,12 @@ class Warehouse:
             else:
                 replace_partitions(frame, self.path(name), "p_dt", key)
 
-        store(visit_summary(dw, "p_dt", "dt_hour"), "visits", "dt_hour")
-        store(floor_minute_flow(dw, "p_dt"), "minutes", "dt_hour")
-        store(links.needed_steps(links.hour_steps(dw)), "steps", "part")
+        together(
+            self.spark,
+            lambda: store(visit_summary(dw, "p_dt", "dt_hour"), "visits", "dt_hour"),
+            lambda: store(floor_minute_flow(dw, "p_dt"), "minutes", "dt_hour"),
+            lambda: store(links.needed_steps(links.hour_steps(dw)), "steps", "part"),
+        )
 
     def visits(self, p_dt: str) -> DataFrame:
         """Visit rows of the day, one per hour, cell, shop and device; the day metrics merge them."""

@@ -4,8 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+T = TypeVar("T")
 
 _SETTINGS = {
     # Clock strings are read in the session zone, so results need one fixed zone.
@@ -13,8 +20,16 @@ _SETTINGS = {
     # Coalesces small shuffle partitions, swaps in broadcast joins by measured size and splits skewed join partitions.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Splits them also where a later step would have used the join's partitioning: a hot device must not fill one task.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
+_SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+_MAX_SHUFFLE_PARTITIONS = 20_000
+_MAX_SCAN_TASKS = 100_000
+_DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
+_CONCURRENT_ACTIONS = 6
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings every query relies on."""
@@ -23,6 +38,32 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Size of the files at or below a path, from their listing; contents are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    return files.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size")).first()["size"]
+
+
+def size_for(spark: SparkSession, size: int) -> None:
+    """Let shuffles start with enough partitions for an input of ``size`` bytes; small ones are merged again at run time.
+
+    The session's own partition count is the lower limit. Very large inputs also get wider scan splits, which bounds the
+    number of scan tasks.
+    """
+    partitions = min(_MAX_SHUFFLE_PARTITIONS, -(-size // _SHUFFLE_PARTITION_BYTES))
+    partitions = max(partitions, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    split = max(_DEFAULT_SPLIT_BYTES, -(-size // _MAX_SCAN_TASKS))
+    if split > _DEFAULT_SPLIT_BYTES:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split))
+
+
+def together(spark: SparkSession, *actions: Callable[[], T]) -> list[T]:
+    """Run independent actions at the same time, so that small jobs do not wait for each other's start-up."""
+    with ThreadPoolExecutor(max_workers=_CONCURRENT_ACTIONS) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new directory for tables a query writes and reads back.
 

@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def scan(spark: SparkSession, root: str, schema: T.StructType) -> DataFrame:
-    """A table with a declared schema, so that ``p_dt`` stays text. A table never written yet has no rows."""
+def scan(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+    """A table with a declared schema, so that ``p_dt`` stays text. A table never written yet has no rows.
+
+    ``path`` may name some partitions of the table at ``base`` only.
+    """
     try:
-        return spark.read.schema(schema).parquet(root).select(*schema.names)
+        return spark.read.schema(schema).option("basePath", base or path).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

@@ -21,7 +21,8 @@ def read_directory(spark: SparkSession, *directories: str) -> DataFrame:
     Adds ``directory``, the name of the directory a line was found in.
     """
     roots = [d.rstrip("/") for d in directories]
-    lines = read_lines(spark, *roots)
+    # Naming the entries one by one keeps directory names from being taken for partition columns.
+    lines = read_lines(spark, *[f"{root}/*" for root in roots])
     parent = F.regexp_replace("file", "/[^/]+$", "")
     direct = F.lit(False)
     for root in roots:

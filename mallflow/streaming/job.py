@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,12 +17,14 @@ from mallflow.operators.lookup import Dimensions
 from mallflow.operators.parse import dead_letters, parse_pings
 from mallflow.plans.documents import PRODUCTS, Snapshot, product_documents
 from mallflow.plans.warehouse import Warehouse
-from mallflow.sources.tables import append_batch, scan, scan_day
+from mallflow.session import together
+from mallflow.sources.tables import append_batch, replace_partitions, scan, scan_day
 
 _RUN = T.StructType(
     [
         T.StructField("as_of", T.StringType()),
         T.StructField("dims_version", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
 _OUTCOME = T.StructType(
@@ -96,11 +99,13 @@ class MallJob:
         day is cleaned again when the static tables have changed since the batch before, and when a batch is run again.
         """
         spark, root = self.warehouse.spark, self.warehouse.path("runs")
-        seen = scan(spark, f"{root}/batch_id={batch_id}", _RUN).first()
-        before = scan(spark, f"{root}/batch_id={batch_id - 1}", _RUN).first()
+        # Only these two directories are looked at, however many batches there have been.
+        pair = scan(spark, f"{root}/batch_id={{{batch_id - 1},{batch_id}}}", _RUN, base=root).collect()
+        runs = {row["batch_id"]: row for row in pair}
+        seen, before = runs.get(batch_id), runs.get(batch_id - 1)
         as_of = seen["as_of"] if seen else self._now(batch_id)
-        run = spark.createDataFrame([(as_of, dims_version)], _RUN)
-        run.coalesce(1).write.mode("overwrite").parquet(f"{root}/batch_id={batch_id}")
+        run = spark.createDataFrame([(as_of, dims_version, batch_id)], _RUN)
+        replace_partitions(run, root, "batch_id")
         changed = before is not None and before["dims_version"] != dims_version
         return as_of, seen is not None or changed or (before is None and batch_id > 0)
 
@@ -127,17 +132,17 @@ class MallJob:
 
             return store
 
-        steps: list[tuple[str, Callable[[], str | None]]] = [("batch_counts", count)]
-        steps += [(bi_name, product(bi_name)) for bi_name in self.products]
-        if self.links:
-            steps.append(("brand_link", lambda: house.publish_links(p_dt)))
-
-        outcomes = []
-        for name, step in steps:
+        def outcome(name: str, step: Callable[[], str | None]) -> tuple[str, bool, str | None]:
             try:
-                outcomes.append((name, True, step()))
-            except Exception as error:  # noqa: BLE001 - recorded below
-                outcomes.append((name, False, str(error)[:2000]))
+                return name, True, step()
+            except Exception as error:  # noqa: BLE001 - recorded, not hidden
+                return name, False, str(error)[:2000]
+
+        steps: dict[str, Callable[[], str | None]] = {"batch_counts": count}
+        steps |= {bi_name: product(bi_name) for bi_name in self.products}
+        if self.links:
+            steps["brand_link"] = lambda: house.publish_links(p_dt)
+        outcomes = together(house.spark, *[partial(outcome, name, step) for name, step in steps.items()])
         append_batch(house.spark.createDataFrame(outcomes, _OUTCOME), house.path("status"), p_dt, batch_id)
 
     def status(self, p_dt: str) -> DataFrame:
