@@ -39,23 +39,28 @@ def floor_shop_rank(visits: DataFrame) -> DataFrame:
     return flow.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SHOPS_PER_FLOOR)
 
 
-def rt_floor_flow(rt: DataFrame, visits: DataFrame) -> DataFrame:
+def floor_flow(rt: DataFrame, visits: DataFrame) -> DataFrame:
     """Batch devices per floor with the day's mean dwell and its three top shops, one row per shop."""
     return (
         floor_uv(rt)
         .join(floor_dwell(visits), "locName", "left")
         .join(floor_shop_rank(visits), "locName", "inner")
-        .orderBy("locName", F.desc("rank"))
         .select(
             F.col("locName").alias("floor"),
             "uv",
             F.col("stay_min").alias("stay"),
             F.col("name").alias("shop"),
             "flow",
+            "rank",
         )
     )
 
 
+def rt_floor_flow(rt: DataFrame, visits: DataFrame) -> DataFrame:
+    """:func:`floor_flow` by floor, the top shop last."""
+    return floor_flow(rt, visits).orderBy("floor", F.desc("rank")).drop("rank")
+
+
 def floor_minute_flow(dw: DataFrame, *keys: str) -> DataFrame:
     """Distinct whole records per floor, hour and minute.
 

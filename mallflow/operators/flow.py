@@ -38,10 +38,15 @@ def _mean_minutes(seconds: Column, devices: Column) -> Column:
     return seconds / F.nullif(devices, F.lit(0)) / F.lit(60.0)
 
 
-def today_flow(rt: DataFrame, visits: DataFrame) -> DataFrame:
+def flow_and_dwell(rt: DataFrame, visits: DataFrame) -> DataFrame:
     """Minute flow of the batch, each row with the day's mean dwell in minutes."""
     mean = dwell_totals(visits).select(_mean_minutes(F.col("stay_time"), F.col("total_mac")))
-    return minute_flow(rt).select("*", mean.scalar().alias("stay_min")).orderBy("dt_hour", "dt_min")
+    return minute_flow(rt).select("*", mean.scalar().alias("stay_min"))
+
+
+def today_flow(rt: DataFrame, visits: DataFrame) -> DataFrame:
+    """:func:`flow_and_dwell` in order of time."""
+    return flow_and_dwell(rt, visits).orderBy("dt_hour", "dt_min")
 
 
 def today_total(visits: DataFrame) -> DataFrame:

@@ -44,24 +44,24 @@ class Product:
     minute: str | None = None
 
 
-# Metric names and the keys of their value maps.
+# Metric names and the keys of their value maps. Documents are stored without order.
 PRODUCTS: dict[str, Product] = {
     "today_flow": Product(
-        lambda s: flow.today_flow(s.rt, s.day), {"count": "all_customer", "staty": "stay_min"}, appends=True
+        lambda s: flow.flow_and_dwell(s.rt, s.day), {"count": "all_customer", "staty": "stay_min"}, appends=True
     ),
     "today_total": Product(
         lambda s: flow.today_total(s.day), {"all_customer": "all_customer", "all_stay": "all_stay"}
     ),
     "rt_max_shop": Product(lambda s: shops.rt_top_shops(s.rt), {"shop": "shop", "flow": "flow"}),
-    "day_max_shop": Product(lambda s: shops.day_shop_rank(s.day), {"shop": "shop", "flow": "flow"}),
+    "day_max_shop": Product(lambda s: shops.shop_flow(s.day), {"shop": "shop", "flow": "flow"}),
     "rt_floor_flow": Product(
-        lambda s: floors.rt_floor_flow(s.rt, s.day),
+        lambda s: floors.floor_flow(s.rt, s.day),
         {"floor": "floor", "uv": "uv", "stay": "stay", "shop": "shop", "flow": "flow"},
     ),
     "day_catalog": Product(lambda s: shops.day_top_category(s.day), {"catalog": "catalog", "total": "total"}),
     "rt_catalog": Product(lambda s: shops.rt_top_category(s.rt), {"catalog": "catalog", "total": "total"}),
     "floor_day_flow": Product(
-        lambda s: s.minutes.orderBy("locName", "dt_hour", "dt_min"),
+        lambda s: s.minutes,
         {"floor": "locName", "count": "cnt"},
         hour="dt_hour",
         minute="dt_min",

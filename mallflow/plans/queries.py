@@ -217,7 +217,8 @@ def rt_floor_flow(spark, sf_dir):
 
 @query
 def floor_minute_flow(spark, sf_dir):
-    return floors.floor_minute_flow(_dw(spark, sf_dir)).select("locName", _long("dt_hour"), _long("dt_min"), "cnt")
+    minutes = floors.floor_minute_flow(_dw(spark, sf_dir)).orderBy("locName", "dt_hour", "dt_min")
+    return minutes.select("locName", _long("dt_hour"), _long("dt_min"), "cnt")
 
 
 @query
@@ -360,7 +361,12 @@ def _flattened(docs: DataFrame) -> DataFrame:
 
 @query
 def metric_documents(spark, sf_dir):
-    state = documents.snapshot(*_rt_and_dw(spark, sf_dir))
+    """All documents of one batch. The clean pings are stored once and everything else is read from them."""
+    house = Warehouse(spark, scratch_dir(spark, "documents"))
+    house.append_clean(_clean(spark, sf_dir), AS_OF_DATE, 0)
+    house.refresh(AS_OF_DATE, names=("visits", "minutes"))
+    rt = house.clean_pings(AS_OF_DATE).where(F.col("dt_hour") == fixtures.BATCH_HOUR)
+    state = house.snapshot(rt, AS_OF_DATE)
     docs = [documents.product_documents(bi_name, state, AS_OF) for bi_name in documents.PRODUCTS]
     return _flattened(reduce(DataFrame.unionByName, docs))
 

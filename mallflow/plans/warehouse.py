@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,7 @@ from mallflow.operators.clean import business_hours, wash_day
 from mallflow.operators.floors import floor_minute_flow
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.visits import visit_summary
+from mallflow.plans.documents import Snapshot
 from mallflow.schema import CLEAN_PING, LINK, PING, VISIT, with_keys
 from mallflow.session import together
 from mallflow.sources.metrics import MetricStore
@@ -97,25 +99,29 @@ class Warehouse:
 
     # --- derived tables ---
 
-    def refresh(self, p_dt: str, hours: Iterable[int] | None = None) -> None:
+    def refresh(
+        self, p_dt: str, hours: Iterable[int] | None = None, names: Iterable[str] = ("visits", "minutes", "steps")
+    ) -> None:
         """Work out visits, floor minutes and path steps of the given event hours, or of the whole day, again."""
         dw = self.clean_pings(p_dt)
         if hours is not None:
             dw = dw.where(F.col("dt_hour").isin(list(hours)))
         whole_day = hours is None
 
-        def store(frame: DataFrame, name: str, key: str) -> None:
+        derived = {
+            "visits": (visit_summary(dw, "p_dt", "dt_hour"), "dt_hour"),
+            "minutes": (floor_minute_flow(dw, "p_dt"), "dt_hour"),
+            "steps": (links.needed_steps(links.hour_steps(dw)), "part"),
+        }
+
+        def store(name: str) -> None:
+            frame, key = derived[name]
             if whole_day:
                 replace_day(frame, self.path(name), p_dt, key)
             else:
                 replace_partitions(frame, self.path(name), "p_dt", key)
 
-        together(
-            self.spark,
-            lambda: store(visit_summary(dw, "p_dt", "dt_hour"), "visits", "dt_hour"),
-            lambda: store(floor_minute_flow(dw, "p_dt"), "minutes", "dt_hour"),
-            lambda: store(links.needed_steps(links.hour_steps(dw)), "steps", "part"),
-        )
+        together(self.spark, *[partial(store, name) for name in names])
 
     def visits(self, p_dt: str) -> DataFrame:
         """Visit rows of the day, one per hour, cell, shop and device; the day metrics merge them."""
@@ -124,6 +130,10 @@ class Warehouse:
     def minutes(self, p_dt: str) -> DataFrame:
         return self._day("minutes", MINUTES, p_dt)
 
+    def snapshot(self, rt: DataFrame, p_dt: str) -> Snapshot:
+        """What the metrics of a batch read: the batch itself and the stored day."""
+        return Snapshot(rt, self.visits(p_dt), self.minutes(p_dt))
+
     def publish_links(self, p_dt: str) -> None:
         """Overwrite the day's moves from the stored steps."""
         steps = self._day("steps", STEPS, p_dt)

@@ -15,10 +15,10 @@ from mallflow.operators.clean import business_hours, clean_batch
 from mallflow.operators.flow import batch_counts
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.parse import dead_letters, parse_pings
-from mallflow.plans.documents import PRODUCTS, Snapshot, product_documents
+from mallflow.plans.documents import PRODUCTS, product_documents
 from mallflow.plans.warehouse import Warehouse
 from mallflow.session import together
-from mallflow.sources.tables import append_batch, replace_partitions, scan, scan_day
+from mallflow.sources.tables import replace_partitions, scan, scan_day, stamp
 
 _RUN = T.StructType(
     [
@@ -105,7 +105,7 @@ class MallJob:
         seen, before = runs.get(batch_id), runs.get(batch_id - 1)
         as_of = seen["as_of"] if seen else self._now(batch_id)
         run = spark.createDataFrame([(as_of, dims_version, batch_id)], _RUN)
-        replace_partitions(run, root, "batch_id")
+        replace_partitions(run, root, "batch_id", sized=False)
         changed = before is not None and before["dims_version"] != dims_version
         return as_of, seen is not None or changed or (before is None and batch_id > 0)
 
@@ -118,7 +118,7 @@ class MallJob:
     def _report(self, raw: DataFrame, rt: DataFrame, p_dt: str, batch_id: int, as_of: str) -> None:
         """Refresh every metric on its own; a failing one is recorded and does not stop the others."""
         house = self.warehouse
-        state = Snapshot(rt, house.visits(p_dt), house.minutes(p_dt))
+        state = house.snapshot(rt, p_dt)
 
         def count() -> str:
             row = batch_counts(raw, rt).first()
@@ -143,7 +143,8 @@ class MallJob:
         if self.links:
             steps["brand_link"] = lambda: house.publish_links(p_dt)
         outcomes = together(house.spark, *[partial(outcome, name, step) for name, step in steps.items()])
-        append_batch(house.spark.createDataFrame(outcomes, _OUTCOME), house.path("status"), p_dt, batch_id)
+        rows = stamp(house.spark.createDataFrame(outcomes, _OUTCOME).coalesce(1), p_dt, batch_id)
+        replace_partitions(rows, house.path("status"), "p_dt", "batch_id", sized=False)
 
     def status(self, p_dt: str) -> DataFrame:
         return scan_day(self.warehouse.spark, self.warehouse.path("status"), STATUS, p_dt)
