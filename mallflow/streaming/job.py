@@ -64,13 +64,13 @@ class MallJob:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         dims = self.dimensions()
         as_of, rebuild = self._open(batch_id, dims.version)
-        if batch.isEmpty():
-            return
         p_dt = _date_key(as_of)
         house = self.warehouse
-        # Both outputs come from one reading of the source.
+        # The check and both outputs share one reading of the source.
         lines = batch.select("value").persist()
         try:
+            if lines.isEmpty():
+                return
             house.append_pings(parse_pings(lines), p_dt, batch_id)
             house.append_dead_letters(dead_letters(lines), p_dt, batch_id)
         finally:
