@@ -365,7 +365,7 @@ def metric_documents(spark, sf_dir):
     house = Warehouse(spark, scratch_dir(spark, "documents"))
     house.append_clean(_clean(spark, sf_dir), AS_OF_DATE, 0)
     house.refresh(AS_OF_DATE, names=("visits", "minutes"))
-    rt = house.clean_pings(AS_OF_DATE).where(F.col("dt_hour") == fixtures.BATCH_HOUR)
+    rt = house.clean_pings(AS_OF_DATE, fixtures.BATCH_HOUR)
     state = house.snapshot(rt, AS_OF_DATE)
     docs = [documents.product_documents(bi_name, state, AS_OF) for bi_name in documents.PRODUCTS]
     return _flattened(reduce(DataFrame.unionByName, docs))
@@ -399,7 +399,7 @@ def stream_day_metrics(spark, sf_dir):
     house = Warehouse(spark, scratch_dir(spark, "mall"))
     job = MallJob(house, lambda: fixtures.dimensions(spark, sf_dir), clock=lambda _: AS_OF)
     job.start(_message_stream(spark, sf_dir, "messages", STREAM_BATCHES), availableNow=True).awaitTermination()
-    metrics = _flattened(house.metrics.read().where(F.col("bi_name").isin(*_DAY_PRODUCTS)))
+    metrics = _flattened(house.metrics.read_day(AS_OF_DATE, *_DAY_PRODUCTS))
     moves = links.link_matrix(house.links(AS_OF_DATE)).select(
         F.lit("brand_link").alias("bi_name"),
         F.concat_ws(">", "from_name", "to_name").alias("key"),

@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mallflow.operators import links
@@ -70,8 +69,8 @@ class Warehouse:
     def metrics(self) -> MetricStore:
         return MetricStore(self.spark, self.path("metrics"))
 
-    def _day(self, name: str, schema: T.StructType, p_dt: str) -> DataFrame:
-        return scan_day(self.spark, self.path(name), schema, p_dt)
+    def _day(self, name: str, schema: T.StructType, p_dt: str, *below: str) -> DataFrame:
+        return scan_day(self.spark, self.path(name), schema, p_dt, *below)
 
     # --- raw and clean pings ---
 
@@ -84,11 +83,13 @@ class Warehouse:
     def dead_letters(self, p_dt: str) -> DataFrame:
         return self._day("dead_letters", DEAD, p_dt)
 
-    def pings(self, p_dt: str) -> DataFrame:
-        return self._day("ods", ODS, p_dt)
+    def pings(self, p_dt: str, *batch_ids: int) -> DataFrame:
+        """Raw pings of a processing date, or of some of its batches."""
+        return self._day("ods", ODS, p_dt, *[f"batch_id={batch_id}" for batch_id in batch_ids])
 
-    def clean_pings(self, p_dt: str) -> DataFrame:
-        return self._day("dw", DW, p_dt)
+    def clean_pings(self, p_dt: str, *hours: int) -> DataFrame:
+        """Clean pings of a processing date, or of some event hours of it."""
+        return self._day("dw", DW, p_dt, *[f"dt_hour={hour}" for hour in hours])
 
     def append_clean(self, rt: DataFrame, p_dt: str, batch_id: int) -> None:
         append_batch(business_hours(rt), self.path("dw"), p_dt, batch_id, "dt_hour")
@@ -103,10 +104,8 @@ class Warehouse:
         self, p_dt: str, hours: Iterable[int] | None = None, names: Iterable[str] = ("visits", "minutes", "steps")
     ) -> None:
         """Work out visits, floor minutes and path steps of the given event hours, or of the whole day, again."""
-        dw = self.clean_pings(p_dt)
-        if hours is not None:
-            dw = dw.where(F.col("dt_hour").isin(list(hours)))
         whole_day = hours is None
+        dw = self.clean_pings(p_dt, *(hours or ()))
 
         derived = {
             "visits": (visit_summary(dw, "p_dt", "dt_hour"), "dt_hour"),

@@ -43,3 +43,7 @@ class MetricStore:
 
     def read(self) -> DataFrame:
         return scan(self.spark, self.root, _STORED)
+
+    def read_day(self, p_dt: str, *bi_names: str) -> DataFrame:
+        """The documents of the named metrics on one date; no other directory is listed."""
+        return scan(self.spark, self.root, _STORED, [f"bi_name={name}/p_dt={p_dt}" for name in bi_names])

@@ -5,7 +5,7 @@ Every write replaces whole partitions, so a write that is run again after a fail
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -13,13 +13,26 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def scan(spark: SparkSession, path: str, schema: T.StructType, base: str | None = None) -> DataFrame:
+def _named(root: str, partitions: Sequence[str]) -> str:
+    """One path for the given partition directories below ``root``.
+
+    Alternatives that hold a slash are looked up one by one; without it the whole, ever growing table would be listed.
+    Alternatives that do not exist are passed over.
+    """
+    if len(partitions) == 1:
+        return f"{root}/{partitions[0]}"
+    head, tail = root.rstrip("/").rsplit("/", 1)
+    return f"{head}/{{{','.join(f'{tail}/{part}' for part in partitions)}}}"
+
+
+def scan(spark: SparkSession, root: str, schema: T.StructType, partitions: Sequence[str] | None = None) -> DataFrame:
     """A table with a declared schema, so that ``p_dt`` stays text. A table never written yet has no rows.
 
-    ``path`` may name some partitions of the table at ``base`` only.
+    ``partitions`` names the partition directories to look into, such as ``p_dt=20240115``; by default all of them.
     """
+    path = root if partitions is None else _named(root, partitions)
     try:
-        return spark.read.schema(schema).option("basePath", base or path).parquet(path).select(*schema.names)
+        return spark.read.schema(schema).option("basePath", root).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -27,12 +40,15 @@ def scan(spark: SparkSession, path: str, schema: T.StructType, base: str | None
 
 
 def scan_days(spark: SparkSession, root: str, schema: T.StructType, days: Iterable[str]) -> DataFrame:
-    """Only the partitions of the given processing dates."""
-    return scan(spark, root, schema).where(F.col("p_dt").isin(list(days)))
+    """Only the partitions of the given processing dates; no other directory is listed."""
+    days = list(days)
+    return scan(spark, root, schema, [f"p_dt={day}" for day in days]).where(F.col("p_dt").isin(days))
 
 
-def scan_day(spark: SparkSession, root: str, schema: T.StructType, p_dt: str) -> DataFrame:
-    return scan(spark, root, schema).where(F.col("p_dt") == p_dt)
+def scan_day(spark: SparkSession, root: str, schema: T.StructType, p_dt: str, *below: str) -> DataFrame:
+    """One processing date, or the partitions ``below`` it, such as ``dt_hour=14``."""
+    partitions = [f"p_dt={p_dt}/{part}" for part in below] or [f"p_dt={p_dt}"]
+    return scan(spark, root, schema, partitions).where(F.col("p_dt") == p_dt)
 
 
 def _sized(frame: DataFrame, keys: tuple[str, ...]) -> DataFrame:

@@ -76,7 +76,7 @@ class MallJob:
         finally:
             lines.unpersist()
 
-        raw = house.pings(p_dt).where(F.col("batch_id") == batch_id).drop("p_dt", "batch_id")
+        raw = house.pings(p_dt, batch_id).drop("p_dt", "batch_id")
         rt = clean_batch(raw, dims).persist()
         try:
             if rebuild:
@@ -99,8 +99,7 @@ class MallJob:
         day is cleaned again when the static tables have changed since the batch before, and when a batch is run again.
         """
         spark, root = self.warehouse.spark, self.warehouse.path("runs")
-        # Only these two directories are looked at, however many batches there have been.
-        pair = scan(spark, f"{root}/batch_id={{{batch_id - 1},{batch_id}}}", _RUN, base=root).collect()
+        pair = scan(spark, root, _RUN, [f"batch_id={batch_id - 1}", f"batch_id={batch_id}"]).collect()
         runs = {row["batch_id"]: row for row in pair}
         seen, before = runs.get(batch_id), runs.get(batch_id - 1)
         as_of = seen["as_of"] if seen else self._now(batch_id)

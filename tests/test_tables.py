@@ -67,6 +67,19 @@ def test_day_scan_prunes_partitions_and_columns(spark, tmp_path):
     assert "GreaterThanOrEqual(dt_hour,9)" in plan
 
 
+def test_only_the_asked_partitions_are_listed(spark, tmp_path):
+    root = str(tmp_path / "ods")
+    for n, day in enumerate(("20180403", "20180404", "20180405")):
+        tables.append_batch(pings(spark, ping(mac=day)), root, day, n)
+    (tmp_path / "ods" / "p_dt=20180405" / "batch_id=2" / "broken.parquet").mkdir()
+    days = tables.scan_days(spark, root, DATED_PING, ["20180403", "20180404", "20180409"])
+    assert as_sets(days, "p_dt", "mac") == [("20180403", "20180403"), ("20180404", "20180404")]
+    assert {f.rsplit("/", 3)[1] for f in days.inputFiles()} == {"p_dt=20180403", "p_dt=20180404"}
+    assert tables.scan_days(spark, root, DATED_PING, ["20180408", "20180409"]).count() == 0
+    assert tables.scan_day(spark, root, DATED_PING, "20180404", "batch_id=1").count() == 1
+    assert tables.scan_day(spark, root, DATED_PING, "20180404", "batch_id=7").count() == 0
+
+
 def docs(spark, n, name="m"):
     return metric_documents(spark.range(n), name, "2018-04-03 10:00:00", {"id": "id"})
 
@@ -86,7 +99,8 @@ def test_metric_replace_and_append(spark, tmp_path):
     for batch in (3, 4, 4):
         store.append(docs(spark, 1, "series"), "series", "20180403", batch)
     assert stored(store)[1:] == [("series", "20180403", "0")] * 2
-    row = store.read().where("bi_name = 'series'").first()
+    assert store.read_day("20180403", "series", "none").count() == 2
+    row = store.read_day("20180403", "series").first()
     assert {name: row[name] for name in METRIC.names if name != "bi_value"} == {
         "mall_id": "sh001",
         "p_dt": "20180403",
@@ -126,15 +140,19 @@ def test_clean_pings_keep_their_schema(spark, tmp_path):
 
 
 def test_text_reading(spark, tmp_path):
-    top = tmp_path / "logs here"
+    top = tmp_path / "logs+here 1%"
     (top / "deeper").mkdir(parents=True)
     (top / "k=v").mkdir()
+    twin = tmp_path / "logs+here 1%" / str(top).lstrip("/")
+    twin.mkdir(parents=True)
+    (twin / "e.txt").write_bytes(b"six\n")
     (top / "a.txt").write_bytes(b"one\r\n\ntwo\n")
     (top / "b.txt").write_bytes(b"three")
     (top / "deeper" / "c.txt").write_bytes(b"four\n")
     (top / "k=v" / "d.txt").write_bytes(b"five\n")
     got = text.read_directory(spark, str(top))
-    assert as_sets(got, "directory", "value") == [("logs here", v) for v in ("", "one\r", "three", "two")]
+    assert as_sets(got, "directory", "value") == [("logs+here 1%", v) for v in ("", "one\r", "three", "two")]
+    assert text.read_directory(spark, f"file://{top}").count() == got.count()
     assert as_sets(text.read_lines(spark, str(top / "deeper" / "c.txt")), "value") == [("four",)]
 
 
