@@ -123,6 +123,25 @@ def test_batch_run_again_changes_nothing(spark, tmp_path):
     assert job.warehouse.pings("20180404").count() == 0
 
 
+def test_stream_goes_on_after_a_failed_batch(spark, tmp_path, monkeypatch):
+    inbox, job = tmp_path / "inbox", mall(spark, tmp_path)
+    put(inbox, "a", texts(0, 40))
+    run(job, spark, inbox)
+    put(inbox, "b", texts(40, 80))
+
+    def lost(self, *args, **more):
+        raise RuntimeError("lost on the way")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "refresh", lost)
+        with pytest.raises(Exception, match="lost on the way"):
+            run(job, spark, inbox)
+    run(job, spark, inbox)
+    assert stored_day(job) == expected(spark, texts(0, 80))
+    assert stored_links(job) == expected_links(spark, texts(0, 80))
+    assert job.warehouse.pings(DAY).count() == 80
+
+
 def test_changed_shop_map_rebuilds_the_day(spark, tmp_path):
     renamed = [(x, y, f, n.upper(), "new") for x, y, f, n, _ in SHOPS]
     mall(spark, tmp_path).process(lines(spark, *texts(0, 60)), 0)
