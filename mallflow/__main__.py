@@ -31,23 +31,28 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     stream.add_argument("--interval", default="60 seconds", help="time between micro-batches")
     stream.add_argument("--once", action="store_true", help="process what is there, then stop")
     stream.add_argument("--no-links", action="store_true", help="leave the shop moves to the backfill")
+    stream.add_argument("--zone", default="UTC", help="time zone of the clock text and the processing dates")
 
     backfill = commands.add_parser("backfill", help="rebuild the shop moves of past days")
     backfill.add_argument("--root", required=True)
-    backfill.add_argument("days", nargs="+", metavar="yyyyMMdd")
+    backfill.add_argument("days", nargs="*", metavar="yyyyMMdd")
+    backfill.add_argument("--all", action="store_true", help="every stored date")
 
     parsed = parser.parse_args(argv)
     if parsed.command == "stream" and parsed.kafka and not parsed.topic:
         parser.error("--kafka needs --topic")
+    if parsed.command == "backfill" and bool(parsed.days) == parsed.all:
+        parser.error("name the days, or --all")
     return parsed
 
 
 def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _arguments(argv)
-    spark = configure(spark or SparkSession.builder.appName(f"mallflow-{args.command}").getOrCreate())
+    spark = spark or SparkSession.builder.appName(f"mallflow-{args.command}").getOrCreate()
+    configure(spark, getattr(args, "zone", "UTC"))
     house = Warehouse(spark, args.root.rstrip("/"))
     if args.command == "backfill":
-        backfill_links(spark, house.path("dw"), house.path("links"), args.days)
+        backfill_links(spark, house.path("dw"), house.path("links"), None if args.all else args.days)
         return
 
     def dimensions() -> Dimensions:

@@ -18,7 +18,7 @@ DATE_KEY_FORMATS = {
     "date": "yyyyMMdd",
 }
 
-_PARTS = {
+PARTS = {
     "year": F.year,
     "month": F.month,
     "day": F.dayofmonth,
@@ -38,12 +38,12 @@ def clock(text: Column) -> Column:
 
 def date_part(text: Column, part: str) -> Column:
     """One integer part of a clock string. Text of ten characters or fewer carries no clock and gives 0."""
-    return F.when(F.length(text) <= 10, F.lit(0)).otherwise(_PARTS[part](clock(text)))
+    return F.when(F.length(text) <= 10, F.lit(0)).otherwise(PARTS[part](clock(text)))
 
 
-def epoch_seconds(text: Column) -> Column:
-    """Whole seconds since 1970 of a clock string, read in the session zone."""
-    return F.unix_timestamp(clock(text)).cast("int")
+def epoch_seconds(ts: Column) -> Column:
+    """Whole seconds since 1970 of a timestamp."""
+    return F.unix_timestamp(ts).cast("int")
 
 
 def date_keys(ts: Column) -> dict[str, Column]:

@@ -5,12 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mallflow.functions import cell, clock
+from mallflow.functions import PARTS, cell, clock, epoch_seconds
 from mallflow.schema import PING
 
 # Field order of a message. Further fields are ignored.
 MESSAGE_FIELDS = ["shopcode", "date_time", "mac", "ipAddr", "locID", "locName", "rawX", "rawY"]
 
+# The ping columns that hold parts of the clock.
+PART_COLUMNS = {
+    "dt_year": "year",
+    "dt_month": "month",
+    "dt_day": "day",
+    "dt_hour": "hour",
+    "dt_min": "minute",
+    "dt_sec": "second",
+}
+
 
 def _readable() -> Column:
     return F.col("ts").isNotNull() & F.col("posX").isNotNull() & F.col("posY").isNotNull()
@@ -37,15 +47,9 @@ def _read(lines: DataFrame) -> DataFrame:
 
 def parse_pings(lines: DataFrame) -> DataFrame:
     """Ping records from the ``value`` column; unreadable lines are left to :func:`dead_letters`."""
-    parts = {
-        "dt_year": F.year("ts"),
-        "dt_month": F.month("ts"),
-        "dt_day": F.dayofmonth("ts"),
-        "dt_hour": F.hour("ts"),
-        "dt_min": F.minute("ts"),
-        "dt_sec": F.second("ts"),
-        "time_stamp": F.unix_timestamp("ts").cast("int"),
-    }
+    ts = F.col("ts")
+    parts = {column: PARTS[part](ts) for column, part in PART_COLUMNS.items()}
+    parts["time_stamp"] = epoch_seconds(ts)
     return _where(_read(lines), _readable()).select(*[parts.get(c, F.col(c)).alias(c) for c in PING.names])
 
 

@@ -9,12 +9,15 @@ from pyspark.sql import types as T
 
 from mallflow.operators.links import consecutive_links
 from mallflow.schema import CLEAN_PING, with_keys
-from mallflow.sources.tables import replace_partitions, scan_days
+from mallflow.sources.tables import replace_partitions, scan, scan_days
 
 DATED_CLEAN_PING = with_keys(CLEAN_PING, ("p_dt", T.StringType()))
 
 
-def backfill_links(spark: SparkSession, dw_root: str, links_root: str, days: Iterable[str]) -> None:
-    """Overwrite the link partitions of the given processing dates from the clean pings, all days in one job."""
-    dw = scan_days(spark, dw_root, DATED_CLEAN_PING, days)
+def backfill_links(spark: SparkSession, dw_root: str, links_root: str, days: Iterable[str] | None = None) -> None:
+    """Overwrite the link partitions of the given processing dates from the clean pings, all days in one job.
+
+    Without ``days``, every stored date.
+    """
+    dw = scan(spark, dw_root, DATED_CLEAN_PING) if days is None else scan_days(spark, dw_root, DATED_CLEAN_PING, days)
     replace_partitions(consecutive_links(dw), links_root, "p_dt")

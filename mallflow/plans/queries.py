@@ -260,7 +260,7 @@ def text_scan(spark, sf_dir):
     root = scratch_dir(spark, "text")
     lines = fixtures.messages(_events(spark, sf_dir))
     spot = F.split("value", ",")[5]
-    lines.withColumn("spot", spot).write.partitionBy("spot").text(root)
+    lines.withColumn("spot", spot).hint("rebalance", F.col("spot")).write.partitionBy("spot").text(root)
     directories = [f"{root}/spot=F{n}" for n in range(1, 5)]
     return (
         text.read_directory(spark, *directories)
@@ -338,8 +338,7 @@ def brand_link_backfill(spark, sf_dir):
     dw_root, links_root = scratch_dir(spark, "dw"), scratch_dir(spark, "links")
     dw = clean.wash_day(fixtures.dated_pings(_events(spark, sf_dir)), _dimensions(spark, sf_dir))
     tables.replace_partitions(dw, dw_root, "p_dt")
-    days = [f"202401{day:02d}" for day in range(1, 31)]
-    backfill.backfill_links(spark, dw_root, links_root, days)
+    backfill.backfill_links(spark, dw_root, links_root)
     return tables.scan(spark, links_root, LINKS)
 
 

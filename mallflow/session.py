@@ -15,8 +15,6 @@ from pyspark.sql import functions as F
 T = TypeVar("T")
 
 _SETTINGS = {
-    # Clock strings are read in the session zone, so results need one fixed zone.
-    "spark.sql.session.timeZone": "UTC",
     # Coalesces small shuffle partitions, swaps in broadcast joins by measured size and splits skewed join partitions.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -31,8 +29,9 @@ _DEFAULT_SPLIT_BYTES = 128 * 1024 * 1024
 _CONCURRENT_ACTIONS = 6
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings every query relies on."""
+def configure(spark: SparkSession, zone: str = "UTC") -> SparkSession:
+    """Apply the runtime settings every query relies on. Clock text and processing dates are read in ``zone``."""
+    spark.conf.set("spark.sql.session.timeZone", zone)
     for key, value in _SETTINGS.items():
         spark.conf.set(key, value)
     return spark

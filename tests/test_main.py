@@ -27,6 +27,8 @@ def test_stream_then_backfill(spark, tmp_path):
         ("a", "2018-04-03 11:00:00", "A", "B"),
         ("a", "2018-04-03 12:00:00", "B", "A"),
     ]
+    main(["backfill", "--root", root, "--all"], spark)
+    assert as_sets(house.links(day), "mac", "date_time", "from_name", "to_name") == moves
     total = house.metrics.read().where(F.col("bi_name") == "today_total").first()["bi_value"]
     assert total == {"all_customer": "1", "all_stay": "180.0"}
 
@@ -34,3 +36,9 @@ def test_stream_then_backfill(spark, tmp_path):
 def test_kafka_needs_a_topic(spark):
     with pytest.raises(SystemExit):
         main(["stream", "--root", "r", "--shops", "s", "--blacklist", "b", "--kafka", "h:1"], spark)
+
+
+@pytest.mark.parametrize("days", [[], ["20180403", "--all"]])
+def test_backfill_needs_days_or_all(spark, days):
+    with pytest.raises(SystemExit):
+        main(["backfill", "--root", "r", *days], spark)

@@ -52,14 +52,14 @@ def test_date_parts_of_text(spark):
     parts = ["year", "month", "day", "hour", "minute", "second"]
     assert [value(spark, date_part(full, p)) for p in parts] == [2018, 4, 3, 9, 5, 7]
     assert [value(spark, date_part(short, p)) for p in parts] == [0] * 6
-    assert value(spark, epoch_seconds(full)) == 1522746307
+    assert value(spark, epoch_seconds(clock(full))) == 1522746307
     assert value(spark, clock(F.lit("2018-13-03 09:05:07"))) is None
 
 
 def test_epoch_follows_the_session_zone(spark):
     spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
     try:
-        assert value(spark, epoch_seconds(F.lit("2018-04-03 09:05:07"))) == 1522746307 - 8 * 3600
+        assert value(spark, epoch_seconds(clock(F.lit("2018-04-03 09:05:07")))) == 1522746307 - 8 * 3600
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
