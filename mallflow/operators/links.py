@@ -11,8 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from mallflow.schema import LINK
-
 # Length of the ``yyyy-MM-dd HH`` prefix. A prefix keeps text order, so every part lies wholly before the next.
 _HOUR_PREFIX = 13
 

@@ -145,8 +145,10 @@ _TAILS |= {
     "scan_day": f"SELECT p_dt, {_STORED} FROM dated WHERE p_dt = '20240115' GROUP BY p_dt",
     "text_scan": """
         SELECT 'spot=' || locName AS directory, count(*) AS lines,
-               CAST(sum(length(concat_ws(',', shopcode, date_time, mac, ipAddr, locID, locName, raw_x, raw_y))) AS BIGINT) AS chars
-        FROM folded GROUP BY locName""",
+               CAST(sum(length(line)) AS BIGINT) AS chars
+        FROM (SELECT locName, concat_ws(',', shopcode, date_time, mac, ipAddr, locID, locName, raw_x, raw_y) AS line
+              FROM folded)
+        GROUP BY locName""",
     "sink_ods_append": f"""
         SELECT p_dt, {_STORED} FROM (
           SELECT '20240115' AS p_dt, * FROM ping UNION ALL SELECT '20240116', * FROM ping WHERE dt_hour < 12)

@@ -6,7 +6,7 @@ from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -62,15 +62,16 @@ class MallJob:
         )
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        dims = self.dimensions()
-        as_of, rebuild = self._open(batch_id, dims.version)
-        p_dt = _date_key(as_of)
         house = self.warehouse
         # The check and both outputs share one reading of the source.
         lines = batch.select("value").persist()
         try:
             if lines.isEmpty():
+                self._skip(batch_id)
                 return
+            dims = self.dimensions()
+            as_of, rebuild = self._open(batch_id, dims.version)
+            p_dt = _date_key(as_of)
             house.append_pings(parse_pings(lines), p_dt, batch_id)
             house.append_dead_letters(dead_letters(lines), p_dt, batch_id)
         finally:
@@ -98,16 +99,25 @@ class MallJob:
         The time is written down before any other output, so a batch that is run again after midnight keeps its date. The
         day is cleaned again when the static tables have changed since the batch before, and when a batch is run again.
         """
-        spark, root = self.warehouse.spark, self.warehouse.path("runs")
-        pair = scan(spark, root, _RUN, [f"batch_id={batch_id - 1}", f"batch_id={batch_id}"]).collect()
-        runs = {row["batch_id"]: row for row in pair}
-        seen, before = runs.get(batch_id), runs.get(batch_id - 1)
+        seen, before = self._run(batch_id), self._run(batch_id - 1)
         as_of = seen["as_of"] if seen else self._now(batch_id)
-        run = spark.createDataFrame([(as_of, dims_version, batch_id)], _RUN)
-        replace_partitions(run, root, "batch_id", sized=False)
+        self._note(as_of, dims_version, batch_id)
         changed = before is not None and before["dims_version"] != dims_version
         return as_of, seen is not None or changed or (before is None and batch_id > 0)
 
+    def _skip(self, batch_id: int) -> None:
+        """Hand the note of the batch before on, so that a change of the static tables is still seen by the next batch."""
+        before = self._run(batch_id - 1)
+        if before is not None:
+            self._note(before["as_of"], before["dims_version"], batch_id)
+
+    def _run(self, batch_id: int) -> Row | None:
+        return scan(self.warehouse.spark, self.warehouse.path("runs"), _RUN, [f"batch_id={batch_id}"]).first()
+
+    def _note(self, as_of: str, dims_version: str, batch_id: int) -> None:
+        run = self.warehouse.spark.createDataFrame([(as_of, dims_version, batch_id)], _RUN)
+        replace_partitions(run, self.warehouse.path("runs"), "batch_id", sized=False)
+
     def _now(self, batch_id: int) -> str:
         if self.clock is not None:
             return self.clock(batch_id)

@@ -146,7 +146,8 @@ def test_changed_shop_map_rebuilds_the_day(spark, tmp_path):
     renamed = [(x, y, f, n.upper(), "new") for x, y, f, n, _ in SHOPS]
     mall(spark, tmp_path).process(lines(spark, *texts(0, 60)), 0)
     job = mall(spark, tmp_path, shops=renamed, blacklist=["m7"])
-    job.process(lines(spark, *texts(60, 90)), 1)
+    job.process(lines(spark), 1)
+    job.process(lines(spark, *texts(60, 90)), 2)
     assert stored_day(job) == expected(spark, texts(0, 90), shops=renamed, blacklist=["m7"])
     assert stored_links(job) == expected_links(spark, texts(0, 90), shops=renamed, blacklist=["m7"])
 
