@@ -31,7 +31,8 @@ DATED_PING = with_keys(PING, ("p_dt", T.StringType()))
 
 def query(fn: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(configure(spark), sf_dir)
+        size_for(configure(spark), _events_size(spark, sf_dir))
+        return fn(spark, sf_dir)
 
     _REGISTRY[fn.__name__] = run
     return run
@@ -54,25 +55,28 @@ def _events_size(spark: SparkSession, sf_dir: str) -> int:
     return stored_bytes(spark, f"{sf_dir}/events.parquet")
 
 
+# The provided tables do not change, so frames over them are declared, and the lookup tables measured, once per session.
+@lru_cache(maxsize=4)
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    size_for(spark, _events_size(spark, sf_dir))
     return fixtures.table(spark, sf_dir, "events")
 
 
 @lru_cache(maxsize=4)
 def _dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
-    # The provided tables do not change, so they are measured once per session and directory.
     return fixtures.dimensions(spark, sf_dir)
 
 
+@lru_cache(maxsize=4)
 def _pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.pings(_events(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
 def _clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_batch(_pings(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
+@lru_cache(maxsize=4)
 def _dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.wash_day(_pings(spark, sf_dir), _dimensions(spark, sf_dir))
 
@@ -81,21 +85,11 @@ def _rt_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pings(spark, sf_dir).where(F.col("dt_hour") == fixtures.BATCH_HOUR)
 
 
+@lru_cache(maxsize=4)
 def _rt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.clean_batch(_rt_pings(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
-def _rt_and_dw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    dims = _dimensions(spark, sf_dir)
-    return clean.clean_batch(_rt_pings(spark, sf_dir), dims), clean.wash_day(_pings(spark, sf_dir), dims)
-
-
-def _clean_and_dw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    dims = _dimensions(spark, sf_dir)
-    pings = _pings(spark, sf_dir)
-    return clean.clean_batch(pings, dims), clean.wash_day(pings, dims)
-
-
 def _dated_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dw(spark, sf_dir).withColumn("p_dt", F.lit(fixtures.FOLDED_DATE_KEY))
 
@@ -158,7 +152,7 @@ def mac_dwell(spark, sf_dir):
 
 @query
 def today_flow(spark, sf_dir):
-    return flow.today_flow(*_rt_and_dw(spark, sf_dir)).select(
+    return flow.today_flow(_rt(spark, sf_dir), _dw(spark, sf_dir)).select(
         _long("dt_hour"), _long("dt_min"), "all_flow", "all_customer", _round("stay_min")
     )
 
@@ -212,7 +206,7 @@ def floor_shop_rank(spark, sf_dir):
 
 @query
 def rt_floor_flow(spark, sf_dir):
-    return floors.rt_floor_flow(*_rt_and_dw(spark, sf_dir)).select("floor", "uv", _round("stay"), "shop", "flow")
+    return floors.rt_floor_flow(_rt(spark, sf_dir), _dw(spark, sf_dir)).select("floor", "uv", _round("stay"), "shop", "flow")
 
 
 @query
@@ -286,7 +280,7 @@ def sink_ods_append(spark, sf_dir):
 def sink_dw_overwrite(spark, sf_dir):
     """Two days are stored, then one is overwritten by its washed rows."""
     root = scratch_dir(spark, "dw")
-    clean_pings, dw = _clean_and_dw(spark, sf_dir)
+    clean_pings, dw = _clean(spark, sf_dir), _dw(spark, sf_dir)
     tables.overwrite_day(clean_pings, root, "20240115")
     tables.overwrite_day(clean_pings, root, "20240116")
     tables.overwrite_day(dw, root, "20240115")
@@ -303,7 +297,7 @@ def _stored(rows: DataFrame) -> DataFrame:
 def sink_metric_replace(spark, sf_dir):
     """The day's shop ranking of all hours is stored, then replaced by that of the business hours; a third metric is emptied."""
     store = MetricStore(spark, scratch_dir(spark, "replace"))
-    clean_pings, dw = _clean_and_dw(spark, sf_dir)
+    clean_pings, dw = _clean(spark, sf_dir), _dw(spark, sf_dir)
     for batch_id, day in enumerate((clean_pings, dw)):
         state = documents.snapshot(day, day)
         store.replace(documents.product_documents("day_max_shop", state, AS_OF), "day_max_shop", AS_OF_DATE, batch_id)
@@ -316,7 +310,7 @@ def sink_metric_replace(spark, sf_dir):
 def sink_metric_append(spark, sf_dir):
     """Flow of two batches is added up; the second is written twice, as after a failure."""
     store = MetricStore(spark, scratch_dir(spark, "append"))
-    clean_pings, dw = _clean_and_dw(spark, sf_dir)
+    clean_pings, dw = _clean(spark, sf_dir), _dw(spark, sf_dir)
     for batch_id, hour in ((0, 13), (1, 14), (1, 14)):
         state = documents.snapshot(clean_pings.where(F.col("dt_hour") == hour), dw)
         store.append(documents.product_documents("today_flow", state, AS_OF), "today_flow", AS_OF_DATE, batch_id)
