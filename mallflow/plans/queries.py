@@ -374,12 +374,13 @@ def _message_stream(spark: SparkSession, sf_dir: str, label: str, batches: int =
 
 @query
 def stream_minute_flow(spark, sf_dir):
-    root = scratch_dir(spark, "flow")
+    house = Warehouse(spark, scratch_dir(spark, "flow"))
     lines = _message_stream(spark, sf_dir, "messages")
-    job = flow_stream.stream_minute_flow(lines, _dimensions(spark, sf_dir), root, availableNow=True)
+    job = flow_stream.stream_minute_flow(
+        lines, lambda: fixtures.dimensions(spark, sf_dir), house, AS_OF_DATE, availableNow=True
+    )
     job.awaitTermination()
-    stored = tables.scan(spark, f"{root}/flow", flow_stream.MINUTE_FLOW)
-    return stored.select(_long("dt_hour"), _long("dt_min"), "all_flow", "all_customer")
+    return flow_stream.stored_minute_flow(house).select(_long("dt_hour"), _long("dt_min"), "all_flow", "all_customer")
 
 
 STREAM_BATCHES = 2

@@ -76,10 +76,11 @@ class Warehouse:
     # --- raw and clean pings ---
 
     def append_pings(self, pings: DataFrame, p_dt: str, batch_id: int) -> None:
-        append_batch(pings, self.path("ods"), p_dt, batch_id)
+        """Store a batch's raw pings, one file per task."""
+        append_batch(pings, self.path("ods"), p_dt, batch_id, sized=False)
 
     def append_dead_letters(self, lines: DataFrame, p_dt: str, batch_id: int) -> None:
-        append_batch(lines, self.path("dead_letters"), p_dt, batch_id)
+        append_batch(lines, self.path("dead_letters"), p_dt, batch_id, sized=False)
 
     def dead_letters(self, p_dt: str) -> DataFrame:
         return self._day("dead_letters", DEAD, p_dt)

@@ -19,8 +19,6 @@ def _named(root: str, partitions: Sequence[str]) -> str:
     Alternatives that hold a slash are looked up one by one; without it the whole, ever growing table would be listed.
     Alternatives that do not exist are passed over.
     """
-    if len(partitions) == 1:
-        return f"{root}/{partitions[0]}"
     head, tail = root.rstrip("/").rsplit("/", 1)
     return f"{head}/{{{','.join(f'{tail}/{part}' for part in partitions)}}}"
 
@@ -82,9 +80,9 @@ def stamp(frame: DataFrame, p_dt: str, batch_id: int | None = None) -> DataFrame
     return frame if batch_id is None else frame.withColumn("batch_id", F.lit(batch_id).cast("long"))
 
 
-def append_batch(frame: DataFrame, root: str, p_dt: str, batch_id: int, *keys: str) -> None:
+def append_batch(frame: DataFrame, root: str, p_dt: str, batch_id: int, *keys: str, sized: bool = True) -> None:
     """Add one batch to a processing date. The same batch written again takes its own place, not a second one."""
-    replace_partitions(stamp(frame, p_dt, batch_id), root, "p_dt", *keys, "batch_id")
+    replace_partitions(stamp(frame, p_dt, batch_id), root, "p_dt", *keys, "batch_id", sized=sized)
 
 
 def overwrite_day(frame: DataFrame, root: str, p_dt: str, sized: bool = False) -> None:

@@ -14,11 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from mallflow.operators.clean import business_hours, clean_batch
 from mallflow.operators.flow import batch_counts
 from mallflow.operators.lookup import Dimensions
-from mallflow.operators.parse import dead_letters, parse_pings
 from mallflow.plans.documents import PRODUCTS, product_documents
 from mallflow.plans.warehouse import Warehouse
 from mallflow.session import together
 from mallflow.sources.tables import replace_partitions, scan, scan_day, stamp
+from mallflow.streaming.landing import land, messages_of
 
 _RUN = T.StructType(
     [
@@ -63,19 +63,14 @@ class MallJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         house = self.warehouse
-        # The check and both outputs share one reading of the source.
-        lines = batch.select("value").persist()
-        try:
-            if lines.isEmpty():
+        with messages_of(batch) as lines:
+            if lines is None:
                 self._skip(batch_id)
                 return
             dims = self.dimensions()
             as_of, rebuild = self._open(batch_id, dims.version)
             p_dt = _date_key(as_of)
-            house.append_pings(parse_pings(lines), p_dt, batch_id)
-            house.append_dead_letters(dead_letters(lines), p_dt, batch_id)
-        finally:
-            lines.unpersist()
+            land(house, lines, p_dt, batch_id)
 
         raw = house.pings(p_dt, batch_id).drop("p_dt", "batch_id")
         rt = clean_batch(raw, dims).persist()

@@ -6,7 +6,6 @@ from mallflow.operators.links import consecutive_links
 from mallflow.operators.parse import parse_pings
 from mallflow.plans import documents
 from mallflow.plans.warehouse import Warehouse
-from mallflow.sources import tables
 from mallflow.sources.messages import file_messages
 from mallflow.streaming import flow as flow_stream
 from mallflow.streaming import job as job_module
@@ -200,11 +199,12 @@ def test_minute_flow_stream(spark, tmp_path):
     put(inbox, "a", texts(0, 60))
     put(inbox, "b", texts(60, 90))
     tables_ = dims(spark, SHOPS, BLACKLIST)
+    house = Warehouse(spark, str(tmp_path / "out"))
     query = flow_stream.stream_minute_flow(
-        file_messages(spark, str(inbox), 1), tables_, str(tmp_path / "out"), availableNow=True
+        file_messages(spark, str(inbox), 1), lambda: tables_, house, DAY, availableNow=True
     )
     query.awaitTermination()
-    got = tables.scan(spark, str(tmp_path / "out" / "flow"), flow_stream.MINUTE_FLOW)
+    got = flow_stream.stored_minute_flow(house).drop("p_dt")
     batches = [sorted(map(tuple, got.where(F.col("batch_id") == n).drop("batch_id").collect())) for n in (0, 1)]
     want = [minute_flow(clean_batch(parse_pings(lines(spark, *rows)), tables_)) for rows in (texts(0, 60), texts(60, 90))]
     # Files of the same age may come in either order.
