@@ -1,7 +1,7 @@
 """Storing the messages of a micro-batch.
 
-The frame handed to ``foreachBatch`` belongs to the stream's own session, where adaptive execution is off. It is therefore only
-parsed and stored, without a shuffle; everything else reads the stored pings in the ordinary session.
+The frame handed to ``foreachBatch`` belongs to the stream's own session, where adaptive execution may be off. It is only parsed
+and stored, without a shuffle; everything else reads the stored pings in the ordinary session.
 """
 
 from __future__ import annotations
