@@ -94,7 +94,9 @@ class MallJob:
         The time is written down before any other output, so a batch that is run again after midnight keeps its date. The
         day is cleaned again when the static tables have changed since the batch before, and when a batch is run again.
         """
-        seen, before = self._run(batch_id), self._run(batch_id - 1)
+        seen, before = together(
+            self.warehouse.spark, lambda: self._run(batch_id), lambda: self._run(batch_id - 1)
+        )
         as_of = seen["as_of"] if seen else self._now(batch_id)
         self._note(as_of, dims_version, batch_id)
         changed = before is not None and before["dims_version"] != dims_version

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from mallflow.operators.parse import dead_letters, parse_pings
 from mallflow.plans.warehouse import Warehouse
+from mallflow.session import together
 
 _FILE_BYTES = 128 * 1024 * 1024
 
@@ -30,5 +31,9 @@ def messages_of(batch: DataFrame) -> Iterator[DataFrame | None]:
 
 
 def land(house: Warehouse, lines: DataFrame, p_dt: str, batch_id: int) -> None:
-    house.append_pings(parse_pings(lines), p_dt, batch_id)
-    house.append_dead_letters(dead_letters(lines), p_dt, batch_id)
+    """Store the readable lines as pings and the others as dead letters."""
+    together(
+        house.spark,
+        lambda: house.append_pings(parse_pings(lines), p_dt, batch_id),
+        lambda: house.append_dead_letters(dead_letters(lines), p_dt, batch_id),
+    )
