@@ -168,6 +168,16 @@ def test_empty_batch_is_skipped(spark, tmp_path):
     assert job.warehouse.pings(DAY).count() == 0 and job.status(DAY).count() == 0
 
 
+def test_batch_of_broken_lines_only(spark, tmp_path):
+    job = mall(spark, tmp_path)
+    job.process(lines(spark, *texts(0, 30)), 0)
+    job.process(lines(spark, "broken", ""), 1)
+    assert job.warehouse.dead_letters(DAY).count() == 3 and job.warehouse.pings(DAY).count() == 30
+    assert all(r["ok"] for r in job.status(DAY).collect())
+    assert stored_day(job) == expected(spark, texts(0, 30))
+    assert job.warehouse.metrics.read_day(DAY, "rt_max_shop", "rt_floor_flow", "rt_catalog").count() == 0
+
+
 def test_batch_outside_business_hours(spark, tmp_path):
     job = mall(spark, tmp_path)
     job.process(lines(spark, message("2018-04-03 08:00:00")), 0)
