@@ -14,6 +14,13 @@ from pyspark.sql import functions as F
 # Length of the ``yyyy-MM-dd HH`` prefix. A prefix keeps text order, so every part lies wholly before the next.
 _HOUR_PREFIX = 13
 
+# Longest array used to repeat a row.
+_COPIES = 10_000
+
+
+def _part() -> Column:
+    return F.substring("date_time", 1, _HOUR_PREFIX)
+
 
 def _sightings(dw: DataFrame) -> DataFrame:
     return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select("p_dt", "mac", "date_time", "name")
@@ -31,8 +38,7 @@ def _links(steps: DataFrame) -> DataFrame:
 
 def hour_steps(dw: DataFrame) -> DataFrame:
     """Every sighting with the shop before it in its hour, and whether it opens or closes the device's hour."""
-    part = F.substring("date_time", 1, _HOUR_PREFIX)
-    folded = _sightings(dw).distinct().withColumn("part", part)
+    folded = _sightings(dw).distinct().withColumn("part", _part())
     path = Window.partitionBy("p_dt", "part", "mac").orderBy("date_time", "name")
     return folded.select(
         "p_dt",
@@ -72,12 +78,24 @@ def consecutive_links(dw: DataFrame) -> DataFrame:
 def anchor_links(dw: DataFrame) -> DataFrame:
     """Moves from a device's first shop of the ``p_dt`` to every later sighting with another name.
 
-    Every sighting is a row of its own here, so nothing is folded: the first shop is a plain aggregate, joined back. A device
-    with very many rows makes a skewed join partition, which the adaptive planner splits.
+    Every sighting counts here, also repeats within a second: they are folded with their number, joined to the device's first
+    shop hour by hour, and unfolded at the end.
     """
-    sightings = _sightings(dw)
-    first = sightings.groupBy("p_dt", "mac").agg(F.min(F.struct("date_time", "name"))["name"].alias("from_name"))
-    return _links(sightings.withColumnRenamed("name", "to_name").join(first, ["p_dt", "mac"]))
+    folded = _sightings(dw).groupBy("p_dt", "mac", "date_time", "name").agg(F.count(F.lit(1)).alias("n"))
+    folded = folded.withColumn("part", _part())
+    heads = folded.groupBy("p_dt", "mac", "part").agg(F.min(F.struct("date_time", "name")).alias("head"))
+    first = F.min("head").over(Window.partitionBy("p_dt", "mac"))["name"]
+    firsts = heads.select("p_dt", "mac", "part", first.alias("from_name"))
+    moves = folded.withColumnRenamed("name", "to_name").join(firsts, ["p_dt", "mac", "part"])
+    return _links(_unfold(moves.where(_differ("from_name", "to_name"))))
+
+
+def _unfold(moves: DataFrame) -> DataFrame:
+    """Each row ``n`` times over, through arrays of bounded length."""
+    last = F.expr(f"(n - 1) div {_COPIES}")
+    chunks = moves.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    left = F.least(F.lit(_COPIES).cast("bigint"), F.col("n") - F.col("chunk") * _COPIES)
+    return chunks.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
 
 
 def link_matrix(links: DataFrame) -> DataFrame:

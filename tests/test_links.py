@@ -115,3 +115,9 @@ def test_links_have_the_declared_columns(spark):
 
     got = consecutive_links(walk(spark, "A", "B")).drop("p_dt").schema
     assert [(f.name, f.dataType) for f in got] == [(f.name, f.dataType) for f in LINK]
+
+
+def test_anchor_keeps_every_repeat_of_a_hot_second(spark):
+    repeated = frame(spark, [("20180403", "hot", at(5), "B")]).crossJoin(spark.range(25_003)).drop("id")
+    got = anchor_links(repeated.unionByName(frame(spark, [("20180403", "hot", at(0), "A")])))
+    assert got.groupBy("from_name", "to_name").count().collect() == [("A", "B", 25_003)]
