@@ -3,7 +3,10 @@
 import pytest
 
 import oracle_check
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from __spark_entry__ import queries as every_query
+from mallflow.plans.oracle import oracle_sql
+from mallflow.plans.queries import registry as queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,6 +18,7 @@ def con():
 
 def test_every_query_has_sql():
     assert set(queries()) == set(oracle_sql())
+    assert set(queries()) <= set(every_query())
 
 
 def test_entry(spark):
