@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import quality
+from mallflow.llm import decontaminate, quality
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,9 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op4_quality(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality.quality(docs, ["doc_id"]).select("doc_id", "quality.*")
+
+
+@query
+def op6_positional_index(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.verdicts(decontaminate.matches(docs, _table(spark, sf_dir, "benchmark")))
