@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import decontaminate, quality, substrings
+from mallflow.llm import decontaminate, near, quality, substrings
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,8 @@ def op10_suffix_trees(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     kept_sha = F.sha2(F.col("rest.text").cast("binary"), 256).alias("kept_sha256")
     return substrings.remove_repeats(docs, ["doc_id"]).select("doc_id", "rest.n_words", "rest.n_removed", kept_sha)
+
+
+@query
+def op1_order_minhash(spark, sf_dir):
+    return near.near_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
