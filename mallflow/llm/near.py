@@ -30,7 +30,7 @@ from mallflow.llm.frames import fresh, in_batches, stored
 from mallflow.llm.words import FOLDED, Chunk, chunks, grams, mix
 
 SHINGLE = 5
-SKETCHES = 16
+SKETCHES = 24
 SAMPLE = 2
 # A link needs a distance of at most one word in so many.
 SHARE = 5

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import decontaminate, near, quality, substrings
+from mallflow.llm import decontaminate, near, quality, shards, substrings
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,3 +57,8 @@ def op10_suffix_trees(spark, sf_dir):
 @query
 def op1_order_minhash(spark, sf_dir):
     return near.near_classes(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op3_best_fit(spark, sf_dir):
+    return shards.into_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"))
