@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import decontaminate, near, quality, shards, substrings
+from mallflow.llm import decontaminate, near, pii, quality, shards, substrings
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,8 @@ def op1_order_minhash(spark, sf_dir):
 @query
 def op3_best_fit(spark, sf_dir):
     return shards.into_shards(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op8_pii(spark, sf_dir):
+    return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")))
