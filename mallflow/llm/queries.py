@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import decontaminate, near, pii, quality, shards, substrings
+from mallflow.llm import decontaminate, licenses, near, pii, quality, shards, substrings
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,3 +67,18 @@ def op3_best_fit(spark, sf_dir):
 @query
 def op8_pii(spark, sf_dir):
     return pii.digest(pii.find_pii(_table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+@query
+def op5_licences(spark, sf_dir):
+    docs = licenses.with_paths(_table(spark, sf_dir, "documents").select("doc_id", "text", "source")).drop("source")
+    return licenses.scan_licences(docs).select(
+        "doc_id",
+        "path",
+        F.col("own.name").alias("own_licence"),
+        F.col("own.score").alias("score"),
+        F.col("own.line").alias("line"),
+        F.col("inherited.name").alias("inherited_licence"),
+        F.col("inherited.from").alias("inherited_from"),
+        "licence",
+    )
