@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import decontaminate, licenses, near, pii, quality, shards, substrings
+from mallflow.llm import decontaminate, licenses, mixing, near, pii, quality, shards, substrings
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,8 @@ def op5_licences(spark, sf_dir):
         F.col("inherited.from").alias("inherited_from"),
         "licence",
     )
+
+
+@query
+def op2_soft_mix(spark, sf_dir):
+    return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
