@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import decontaminate, licenses, mixing, near, pii, quality, shards, substrings
+from mallflow.llm import chat, decontaminate, licenses, mixing, near, pii, quality, shards, substrings, warc
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +28,8 @@ def registry() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The rest are tested against brute force: their methods (models, packings, spans) have no SQL that is quick enough."""
+    return {"op7_revisits": warc.ORACLE_SQL, "op9_perspectives": chat.ORACLE_SQL}
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,3 +88,14 @@ def op5_licences(spark, sf_dir):
 @query
 def op2_soft_mix(spark, sf_dir):
     return mixing.mix(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_revisits(spark, sf_dir):
+    found = warc.resolve_revisits(warc.captures(_table(spark, sf_dir, "pages")))
+    return found.withColumn("headers", warc.listed(F.col("headers")))
+
+
+@query
+def op9_perspectives(spark, sf_dir):
+    return chat.rotate(_table(spark, sf_dir, "conversations"))
