@@ -15,6 +15,9 @@ from pyspark.sql import types as T
 from mallflow.session import scratch_dir
 
 
+# Rows in one Arrow batch: texts are long, and a task holds a batch several times over.
+_BATCH_ROWS = 1000
+
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
 
@@ -34,8 +37,9 @@ def ship(spark: SparkSession) -> None:
 def in_batches(
     frame: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the tasks."""
+    """``mapInArrow`` with this package at hand in the tasks, in batches that suit long texts."""
     ship(frame.sparkSession)
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH_ROWS))
     return frame.mapInArrow(work, schema)
 
 

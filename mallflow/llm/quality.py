@@ -15,7 +15,7 @@ null language is a language of its own; repeated rows are scored each on its own
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,8 @@ BELOW, ABOVE, LEAST_DEVIATION = 12.0, 7.0, 0.01
 _STEP = 0.002
 MODEL_BYTES = 128 << 20
 _ENTRY_BYTES = 12
-_HELD = 1 << 20
+_FEW_LANGUAGES = 100_000
+_HELD = 1 << 19
 
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
@@ -112,7 +113,7 @@ def _language_hash(languages: list[str | None]) -> np.ndarray:
     return np.array([hashes[language] for language in languages], np.uint64)
 
 
-def _hash_runs(language: np.ndarray, character) -> np.ndarray:
+def _hash_runs(language: np.ndarray, character: Callable[[int], np.ndarray]) -> np.ndarray:
     """Hashes of runs: ``character(i)`` gives the i-th code point of every run."""
     total = language.copy()
     for i in range(ORDER):
@@ -120,53 +121,132 @@ def _hash_runs(language: np.ndarray, character) -> np.ndarray:
     return mix(total)
 
 
-def _runs(chunk: Chunk, languages: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Code points of the chunk, places where a run starts, its hash, and the text it belongs to."""
+def _points(chunk: Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """Code points of the chunk, and how many each text has."""
     points = np.frombuffer(chunk.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
     points = np.where(points == 0, np.uint32(0xFFFD), points)
-    lengths = _per_text((chunk.data & 0xC0) != 0x80, chunk.bounds)
-    text = np.repeat(np.arange(len(lengths)), np.maximum(lengths - ORDER + 1, 0))
-    skipped = np.minimum(lengths, ORDER - 1)
-    at = np.arange(len(text)) + np.repeat(np.cumsum(skipped) - skipped, np.maximum(lengths - ORDER + 1, 0))
-    return points, at, _hash_runs(languages[text], lambda i: points[at + i]), text
+    return points, _per_text((chunk.data & 0xC0) != 0x80, chunk.bounds)
+
+
+def _starts(lengths: np.ndarray) -> np.ndarray:
+    """Which code points, but for the chunk's last few, are the first of a run."""
+    ends = np.cumsum(lengths)
+    open_ = np.ones(max(0, int(ends[-1]) - ORDER + 1), dtype=bool)
+    for back in range(1, ORDER):
+        at = ends - back
+        open_[at[(at >= 0) & (at < len(open_))]] = False
+    return open_
+
+
+def _runs(chunk: Chunk, languages: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the runs of the chunk, text by text, and how many each text has."""
+    points, lengths = _points(chunk)
+    starts = _starts(lengths)
+    n = len(starts)
+    language = np.repeat(languages, lengths)[:n]
+    return _hash_runs(language, lambda i: points[i : i + n])[starts], np.maximum(lengths - ORDER + 1, 0)
+
+
+_LETTER_BITS = 12
+
+
+class _RunCounter:
+    """Runs of one language with their numbers. The characters met are numbered, so that a run is one number of 60 bits."""
+
+    def __init__(self) -> None:
+        self.letters = np.zeros(0x110000, np.uint16)
+        self.known = [0]
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def learn(self, points: np.ndarray) -> bool:
+        """Number the characters; False if there are too many different ones."""
+        fresh_ = np.unique(points[self.letters[points] == 0])
+        if len(self.known) + len(fresh_) > 1 << _LETTER_BITS:
+            return False
+        self.letters[fresh_] = np.arange(len(self.known), len(self.known) + len(fresh_), dtype=np.uint16)
+        self.known += fresh_.tolist()
+        return True
+
+    def add(self, points: np.ndarray, starts: np.ndarray) -> None:
+        n = len(starts)
+        letters = self.letters[points].astype(np.uint64)
+        keys = letters[:n].copy()
+        for i in range(1, ORDER):
+            keys <<= np.uint64(_LETTER_BITS)
+            keys |= letters[i : i + n]
+        self._keep(np.sort(keys[starts]), None)
+
+    def _keep(self, keys: np.ndarray, numbers: np.ndarray | None) -> None:
+        first = np.flatnonzero(np.diff(keys, prepend=~keys[:1]) != 0)
+        total = np.diff(first, append=len(keys)) if numbers is None else np.add.reduceat(numbers, first)
+        self.parts.append((keys[first], total))
+        self.held += len(first)
+
+    def merge(self) -> None:
+        if len(self.parts) > 1:
+            keys, numbers = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            order = np.argsort(keys)
+            self.parts, self.held = [], 0
+            self._keep(keys[order], numbers[order])
+
+    def rows(self) -> tuple[list[str], np.ndarray]:
+        self.merge()
+        if not self.parts:
+            return [], np.zeros(0, np.int64)
+        keys, numbers = self.parts[0]
+        known, low = np.array(self.known, np.uint32), np.uint64((1 << _LETTER_BITS) - 1)
+        shape = np.stack([known[((keys >> np.uint64(_LETTER_BITS * (ORDER - 1 - i))) & low).astype(np.int64)] for i in range(ORDER)], 1)
+        return np.ascontiguousarray(shape).view(f"<U{ORDER}").ravel().tolist(), numbers
 
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The distinct runs of a task with their numbers; a task that meets very many hands them on part by part."""
-    keys, numbers, shapes, names = [], [], [], []
+    counters: dict[str | None, _RunCounter] = {}
 
-    def merged() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        every, first, where = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        total = np.bincount(where, weights=np.concatenate(numbers)).astype(np.int64)
-        return every, total, np.concatenate(shapes)[first], np.concatenate(names)[first]
-
-    def batch_of() -> pa.RecordBatch:
-        _, total, shape, name = merged()
-        runs = pa.array(np.ascontiguousarray(shape).view(f"<U{ORDER}").ravel(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(list(name), pa.string()), runs, pa.array(total)], ["lang", "run", "n"])
+    def handed_on(language: str | None) -> pa.RecordBatch:
+        runs, numbers = counters.pop(language).rows()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([language] * len(runs), pa.string()), pa.array(runs, pa.string()), pa.array(numbers)], ["lang", "run", "n"]
+        )
 
     for batch in batches:
         languages = batch.column(1).to_pylist()
-        hashes = _language_hash(languages)
         for chunk in chunks(batch.column(0)):
-            own = hashes[chunk.rows.start : chunk.rows.stop]
-            points, at, runs, text = _runs(chunk, own)
-            if not len(runs):
-                continue
-            every, first, number = np.unique(runs, return_index=True, return_counts=True)
-            keys.append(every)
-            numbers.append(number)
-            shapes.append(points[at[first][:, None] + np.arange(ORDER)])
-            names.append(np.array(languages[chunk.rows.start : chunk.rows.stop], object)[text[first]])
-            if sum(map(len, keys)) > 2 * _HELD:
-                every, total, shape, name = merged()
-                if len(every) > _HELD:
-                    yield batch_of()
-                    keys, numbers, shapes, names = [], [], [], []
+            points, lengths = _points(chunk)
+            own = languages[chunk.rows.start : chunk.rows.stop]
+            for language in dict.fromkeys(own):
+                mine = np.array([x == language for x in own])
+                if mine.all():
+                    text, starts = points, _starts(lengths)
                 else:
-                    keys, numbers, shapes, names = [every], [total], [shape], [name]
-    if keys:
-        yield batch_of()
+                    text, starts = points[np.repeat(mine, lengths)], _starts(lengths[mine])
+                yield from _counted(counters, language, text, starts, handed_on)
+        if sum(c.held for c in counters.values()) > _HELD:
+            for language, counter in list(counters.items()):
+                counter.merge()
+                if counter.held > _HELD // 4 or len(counters) > 64:
+                    yield handed_on(language)
+    for language in list(counters):
+        yield handed_on(language)
+
+
+def _counted(counters: dict, language: str | None, text: np.ndarray, starts: np.ndarray, handed_on) -> Iterator[pa.RecordBatch]:
+    """Count a piece of text; what is held goes on first if its characters leave no room for the new ones."""
+    if not starts.any():
+        return
+    counter = counters.setdefault(language, _RunCounter())
+    if not counter.learn(text):
+        yield handed_on(language)
+        counter = counters.setdefault(language, _RunCounter())
+        if not counter.learn(text):
+            # More characters than can be numbered at once: one half after the other, cut between two first places.
+            del counters[language]
+            half = len(starts) // 2
+            yield from _counted(counters, language, text[: half + ORDER - 1], starts[:half], handed_on)
+            yield from _counted(counters, language, text[half:], starts[half:], handed_on)
+            return
+    counter.add(text, starts)
 
 
 def run_counts(docs: DataFrame) -> DataFrame:
@@ -288,10 +368,10 @@ def _scores(docs: DataFrame, model: DataFrame, into: str, keep: list[str], model
         hashes = _language_hash(batch.column(places["lang"]).to_pylist())
         for chunk in chunks(batch.column(places["text"])):
             counts.append(text_counts(chunk))
-            _, _, runs, text = _runs(chunk, hashes[chunk.rows.start : chunk.rows.stop])
-            n = np.bincount(text, minlength=len(chunk.rows))
-            total = np.bincount(text, weights=shared.value.find(runs), minlength=len(chunk.rows))
-            ppl.append(np.where(n > 0, -total / np.maximum(n, 1), np.nan))
+            runs, n = _runs(chunk, hashes[chunk.rows.start : chunk.rows.stop])
+            sums = np.concatenate([[0.0], np.cumsum(shared.value.find(runs), dtype=np.float64)])
+            ends = np.cumsum(n)
+            ppl.append(np.where(n > 0, (sums[ends - n] - sums[ends]) / np.maximum(n, 1), np.nan))
         columns = [np.concatenate(column) for column in zip(*counts, strict=True)]
         score = np.concatenate(ppl)
         fields = [pa.array(c, pa.int64()) for c in columns] + [pa.array(score, pa.float64(), mask=np.isnan(score))]
@@ -314,7 +394,8 @@ def _scores_by_join(docs: DataFrame, model: DataFrame, into: str, keep: list[str
         for batch in batches:
             rows, hashes = batch.column(2).to_numpy(), _language_hash(batch.column(1).to_pylist())
             for chunk in chunks(batch.column(0)):
-                _, _, runs, text = _runs(chunk, hashes[chunk.rows.start : chunk.rows.stop])
+                runs, each = _runs(chunk, hashes[chunk.rows.start : chunk.rows.stop])
+                text = np.repeat(np.arange(len(each)), each)
                 order = np.lexsort((runs, text))
                 runs, text = runs[order], text[order]
                 new = np.flatnonzero(np.concatenate([[True], (runs[1:] != runs[:-1]) | (text[1:] != text[:-1])])[: len(runs)])
@@ -344,28 +425,40 @@ def bands(scores: DataFrame, score: str) -> DataFrame:
     steps = stored(seen.groupBy("lang", step.alias("step")).agg(F.count(F.lit(1)).alias("n")), "ppl-steps")
     middle = steps.groupBy(F.col("lang").alias("lang_")).agg(F.expr("percentile(step, 0.5, n)").alias("middle"))
     off = steps.join(middle, F.col("lang").eqNullSafe(F.col("lang_"))).withColumn("off", F.abs(F.col("step") - F.col("middle")))
-    spread = off.groupBy(F.col("lang").alias("band_lang")).agg(
+    spread = off.groupBy("lang").agg(
         F.first("middle").alias("middle"), F.expr("percentile(off, 0.5, n)").alias("off")
     )
     width = F.greatest(F.col("off") * _STEP, F.lit(LEAST_DEVIATION))
     middle_ppl = F.col("middle") * _STEP
     return stored(
-        spread.select("band_lang", (middle_ppl - BELOW * width).alias("low"), (middle_ppl + ABOVE * width).alias("high")),
+        spread.select("lang", (middle_ppl - BELOW * width).alias("low"), (middle_ppl + ABOVE * width).alias("high")),
         "ppl-bands",
     )
 
 
 def quality(docs: DataFrame, keep: list[str] | None = None, into: str = "quality", model_bytes: int = MODEL_BYTES) -> DataFrame:
-    """``keep`` (default: all columns) of ``docs`` with a struct ``into``: the counts, log perplexity, ``base_failed`` and ``kept``."""
+    """``keep`` (default: all columns) of ``docs`` with a struct ``into``: the counts, log perplexity, ``base_failed`` and ``kept``.
+
+    Scores are stored between finding the bands and using them, unless the text is among the columns to keep: then the documents are
+    scored twice rather than stored once more.
+    """
     keep = list(docs.columns if keep is None else keep)
     score = fresh(docs.columns, "score")
     model = ngram_model(docs)
-    narrow = docs.select("text", "lang")
-    band = bands(_scores(narrow, model, score, ["lang"], model_bytes), score)
-    rows = _scores(docs, model, score, list(dict.fromkeys([*keep, "lang"])), model_bytes)
-    joined = rows.join(F.broadcast(band) if band.count() <= 100_000 else band, F.col("lang").eqNullSafe(F.col("band_lang")), "left")
+    wanted = list(dict.fromkeys([*keep, "lang"]))
+    rows = _scores(docs, model, score, wanted, model_bytes)
+    if "text" in keep:
+        band = bands(_scores(docs.select("text", "lang"), model, score, ["lang"], model_bytes), score)
+    else:
+        rows = stored(rows, "scores")
+        band = bands(rows, score)
+    # One row for each language; broadcast only if they are few.
+    language, low, high = (fresh(docs.columns, name) for name in ("band_lang", "band_low", "band_high"))
+    band = band.select(F.col("lang").alias(language), F.col("low").alias(low), F.col("high").alias(high))
+    few = band.count() <= _FEW_LANGUAGES
+    joined = rows.join(F.broadcast(band) if few else band, F.col("lang").eqNullSafe(F.col(language)), "left")
     failed = _base_failed(score)
     ppl = F.col(f"{score}.log_ppl")
-    outside = F.coalesce((ppl < F.col("low")) | (ppl > F.col("high")), F.lit(False))
+    outside = F.coalesce((ppl < F.col(low)) | (ppl > F.col(high)), F.lit(False))
     verdict = F.struct(f"{score}.*", failed.alias("base_failed"), (~failed & ~outside).alias("kept"))
     return joined.select(*keep, verdict.alias(into))

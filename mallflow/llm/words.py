@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _GRAM = 0xD6E8FEB86659FD93 | 1
@@ -99,18 +100,44 @@ def grams(hashes: np.ndarray, size: int) -> np.ndarray:
 
 @dataclass
 class Chunk:
-    """Some whole texts: ``rows`` of the batch, their bytes, and their words.
-
-    ``bounds`` cuts the bytes and ``edges`` the words into texts; ``starts`` and ``ends`` are byte places of the words.
-    """
+    """Some whole texts: ``rows`` of the batch and their bytes, which ``bounds`` cuts into texts. Words are found when asked for."""
 
     rows: range
     data: np.ndarray
     bounds: np.ndarray
-    starts: np.ndarray
-    ends: np.ndarray
-    edges: np.ndarray
-    hashes: np.ndarray
+    table: tuple[np.ndarray, np.ndarray]
+
+    @cached_property
+    def _places(self) -> tuple[np.ndarray, np.ndarray]:
+        word = self.table[0][self.data]
+        first, last = word.copy(), word.copy()
+        if len(self.data):
+            first[1:] &= ~word[:-1]
+            last[:-1] &= ~word[1:]
+            cuts = self.bounds[1:-1]
+            cuts = cuts[(cuts > 0) & (cuts < len(self.data))]
+            first[cuts] = word[cuts]
+            last[cuts - 1] = word[cuts - 1]
+        return np.flatnonzero(first), np.flatnonzero(last) + 1
+
+    @property
+    def starts(self) -> np.ndarray:
+        """First byte of each word."""
+        return self._places[0]
+
+    @property
+    def ends(self) -> np.ndarray:
+        """The byte after each word."""
+        return self._places[1]
+
+    @cached_property
+    def edges(self) -> np.ndarray:
+        """Cuts the words into texts."""
+        return np.searchsorted(self.starts, self.bounds)
+
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return spans_hash(self.data, self.table[1], self.starts, self.ends)
 
     @property
     def counts(self) -> np.ndarray:
@@ -140,31 +167,5 @@ def chunks(column: pa.Array, table: tuple[np.ndarray, np.ndarray] = PLAIN, limit
     low = 0
     while low < len(offsets) - 1:
         high = max(low + 1, int(np.searchsorted(offsets, offsets[low] + limit, side="right")) - 1)
-        yield _chunk(data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], range(low, high), table)
+        yield Chunk(range(low, high), data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low], table)
         low = high
-
-
-def _chunk(data: np.ndarray, bounds: np.ndarray, rows: range, table: tuple[np.ndarray, np.ndarray]) -> Chunk:
-    inside, codes = table
-    word = inside[data]
-    first, last = word.copy(), word.copy()
-    if len(data):
-        first[1:] &= ~word[:-1]
-        last[:-1] &= ~word[1:]
-        cuts = bounds[1:-1]
-        cuts = cuts[(cuts > 0) & (cuts < len(data))]
-        first[cuts] = word[cuts]
-        last[cuts - 1] = word[cuts - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    edges = np.searchsorted(starts, bounds)
-    return Chunk(rows, data, bounds, starts, ends, edges, spans_hash(data, codes, starts, ends))
-
-
-def hash_words(words: list[str], table: tuple[np.ndarray, np.ndarray] = PLAIN) -> np.ndarray:
-    """The hashes that :func:`chunks` gives to these words."""
-    if not words:
-        return np.zeros(0, dtype=np.uint64)
-    (chunk,) = chunks(pa.array([" ".join(words)], pa.large_string()), table)
-    if len(chunk.hashes) != len(words):
-        raise ValueError("a word holds a separator")
-    return chunk.hashes
