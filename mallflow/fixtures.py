@@ -16,7 +16,6 @@ from mallflow.schema import MALL_ID, PASSAGE, PING, WALKWAY
 FOLDED_DAY = "2024-01-15"
 FOLDED_DATE_KEY = "20240115"
 FOLDED_MIDNIGHT = 1705276800
-BATCH_HOUR = 14
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,7 +87,7 @@ def messages(events: DataFrame) -> DataFrame:
 def shop_map(part: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
     name = F.when(key % 10 == 0, F.lit(WALKWAY)).when(key % 10 == 1, F.lit(PASSAGE)).otherwise(F.col("p_brand"))
-    return part.where((key < 140) & (key % 10 != 2)).select(
+    return part.where(key % 10 != 2).select(
         ((key % 35 - key % 5) / 5).cast("int").alias("posx"),
         (key % 5).cast("int").alias("posy"),
         F.concat(F.lit("F"), ((key - key % 35) / 35 + 1).cast("int").cast("string")).alias("floor"),

@@ -37,14 +37,14 @@ shop AS (
          'F' || CAST((p_partkey - p_partkey % 35) / 35 + 1 AS INTEGER) AS floor,
          CASE p_partkey % 10 WHEN 0 THEN '走道' WHEN 1 THEN '过道' ELSE p_brand END AS name,
          CASE WHEN p_partkey % 17 = 3 THEN NULL ELSE p_type END AS type
-  FROM part WHERE p_partkey < 140 AND p_partkey % 10 <> 2),
+  FROM part WHERE p_partkey % 10 <> 2),
 listed AS (SELECT 'm' || c_custkey AS mac FROM customer WHERE c_custkey % 20 = 0),
 enriched AS (
   SELECT a.*, b.name, b.type
   FROM ping a LEFT JOIN shop b ON a.posX = b.posx AND a.posY = b.posy AND a.locName = b.floor),
 clean AS (SELECT * FROM enriched a WHERE NOT EXISTS (SELECT 1 FROM listed c WHERE c.mac = a.mac)),
 dw AS (SELECT * FROM clean WHERE dt_hour >= 9 AND dt_hour < 23),
-rt AS (SELECT * FROM clean WHERE dt_hour = 14),
+rt AS (SELECT * FROM clean),
 mac_dwell AS (SELECT mac, CAST(max(time_stamp) - min(time_stamp) AS BIGINT) AS stay FROM dw GROUP BY mac),
 minute_flow AS (
   SELECT CAST(dt_hour AS BIGINT) AS dt_hour, CAST(dt_min AS BIGINT) AS dt_min,
@@ -112,7 +112,7 @@ _TAILS = {
     "exclude_blacklist": "SELECT * FROM ping a WHERE NOT EXISTS (SELECT 1 FROM listed c WHERE c.mac = a.mac)",
     "wash_day": "SELECT * FROM dw",
     "batch_counts": """
-        SELECT (SELECT count(*) FROM ping WHERE dt_hour = 14) AS raw_rows, (SELECT count(*) FROM rt) AS clean_rows""",
+        SELECT (SELECT count(*) FROM ping) AS raw_rows, (SELECT count(*) FROM rt) AS clean_rows""",
     "minute_flow": "SELECT * FROM minute_flow",
     "mac_dwell": "SELECT * FROM mac_dwell",
     "today_flow": "SELECT * REPLACE (round(stay_min, 6) AS stay_min) FROM today_flow ORDER BY dt_hour, dt_min",
@@ -194,29 +194,22 @@ _DOCUMENTS = {
 }
 
 
-def _entries(bi_name: str, view: str | None = None) -> str:
+def _entries(bi_name: str) -> str:
     table, values, (hour, minute) = _DOCUMENTS[bi_name]
     return " UNION ALL ".join(
         f"""SELECT 'sh001' AS mall_id, '20240115' AS p_dt, '2024' AS dt_year, '01' AS dt_month, '15' AS dt_day,
                    CAST({hour} AS VARCHAR) AS dt_hour, CAST({minute} AS VARCHAR) AS dt_min,
-                   '{bi_name}' AS bi_name, '{key}' AS key, CAST({sql} AS VARCHAR) AS value FROM {view or table}"""
+                   '{bi_name}' AS bi_name, '{key}' AS key, CAST({sql} AS VARCHAR) AS value FROM {table}"""
         for key, sql in values.items()
     )
 
 
-_TWO_HOURS = """
-        , two_hours AS (
-          SELECT all_customer, CAST(t.stay_time AS DOUBLE) / t.total_mac / 60.0::DOUBLE AS stay_min
-          FROM (SELECT count(DISTINCT mac) AS all_customer FROM clean WHERE dt_hour IN (13, 14) GROUP BY dt_hour, dt_min) m,
-               (SELECT CAST(sum(stay) AS BIGINT) AS stay_time, count(mac) AS total_mac FROM mac_dwell) t)
-        """
-
 _DAY = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map")
 
 _TAILS |= {
     "metric_documents": " UNION ALL ".join(_entries(name) for name in _DOCUMENTS),
     "sink_metric_replace": _entries("day_max_shop"),
-    "sink_metric_append": _TWO_HOURS + _entries("today_flow", "two_hours"),
+    "sink_metric_append": _entries("today_flow"),
     "stream_day_metrics": f"""
         SELECT bi_name, key, value FROM ({" UNION ALL ".join(_entries(name) for name in _DAY)})
         UNION ALL

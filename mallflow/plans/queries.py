@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 
 from mallflow import fixtures
 from mallflow.functions import date_keys, date_path
-from mallflow.operators import clean, floors, flow, links, parse, shops
+from mallflow.operators import clean, floors, flow, links, parse, shops, visits
 from mallflow.operators.lookup import Dimensions
 from mallflow.plans import backfill, documents
 from mallflow.plans.warehouse import LINKS, Warehouse
-from mallflow.schema import METRIC, PING, with_keys
-from mallflow.session import configure, scratch_dir, size_for, stored_bytes
+from mallflow.schema import CLEAN_PING, METRIC, PING, with_keys
+from mallflow.session import configure, scratch_dir, size_for, stored_bytes, together
 from mallflow.sources import messages, tables, text
 from mallflow.sources.metrics import MetricStore
 from mallflow.streaming import flow as flow_stream
@@ -81,13 +81,9 @@ def _dw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean.wash_day(_pings(spark, sf_dir), _dimensions(spark, sf_dir))
 
 
-def _rt_pings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pings(spark, sf_dir).where(F.col("dt_hour") == fixtures.BATCH_HOUR)
-
-
-@lru_cache(maxsize=4)
 def _rt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean.clean_batch(_rt_pings(spark, sf_dir), _dimensions(spark, sf_dir))
+    """The batch: all clean pings, of every hour."""
+    return _clean(spark, sf_dir)
 
 
 def _dated_dw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +133,7 @@ def wash_day(spark, sf_dir):
 
 @query
 def batch_counts(spark, sf_dir):
-    return flow.batch_counts(_rt_pings(spark, sf_dir), _rt(spark, sf_dir))
+    return flow.batch_counts(_pings(spark, sf_dir), _rt(spark, sf_dir))
 
 
 @query
@@ -308,11 +304,12 @@ def sink_metric_replace(spark, sf_dir):
 
 @query
 def sink_metric_append(spark, sf_dir):
-    """Flow of two batches is added up; the second is written twice, as after a failure."""
+    """Flow of the day's two halves is added up; the second is written twice, as after a failure."""
     store = MetricStore(spark, scratch_dir(spark, "append"))
     clean_pings, dw = _clean(spark, sf_dir), _dw(spark, sf_dir)
-    for batch_id, hour in ((0, 13), (1, 14), (1, 14)):
-        state = documents.snapshot(clean_pings.where(F.col("dt_hour") == hour), dw)
+    early, late = clean_pings.where(F.col("dt_hour") < 12), clean_pings.where(F.col("dt_hour") >= 12)
+    for batch_id, batch in ((0, early), (1, late), (1, late)):
+        state = documents.snapshot(batch, dw)
         store.append(documents.product_documents("today_flow", state, AS_OF), "today_flow", AS_OF_DATE, batch_id)
     return _flattened(store.read())
 
@@ -354,12 +351,19 @@ def _flattened(docs: DataFrame) -> DataFrame:
 
 @query
 def metric_documents(spark, sf_dir):
-    """All documents of one batch. The clean pings are stored once and everything else is read from them."""
-    house = Warehouse(spark, scratch_dir(spark, "documents"))
-    house.append_clean(_clean(spark, sf_dir), AS_OF_DATE, 0)
-    house.refresh(AS_OF_DATE, names=("visits", "minutes"))
-    rt = house.clean_pings(AS_OF_DATE, fixtures.BATCH_HOUR)
-    state = house.snapshot(rt, AS_OF_DATE)
+    """All documents of one batch, which is the whole day. The clean pings are stored once and everything is read from them; the day's
+    visits are merged into one small table that the day metrics share."""
+    root = scratch_dir(spark, "documents")
+    _clean(spark, sf_dir).write.parquet(f"{root}/batch")
+    rt = spark.read.schema(CLEAN_PING).parquet(f"{root}/batch")
+    dw = clean.business_hours(rt)
+    together(
+        spark,
+        lambda: visits.visit_summary(dw).write.parquet(f"{root}/visits"),
+        lambda: floors.floor_minute_flow(dw).write.parquet(f"{root}/minutes"),
+    )
+    day, minutes = (spark.read.parquet(f"{root}/{name}") for name in ("visits", "minutes"))
+    state = documents.Snapshot(rt, day, minutes)
     docs = [documents.product_documents(bi_name, state, AS_OF) for bi_name in documents.PRODUCTS]
     return _flattened(reduce(DataFrame.unionByName, docs))
 
