@@ -42,8 +42,8 @@ def date_part(text: Column, part: str) -> Column:
 
 
 def epoch_seconds(ts: Column) -> Column:
-    """Whole seconds since 1970 of a timestamp."""
-    return F.unix_timestamp(ts).cast("int")
+    """Whole seconds since 1970 of a timestamp; null when they do not fit into an integer."""
+    return F.unix_timestamp(ts).try_cast("int")
 
 
 def date_keys(ts: Column) -> dict[str, Column]:

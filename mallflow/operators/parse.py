@@ -23,7 +23,7 @@ PART_COLUMNS = {
 
 
 def _readable() -> Column:
-    return F.col("ts").isNotNull() & F.col("posX").isNotNull() & F.col("posY").isNotNull()
+    return F.col("time_stamp").isNotNull() & F.col("posX").isNotNull() & F.col("posY").isNotNull()
 
 
 def _where(read: DataFrame, condition: Column) -> DataFrame:
@@ -32,27 +32,36 @@ def _where(read: DataFrame, condition: Column) -> DataFrame:
     return read.where((F.col("task") >= 0) & condition)
 
 
-def _read(lines: DataFrame) -> DataFrame:
+def read_lines(lines: DataFrame) -> DataFrame:
+    """The ``value`` column with what was read from it, for :func:`pings_of` and :func:`dead_letters_of`."""
     # Stacked projections: the split and the clock are each computed once and used by name further up.
     parts = F.split("value", ",")
     fields = lines.select("value", *[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(MESSAGE_FIELDS)])
-    return fields.select(
+    read = fields.select(
         "*",
         clock(F.col("date_time")).alias("ts"),
         cell(F.col("rawX")).alias("posX"),
         cell(F.col("rawY")).alias("posY"),
         F.spark_partition_id().alias("task"),
     )
+    return read.select("*", epoch_seconds(F.col("ts")).alias("time_stamp"))
+
+
+def pings_of(read: DataFrame) -> DataFrame:
+    parts = {column: PARTS[part](F.col("ts")) for column, part in PART_COLUMNS.items()}
+    return _where(read, _readable()).select(*[parts.get(c, F.col(c)).alias(c) for c in PING.names])
+
+
+def dead_letters_of(read: DataFrame) -> DataFrame:
+    return _where(read, ~_readable()).select("value")
 
 
 def parse_pings(lines: DataFrame) -> DataFrame:
     """Ping records from the ``value`` column; unreadable lines are left to :func:`dead_letters`."""
-    ts = F.col("ts")
-    parts = {column: PARTS[part](ts) for column, part in PART_COLUMNS.items()}
-    parts["time_stamp"] = epoch_seconds(ts)
-    return _where(_read(lines), _readable()).select(*[parts.get(c, F.col(c)).alias(c) for c in PING.names])
+    return pings_of(read_lines(lines))
 
 
 def dead_letters(lines: DataFrame) -> DataFrame:
-    """The lines that are no ping: too few fields, no such instant, or a coordinate that is no integer."""
-    return _where(_read(lines), ~_readable()).select("value")
+    """The lines that are no ping: too few fields, no such instant, one whose seconds no integer holds, or a coordinate that is no
+    integer."""
+    return dead_letters_of(read_lines(lines))

@@ -14,9 +14,10 @@ from pyspark.sql.streaming import StreamingQuery
 from mallflow.operators.clean import business_hours, clean_batch
 from mallflow.operators.flow import batch_counts
 from mallflow.operators.lookup import Dimensions
-from mallflow.plans.documents import PRODUCTS, product_documents
+from mallflow.operators.visits import visit_summary
+from mallflow.plans.documents import PRODUCTS, Snapshot, product_documents
 from mallflow.plans.warehouse import Warehouse
-from mallflow.session import together
+from mallflow.session import size_for, stored_bytes, together
 from mallflow.sources.tables import replace_partitions, scan, scan_day, stamp
 from mallflow.streaming.landing import land, messages_of
 
@@ -63,19 +64,21 @@ class MallJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         house = self.warehouse
-        with messages_of(batch) as lines:
-            if lines is None:
+        with messages_of(batch) as messages:
+            if messages is None:
                 self._skip(batch_id)
                 return
+            size_for(house.spark, messages.size)
             dims = self.dimensions()
             as_of, rebuild = self._open(batch_id, dims.version)
             p_dt = _date_key(as_of)
-            land(house, lines, p_dt, batch_id)
+            land(house, messages, p_dt, batch_id)
 
         raw = house.pings(p_dt, batch_id).drop("p_dt", "batch_id")
         rt = clean_batch(raw, dims).persist()
         try:
             if rebuild:
+                size_for(house.spark, stored_bytes(house.spark, f"{house.path('ods')}/p_dt={p_dt}"))
                 house.rewash(p_dt, dims)
                 house.refresh(p_dt)
             else:
@@ -124,7 +127,9 @@ class MallJob:
     def _report(self, raw: DataFrame, rt: DataFrame, p_dt: str, batch_id: int, as_of: str) -> None:
         """Refresh every metric on its own; a failing one is recorded and does not stop the others."""
         house = self.warehouse
-        state = house.snapshot(rt, p_dt)
+        # The day's visits are merged over the hours once for all day metrics.
+        day = visit_summary(house.visits(p_dt)).persist()
+        state = Snapshot(rt, day, house.minutes(p_dt))
 
         def count() -> str:
             row = batch_counts(raw, rt).first()
@@ -142,13 +147,16 @@ class MallJob:
             try:
                 return name, True, step()
             except Exception as error:  # noqa: BLE001 - recorded, not hidden
-                return name, False, str(error)[:2000]
+                return name, False, str(error)
 
         steps: dict[str, Callable[[], str | None]] = {"batch_counts": count}
         steps |= {bi_name: product(bi_name) for bi_name in self.products}
         if self.links:
             steps["brand_link"] = lambda: house.publish_links(p_dt)
-        outcomes = together(house.spark, *[partial(outcome, name, step) for name, step in steps.items()])
+        try:
+            outcomes = together(house.spark, *[partial(outcome, name, step) for name, step in steps.items()])
+        finally:
+            day.unpersist()
         rows = stamp(house.spark.createDataFrame(outcomes, _OUTCOME).coalesce(1), p_dt, batch_id)
         replace_partitions(rows, house.path("status"), "p_dt", "batch_id", sized=False)
 

@@ -8,32 +8,45 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallflow.operators.parse import dead_letters, parse_pings
+from mallflow.operators.parse import dead_letters_of, pings_of, read_lines
 from mallflow.plans.warehouse import Warehouse
 from mallflow.session import together
 
 _FILE_BYTES = 128 * 1024 * 1024
 
 
+@dataclass(frozen=True)
+class Messages:
+    """The parsed lines of a batch, held in memory, and their size in bytes."""
+
+    read: DataFrame
+    size: int
+
+    def in_files(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of the batch in as many tasks as there are files to write; the parsing is done by then."""
+        return rows.coalesce(max(1, -(-self.size // _FILE_BYTES)))
+
+
 @contextmanager
-def messages_of(batch: DataFrame) -> Iterator[DataFrame | None]:
-    """The batch's lines, read once from the source and in tasks of one file's size each; None when there are none."""
-    lines = batch.select("value").persist()
+def messages_of(batch: DataFrame) -> Iterator[Messages | None]:
+    """The batch's lines, read and parsed once, in the source's own partitions; None when there are none."""
+    read = read_lines(batch.select("value")).persist()
     try:
-        size = lines.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")).first()
-        yield lines.coalesce(-(-(size["bytes"] or 1) // _FILE_BYTES)) if size["n"] else None
+        size = read.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")).first()
+        yield Messages(read, size["bytes"] or 0) if size["n"] else None
     finally:
-        lines.unpersist()
+        read.unpersist()
 
 
-def land(house: Warehouse, lines: DataFrame, p_dt: str, batch_id: int) -> None:
+def land(house: Warehouse, messages: Messages, p_dt: str, batch_id: int) -> None:
     """Store the readable lines as pings and the others as dead letters."""
     together(
         house.spark,
-        lambda: house.append_pings(parse_pings(lines), p_dt, batch_id),
-        lambda: house.append_dead_letters(dead_letters(lines), p_dt, batch_id),
+        lambda: house.append_pings(messages.in_files(pings_of(messages.read)), p_dt, batch_id),
+        lambda: house.append_dead_letters(messages.in_files(dead_letters_of(messages.read)), p_dt, batch_id),
     )

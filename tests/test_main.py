@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 from mallflow.__main__ import main
 from mallflow.plans.warehouse import Warehouse
 from mallflow.schema import BLACKLIST, SHOP
-from rows import as_sets, message
+from mallflow.sources.tables import overwrite_day
+from rows import as_sets, clean, clean_pings, message
 
 
 def test_stream_then_backfill(spark, tmp_path):
@@ -38,7 +39,22 @@ def test_kafka_needs_a_topic(spark):
         main(["stream", "--root", "r", "--shops", "s", "--blacklist", "b", "--kafka", "h:1"], spark)
 
 
-@pytest.mark.parametrize("days", [[], ["20180403", "--all"]])
+def test_options_are_names_and_values(spark):
+    with pytest.raises(SystemExit):
+        main(["stream", "--root", "r", "--shops", "s", "--blacklist", "b", "--kafka", "h:1", "--topic", "t", "--option", "x"], spark)
+
+
+def test_backfill_is_sized_by_its_input(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr("mallflow.__main__.size_for", lambda _, size: seen.append(size))
+    day = clean_pings(spark, clean(name="A"), clean("2018-04-03 11:00:00", name="B"))
+    overwrite_day(day, str(tmp_path / "dw"), "20180403")
+    main(["backfill", "--root", str(tmp_path), "20180403"], spark)
+    main(["backfill", "--root", str(tmp_path), "--all"], spark)
+    assert seen[0] > 0 and seen[1] >= seen[0]
+
+
+@pytest.mark.parametrize("days", [[], ["20180403", "--all"], ["2018-04-03"], ["20180230"], ["yesterday"]])
 def test_backfill_needs_days_or_all(spark, days):
     with pytest.raises(SystemExit):
         main(["backfill", "--root", "r", *days], spark)

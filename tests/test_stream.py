@@ -3,13 +3,14 @@ import pytest
 from mallflow.operators.clean import clean_batch, wash_day
 from mallflow.operators.flow import minute_flow
 from mallflow.operators.links import consecutive_links
-from mallflow.operators.parse import parse_pings
+from mallflow.operators.parse import parse_pings, pings_of
 from mallflow.plans import documents
 from mallflow.plans.warehouse import Warehouse
 from mallflow.sources.messages import file_messages
 from mallflow.streaming import flow as flow_stream
 from mallflow.streaming import job as job_module
 from mallflow.streaming.job import MallJob
+from mallflow.streaming.landing import messages_of
 from pyspark.sql import functions as F
 from rows import as_sets, dims, lines, message
 
@@ -178,6 +179,26 @@ def test_batch_of_broken_lines_only(spark, tmp_path):
     assert job.warehouse.metrics.read_day(DAY, "rt_max_shop", "rt_floor_flow", "rt_catalog").count() == 0
 
 
+@pytest.mark.parametrize("clock", ["2040-01-01 00:00:00", "0001-01-01 00:00:00"])
+def test_an_instant_that_cannot_be_stored_is_a_dead_letter(spark, tmp_path, clock):
+    inbox, job = tmp_path / "inbox", mall(spark, tmp_path)
+    odd = message(clock)
+    put(inbox, "a", [message(), odd, message("2018-04-03 11:00:00", "m2")])
+    run(job, spark, inbox)
+    for _ in range(2):
+        assert job.warehouse.pings(DAY).count() == 2
+        assert [r["value"] for r in job.warehouse.dead_letters(DAY).collect()] == [odd]
+        job.process(lines(spark, message(), odd, message("2018-04-03 11:00:00", "m2")), 0)
+
+
+def test_lines_are_parsed_in_the_source_partitions(spark):
+    many = spark.range(160).selectExpr(f"'{message()}' as value").repartition(16)
+    with messages_of(many) as messages:
+        assert messages.read.rdd.getNumPartitions() == 16
+        assert pings_of(messages.read).select(F.spark_partition_id().alias("p")).distinct().count() > 1
+        assert messages.in_files(pings_of(messages.read)).rdd.getNumPartitions() == 1
+
+
 def test_batch_outside_business_hours(spark, tmp_path):
     job = mall(spark, tmp_path)
     job.process(lines(spark, message("2018-04-03 08:00:00")), 0)
