@@ -1,6 +1,6 @@
 """Shop-to-shop moves of each device.
 
-A device's path is its named sightings in order of (date_time, name). One device may hold a large share of a day's pings, so a
+A device's path is its named sightings in order of (time_stamp, name). One device may hold a large share of a day's pings, so a
 path is never gathered in one task. Repeats of a sighting within one second change no move and are folded first, on the map
 side; the path is then cut into clock hours and walked inside each hour. The hours are tied together through their edges: the
 first and last sighting of a device in an hour, at most two rows however many pings there were.
@@ -11,23 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Length of the ``yyyy-MM-dd HH`` prefix. A prefix keeps text order, so every part lies wholly before the next.
-_HOUR_PREFIX = 13
-
 # Longest array used to repeat a row.
 _COPIES = 10_000
 
 
 def _part() -> Column:
-    return F.substring("date_time", 1, _HOUR_PREFIX)
+    # Clock texts need not be padded, so the hour is put together from the clock's parts.
+    return F.format_string("%04d-%02d-%02d %02d", "dt_year", "dt_month", "dt_day", "dt_hour")
 
 
 def _sightings(dw: DataFrame) -> DataFrame:
-    return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select("p_dt", "mac", "date_time", "name")
+    named = dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull())
+    return named.select("p_dt", _part().alias("part"), "mac", "time_stamp", "date_time", "name")
 
 
 def _differ(a: str, b: str) -> Column:
-    return F.lower(a) != F.lower(b)
+    # Some letters have two small or two capital forms, so both ways must tell the names apart.
+    return (F.upper(a) != F.upper(b)) & (F.lower(a) != F.lower(b))
 
 
 def _links(steps: DataFrame) -> DataFrame:
@@ -38,12 +38,13 @@ def _links(steps: DataFrame) -> DataFrame:
 
 def hour_steps(dw: DataFrame) -> DataFrame:
     """Every sighting with the shop before it in its hour, and whether it opens or closes the device's hour."""
-    folded = _sightings(dw).distinct().withColumn("part", _part())
-    path = Window.partitionBy("p_dt", "part", "mac").orderBy("date_time", "name")
+    folded = _sightings(dw).distinct()
+    path = Window.partitionBy("p_dt", "part", "mac").orderBy("time_stamp", "name")
     return folded.select(
         "p_dt",
         "part",
         "mac",
+        "time_stamp",
         "date_time",
         F.lag("name").over(path).alias("from_name"),
         F.col("name").alias("to_name"),
@@ -64,7 +65,7 @@ def hour_links(steps: DataFrame) -> DataFrame:
 
 def edge_links(steps: DataFrame) -> DataFrame:
     """Moves from the last shop of one hour to the first of the device's next one."""
-    path = Window.partitionBy("p_dt", "mac").orderBy("date_time", "to_name")
+    path = Window.partitionBy("p_dt", "mac").orderBy("time_stamp", "to_name")
     edges = steps.where(F.col("opens") | F.col("closes"))
     return _links(edges.withColumn("from_name", F.lag("to_name").over(path)).where("opens"))
 
@@ -81,9 +82,9 @@ def anchor_links(dw: DataFrame) -> DataFrame:
     Every sighting counts here, also repeats within a second: they are folded with their number, joined to the device's first
     shop hour by hour, and unfolded at the end.
     """
-    folded = _sightings(dw).groupBy("p_dt", "mac", "date_time", "name").agg(F.count(F.lit(1)).alias("n"))
-    folded = folded.withColumn("part", _part())
-    heads = folded.groupBy("p_dt", "mac", "part").agg(F.min(F.struct("date_time", "name")).alias("head"))
+    sightings = _sightings(dw)
+    folded = sightings.groupBy(*sightings.columns).agg(F.count(F.lit(1)).alias("n"))
+    heads = folded.groupBy("p_dt", "mac", "part").agg(F.min(F.struct("time_stamp", "name")).alias("head"))
     first = F.min("head").over(Window.partitionBy("p_dt", "mac"))["name"]
     firsts = heads.select("p_dt", "mac", "part", first.alias("from_name"))
     moves = folded.withColumnRenamed("name", "to_name").join(firsts, ["p_dt", "mac", "part"])

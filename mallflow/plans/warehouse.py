@@ -2,8 +2,9 @@
 
 The clean pings are stored by processing date, event hour and batch. Visits, floor minutes and path steps are derived from
 them per event hour, so a batch makes only the hours it touches be worked out again, from the stored pings: running a batch
-twice gives the same tables, and the pings read per batch do not grow with the day. The day metrics read the visits and floor
-minutes of the whole day, and the moves its path steps, all of them far fewer rows than pings.
+twice gives the same tables. The day metrics read the visits and floor minutes of the whole day, and the moves its path steps: fewer
+rows than pings where devices stay about, nearly as many where every ping is in another place. The moves are published from all steps
+of the day, so that part of a batch's work grows with the day; it can be left to the backfill.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ MINUTES = T.StructType(
 STEPS = T.StructType(
     [
         T.StructField("mac", T.StringType()),
+        T.StructField("time_stamp", T.IntegerType()),
         T.StructField("date_time", T.StringType()),
         T.StructField("from_name", T.StringType()),
         T.StructField("to_name", T.StringType()),

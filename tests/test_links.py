@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from mallflow.operators.links import (
     anchor_links,
     consecutive_links,
@@ -9,7 +11,8 @@ from mallflow.operators.links import (
     link_matrix,
     needed_steps,
 )
-from rows import as_sets, clean, clean_pings
+from mallflow.operators.parse import parse_pings
+from rows import as_sets, clean, clean_pings, lines, message
 
 COLUMNS = ("p_dt", "mac", "date_time", "from_name", "to_name", "times")
 
@@ -23,12 +26,16 @@ def paths(rows):
     return {key: sorted(path) for key, path in out.items()}
 
 
+def folded(name):
+    return name.upper().lower()
+
+
 def brute_consecutive(rows):
     return sorted(
         (p_dt, mac, b[0], a[1], b[1], 1)
         for (p_dt, mac), path in paths(rows).items()
         for a, b in zip(path, path[1:])
-        if a[1].lower() != b[1].lower()
+        if folded(a[1]) != folded(b[1])
     )
 
 
@@ -37,12 +44,15 @@ def brute_anchor(rows):
         (p_dt, mac, when, path[0][1], name, 1)
         for (p_dt, mac), path in paths(rows).items()
         for when, name in path
-        if name.lower() != path[0][1].lower()
+        if folded(name) != folded(path[0][1])
     )
 
 
 def frame(spark, rows):
-    return spark.createDataFrame(rows, "p_dt string, mac string, date_time string, name string")
+    ts = F.to_timestamp("date_time")
+    parts = {"dt_year": F.year(ts), "dt_month": F.month(ts), "dt_day": F.dayofmonth(ts), "dt_hour": F.hour(ts)}
+    sightings = spark.createDataFrame(rows, "p_dt string, mac string, date_time string, name string")
+    return sightings.withColumns({"time_stamp": F.unix_timestamp(ts).cast("int"), **parts})
 
 
 def at(second):
@@ -57,6 +67,23 @@ def test_names_that_differ_by_case_make_no_move(spark):
     assert consecutive_links(walk(spark, "Zara", "ZARA")).count() == 0
 
 
+def test_case_is_folded_in_full(spark):
+    assert consecutive_links(walk(spark, "ΟΔΟΣ", "οδοσ", "οδος")).count() == 0
+    assert anchor_links(walk(spark, "ΟΔΟΣ", "x", "οδος")).count() == 1
+
+
+def test_paths_follow_time_not_text(spark):
+    """Clock texts without leading zeros sort in another order than the seconds they stand for."""
+    seconds = {"A": "2018-04-03 9:50:00", "B": "2018-04-03 10:00:00", "C": "2018-04-03 10:5:00", "D": "2018-04-03 10:15:00"}
+    texts = [message(clock, "a", x=14 * i) for i, clock in enumerate(seconds.values())]
+    day = parse_pings(lines(spark, *texts)).withColumns(
+        {"name": F.element_at(F.array(*map(F.lit, seconds)), F.col("posX") + 1), "p_dt": F.lit("20180403")}
+    )
+    moves = [("A", "B"), ("B", "C"), ("C", "D")]
+    assert as_sets(consecutive_links(day), "from_name", "to_name") == moves
+    assert as_sets(anchor_links(day), "from_name", "to_name") == [("A", "B"), ("A", "C"), ("A", "D")]
+
+
 def test_consecutive_and_anchor_rules(spark):
     day = walk(spark, "A", "A", "B", None, "A")
     assert as_sets(consecutive_links(day), "from_name", "to_name") == [("A", "B"), ("B", "A")]
