@@ -25,13 +25,14 @@ class Dimensions:
 
 def _measure(table: DataFrame, label: str) -> DataFrame:
     width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns), F.lit(_ROW_OVERHEAD))
-    # Row hashes are cut to 32 bits so that their sum cannot overflow.
-    digest = F.xxhash64(*table.columns).bitwiseAND(F.lit(0xFFFFFFFF))
+    # The hash passes over nulls, so each value goes in with a mark of whether it is one.
+    marked = [c for name in table.columns for c in (F.col(name).isNull(), F.col(name))]
+    digest = F.xxhash64(*marked).cast("decimal(38,0)")
     return table.agg(
         F.lit(label).alias("label"),
         F.count(F.lit(1)).alias("n"),
         F.coalesce(F.sum(width), F.lit(0)).alias("size"),
-        F.coalesce(F.sum(digest), F.lit(0)).alias("digest"),
+        F.coalesce(F.sum(digest), F.lit(0)).cast("string").alias("digest"),
     )
 
 

@@ -104,3 +104,10 @@ def test_version_follows_the_rows(spark):
     assert one.version != dims(spark, SHOPS, ["b"]).version
     assert one.version != dims(spark, SHOPS[:2], ["a"]).version
     assert load_dimensions(one.shops.limit(0), one.blacklist.limit(0)).version.startswith("blacklist:0")
+
+
+def test_version_tells_a_value_in_one_column_from_the_next(spark):
+    """A null next to a value must not hash like the value next to a null."""
+    one = dims(spark, [(0, 0, "F1", "x", None)]).version
+    other = dims(spark, [(0, 0, "F1", None, "x")]).version
+    assert one != other

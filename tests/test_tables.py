@@ -131,6 +131,19 @@ def test_backfill_rebuilds_only_the_asked_days(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("days", [["20180403"], None])
+def test_backfill_empties_a_day_that_lost_its_moves(spark, tmp_path, days):
+    dw_root, links_root = str(tmp_path / "dw"), str(tmp_path / "links")
+    for day in ("03", "04"):
+        rows = [clean(f"2018-04-{day} 1{i}:00:00", "a", n) for i, n in enumerate("AB")]
+        tables.overwrite_day(clean_pings(spark, *rows), dw_root, f"201804{day}")
+    backfill_links(spark, dw_root, links_root)
+    assert tables.scan(spark, links_root, LINKS).count() == 2
+    tables.overwrite_day(clean_pings(spark, clean(name="A")), dw_root, "20180403")
+    backfill_links(spark, dw_root, links_root, days)
+    assert as_sets(tables.scan(spark, links_root, LINKS), "p_dt", "from_name", "to_name") == [("20180404", "A", "B")]
+
+
 def test_clean_pings_keep_their_schema(spark, tmp_path):
     root = str(tmp_path / "dw")
     tables.overwrite_day(clean_pings(spark, clean(name=None, type=None)), root, "20180403")
@@ -188,13 +201,14 @@ def test_input_size_sets_the_shuffle_width(spark, tmp_path):
     assert spark.conf.get(key) == "8"
     size_for(spark, 10**12)
     assert spark.conf.get(key) == "7451"
-    split = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        size_for(spark, 10**14)
-        assert spark.conf.get(key) == "20000"
-        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000"
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    size_for(spark, 10**14)
+    assert spark.conf.get(key) == "20000"
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "1000000000"
+    size_for(spark, 10**14, max_shuffle_partitions=10**6, max_scan_tasks=10**7)
+    assert spark.conf.get(key) == "745059"
+    size_for(spark, 1000)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") in ("134217728", "134217728b")
+    assert stored_bytes(spark, str(tmp_path / "none")) == 0
 
 
 def test_together_keeps_order_and_raises(spark):
