@@ -39,9 +39,10 @@ NOT_UPDATED = (
 )
 TRACKING = "^(utm_[a-z]+|ref|fbclid|gclid|sessionid)(=|$)"
 
+_HEADERS = "array<struct<name:string,value:string>>"
 RECORD = (
     "record_id bigint, url string, ts bigint, kind string, etag string, modified string, digest string, "
-    "headers array<struct<name:string,value:string>>"
+    f"headers {_HEADERS}"
 )
 
 
@@ -58,20 +59,20 @@ def canonical(url: Column) -> Column:
 
 def _named(headers: Column) -> Column:
     """Entries with lower-case names, the last of equal names only, in order of name."""
-    lower = F.transform(headers, lambda h: F.struct(F.lower(h["name"]).alias("name"), h["value"].alias("value")))
+    named = F.filter(headers, lambda h: h["name"].isNotNull())
+    lower = F.transform(named, lambda h: F.struct(F.lower(h["name"]).alias("name"), h["value"].alias("value")))
     last = F.filter(
         lower,
-        lambda h, at: h["name"].isNotNull()
-        & ~F.exists(F.slice(lower, at + 2, F.greatest(F.size(lower) - at - 1, F.lit(0))), lambda x: x["name"] == h["name"]),
+        lambda h, at: ~F.exists(F.slice(lower, at + 2, F.greatest(F.size(lower) - at - 1, F.lit(0))), lambda x: x["name"] == h["name"]),
     )
     return F.array_sort(last)
 
 
 def merged(base: Column, update: Column) -> Column:
     """The stored headers, with those of the update that may change them."""
-    new = F.filter(_named(update), lambda h: ~h["name"].isin(*NOT_UPDATED))
+    new = F.coalesce(F.filter(_named(update), lambda h: ~h["name"].isin(*NOT_UPDATED)), F.array().cast(_HEADERS))
     old = F.filter(_named(base), lambda h: ~F.exists(new, lambda x: x["name"] == h["name"]))
-    return F.array_sort(F.concat(old, new))
+    return F.array_sort(F.concat(F.coalesce(old, F.array().cast(_HEADERS)), new))
 
 
 def _agrees(a: str, b: str) -> Column:
