@@ -30,19 +30,21 @@ from pyspark.sql import types as T
 
 from mallflow.llm.frames import add_in_batches, fresh, in_batches, stored
 from mallflow.llm.quality import text_counts
-from mallflow.llm.words import PLAIN, Chunk, chunks
+from mallflow.llm.words import FOLDED, Chunk, chunks
 
 DOMAINS = ("good", "low", "toxic")
-TARGETS = {"good": 0.97, "low": 0.025, "toxic": 0.005}
+TARGETS = {"good": 0.92, "low": 0.06, "toxic": 0.02}
 KEPT = "good"
 SAMPLE = 8_000
-_BITS = 15
+_BITS = 18
 BUCKETS = 1 << _BITS
 _SHARES = 6
-_EPOCHS, _PENALTY = 120, 2e-4
-ROUNDS, CLOSE = 40, 1e-3
+_EPOCHS, _PENALTY = 120, 1e-4
+# Least G statistic of a mark: how far its share of the domains must be from chance.
+_TELLING = 20.0
+ROUNDS, CLOSE = 40, 0.02
 # Errors are taken relative to the target, or to this share of the total where the target is less.
-_LEAST_TARGET = 0.005
+_LEAST_TARGET = 0.05
 
 MEMBERSHIP = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType()))])
 
@@ -94,7 +96,7 @@ def _sample(docs: DataFrame, labels: DataFrame, size: int) -> pa.Table:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(1), PLAIN):
+            for chunk in chunks(batch.column(1), FOLDED):
                 marks, number, shares = _features(chunk)
                 cuts = np.concatenate([[0], np.cumsum(number)])
                 lists = [marks[a:b].astype(np.int32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
@@ -122,12 +124,10 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Classifier:
     marks, number = np.concatenate(lists).astype(np.int64), np.array([len(x) for x in lists])
     row = np.repeat(np.arange(n), number)
     truth = np.eye(k)[domain]
-    # Marks that one document alone has say nothing about others.
-    common = np.bincount(marks, minlength=BUCKETS) > 1
-    used = common[marks]
+    used = _telling(marks, domain[row], np.bincount(domain, minlength=k))[marks]
     marks, row = marks[used], row[used]
     # Steps sized to how often a mark occurs, so that rare but telling words are learnt as fast as common ones.
-    rate = 1.0 / (np.sqrt(np.bincount(marks, minlength=BUCKETS) / n) + 1e-2)[:, None] / 12
+    rate = 1.0 / (np.sqrt(np.bincount(marks, minlength=BUCKETS) / n) + 1e-2)[:, None] / 6
     speed, speed_shares = np.zeros_like(weights), np.zeros_like(of_shares)
     for _ in range(_EPOCHS):
         scores = shares @ of_shares
@@ -142,23 +142,35 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Classifier:
     return Classifier(weights.astype(np.float32), of_shares)
 
 
+def _telling(marks: np.ndarray, domain: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Which marks occur in the domains in other shares than chance would have it, by the G test."""
+    met = np.stack([np.bincount(marks[domain == d], minlength=BUCKETS) for d in range(len(sizes))], 1).astype(float)
+    n, some = sizes.sum(), met.sum(axis=1, keepdims=True)
+
+    def part(seen: np.ndarray, expected: np.ndarray) -> np.ndarray:
+        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1) / np.maximum(expected, 1e-9)), 0.0)
+
+    return 2 * (part(met, some * sizes / n) + part(sizes - met, (n - some) * sizes / n)).sum(axis=1) > _TELLING
+
+
 # --- rates ---------------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)
 class Descent:
-    """The rounds so far: scaled errors by domain, step length, and the most a rate may be."""
+    """The rounds so far: errors of the domains, momentum, step length, and the most a rate may be."""
 
     errors: tuple[np.ndarray, ...]
+    carried: tuple[float, ...]
     step: float
     most: float
 
     def rates(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rates after all rounds, and the point the next round looks at."""
+        """Rates after all rounds, and the point the next round looks at: a round carries on by some of its move."""
         before = ahead = np.minimum(np.ones(len(p)), self.most)
-        for turn, error in enumerate(self.errors):
+        for error, carry in zip(self.errors, self.carried, strict=True):
             now = np.clip(ahead - self.step * (p @ error), 0.0, self.most)
-            ahead = np.clip(now + turn / (turn + 3) * (now - before), 0.0, self.most)
+            ahead = np.clip(now + carry * (now - before), 0.0, self.most)
             before = now
         return before, ahead
 
@@ -198,23 +210,26 @@ def descend(members: DataFrame, targets: dict[str, float], total: float | None,
     ``members`` has ``n_words`` and ``p``.
     """
     most = float("inf") if most is None else most
-    here = _sums(members, Descent((), 0.0, most))[0]
     share = np.array([targets[d] for d in DOMAINS], float)
     share /= share.sum()
+    scale = np.maximum(share, _LEAST_TARGET)
+    here = _sums(members, Descent((), (), 0.0, most))[0]
     if total is None:
         total = here[DOMAINS.index(KEPT)] / share[DOMAINS.index(KEPT)]
     if not total:
-        return Descent((), 0.0, most)
-    scale = np.maximum(share, _LEAST_TARGET)
-    bend = _curvature(members) / total / np.sqrt(np.outer(scale, scale)) / np.sqrt(np.outer(scale, scale))
-    descent = Descent((), 1.0 / max(np.linalg.eigvalsh(bend)[-1], 1e-9), most)
-    rates, ahead = here, here
+        return Descent((), (), 0.0, most)
+    bend = _curvature(members) / total / np.outer(scale, scale)
+    descent = Descent((), (), 1.0 / max(np.linalg.eigvalsh(bend)[-1], 1e-9), most)
+    rates, ahead, run, off = here, here, 0, np.inf
     for _ in range(ROUNDS):
         if np.abs((rates / total - share) / scale).max() < CLOSE:
             break
         error = (ahead / total - share) / scale**2
-        descent = Descent((*descent.errors, error), descent.step, most)
+        descent = Descent((*descent.errors, error), (*descent.carried, run / (run + 3)), descent.step, most)
         rates, ahead = _sums(members, descent)
+        before, off = off, np.square((rates / total - share) / scale).sum()
+        # Momentum that leads uphill is dropped.
+        run = run + 1 if off < before else 0
     return descent
 
 
@@ -225,7 +240,7 @@ def memberships(docs: DataFrame, classifier: Classifier, into: str, drop: tuple[
 
     def make(batch: pa.RecordBatch) -> pa.Array:
         words, found = [], []
-        for chunk in chunks(batch.column(at), PLAIN):
+        for chunk in chunks(batch.column(at), FOLDED):
             words.append(chunk.counts)
             found.append(shared.value.probabilities(*_features(chunk)))
         p = np.concatenate(found)
