@@ -1,0 +1,57 @@
+"""Renderings put together from their pieces against plain rendering."""
+
+from collections import defaultdict
+
+import pytest
+
+from mallflow.llm import chat
+
+_TURNS = [
+    (1, 0, "system", "be kind"),
+    (1, 1, "ann", "hello"),
+    (1, 2, "bob", "hi 漢字"),
+    (1, 3, "eve", None),
+    (1, 600, "ann", ""),
+    (1, 601, "ann", "bye"),
+    (2, 0, "system", "alone"),
+    (3, None, "ann", "first"),
+    (3, 5, None, "who?"),
+    (3, 5, None, "who?"),
+    (3, 5, "ann", "tie"),
+    (None, 1, "x", "no id"),
+]
+
+
+def _rendering(turns, person):
+    text, mask = "", []
+    for _, _, role, words in sorted(turns, key=lambda t: (t[1] is not None, t[1] or 0, t[2] or "unknown", t[3] or "")):
+        speaker, words = role or "unknown", words or ""
+        shown = "system" if speaker == "system" else "assistant" if speaker == person else f"user name={speaker}"
+        text += f"<|im_start|>{shown}\n"
+        if speaker == person:
+            mask.append((len(text), len(text) + len(words)))
+        text += words + "<|im_end|>\n"
+    return text, mask
+
+
+@pytest.mark.parametrize("span", [1, 4, chat.SPAN])
+def test_renderings(spark, span):
+    turns = spark.createDataFrame([(*t, "clash", 1) for t in _TURNS], "conv_id bigint, turn bigint, role string, text string, speaker string, size int")
+    pieces = defaultdict(list)
+    for r in chat.rotate(turns, span).collect():
+        pieces[r["conv_id"], r["participant"]].append(r)
+    want = defaultdict(set)
+    for t in _TURNS:
+        if (t[2] or "unknown") != "system":
+            want[t[0]].add(t[2] or "unknown")
+    assert set(pieces) == {(c, p) for c, people in want.items() for p in people}
+    for (conv, person), rows in pieces.items():
+        rows.sort(key=lambda r: r["start"])
+        text, mask = _rendering([t for t in _TURNS if t[0] == conv], person)
+        assert "".join(r["segment"] for r in rows) == text
+        assert all(text[r["start"] : r["stop"]] == r["segment"] for r in rows)
+        assert [(r["mask_start"], r["mask_stop"]) for r in rows if r["trained"]] == mask
+
+
+def test_no_turns(spark):
+    assert chat.rotate(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")).collect() == []

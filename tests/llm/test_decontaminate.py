@@ -1,0 +1,110 @@
+"""The positional index against plain search."""
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+import cases
+from mallflow.llm import decontaminate
+from mallflow.llm.queries import registry
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def plain(docs: list[tuple], items: list[tuple], size: int = 13) -> list[tuple]:
+    windows: dict[tuple, set] = {}
+    for number, (_, text) in enumerate(items):
+        found = cases.folded_words(text)
+        for k in range(max(1, len(found) - size + 1) if found else 0):
+            windows.setdefault(tuple(found[k : k + size]), set()).add(number)
+    out = []
+    for doc, text in docs:
+        found, hit, met = cases.folded_words(text), set(), set()
+        for n in {len(w) for w in windows}:
+            for k in range(len(found) - n + 1):
+                if (holders := windows.get(tuple(found[k : k + n]))) is not None:
+                    hit |= set(range(k, k + n))
+                    met |= holders
+        ids = sorted(str(items[i][0]) for i in met if items[i][0] is not None)
+        sha = hashlib.sha256(",".join(ids).encode()).hexdigest()
+        out.append((doc, len(found), len(hit), len(met), sha, len(hit) > 0 and 20 * len(hit) >= len(found)))
+    return out
+
+
+def _rows(frame):
+    columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
+    return sorted((tuple(r[c] for c in columns) for r in frame.collect()), key=str)
+
+
+def test_query(spark):
+    docs, items = (spark.read.parquet(f"{SF_DIR}/{t}.parquet").collect() for t in ("documents", "benchmark"))
+    want = plain([(r["doc_id"], r["text"]) for r in docs], [(r["item_id"], r["text"]) for r in items])
+    assert _rows(registry()["op6_positional_index"](spark, SF_DIR)) == sorted(want, key=str)
+    assert any(row[-1] for row in want)
+
+
+@pytest.fixture
+def items(spark):
+    base = cases.prose(1, 120).split()
+    rows = [
+        (1, " ".join(base[10:40])),
+        (1, " ".join(base[10:40])),
+        (2, "One, two THREE"),
+        (3, ""),
+        (4, None),
+        (5, "?!"),
+        (None, "漢字"),
+        (6, " ".join(base[:20]).upper()),
+        (7, "word"),
+        (8, "not there at all"),
+        (10, " ".join(["word"] * 13)),
+    ]
+    return rows, spark.createDataFrame([(*r, "x") for r in rows], "item_id bigint, text string, doc_id string")
+
+
+@pytest.mark.parametrize("slice_words", [decontaminate.SLICE_WORDS, 20])
+def test_awkward_documents(spark, items, slice_words):
+    rows, table = items
+    docs = cases.documents(spark)
+    found = decontaminate.matches(docs, table, slice_words=slice_words)
+    want = plain([(r[0], r[1]) for r in cases.rows()], rows)
+    assert _rows(decontaminate.verdicts(found)) == sorted(want, key=str)
+
+
+def test_decontaminate_keeps_clean_rows(spark, items):
+    rows, table = items
+    docs = cases.documents(spark)
+    kept = decontaminate.decontaminate(docs, table)
+    assert kept.columns == docs.columns
+    clean = [r[0] for r in plain([(r[0], r[1]) for r in cases.rows()], rows) if not r[-1]]
+    assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted(clean, key=str)
+
+
+def test_no_rows(spark, items):
+    _, table = items
+    none = cases.no_documents(spark)
+    assert decontaminate.matches(none, table).collect() == []
+    assert decontaminate.decontaminate(none, table).collect() == []
+    found = decontaminate.verdicts(decontaminate.matches(cases.documents(spark), table.where("false")))
+    assert found.where("n_hit > 0 or n_items > 0 or contaminated").count() == 0
+    assert found.count() == len(cases.rows())
+
+
+def test_proximity(spark):
+    item = "red green blue"
+    texts = ["green then red and a blue one", "red " + "x " * 30 + "green blue", "red green blue", "red red blue"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    table = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    near = {r["doc_id"]: r["near"] for r in decontaminate.matches(docs, table, slop=6).collect()}
+    assert near == {0: ["1"], 1: [], 2: ["1"], 3: []}
+    phrase = {r["doc_id"]: sorted(r["hit"]) for r in decontaminate.matches(docs, table, slop=None).collect()}
+    assert phrase == {0: [], 1: [], 2: [0, 1, 2], 3: []}
+
+
+def test_rarest_term_first(spark):
+    """The order of the terms follows the corpus, and changes nothing in what is found."""
+    docs = spark.createDataFrame([(i, "the the the cat the") for i in range(50)] + [(99, "a rare cat")], "doc_id bigint, text string")
+    table = spark.createDataFrame([(1, "the cat"), (2, "rare cat")], "item_id bigint, text string")
+    found = decontaminate.matches(docs, table).groupBy("items").agg(F.count("*").alias("n")).collect()
+    assert {tuple(r["items"]): r["n"] for r in found} == {("1",): 50, ("2",): 1}

@@ -1,0 +1,118 @@
+"""Licence notices and their inheritance against a plain version."""
+
+import math
+import re
+from collections import Counter
+
+import cases
+from mallflow.llm import licenses
+from mallflow.llm.queries import registry
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def _words(text):
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+def plain_notices(texts):
+    """Best (cosine, line, name) of every text."""
+    docs = [set(_words(t or "")) for t in texts]
+    known = {w for _, notice in licenses.TEMPLATES for w in _words(notice)}
+    rare = math.log(1 + len(texts)) + 1
+    idf = {w: math.log((1 + len(texts)) / (1 + sum(w in d for d in docs))) + 1 for w in known}
+
+    def vector(text):
+        return {w: n * idf.get(w, rare) for w, n in Counter(_words(text)).items()}
+
+    def cosine(a, b):
+        norm = math.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values()))
+        return round(sum(x * b.get(w, 0) for w, x in a.items()) / norm, 9) if norm else 0
+
+    out = []
+    for text in texts:
+        best = None
+        for at, line in enumerate((text or "").split("\n")):
+            for name, notice in licenses.TEMPLATES:
+                score = cosine(vector(notice), vector(line))
+                if score >= licenses.THRESHOLD and (best is None or (-score, at, name) < (-best[0], best[1], best[2])):
+                    best = (score, at, name)
+        out.append(best)
+    return out
+
+
+def test_query_notices(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
+    want = dict(zip((r["doc_id"] for r in docs), plain_notices([r["text"] for r in docs]), strict=True))
+    rows = registry()["op5_licences"](spark, SF_DIR).collect()
+    assert len(rows) == len(docs)
+    for row in rows:
+        best = want[row["doc_id"]]
+        assert (row["own_licence"], row["line"]) == ((best[2], best[1]) if best else (None, None))
+        assert best is None or math.isclose(row["score"], best[0], abs_tol=1e-8)
+    assert any(want.values())
+
+
+def _scan(spark, files):
+    docs = spark.createDataFrame(files, "path string, text string")
+    return {(r["path"], r["licence"], r["inherited"]["from"] if r["inherited"] else None) for r in licenses.scan_licences(docs).collect()}
+
+
+def test_nearest_directory(spark):
+    mit, apache = "Released under the MIT License.", "Licensed under the Apache License, Version 2.0."
+    files = [
+        ("a/LICENSE", "x\n" + mit),
+        ("a/b/c/code.py", "none"),
+        ("a/b/LICENSE.txt", apache),
+        ("a/b/c/d/e.py", ""),
+        ("a/other.py", None),
+        ("a/b/own.py", mit),
+        ("ab/c.py", "none"),
+        ("z.py", "none"),
+        ("q/LICENSE", "no licence words"),
+        ("q/x.py", "none"),
+        (None, mit),
+        (None, None),
+        ("a//b/w.py", "none"),
+    ]
+    assert _scan(spark, files) == {
+        ("a/LICENSE", "MIT", None),
+        ("a/b/c/code.py", "Apache-2.0", "a/b"),
+        ("a/b/LICENSE.txt", "Apache-2.0", None),
+        ("a/b/c/d/e.py", "Apache-2.0", "a/b"),
+        ("a/other.py", "MIT", "a"),
+        ("a/b/own.py", "MIT", None),
+        ("ab/c.py", None, None),
+        ("z.py", None, None),
+        ("q/LICENSE", None, None),
+        ("q/x.py", None, None),
+        (None, "MIT", None),
+        (None, None, None),
+        ("a//b/w.py", "Apache-2.0", "a/b"),
+    }
+
+
+def test_top_directory(spark):
+    files = [("LICENSE", "Released under the MIT License."), ("x.py", "a"), ("d/e/x.py", "a")]
+    assert _scan(spark, files) == {("LICENSE", "MIT", None), ("x.py", "MIT", ""), ("d/e/x.py", "MIT", "")}
+
+
+def test_anchors_miss_nothing():
+    weights = {"a": 5.0, "b": 4.0, "c": 1.0, "d": 1.0}
+    taken = licenses._anchors(weights)
+    left = sum(w * w for k, w in weights.items() if k not in taken)
+    assert math.sqrt(left / sum(w * w for w in weights.values())) < licenses.THRESHOLD
+    assert taken == {"a", "b"}
+
+
+def test_awkward_documents(spark):
+    docs = licenses.with_paths(cases.documents(spark)).withColumnRenamed("quality", "own").withColumnRenamed("root", "licence")
+    frame = licenses.scan_licences(docs)
+    assert frame.columns == [*[c for c in docs.columns if c != "text"], "own_", "inherited", "licence_"]
+    assert len(frame.collect()) == len(cases.rows())
+    assert licenses.scan_licences(licenses.with_paths(cases.no_documents(spark))).collect() == []
+
+
+def test_no_python(spark):
+    plan = registry()["op5_licences"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan

@@ -1,0 +1,75 @@
+"""The pipeline: every stage on what the one before kept, and on awkward documents."""
+
+import pytest
+
+import cases
+import corpus_pipeline
+from mallflow.llm.frames import stored
+from test_decontaminate import plain as plain_hits
+from test_near import plain_classes
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def steps(session):
+    frames, docs = {}, session.read.parquet(f"{SF_DIR}/documents.parquet")
+    frames["documents"] = docs
+    for name, stage in corpus_pipeline.STAGES:
+        docs = frames[name] = stored(stage(session, docs, SF_DIR), name)
+    return frames
+
+
+def _texts(frame):
+    return {r["doc_id"]: r["text"] for r in frame.collect()}
+
+
+def test_stages_keep_the_columns(steps):
+    columns = steps["documents"].columns
+    *early, last = [name for name, _ in corpus_pipeline.STAGES]
+    assert all(steps[name].columns == columns for name in early)
+    assert steps[last].columns == [*columns, "shard"]
+
+
+def test_quality_stage(steps):
+    kept = _texts(steps["quality_rules"])
+    for doc, text in _texts(steps["documents"]).items():
+        n, *_, repeated = cases.base_counts(text)
+        if n < 50 or 100 * repeated > 50 * n:
+            assert doc not in kept
+    assert len(kept) > 0.7 * steps["documents"].count()
+
+
+def test_near_stage(steps):
+    before = _texts(steps["quality_rules"])
+    classes = plain_classes(before)
+    assert sorted(_texts(steps["near_duplicates"])) == sorted({min(d for d in classes if classes[d] == c) for c in classes.values()})
+
+
+def test_benchmark_stage(spark, steps):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    want = [row[0] for row in plain_hits(list(_texts(steps["near_duplicates"]).items()), items) if not row[-1]]
+    assert sorted(_texts(steps["benchmark_passages"])) == sorted(want)
+
+
+def test_shards(steps):
+    last = steps["sharding"]
+    assert sorted(_texts(last)) == sorted(_texts(steps["mixture"]))
+    assert last.where("shard is null or shard < 0 or shard > 15").isEmpty()
+
+
+def test_run(spark, steps):
+    run = corpus_pipeline.run(spark, SF_DIR)
+    assert sorted(map(str, run.collect())) == sorted(map(str, steps["sharding"].collect()))
+
+
+@pytest.mark.parametrize("name", [name for name, _ in corpus_pipeline.STAGES])
+def test_awkward_documents(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = stored(cases.documents(spark), "awkward")
+    columns = [*docs.columns, "shard_"] if name == "sharding" else docs.columns
+    out = stage(spark, docs, SF_DIR)
+    assert out.columns == columns
+    assert out.count() <= docs.count()
+    empty = stage(spark, stored(cases.no_documents(spark), "none"), SF_DIR)
+    assert empty.columns == columns and empty.count() == 0
