@@ -7,9 +7,15 @@ order. Texts that share a bucket are compared by their words: they are linked wh
 longer text's words (edit similarity 0.8 or more). The distance is found along a band of diagonals that is doubled until the
 distance fits into it or the limit is reached.
 
-Within a bucket, each text is compared with the bucket's hub only. Classes are the connected components of the links; then each
-member of a bucket that is in another class than the bucket's next hub is compared with that one, and so on with new hubs until a
-round adds no link. So no bucket is ever expanded into all its pairs. Equal texts are one node from the start.
+First, each text of a bucket is compared with two others only: the bucket's hub, and the one before it in order of length, as
+near-copies are about equally long. Classes are the connected components of the links. Buckets that then still hold several classes
+are searched in full: texts of different classes are compared in blocks of about ``BLOCK`` texts (larger buckets are cut by hash, in
+another way for each bucket), so near-copies by the thousand, which are one class by then, cost nothing here. A block emits only pairs
+whose lengths and profiles allow a link, never all its pairs: of the texts of another class, the ``NEAREST`` by profile, since one link
+joins two classes. Equal texts are one node from the start.
+
+A profile is the numbers of a text's words in ``PLACES`` hashed places: each edit changes two of them at most, so texts whose profiles
+differ by more than twice the limit are no candidates, and their texts are not moved.
 
 Defined results: equal texts are in one class, also empty ones; a null text is a class of its own; a text of fewer than ``SHINGLE``
 words is one run; a text without words is only like its equals; repeated rows are in one class; the class id is its least doc_id.
@@ -22,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mallflow.llm.components import components
-from mallflow.llm.frames import fresh, in_batches, stored
+from mallflow.llm.frames import fresh, in_batches, shuffle_width, stored
 from mallflow.llm.words import FOLDED, Chunk, chunks, grams, mix
 
 SHINGLE = 5
@@ -34,6 +40,8 @@ SKETCHES = 24
 SAMPLE = 2
 # A link needs a distance of at most one word in so many.
 SHARE = 5
+PLACES, _COARSE = 1024, 128
+BLOCK, NEAREST = 1000, 4
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -92,14 +100,18 @@ def _sketch_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     sketch = mix(sketch * _STEP + run)
                 buckets.append(sketch)
             digests = batch.column(0).take(pa.array(np.tile(some, SKETCHES) + chunk.rows.start))
-            yield pa.RecordBatch.from_arrays([digests, pa.array(np.concatenate(buckets).view(np.int64))], ["digest", "bucket"])
+            size = pa.array(np.tile(chunk.counts[some], SKETCHES).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [digests, size, pa.array(np.concatenate(buckets).view(np.int64))], ["digest", "size", "bucket"]
+            )
 
 
 def buckets_of(docs: DataFrame) -> DataFrame:
-    """The buckets of each distinct text: ``digest`` and ``bucket``, only buckets with two texts or more. Stored."""
-    found = stored(in_batches(docs.select("digest", "text"), _sketch_task, "digest binary, bucket bigint").distinct(), "sketches")
-    shared = found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    return stored(found.join(stored(shared, "shared"), "bucket", "left_semi"), "buckets")
+    """The buckets of each distinct text: ``digest``, ``size`` in words, ``bucket`` and its number ``n`` of texts, two at least. Stored."""
+    made = in_batches(docs.select("digest", "text"), _sketch_task, "digest binary, size int, bucket bigint")
+    found = stored(made.distinct(), "sketches")
+    shared = stored(found.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "shared", narrow=True)
+    return stored(found.join(shared, "bucket"), "buckets")
 
 
 # --- alignment -----------------------------------------------------------------------------------
@@ -124,7 +136,7 @@ def banded_distance(a: list[int], b: list[int], limit: int) -> int | None:
     least = max((Counter(a) - Counter(b)).total(), (Counter(b) - Counter(a)).total())
     if least > limit:
         return None
-    band = max(8, least, len(a) - len(b))
+    band = max(8, 2 * least, len(a) - len(b))
     while True:
         band = min(band, limit)
         found = _within_band(a, b, band)
@@ -171,77 +183,164 @@ def _within_band(a: list[int], b: list[int], band: int) -> int | None:
 
 
 def _verify_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def words(column: pa.Array) -> Iterator[list[int]]:
+        for chunk in chunks(column, FOLDED):
+            for low, high in zip(chunk.edges[:-1], chunk.edges[1:], strict=True):
+                yield chunk.hashes[low:high].tolist()
+
     for batch in batches:
-        one, other = (
-            [np.frombuffer(w, np.uint64).tolist() for w in batch.column(batch.schema.get_field_index(c)).to_pylist()]
-            for c in ("words_a", "words_b")
-        )
         found = [
-            banded_distance(x, y, max(len(x), len(y)) // SHARE) is not None for x, y in zip(one, other, strict=True)
+            banded_distance(x, y, max(len(x), len(y)) // SHARE) is not None
+            for x, y in zip(words(batch.column(2)), words(batch.column(3)), strict=True)
         ]
-        near = pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(found, pa.bool_()))
-        yield near
+        yield batch.select(["root_a", "root_b"]).filter(pa.array(found, pa.bool_()))
 
 
-def _words_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _profile_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of each text and their numbers by hashed place, up to 255 each."""
     for batch in batches:
-        words = []
+        sizes, profiles = [], []
         for chunk in chunks(batch.column(1), FOLDED):
-            words += [chunk.hashes[low:high].tobytes() for low, high in zip(chunk.edges[:-1], chunk.edges[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary())], ["digest", "words"])
+            place = chunk.text_of_word() * PLACES + (chunk.hashes % np.uint64(PLACES)).astype(np.int64)
+            numbers = np.bincount(place, minlength=len(chunk.rows) * PLACES)
+            profiles.append(np.minimum(numbers, 255).astype(np.uint8))
+            sizes.append(chunk.counts)
+        flat = np.concatenate(profiles)
+        packed = pa.FixedSizeBinaryArray.from_buffers(pa.binary(PLACES), batch.num_rows, [None, pa.py_buffer(flat)])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(np.concatenate(sizes)), packed.cast(pa.binary())],
+            ["digest", "text", "words", "profile"],
+        )
+
+
+def _likely(size: np.ndarray, profiles: list[np.ndarray], i: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the other texts the lengths and profiles, the coarser first, allow to be within the limit of text ``i``; how far off
+    their profiles are."""
+    limit = np.maximum(size[others], size[i]) // SHARE
+    others, limit = (x[np.abs(size[others] - size[i]) <= limit] for x in (others, limit))
+    off = limit
+    for profile in profiles:
+        off = np.abs(profile[others] - profile[i]).sum(axis=1)
+        near = off <= 2 * limit
+        others, limit, off = others[near], limit[near], off[near]
+    return others, off
+
+
+def _rank(text: np.ndarray, kind: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Place of each pair among those of its text with the same class, by how far off they are."""
+    order = np.lexsort((off, kind, text))
+    new = (np.diff(text[order], prepend=-1) != 0) | (np.diff(kind[order], prepend=-1) != 0)
+    place = np.arange(len(order))
+    out = np.empty(len(order), np.int64)
+    out[order] = place - np.maximum.accumulate(np.where(new, place, 0))
+    return out
+
+
+def _block_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of different classes, for rows of whole blocks in order of block."""
+    block, size = table["block"].to_numpy(), table["words"].to_numpy()
+    fine = np.frombuffer(b"".join(table["profile"].to_pylist()), np.uint8).reshape(-1, PLACES).astype(np.int16)
+    profiles = [fine.reshape(len(fine), _COARSE, -1).sum(axis=2, dtype=np.int16), fine]
+    roots = table["root"].to_pylist()
+    number = {root: i for i, root in enumerate(dict.fromkeys(roots))}
+    kind = np.array([number[root] for root in roots])
+    ends = np.searchsorted(block, block, side="right")
+    one, other, off = [], [], []
+    for i, end in enumerate(ends):
+        rest = np.arange(i + 1, end)
+        found, far = _likely(size, profiles, i, rest[kind[rest] != kind[i]])
+        one.append(np.full(len(found), i))
+        other.append(found)
+        off.append(far)
+    one, other, off = (np.concatenate(side).astype(np.int64) for side in (one, other, off))
+    nearest = (_rank(one, kind[other], off) < NEAREST) & (_rank(other, kind[one], off) < NEAREST)
+    x, y = (pa.array(side[nearest]) for side in (one, other))
+    digest, root = (table[c].combine_chunks() for c in ("digest", "root"))
+    yield pa.RecordBatch.from_arrays([digest.take(x), digest.take(y), root.take(x), root.take(y)], ["a", "b", "root_a", "root_b"])
+
+
+def _block_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        table = table if held is None else pa.concat_tables([held, table])
+        block = table["block"].to_numpy()
+        cut = int(np.searchsorted(block, block[-1]))
+        if cut:
+            yield from _block_pairs(table.slice(0, cut).combine_chunks())
+        held = table.slice(cut)
+    if held is not None and held.num_rows:
+        yield from _block_pairs(held.combine_chunks())
 
 
 # --- links and classes ---------------------------------------------------------------------------
 
+_PAIR = "a binary, b binary, root_a binary, root_b binary"
+
+
+def _first_pairs(members: DataFrame) -> DataFrame:
+    """Members of a bucket with its hub, and with the member before them in order of length."""
+    hubs = stored(members.groupBy("bucket").agg(F.min("digest").alias("hub")), "hubs", narrow=True)
+    to_hub = members.join(hubs, "bucket").select(F.col("digest").alias("x"), F.col("hub").alias("y"))
+    draw = F.xxhash64("digest")
+    order = Window.partitionBy("bucket", F.pmod(draw, F.expr(f"(n + {BLOCK - 1}) div {BLOCK}"))).orderBy("size", draw)
+    to_last = members.select(F.col("digest").alias("x"), F.lag("digest").over(order).alias("y"))
+    pairs = to_hub.unionByName(to_last).where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
+    return pairs.distinct().select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
+
+
+def _open_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """Likely pairs of different classes (``root``) of a bucket, block by block."""
+    part = F.pmod(F.xxhash64("digest", "bucket"), F.expr(f"(n + {BLOCK - 1}) div {BLOCK}"))
+    rows = members.select(F.xxhash64("bucket", part).alias("block"), "digest", "root")
+    rows = rows.join(texts.select("digest", "words", "profile"), "digest").select("block", "digest", "root", "words", "profile")
+    blocks = rows.repartition(shuffle_width(rows.sparkSession), "block").sortWithinPartitions("block")
+    pairs = in_batches(blocks, _block_task, _PAIR)
+    turned = F.col("a") < F.col("b")
+    return pairs.select(
+        F.greatest("a", "b").alias("a"),
+        F.least("a", "b").alias("b"),
+        F.when(turned, F.col("root_b")).otherwise(F.col("root_a")).alias("root_a"),
+        F.when(turned, F.col("root_a")).otherwise(F.col("root_b")).alias("root_b"),
+    ).distinct()
 
-def _candidates(members: DataFrame, rank: Column) -> DataFrame:
-    """Each member of a bucket with the bucket's hub, the member of least ``rank``, if it is in another class."""
-    order = F.struct(rank.alias("rank"), "digest", "root")
-    hubs = stored(members.groupBy("bucket").agg(F.min(order).alias("hub")), "hubs")
-    pairs = members.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
-    hub = F.col("hub.digest")
-    return pairs.select(F.greatest("digest", hub).alias("a"), F.least("digest", hub).alias("b")).distinct()
 
+def _side(texts: DataFrame, side: str) -> DataFrame:
+    # Texts are always shuffled to their pairs: neither side has a bound that allows a broadcast.
+    return texts.select(F.col("digest").alias(side), F.col("text").alias(f"text_{side}")).hint("merge")
 
-def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that are alike. Only texts that occur in a pair are moved, each once."""
-    needed = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
-    texts = docs.select("digest", "text").join(stored(needed, "needed"), "digest", "left_semi")
-    # Copies of a text are put together inside the tasks, before the shuffle.
-    once = texts.groupBy("digest").agg(F.first("text").alias("text"))
-    words = stored(in_batches(once, _words_task, "digest binary, words binary"), "words")
-    a = words.select(F.col("digest").alias("a"), F.col("words").alias("words_a"))
-    b = words.select(F.col("digest").alias("b"), F.col("words").alias("words_b"))
-    return stored(in_batches(pairs.join(a, "a").join(b, "b").select("a", "b", "words_a", "words_b"), _verify_task, "a binary, b binary"), "links")
 
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The classes of the pairs that are alike, as edges ``a`` and ``b``. Stored."""
+    both = pairs.join(_side(texts, "a"), "a").join(_side(texts, "b"), "b").select("root_a", "root_b", "text_a", "text_b")
+    found = in_batches(both, _verify_task, "root_a binary, root_b binary").distinct()
+    return stored(found.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")), "links")
 
-def links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Verified links between distinct texts (``a``, ``b``), and the ``root`` of every linked text (``node``)."""
+
+def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """Each needed text once, with its profile. Copies are put together inside the tasks, before the shuffle."""
+    wanted = docs.select("digest", "text").join(stored(needed.select("digest").distinct(), "needed", narrow=True).hint("merge"), "digest", "left_semi")
+    once = wanted.groupBy("digest").agg(F.first("text").alias("text"))
+    return stored(in_batches(once, _profile_task, "digest binary, text string, words bigint, profile binary"), "texts")
+
+
+def link_classes(docs: DataFrame) -> DataFrame:
+    """``node`` and ``root`` of every text (by digest) that is linked to another. ``docs`` has ``digest`` and ``text``."""
     buckets = buckets_of(docs)
-    members = buckets.withColumn("root", F.col("digest"))
-    tested = linked = roots = None
-    turn = 0
-    while True:
-        rank = F.lit(0).cast("bigint") if turn == 0 else F.xxhash64("digest", F.lit(turn))
-        pairs = _candidates(members, rank)
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stored(pairs, "pairs")
-        found = _verified(pairs, docs)
-        more = not found.isEmpty()
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        linked = found if linked is None else linked.unionByName(found)
-        if roots is None or more:
-            roots = stored(components(linked), "roots")
-        if not more:
-            return linked, roots
-        known = roots.select(F.col("node").alias("digest"), "root")
-        # Members without a link keep themselves; buckets whose members are all in one class are done with.
-        placed = buckets.join(known, "digest", "left").withColumn("root", F.coalesce("root", "digest"))
-        placed = stored(placed, "placed")
-        mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-        members = stored(placed.join(stored(mixed.select("bucket"), "mixed"), "bucket", "left_semi"), "members")
-        turn += 1
+    texts = _texts(docs, buckets)
+    links = _verified(stored(_first_pairs(buckets), "pairs"), texts)
+    roots = stored(components(links), "roots", narrow=True)
+    # Members without a link keep themselves. Buckets with one class are done with.
+    placed = buckets.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+    placed = stored(placed.withColumn("root", F.coalesce("root", "digest")), "placed")
+    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    members = placed.join(stored(mixed.select("bucket"), "mixed", narrow=True), "bucket", "left_semi")
+    more = _verified(stored(_open_pairs(members, texts), "open"), texts)
+    if more.isEmpty():
+        return roots
+    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
 def with_digest(docs: DataFrame, name: str = "digest") -> DataFrame:
@@ -250,11 +349,11 @@ def with_digest(docs: DataFrame, name: str = "digest") -> DataFrame:
 
 def _classes(keyed: DataFrame) -> DataFrame:
     """``digest``, ``id`` (the least of its rows) and ``class``, the least ``id`` of its class. ``keyed`` has digest, text, id."""
-    _, roots = links(keyed)
-    each = stored(keyed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("id")), "texts")
+    roots = link_classes(keyed)
+    each = stored(keyed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("id")), "texts", narrow=True)
     placed = each.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     placed = stored(placed.withColumn("root", F.coalesce("root", "digest")), "rooted")
-    least = stored(placed.groupBy("root").agg(F.min("id").alias("class")), "classes")
+    least = stored(placed.groupBy("root").agg(F.min("id").alias("class")), "classes", narrow=True)
     return placed.join(least, "root").select("digest", "id", "class")
 
 
