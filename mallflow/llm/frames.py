@@ -43,10 +43,18 @@ def in_batches(
     return frame.mapInArrow(work, schema)
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
-    """The frame written to the shared scratch folder and read back: cuts the lineage and survives a lost executor."""
+# Shuffle partitions that one task of a narrow table works on.
+_NARROW = 8
+
+
+def stored(frame: DataFrame, label: str, narrow: bool = False) -> DataFrame:
+    """The frame written to the shared scratch folder and read back: cuts the lineage and survives a lost executor.
+
+    ``narrow`` says that its rows are few and short beside the documents, so that fewer tasks, and files, will do.
+    """
     path = scratch_dir(frame.sparkSession, label)
-    frame.write.parquet(path)
+    rows = frame.coalesce(max(1, shuffle_width(frame.sparkSession) // _NARROW)) if narrow else frame
+    rows.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
