@@ -34,10 +34,10 @@ from mallflow.llm.words import FOLDED, chunks
 WINDOW = 13
 SLOP = 20
 SLICE_WORDS = 1 << 18
+BLOCK_BYTES = 1 << 20
 # A document is contaminated when at least one word in so many is hit.
 HIT_SHARE = 20
 
-_LISTS = "terms binary, sizes binary, owners binary, places binary"
 _FOUND = "block bigint, doc int, hit array<int>, items array<string>, n_items bigint, near array<string>"
 
 
@@ -105,7 +105,7 @@ def build_index(docs: DataFrame, terms: np.ndarray, id_column: str) -> DataFrame
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for chunk in chunks(batch.column(1), FOLDED):
+            for chunk in chunks(batch.column(1), FOLDED, BLOCK_BYTES):
                 at = np.searchsorted(terms, chunk.hashes)
                 at[at == len(terms)] = 0
                 met = np.flatnonzero(terms[at] == chunk.hashes) if len(terms) else np.zeros(0, np.int64)
@@ -319,3 +319,44 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = matches(docs.select(digest.alias("digest"), "text"), benchmark, slop=None, id_column="digest")
     bad = stored(found.where(contaminated()).select("digest").distinct(), "contaminated")
     return docs.join(bad, digest == bad["digest"], "left_anti")
+
+
+_SQL_WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+ORACLE_SQL = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, {_SQL_WORDS} AS words FROM documents),
+item AS (SELECT row_number() OVER () AS i, CAST(item_id AS VARCHAR) AS item_id, {_SQL_WORDS} AS words FROM benchmark),
+part AS (
+  SELECT row_number() OVER () AS v, i, words[k:k + {WINDOW - 1}] AS words
+  FROM (SELECT i, words, unnest(range(1, greatest(len(words) - {WINDOW - 1}, 1) + 1)) AS k FROM item WHERE len(words) > 0)),
+word AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM doc),
+phrase AS (SELECT v, i, len(words) AS n, array_to_string(words, ' ') AS phrase FROM part),
+run AS (
+  SELECT r, n, k, array_to_string(words[k:k + n - 1], ' ') AS phrase
+  FROM (SELECT r, words, n, unnest(range(1, len(words) - n + 2)) AS k
+        FROM doc, (SELECT DISTINCT n FROM phrase) WHERE len(words) >= n)),
+met AS (SELECT r, k, run.n AS n, i FROM run JOIN phrase USING (phrase) WHERE run.n = phrase.n),
+hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(k, k + n)) AS place FROM met) GROUP BY r),
+found AS (
+  SELECT r, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT r, i FROM met) JOIN item USING (i) GROUP BY r),
+term AS (SELECT v, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM part),
+often AS (SELECT word, count(*) AS n FROM word GROUP BY word),
+rarest AS (
+  SELECT v, word FROM (
+    SELECT v, t.word, row_number() OVER (PARTITION BY v ORDER BY coalesce(n, 0), t.place) AS nth FROM term t LEFT JOIN often o ON t.word = o.word)
+  WHERE nth = 1),
+start AS (SELECT v, r, place FROM rarest JOIN word USING (word)),
+close AS (
+  SELECT s.v, s.r FROM start s JOIN term t ON s.v = t.v
+  JOIN word w ON w.r = s.r AND w.word = t.word AND w.place BETWEEN s.place - {SLOP} AND s.place + {SLOP}
+  GROUP BY s.v, s.r, s.place HAVING count(DISTINCT t.place) = (SELECT len(words) FROM part WHERE part.v = s.v)),
+near AS (
+  SELECT r, count(DISTINCT item_id) AS n_near FROM close JOIN part USING (v) JOIN item ON item.i = part.i GROUP BY r)
+SELECT doc_id, len(words) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND {HIT_SHARE} * coalesce(n_hit, 0) >= len(words) AS contaminated, coalesce(n_near, 0) AS n_near
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN found USING (r) LEFT JOIN near USING (r)
+"""

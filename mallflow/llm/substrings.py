@@ -36,6 +36,8 @@ GROUP = 1 << 16
 # At most so many prefixes are lengthened: the group size grows with a corpus that would need more.
 _MOST_LONG = 1 << 20
 _HELD_ROWS = 1 << 17
+# Equal suffixes are merged within texts of so many bytes.
+_MERGED_BYTES = 1 << 19
 
 # What a suffix row is: one of its kind; one that stands for several of its chunk; known to be repeated; or only a partner for others.
 _ONE, _SEVERAL, _KNOWN, _PARTNER = range(4)
@@ -123,7 +125,7 @@ def _binary(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
 def _count_task(length: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(0)):
+            for chunk in chunks(batch.column(0), limit=_MERGED_BYTES):
                 found = _Suffixes(chunk, length)
                 key, number = np.unique(found.key[found.merge() != _KNOWN], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(number)], ["key", "n"])
@@ -143,7 +145,7 @@ def _common_prefixes(docs: DataFrame, length: int, group: int) -> np.ndarray:
 def _suffix_task(shared, length: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in chunks(batch.column(1)):
+            for chunk in chunks(batch.column(1), limit=_MERGED_BYTES):
                 found = _Suffixes(chunk, length)
                 found.lengthen(shared.value)
                 kind = found.merge()
@@ -311,3 +313,19 @@ def _rest(chunk: Chunk, kept: np.ndarray) -> pa.Array:
         pa.large_string(), len(chunk.rows), [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
     )
     return array.cast(pa.string())
+
+
+ORACLE_SQL = f"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+run AS (
+  SELECT r, k, array_to_string(words[k:k + {LENGTH - 1}], ' ') AS run
+  FROM (SELECT r, words, unnest(range(1, len(words) - {LENGTH - 2})) AS k FROM doc WHERE len(words) >= {LENGTH})),
+twice AS (SELECT run FROM run GROUP BY run HAVING count(*) > 1),
+gone AS (SELECT DISTINCT r, unnest(range(k, k + {LENGTH})) AS place FROM run SEMI JOIN twice USING (run)),
+word AS (SELECT r, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM doc),
+kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS rest FROM word ANTI JOIN gone USING (r, place) GROUP BY r)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM doc LEFT JOIN kept USING (r)
+"""

@@ -14,7 +14,7 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _GRAM = 0xD6E8FEB86659FD93 | 1
