@@ -66,9 +66,9 @@ def _dup_lines(chunk: Chunk) -> np.ndarray:
     feeds = np.flatnonzero(chunk.data == 10)
     starts = np.unique(np.concatenate([chunk.bounds[:-1], feeds + 1]))
     starts = starts[starts < len(chunk.data)]
-    ends = np.concatenate([starts[1:], [len(chunk.data)]])
+    ends = np.append(starts[1:], len(chunk.data))[: len(starts)]
     text = np.searchsorted(chunk.bounds, starts, side="right") - 1
-    ends = ends - ((ends > starts) & (chunk.data[ends - 1] == 10))
+    ends = ends - np.isin(ends - 1, feeds)
     wordy = np.searchsorted(chunk.starts, ends) > np.searchsorted(chunk.starts, starts)
     starts, ends, text = starts[wordy], ends[wordy], text[wordy]
     keys = mix(spans_hash(chunk.data, PLAIN[1], starts, ends) + text.astype(np.uint64) * _PRIMES[0])

@@ -29,7 +29,12 @@ def registry() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     """The rest are tested against brute force: their methods (models, packings, spans) have no SQL that is quick enough."""
-    return {"op7_revisits": warc.ORACLE_SQL, "op9_perspectives": chat.ORACLE_SQL}
+    return {
+        "op6_positional_index": decontaminate.ORACLE_SQL,
+        "op7_revisits": warc.ORACLE_SQL,
+        "op9_perspectives": chat.ORACLE_SQL,
+        "op10_suffix_trees": substrings.ORACLE_SQL,
+    }
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
