@@ -59,7 +59,8 @@ def _words(text: Column) -> Column:
 
 
 def _template_words(spark) -> list[tuple[str, list[str]]]:
-    rows = spark.createDataFrame(TEMPLATES, "name string, notice string").select("name", _words(F.col("notice")).alias("words"))
+    each = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(notice).alias("notice")) for name, notice in TEMPLATES])
+    rows = spark.range(1).select(F.inline(each)).select("name", _words(F.col("notice")).alias("words"))
     return [(row["name"], row["words"]) for row in rows.collect()]
 
 
