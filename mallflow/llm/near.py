@@ -9,10 +9,12 @@ distance fits into it or the limit is reached.
 
 First, each text of a bucket is compared with two others only: the bucket's hub, and the one before it in order of length, as
 near-copies are about equally long. Classes are the connected components of the links. Buckets that then still hold several classes
-are searched in full: texts of different classes are compared in blocks of about ``BLOCK`` texts (larger buckets are cut by hash, in
-another way for each bucket), so near-copies by the thousand, which are one class by then, cost nothing here. A block emits only pairs
-whose lengths and profiles allow a link, never all its pairs: of the texts of another class, the ``NEAREST`` by profile, since one link
-joins two classes. Equal texts are one node from the start.
+are searched in full: texts of different classes are compared in blocks, so near-copies by the thousand, which are one class by then,
+cost nothing here. A bucket of over ``BLOCK`` texts is cut into parts of about so many, by length and then by hash, and each part makes a
+block with itself and with every other part, but for parts whose lengths allow no link and parts of one and the same class. A block
+emits only pairs whose lengths and profiles allow a link, never all its pairs. One link joins two classes, so of the texts of another
+class the ``NEAREST`` by profile are tried first; blocks with pairs left over are searched again with the classes found by then and
+``MORE`` times as many, until no block has a likely pair of two classes that was not tried. Equal texts are one node from the start.
 
 A profile is the numbers of a text's words in ``PLACES`` hashed places: each edit changes two of them at most, so texts whose profiles
 differ by more than twice the limit are no candidates, and their texts are not moved.
@@ -41,7 +43,11 @@ SAMPLE = 2
 # A link needs a distance of at most one word in so many.
 SHARE = 5
 PLACES, _COARSE = 1024, 128
-BLOCK, NEAREST = 1000, 4
+BLOCK, NEAREST, MORE = 1000, 4, 8
+# Texts are cut by length at powers of this: a text and those that may be linked to it are at most one band apart.
+_BAND = SHARE / (SHARE - 1)
+# Pairs in one batch that a block emits.
+_EMITTED = 1 << 15
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -236,9 +242,10 @@ def _rank(text: np.ndarray, kind: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _block_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of different classes, for rows of whole blocks in order of block."""
-    block, size = table["block"].to_numpy(), table["words"].to_numpy()
+def _block_pairs(table: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of different classes, for rows of whole blocks in order of block: of each class, the ``most`` nearest to a text.
+    ``cut`` says whether the block has others. In a block of two parts (sides 1 and 2), pairs of both."""
+    block, size, side = (table[c].to_numpy() for c in ("block", "words", "side"))
     fine = np.frombuffer(b"".join(table["profile"].to_pylist()), np.uint8).reshape(-1, PLACES).astype(np.int16)
     profiles = [fine.reshape(len(fine), _COARSE, -1).sum(axis=2, dtype=np.int16), fine]
     roots = table["root"].to_pylist()
@@ -248,36 +255,47 @@ def _block_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
     one, other, off = [], [], []
     for i, end in enumerate(ends):
         rest = np.arange(i + 1, end)
-        found, far = _likely(size, profiles, i, rest[kind[rest] != kind[i]])
+        apart = (kind[rest] != kind[i]) & ((side[rest] != side[i]) | (side[i] == 0))
+        found, far = _likely(size, profiles, i, rest[apart])
         one.append(np.full(len(found), i))
         other.append(found)
         off.append(far)
-    one, other, off = (np.concatenate(side).astype(np.int64) for side in (one, other, off))
-    nearest = (_rank(one, kind[other], off) < NEAREST) & (_rank(other, kind[one], off) < NEAREST)
-    x, y = (pa.array(side[nearest]) for side in (one, other))
+    one, other, off = (np.concatenate(part).astype(np.int64) for part in (one, other, off))
+    nearest = (_rank(one, kind[other], off) < most) & (_rank(other, kind[one], off) < most)
+    cut = np.isin(block[one[nearest]], block[one[~nearest]])
+    one, other = one[nearest], other[nearest]
     digest, root = (table[c].combine_chunks() for c in ("digest", "root"))
-    yield pa.RecordBatch.from_arrays([digest.take(x), digest.take(y), root.take(x), root.take(y)], ["a", "b", "root_a", "root_b"])
+    for low in range(0, len(one), _EMITTED):
+        x, y = (pa.array(part[low : low + _EMITTED]) for part in (one, other))
+        yield pa.RecordBatch.from_arrays(
+            [digest.take(x), digest.take(y), root.take(x), root.take(y)]
+            + [pa.array(block[one[low : low + _EMITTED]]), pa.array(cut[low : low + _EMITTED])],
+            ["a", "b", "root_a", "root_b", "block", "cut"],
+        )
 
 
-def _block_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        table = table if held is None else pa.concat_tables([held, table])
-        block = table["block"].to_numpy()
-        cut = int(np.searchsorted(block, block[-1]))
-        if cut:
-            yield from _block_pairs(table.slice(0, cut).combine_chunks())
-        held = table.slice(cut)
-    if held is not None and held.num_rows:
-        yield from _block_pairs(held.combine_chunks())
+def _block_task(most: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            block = table["block"].to_numpy()
+            cut = int(np.searchsorted(block, block[-1]))
+            if cut:
+                yield from _block_pairs(table.slice(0, cut).combine_chunks(), most)
+            held = table.slice(cut)
+        if held is not None and held.num_rows:
+            yield from _block_pairs(held.combine_chunks(), most)
+
+    return work
 
 
 # --- links and classes ---------------------------------------------------------------------------
 
-_PAIR = "a binary, b binary, root_a binary, root_b binary"
+_PAIR = "a binary, b binary, root_a binary, root_b binary, block bigint, cut boolean"
 
 
 def _first_pairs(members: DataFrame) -> DataFrame:
@@ -291,20 +309,50 @@ def _first_pairs(members: DataFrame) -> DataFrame:
     return pairs.distinct().select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
 
 
-def _open_pairs(members: DataFrame, texts: DataFrame) -> DataFrame:
-    """Likely pairs of different classes (``root``) of a bucket, block by block."""
-    part = F.pmod(F.xxhash64("digest", "bucket"), F.expr(f"(n + {BLOCK - 1}) div {BLOCK}"))
-    rows = members.select(F.xxhash64("bucket", part).alias("block"), "digest", "root")
-    rows = rows.join(texts.select("digest", "words", "profile"), "digest").select("block", "digest", "root", "words", "profile")
+def _blocks(members: DataFrame) -> DataFrame:
+    """``block``, ``side`` and ``digest`` of the members of buckets, each pair of them with a possible link together in a block. Stored."""
+    small = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("block"), F.lit(0).alias("side"), "digest")
+    band = F.floor(F.log(F.greatest("size", F.lit(1))) / F.log(F.lit(_BAND)))
+    large = stored(members.where(F.col("n") > BLOCK).select("bucket", "digest", "size", "root", band.alias("band")), "large")
+    if large.isEmpty():
+        return stored(small, "blocks")
+    # A class of more than a part has parts of its own, which need not meet each other. All other classes share parts.
+    each = large.groupBy("bucket", "band", "root").agg(F.count(F.lit(1)).alias("n"))
+    each = stored(each.withColumn("own", F.when(F.col("n") > BLOCK, F.col("root")).otherwise(F.lit(b""))), "cells", narrow=True)
+    parts = F.expr(f"(sum(n) + {BLOCK - 1}) div {BLOCK}").alias("parts")
+    number = stored(each.groupBy("bucket", "band", "own").agg(parts), "part-numbers", narrow=True)
+    cells = stored(each.drop("n").join(number, ["bucket", "band", "own"]), "parts", narrow=True)
+    part = F.xxhash64("band", "own", F.pmod(F.xxhash64("digest", "bucket"), F.col("parts")))
+    placed = large.join(cells, ["bucket", "band", "root"]).select("bucket", "digest", "size", "own", part.alias("part"))
+    placed = stored(placed, "part-members")
+    spans = placed.groupBy("bucket", "part", "own").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    spans = stored(spans, "spans", narrow=True)
+    x, y = (spans.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("part", "own", "low", "high")]) for s in "xy")
+    apart = F.greatest("low_x", "low_y") - F.least("high_x", "high_y") <= F.expr(f"greatest(high_x, high_y) div {SHARE}")
+    one_class = (F.col("own_x") == F.col("own_y")) & (F.col("own_x") != F.lit(b""))
+    met = x.join(y, "bucket").where((F.col("part_x") <= F.col("part_y")) & apart & ~one_class)
+    block = F.xxhash64("bucket", "part_x", "part_y").alias("block")
+    both = F.array(*[F.struct(F.col(f"part_{s}").alias("part"), F.lit(i).alias("side")) for i, s in ((1, "x"), (2, "y"))])
+    alone = F.array(F.struct(F.col("part_x").alias("part"), F.lit(0).alias("side")))
+    sides = met.select("bucket", block, F.explode(F.when(F.col("part_x") == F.col("part_y"), alone).otherwise(both)).alias("s"))
+    sides = stored(sides.select("bucket", "block", "s.part", "s.side"), "sides", narrow=True)
+    return stored(small.unionByName(placed.join(sides, ["bucket", "part"]).select("block", "side", "digest")), "blocks")
+
+
+def _open_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """Likely pairs of different classes (``root``) of a block, with the block and whether it has more of them."""
+    rows = rows.join(texts.select("digest", "words", "profile"), "digest").select("block", "side", "digest", "root", "words", "profile")
     blocks = rows.repartition(shuffle_width(rows.sparkSession), "block").sortWithinPartitions("block")
-    pairs = in_batches(blocks, _block_task, _PAIR)
+    pairs = in_batches(blocks, _block_task(most), _PAIR)
     turned = F.col("a") < F.col("b")
     return pairs.select(
         F.greatest("a", "b").alias("a"),
         F.least("a", "b").alias("b"),
         F.when(turned, F.col("root_b")).otherwise(F.col("root_a")).alias("root_a"),
         F.when(turned, F.col("root_a")).otherwise(F.col("root_b")).alias("root_b"),
-    ).distinct()
+        "block",
+        "cut",
+    )
 
 
 def _side(texts: DataFrame, side: str) -> DataFrame:
@@ -326,21 +374,38 @@ def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return stored(in_batches(once, _profile_task, "digest binary, text string, words bigint, profile binary"), "texts")
 
 
+def _several(rows: DataFrame, roots: DataFrame, group: str) -> DataFrame:
+    """Rows with their ``root``, without the groups that are one class by now. Stored."""
+    # Members without a link keep themselves.
+    placed = rows.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
+    placed = stored(placed.withColumn("root", F.coalesce("root", "digest")), "placed")
+    mixed = placed.groupBy(group).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return placed.join(stored(mixed.select(group), "mixed", narrow=True), group, "left_semi")
+
+
 def link_classes(docs: DataFrame) -> DataFrame:
     """``node`` and ``root`` of every text (by digest) that is linked to another. ``docs`` has ``digest`` and ``text``."""
     buckets = buckets_of(docs)
     texts = _texts(docs, buckets)
     links = _verified(stored(_first_pairs(buckets), "pairs"), texts)
     roots = stored(components(links), "roots", narrow=True)
-    # Members without a link keep themselves. Buckets with one class are done with.
-    placed = buckets.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
-    placed = stored(placed.withColumn("root", F.coalesce("root", "digest")), "placed")
-    mixed = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    members = placed.join(stored(mixed.select("bucket"), "mixed", narrow=True), "bucket", "left_semi")
-    more = _verified(stored(_open_pairs(members, texts), "open"), texts)
-    if more.isEmpty():
-        return roots
-    return components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    rows = _blocks(_several(buckets, roots, "bucket"))
+    tried, most = None, NEAREST
+    while True:
+        found = stored(_open_pairs(_several(rows, roots, "block"), texts, most), "open")
+        pairs = found.drop("block", "cut").distinct()
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "untried")
+        more = _verified(pairs, texts)
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+            roots = stored(roots, "roots", narrow=True)
+        left = stored(found.where("cut").select("block").distinct(), "left", narrow=True)
+        if left.isEmpty():
+            return roots
+        rows = stored(rows.join(left, "block", "left_semi"), "blocks")
+        new = pairs.select("a", "b")
+        tried = new if tried is None else tried.unionByName(new)
+        most *= MORE
 
 
 def with_digest(docs: DataFrame, name: str = "digest") -> DataFrame:

@@ -4,6 +4,7 @@ import random
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 import cases
 from mallflow.llm import near
@@ -124,3 +125,41 @@ def test_awkward_documents(spark):
     assert ids == sorted([1, 4, 4, 5, 7, 8, 9, 10, 12, 13, None, None], key=str)
     assert near.near_classes(cases.no_documents(spark)).collect() == []
     assert near.drop_near_copies(cases.no_documents(spark)).collect() == []
+
+
+def _one_bucket(docs):
+    once = docs.where("digest is not null").dropDuplicates(["digest"])
+    rows = once.select("digest", F.size(F.split("text", " ")).alias("size"), F.lit(1).cast("bigint").alias("bucket"))
+    return rows.withColumn("n", F.lit(once.count()))
+
+
+def all_pairs(texts):
+    seq = {i: cases.folded_words(t) for i, t in texts.items()}
+    alike = [
+        (a, b)
+        for a, b in combinations(texts, 2)
+        if near.banded_distance(seq[a], seq[b], max(len(seq[a]), len(seq[b])) // near.SHARE) is not None
+    ]
+    return _classes(alike, texts)
+
+
+@pytest.mark.parametrize(("block", "nearest"), [(1000, 1), (4, 4)])
+def test_one_bucket_against_all_pairs(spark, monkeypatch, block, nearest):
+    """Whatever the block size and the number of pairs tried first, a bucket gives the classes of all its pairs."""
+    monkeypatch.setattr(near, "BLOCK", block)
+    monkeypatch.setattr(near, "NEAREST", nearest)
+    monkeypatch.setattr(near, "buckets_of", _one_bucket)
+    pick = random.Random(17)
+    base = cases.prose(41, 60).split()
+    texts = []
+    for _ in range(90):
+        words = list(base) if pick.random() < 0.7 or not texts else texts[pick.randrange(len(texts))].split()
+        turn = pick.choice([0, 0, 0, 15, 30])
+        words = words[turn:] + words[:turn]
+        for k in pick.sample(range(len(words)), pick.choice([2, 8, 10, 14])):
+            words[k] = f"n{pick.randrange(10**6)}"
+        texts.append(" ".join(words + [f"t{k}" for k in range(pick.choice([0, 0, 5, 25]))]))
+    want = all_pairs(dict(enumerate(texts)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert len(set(want.values())) > 3
+    assert {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()} == want
