@@ -11,7 +11,8 @@ suffixes are sorted, so that those below one node stand side by side, and the de
 the run's first word on, with two leaves or more, are the repeats. Equal suffixes of one chunk are merged into one before the
 shuffle and equal suffixes of one group as they are read, so a passage that stands in a third of all documents stays a few rows.
 
-Words are compared by hashes: 64 bits of the prefix and 32 bits and the place of the anchor for the run.
+Words are compared by hashes: the runs of a group by 64 bits of the whole run and the place of the anchor. Suffixes of one group share
+the 64 bits of its key, which therefore tell only groups apart.
 
 Defined results: a null text has no words and an empty result; a text shorter than ``length`` words is kept whole; equal texts are
 repeats of each other; repeated rows are two texts.
@@ -118,7 +119,7 @@ def _binary(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.Array:
     size = high - low
     ends = np.cumsum(size)
     flat = np.repeat(low - (ends - size), size) + np.arange(ends[-1] if len(ends) else 0)
-    offsets = np.concatenate([[0], ends * 4]).astype(np.int32)
+    offsets = np.concatenate([[0], ends * values.itemsize]).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(low), [None, pa.py_buffer(offsets), pa.py_buffer(values[flat])])
 
 
@@ -154,7 +155,7 @@ def _suffix_task(shared, length: int):
                 known = kind == _KNOWN
                 # Known rows need no partner, so they may go anywhere.
                 key = np.where(known, mix(found.key + np.arange(len(kind)).astype(np.uint64)), found.key)
-                runs = _binary((found.whole >> np.uint64(32)).astype(np.uint32), found.low, np.where(known, found.low, found.high))
+                runs = _binary(found.whole, found.low, np.where(known, found.low, found.high))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(key.view(np.int64)),
@@ -182,7 +183,7 @@ def _runs_of(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     _, places, data = column.buffers()
     offsets = np.frombuffer(places, np.int32)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]] if data is not None else np.zeros(0, np.uint8)
-    return np.ascontiguousarray(raw).view(np.uint32), np.diff(offsets) // 4
+    return np.ascontiguousarray(raw).view(np.uint64), np.diff(offsets) // 8
 
 
 def _deep_nodes(table: pa.Table) -> np.ndarray:
@@ -193,11 +194,12 @@ def _deep_nodes(table: pa.Table) -> np.ndarray:
     row = np.repeat(np.arange(len(size)), size)
     step = np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
     # The leaves in order: by group, by the words between the run's first and the anchor, by the run.
-    leaf = (group[row] << np.uint64(38)) | ((back[row] - step).astype(np.uint64) << np.uint64(32)) | runs.astype(np.uint64)
-    order = np.argsort(leaf)
-    node = np.cumsum(np.diff(leaf[order], prepend=leaf[order][:1]) != 0)
+    place = (group[row] << np.uint64(6)) | (back[row] - step).astype(np.uint64)
+    order = np.lexsort((runs, place))
+    new = (np.diff(place[order], prepend=place[order][:1]) != 0) | (np.diff(runs[order], prepend=runs[order][:1]) != 0)
+    node = np.cumsum(new)
     leaves = np.bincount(node, weights=np.where(np.isin(kind[row[order]], (_SEVERAL, _PARTNER)), 2, 1))
-    deep = np.zeros(len(leaf), dtype=np.int64)
+    deep = np.zeros(len(row), dtype=np.int64)
     deep[order] = leaves[node] > 1
     bits = np.bincount(row, weights=deep << step, minlength=len(size)).astype(np.int64)
     return np.where(kind == _KNOWN, (np.int64(1) << n) - 1, bits)

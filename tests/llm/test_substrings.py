@@ -91,6 +91,26 @@ def _suffix_batches(texts):
         yield from substrings._suffix_task(Shared, 35)(iter([batch]))
 
 
+def test_runs_alike_in_half_their_hash():
+    """Runs whose hashes agree in the upper or the lower 32 bits only are different runs, equal ones are not."""
+    runs = [(7 << 32) | 1, (7 << 32) | 2, (8 << 32) | 2, (9 << 32) | 5, (9 << 32) | 5]
+    kinds = [substrings._ONE] * len(runs)
+    values = np.array(runs, np.uint64)
+    at = np.arange(len(runs))
+    table = pa.table(
+        {
+            "key": pa.array([3] * len(runs)),
+            "digest": pa.array([bytes([i]) for i in at]),
+            "first": pa.array([0] * len(runs), pa.int32()),
+            "back": pa.array([4] * len(runs), pa.int32()),
+            "runs": substrings._binary(values, at, at + 1),
+            "n": pa.array([1] * len(runs), pa.int32()),
+            "kind": pa.array(kinds, pa.int32()),
+        }
+    )
+    assert substrings._deep_nodes(table).tolist() == [0, 0, 0, 1, 1]
+
+
 def test_awkward_documents(spark):
     docs = cases.documents(spark)
     frame = substrings.remove_repeats(docs)
