@@ -4,7 +4,8 @@ Everything is built from Spark's own functions. All matches of a kind are marked
 before and after each, the marked text is split at the marks, and the places follow from the lengths of the pieces. Control
 characters that a text holds already are first replaced by another one, which no expression matches either. The expressions are
 written so that each character is tried a bounded number of times: a run of characters is only entered at its first one, and
-possessive repeats never give back.
+possessive repeats never give back. An account number is proposed at every word that begins with a country of :data:`IBAN_LENGTHS`
+and two digits, in that country's length, if it ends at a word edge; proposals may overlap, and the first confirmed one counts.
 
 Kinds, in this order: ``email``; ``ip``, every part at most 255; ``card``, 14 to 19 digits that pass Luhn; ``phone``, 10 to 15 digits;
 ``iban``, right length and 97-remainder 1. The first four are always reported; an ``iban`` only with a score of at least
@@ -35,13 +36,15 @@ _SAMPLE = "(?i)\\b(?:example|sample|dummy|fake|placeholder|test)\\b"
 
 @dataclass(frozen=True)
 class Kind:
-    """``pattern`` finds the spans, ``hint`` is something every span holds, ``worth`` the score without context."""
+    """``pattern`` finds the spans, ``hint`` is something every span holds, ``worth`` the score without context. An ``overlapping``
+    kind's pattern is empty at the start of a span and holds the span as its first group."""
 
     name: str
     pattern: str
     hint: str
     worth: float
     context: str
+    overlapping: bool = False
 
 
 def _entered(run: str) -> str:
@@ -49,6 +52,15 @@ def _entered(run: str) -> str:
     return f"(?:(?<!{run})|\\G)"
 
 
+#: Characters of an account number by country, without blanks (IBAN registry).
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA",
+    30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = "|".join(f"(?:{'|'.join(c.split())})[0-9]{{2}}(?:\\x20?[A-Z0-9]){{{n - 4}}}" for n, c in IBAN_LENGTHS.items())
+
 KINDS = [
     Kind(
         "email",
@@ -80,10 +92,11 @@ KINDS = [
     ),
     Kind(
         "iban",
-        "(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+        f"(?<![A-Za-z0-9])(?=((?:{_IBAN})(?![A-Za-z0-9])))",
         "",
         0.75,
         "(?i)\\b(?:iban|account|bank|konto|cuenta|compte)\\b",
+        overlapping=True,
     ),
 ]
 BASE = ("email", "ip", "card", "phone")
@@ -134,14 +147,15 @@ def _confirmed(kind: str, match: Column) -> Column:
 
 def _proposed(kind: Kind, text: Column) -> Column:
     """Array of (start, end, match) of the kind's matches in the text."""
-    marked = F.regexp_replace(text, kind.pattern, f"{_OPEN}$0{_SHUT}")
+    marked = F.regexp_replace(text, kind.pattern, f"{_OPEN}${1 if kind.overlapping else 0}{_SHUT}")
     pieces = F.split(marked, _OPEN)
     # Every piece but the first begins with a match; each holds one mark that the text does not.
     state = F.aggregate(
         F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))),
         F.struct(F.length(F.get(pieces, F.lit(0))).alias("at"), F.array().cast("array<struct<s:int,e:int,m:string>>").alias("found")),
         lambda state, piece: F.struct(
-            (state["at"] + F.length(piece) - 1).alias("at"),
+            # The span of an overlapping kind stands before the text that it begins, as a copy.
+            (state["at"] + F.length(F.substring_index(piece, _SHUT, -1) if kind.overlapping else piece) - int(not kind.overlapping)).alias("at"),
             F.concat(
                 state["found"],
                 F.array(
@@ -157,6 +171,18 @@ def _proposed(kind: Kind, text: Column) -> Column:
     return state["found"]
 
 
+def _apart(spans: Column) -> Column:
+    """Spans in order of place without those that begin before the end of one that is kept."""
+    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
+    return F.aggregate(
+        spans,
+        none,
+        lambda kept, x: F.when(
+            (F.size(kept) == 0) | (x["s"] >= F.get(kept, F.size(kept) - 1)["e"]), F.concat(kept, F.array(x))
+        ).otherwise(kept),
+    )
+
+
 def _scored(kind: Kind, text: Column, found: Column) -> Column:
     """Confirmed spans as (s, order, e, kind, score)."""
     order = [k.name for k in KINDS].index(kind.name)
@@ -171,7 +197,8 @@ def _scored(kind: Kind, text: Column, found: Column) -> Column:
         )
         return F.struct(x["s"].alias("s"), F.lit(order).alias("o"), x["e"].alias("e"), F.lit(kind.name).alias("kind"), score.alias("score"))
 
-    spans = F.transform(F.filter(found, lambda x: _confirmed(kind.name, x["m"])), span)
+    confirmed = F.filter(found, lambda x: _confirmed(kind.name, x["m"]))
+    spans = F.transform(_apart(confirmed) if kind.overlapping else confirmed, span)
     return spans if kind.name in BASE else F.filter(spans, lambda x: x["score"] >= LEAST_SCORE)
 
 

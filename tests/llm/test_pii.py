@@ -87,6 +87,19 @@ def test_checksums(spark, text, found):
     assert [s["kind"] for s in row["pii"] if not (s["kind"] == "card" and "iban" in found)] == found
 
 
+def test_account_numbers_among_capitals_and_digits(spark):
+    number, spaced = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00"
+    texts = [f"IBAN {spaced} BIC COBADEFFXXX", f"{number} EUR 500", f"{number} I paid", f"{number} 2024", f"AB12 {number} ok"]
+    texts += [f"DE12 {spaced} DE12", f"漢 {number} {number} NO9386011117947 GB82 WEST 1234 5698 7654 32 X"]
+    wanted = [[spaced], [number], [number], [number], [number], [spaced]]
+    wanted += [[number, number, "NO9386011117947", "GB82 WEST 1234 5698 7654 32"]]
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")).collect()
+    assert [[r["text"][s["start"] : s["end"]] for s in r["pii"] if s["kind"] == "iban"] for r in sorted(rows)] == wanted
+    for text in (f"{number}1", f"{number[:-1]} I paid", f"x{number}"):
+        (row,) = pii.find_pii(spark.createDataFrame([(text,)], "text string")).collect()
+        assert "iban" not in [s["kind"] for s in row["pii"]]
+
+
 def test_context_moves_the_score(spark):
     texts = ["pay by credit card 4111111111111111", "4111111111111111", "a sample 4111111111111111"]
     rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")).collect()
