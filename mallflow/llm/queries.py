@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import chat, decontaminate, licenses, lines, mixing, near, pii, quality, shards, substrings, warc
+from mallflow.llm import chat, decontaminate, licenses, lines, mixing, near, pii, quality, shards, substrings, trie, warc
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +34,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_revisits": warc.ORACLE_SQL,
         "op9_perspectives": chat.ORACLE_SQL,
         "op10_suffix_trees": substrings.ORACLE_SQL,
+        "op11_centroids": trie.ORACLE_SQL,
         "op13_line_runs": lines.ORACLE_SQL,
     }
 
@@ -107,6 +108,11 @@ def op9_perspectives(spark, sf_dir):
     return chat.rotate(_table(spark, sf_dir, "conversations"))
 
 
+@query
+def op11_centroids(spark, sf_dir):
+    return trie.digest(_table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_line_runs(spark, sf_dir):
     found = lines.drop_common_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -20,6 +20,6 @@ def test_query_matches_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in registry()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in registry()}
     assert set(registry()) | {"pipeline"} <= set(queries())
     assert set(llm_sql()) <= set(oracle_sql())
