@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallflow.llm import chat, decontaminate, licenses, lines, mixing, near, pii, quality, shards, substrings, trie, warc
+from mallflow.llm import chat, decontaminate, licenses, lines, mixing, near, pii, quality, repair, shards, substrings, trie, warc
 from mallflow.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,6 +35,7 @@ def oracle_sql() -> dict[str, str]:
         "op9_perspectives": chat.ORACLE_SQL,
         "op10_suffix_trees": substrings.ORACLE_SQL,
         "op11_centroids": trie.ORACLE_SQL,
+        "op12_viterbi": repair.ORACLE_SQL,
         "op13_line_runs": lines.ORACLE_SQL,
     }
 
@@ -113,6 +114,11 @@ def op11_centroids(spark, sf_dir):
     return trie.digest(_table(spark, sf_dir, "conversations"))
 
 
+@query
+def op12_viterbi(spark, sf_dir):
+    return repair.digest(_table(spark, sf_dir, "conversations"))
+
+
 @query
 def op13_line_runs(spark, sf_dir):
     found = lines.drop_common_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
