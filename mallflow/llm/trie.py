@@ -151,8 +151,10 @@ def prefix_trie(turns: DataFrame, component: int = COMPONENT) -> tuple[DataFrame
         ((F.col("n_convs") - 1) * F.col("size")).alias("own_saved"),
         *[F.lit(0).cast("bigint").alias(name) for name in _SUMS],
     )
-    root = start.where(F.col("depth") == _ROOT_DEPTH).select(F.col("conv").alias("top_conv"), F.lit(_ROOT_DEPTH).cast("bigint").alias("top_depth"))
-    return rollup(stored(start.join(F.broadcast(root)), "forest"), through, component), ends
+    # All nodes are one tree, whose root is the only one of its depth.
+    root = nodes.where(F.col("depth") == _ROOT_DEPTH).select("conv").scalar()
+    start = start.select("*", root.alias("top_conv"), F.lit(_ROOT_DEPTH).cast("bigint").alias("top_depth"))
+    return rollup(stored(start, "forest"), through, component), ends
 
 
 def rollup(forest: DataFrame, through: DataFrame, component: int = COMPONENT) -> DataFrame:
