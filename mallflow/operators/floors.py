@@ -73,6 +73,26 @@ def floor_minute_flow(dw: DataFrame, *keys: str) -> DataFrame:
     )
 
 
+def minute_records(dw: DataFrame) -> DataFrame:
+    """The distinct whole records per floor, hour and minute as 128-bit digests (``d1``, ``d2``).
+
+    A record with a null column has no digest; one row without digest stands for all of them in a floor and minute, so that these still
+    appear. Records of several batches unite to those of the day, and :func:`minute_counts` of disjoint sets of them add up.
+    """
+    whole = reduce(lambda a, b: a & b, (F.col(c).isNotNull() for c in CLEAN_PING.names))
+    digests = [F.when(whole, h).alias(name) for name, h in (("d1", F.xxhash64(*_IDENTITY)), ("d2", F.xxhash64(F.lit(1), *_IDENTITY)))]
+    return dw.select("locName", "dt_hour", "dt_min", *digests).distinct()
+
+
+def minute_counts(records: DataFrame) -> DataFrame:
+    return records.groupBy("locName", "dt_hour", "dt_min").agg(F.count("d1").alias("cnt"))
+
+
+def merged_minutes(counts: DataFrame) -> DataFrame:
+    """Counts of disjoint sets of records put together."""
+    return counts.groupBy("locName", "dt_hour", "dt_min").agg(F.sum("cnt").alias("cnt"))
+
+
 def heat_map(visits: DataFrame) -> DataFrame:
     """Distinct devices per grid cell, cells with more than five only."""
     return (

@@ -11,13 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# The part that moves between hours fall into.
+BETWEEN = "between"
+
 # Longest array used to repeat a row.
 _COPIES = 10_000
 
 
 def _part() -> Column:
     # Clock texts need not be padded, so the hour is put together from the clock's parts.
-    return F.format_string("%04d-%02d-%02d %02d", "dt_year", "dt_month", "dt_day", "dt_hour")
+    return F.format_string("%04d%02d%02d%02d", "dt_year", "dt_month", "dt_day", "dt_hour")
 
 
 def _sightings(dw: DataFrame) -> DataFrame:
@@ -30,15 +33,29 @@ def _differ(a: str, b: str) -> Column:
     return (F.upper(a) != F.upper(b)) & (F.lower(a) != F.lower(b))
 
 
-def _links(steps: DataFrame) -> DataFrame:
+def _links(steps: DataFrame, *more: str) -> DataFrame:
     return steps.where(_differ("from_name", "to_name")).select(
-        "mac", "date_time", "from_name", "to_name", F.lit(1).alias("times"), "p_dt"
+        "mac", "date_time", "from_name", "to_name", F.lit(1).alias("times"), "p_dt", *more
     )
 
 
+def sightings(dw: DataFrame) -> DataFrame:
+    """The distinct named sightings, with the clock hour (``part``) they fall into. Those of several batches unite to those of the day."""
+    return _sightings(dw).distinct()
+
+
+def parts(dw: DataFrame) -> DataFrame:
+    """The clock hours that have sightings."""
+    return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select(_part().alias("part")).distinct()
+
+
 def hour_steps(dw: DataFrame) -> DataFrame:
     """Every sighting with the shop before it in its hour, and whether it opens or closes the device's hour."""
-    folded = _sightings(dw).distinct()
+    return steps_of(sightings(dw))
+
+
+def steps_of(folded: DataFrame) -> DataFrame:
+    """:func:`hour_steps` of distinct sightings."""
     path = Window.partitionBy("p_dt", "part", "mac").orderBy("time_stamp", "name")
     return folded.select(
         "p_dt",
@@ -53,27 +70,31 @@ def hour_steps(dw: DataFrame) -> DataFrame:
     )
 
 
-def needed_steps(steps: DataFrame) -> DataFrame:
-    """The steps that moves are made of: those that change shop, and the edges of the hours."""
-    return steps.where(_differ("from_name", "to_name") | F.col("opens") | F.col("closes"))
+def edges(steps: DataFrame) -> DataFrame:
+    """The first and last sighting of each device in an hour."""
+    return steps.where(F.col("opens") | F.col("closes")).drop("from_name")
 
 
 def hour_links(steps: DataFrame) -> DataFrame:
-    """Moves inside the hours."""
-    return _links(steps)
+    """Moves inside the hours, with their hour as ``part``."""
+    return _links(steps, "part")
 
 
 def edge_links(steps: DataFrame) -> DataFrame:
-    """Moves from the last shop of one hour to the first of the device's next one."""
+    """Moves from the last shop of one hour to the first of the device's next one, from all steps or from their edges."""
     path = Window.partitionBy("p_dt", "mac").orderBy("time_stamp", "to_name")
-    edges = steps.where(F.col("opens") | F.col("closes"))
-    return _links(edges.withColumn("from_name", F.lag("to_name").over(path)).where("opens"))
+    return _links(edges(steps).withColumn("from_name", F.lag("to_name").over(path)).where("opens"))
+
+
+def parted_links(dw: DataFrame) -> DataFrame:
+    """:func:`consecutive_links` with the part each move falls into."""
+    steps = hour_steps(dw)
+    return hour_links(steps).unionByName(edge_links(steps).withColumn("part", F.lit(BETWEEN)))
 
 
 def consecutive_links(dw: DataFrame) -> DataFrame:
     """Moves between consecutive differently named shops, per device and ``p_dt``."""
-    steps = hour_steps(dw)
-    return hour_links(steps).unionByName(edge_links(steps))
+    return parted_links(dw).drop("part")
 
 
 def anchor_links(dw: DataFrame) -> DataFrame:
@@ -99,8 +120,13 @@ def _unfold(moves: DataFrame) -> DataFrame:
     return chunks.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), left)))
 
 
+def pair_counts(links: DataFrame, *keys: str) -> DataFrame:
+    """Moves per shop pair (and ``keys``). Counts of parts of the day add up."""
+    return links.groupBy(*keys, "from_name", "to_name").agg(F.sum("times").alias("times"))
+
+
 def link_matrix(links: DataFrame) -> DataFrame:
-    """Moves per shop pair, with all moves out of the first shop."""
-    pairs = links.groupBy("from_name", "to_name").agg(F.count(F.lit(1)).alias("times"))
+    """Moves per shop pair, from moves or from pair counts of parts, with all moves out of the first shop."""
+    pairs = pair_counts(links)
     out = Window.partitionBy("from_name")
     return pairs.withColumn("total", F.sum("times").over(out))

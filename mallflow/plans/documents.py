@@ -10,24 +10,26 @@ from pyspark.sql import functions as F
 
 from mallflow.functions import date_keys
 from mallflow.operators import floors, flow, shops
-from mallflow.operators.links import link_matrix
+from mallflow.operators.links import consecutive_links, link_matrix, pair_counts
 from mallflow.schema import MALL_ID, METRIC
 
 
 @dataclass(frozen=True)
 class Snapshot:
-    """What the metrics of one batch read: the clean batch, the clean day and the day's floor minutes.
+    """What the metrics of one batch read: the clean batch, the clean day, and the day's floor minutes and moves by shop pair.
 
-    ``day`` holds clean pings or visit summaries of them.
+    ``day`` holds clean pings or visit summaries of them; ``pairs`` may hold several counts of a pair, which add up.
     """
 
     rt: DataFrame
     day: DataFrame
     minutes: DataFrame
+    pairs: DataFrame
 
 
 def snapshot(rt: DataFrame, dw: DataFrame) -> Snapshot:
-    return Snapshot(rt, dw, floors.floor_minute_flow(dw))
+    moves = consecutive_links(dw.withColumn("p_dt", F.lit("")))
+    return Snapshot(rt, dw, floors.floor_minute_flow(dw), pair_counts(moves))
 
 
 @dataclass(frozen=True)
@@ -67,6 +69,10 @@ PRODUCTS: dict[str, Product] = {
         minute="dt_min",
     ),
     "heat_map": Product(lambda s: floors.heat_map(s.day), {"floor": "floor", "x": "x", "y": "y", "count": "cnt"}),
+    "brand_link": Product(
+        lambda s: link_matrix(s.pairs),
+        {"from_name": "from_name", "to_name": "to_name", "times": "times", "total": "total"},
+    ),
 }
 
 
@@ -96,6 +102,5 @@ def product_documents(bi_name: str, state: Snapshot, as_of: str) -> DataFrame:
 
 
 def brand_link_documents(links: DataFrame, as_of: str) -> DataFrame:
-    """Shop-pair moves as documents. Not among the products a batch refreshes."""
-    keys = {name: name for name in ("from_name", "to_name", "times", "total")}
-    return metric_documents(link_matrix(links), "brand_link", as_of, keys)
+    """Shop-pair moves as documents, from the moves themselves."""
+    return metric_documents(link_matrix(links), "brand_link", as_of, PRODUCTS["brand_link"].values)

@@ -191,6 +191,7 @@ _DOCUMENTS = {
     "rt_catalog": ("rt_top_category", {"catalog": "catalog", "total": "total"}, _PADDED),
     "floor_day_flow": ("floor_minute_flow", {"floor": "locName", "count": "cnt"}, ("dt_hour", "dt_min")),
     "heat_map": ("heat_map", {"floor": "floor", "x": "x", "y": "y", "count": "cnt"}, _PADDED),
+    "brand_link": (f"({_TAILS['brand_link_matrix']})", {c: c for c in ("from_name", "to_name", "times", "total")}, _PADDED),
 }
 
 
@@ -204,7 +205,7 @@ def _entries(bi_name: str) -> str:
     )
 
 
-_DAY = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map")
+_DAY = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map", "brand_link")
 
 _TAILS |= {
     "metric_documents": " UNION ALL ".join(_entries(name) for name in _DOCUMENTS),
@@ -215,7 +216,7 @@ _TAILS |= {
         UNION ALL
         SELECT 'brand_link', from_name || '>' || to_name, CAST(count(*) AS VARCHAR) FROM links GROUP BY from_name, to_name
         UNION ALL
-        SELECT 'status', unnest(['batch_counts', 'brand_link', {", ".join(f"'{name}'" for name in _DOCUMENTS)}]), '2'""",
+        SELECT 'status', unnest(['batch_counts', {", ".join(f"'{name}'" for name in _DOCUMENTS)}]), '2'""",
 }
 
 

@@ -330,7 +330,7 @@ def brand_link_backfill(spark, sf_dir):
     dw = clean.wash_day(fixtures.dated_pings(_events(spark, sf_dir)), _dimensions(spark, sf_dir))
     tables.replace_partitions(dw, dw_root, "p_dt")
     backfill.backfill_links(spark, dw_root, links_root)
-    return tables.scan(spark, links_root, LINKS)
+    return tables.scan(spark, links_root, LINKS).drop("part")
 
 
 # --- documents and streams -----------------------------------------------------------------------
@@ -363,7 +363,8 @@ def metric_documents(spark, sf_dir):
         lambda: floors.floor_minute_flow(dw).write.parquet(f"{root}/minutes"),
     )
     day, minutes = (spark.read.parquet(f"{root}/{name}") for name in ("visits", "minutes"))
-    state = documents.Snapshot(rt, day, minutes)
+    moves = links.consecutive_links(dw.withColumn("p_dt", F.lit(AS_OF_DATE)))
+    state = documents.Snapshot(rt, day, minutes, links.pair_counts(moves))
     docs = [documents.product_documents(bi_name, state, AS_OF) for bi_name in documents.PRODUCTS]
     return _flattened(reduce(DataFrame.unionByName, docs))
 
@@ -388,7 +389,7 @@ def stream_minute_flow(spark, sf_dir):
 
 
 STREAM_BATCHES = 2
-_DAY_PRODUCTS = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map")
+_DAY_PRODUCTS = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map", "brand_link")
 
 
 @query

@@ -1,63 +1,81 @@
 """The day's tables and how a batch of pings moves through them.
 
-The clean pings are stored by processing date, event hour and batch. Visits, floor minutes and path steps are derived from
-them per event hour, so a batch makes only the hours it touches be worked out again, from the stored pings: running a batch
-twice gives the same tables. The day metrics read the visits and floor minutes of the whole day, and the moves its path steps: fewer
-rows than pings where devices stay about, nearly as many where every ping is in another place. The moves are published from all steps
-of the day, so that part of a batch's work grows with the day; it can be left to the backfill.
+A batch is worked into the day without reading the pings of other batches:
+
+* *visits* (pings, first and last second by cell, shop and device) and *minutes* (distinct records by floor and minute) are partial
+  aggregates, one run per batch (:mod:`mallflow.plans.runs`). They add up to the day, and runs are merged level by level.
+* *records* are the digests of the records that are counted in ``minutes``, by event hour and batch. A batch is compared with those
+  of its own minutes, and only digests that are new are stored and counted, so counts of batches are of disjoint sets.
+* *sightings* are the distinct (device, second, shop) by event hour and batch. Only the hours that a batch touches are walked again:
+  their inner moves, the first and last sighting of each device (*edges*) and the moves by pair (*pairs*) take the place of the
+  old ones. Moves from hour to hour come from the edges of the whole day, at most two rows per device and hour, and are a partition
+  of their own. The files of an untouched hour stay as they are.
+
+Every write replaces whole partitions named by the batch or the hour, so a batch that is run again gives the same tables. A batch's
+row of the runs says which runs it builds on.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mallflow.operators import links
-from mallflow.operators.clean import business_hours, wash_day
-from mallflow.operators.floors import floor_minute_flow
+from mallflow.operators import floors, links
+from mallflow.operators.clean import wash_day
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.visits import visit_summary
-from mallflow.plans.documents import Snapshot
+from mallflow.plans.runs import Merge, own_run
 from mallflow.schema import CLEAN_PING, LINK, PING, VISIT, with_keys
 from mallflow.session import together
 from mallflow.sources.metrics import MetricStore
-from mallflow.sources.tables import append_batch, replace_day, replace_partitions, scan_day
+from mallflow.sources.tables import append_batch, replace_day, replace_partition, replace_partitions, scan_day, stamp
 
 _P_DT = ("p_dt", T.StringType())
 _HOUR = ("dt_hour", T.IntegerType())
 _BATCH = ("batch_id", T.LongType())
+_RUN = ("run", T.StringType())
+_PART = ("part", T.StringType())
+
+
+def _table(*fields: tuple[str, T.DataType]) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields])
+
+
+_TEXT, _INT, _LONG = T.StringType(), T.IntegerType(), T.LongType()
 
 ODS = with_keys(PING, _P_DT, _BATCH)
 DW = with_keys(CLEAN_PING, _P_DT, _HOUR, _BATCH)
-DEAD = T.StructType([T.StructField("value", T.StringType()), T.StructField(*_P_DT), T.StructField(*_BATCH)])
-VISITS = with_keys(VISIT, _P_DT, _HOUR)
-MINUTES = T.StructType(
-    [
-        T.StructField("locName", T.StringType()),
-        T.StructField("dt_min", T.IntegerType()),
-        T.StructField("cnt", T.LongType()),
-        T.StructField(*_P_DT),
-        T.StructField(*_HOUR),
-    ]
+DEAD = _table(("value", _TEXT), _P_DT, _BATCH)
+VISITS = with_keys(VISIT, _P_DT, _RUN)
+MINUTES = _table(("locName", _TEXT), _HOUR, ("dt_min", _INT), ("cnt", _LONG), _P_DT, _RUN)
+RECORDS = _table(("locName", _TEXT), ("dt_min", _INT), ("slot", _INT), ("d1", _LONG), ("d2", _LONG), _P_DT, _HOUR, _BATCH)
+SIGHTINGS = _table(("mac", _TEXT), ("time_stamp", _INT), ("date_time", _TEXT), ("name", _TEXT), _P_DT, _PART, _BATCH)
+EDGES = _table(
+    ("mac", _TEXT),
+    ("time_stamp", _INT),
+    ("date_time", _TEXT),
+    ("to_name", _TEXT),
+    ("opens", T.BooleanType()),
+    ("closes", T.BooleanType()),
+    _P_DT,
+    _PART,
 )
-STEPS = T.StructType(
-    [
-        T.StructField("mac", T.StringType()),
-        T.StructField("time_stamp", T.IntegerType()),
-        T.StructField("date_time", T.StringType()),
-        T.StructField("from_name", T.StringType()),
-        T.StructField("to_name", T.StringType()),
-        T.StructField("opens", T.BooleanType()),
-        T.StructField("closes", T.BooleanType()),
-        T.StructField(*_P_DT),
-        T.StructField("part", T.StringType()),
-    ]
-)
-LINKS = with_keys(LINK, _P_DT)
+LINKS = with_keys(LINK, _P_DT, _PART)
+PAIRS = _table(("from_name", _TEXT), ("to_name", _TEXT), ("times", _LONG), _P_DT, _PART)
+
+# The partition of the moves from one hour to another.
+BETWEEN = links.BETWEEN
+
+# Tables of runs, and how runs are merged.
+MERGEABLE: dict[str, tuple[T.StructType, Callable[[DataFrame], DataFrame]]] = {
+    "visits": (VISITS, visit_summary),
+    "minutes": (MINUTES, floors.merged_minutes),
+}
 
 
 @dataclass(frozen=True)
@@ -95,53 +113,128 @@ class Warehouse:
         """Clean pings of a processing date, or of some event hours of it."""
         return self._day("dw", DW, p_dt, *[f"dt_hour={hour}" for hour in hours])
 
-    def append_clean(self, rt: DataFrame, p_dt: str, batch_id: int) -> None:
-        append_batch(business_hours(rt), self.path("dw"), p_dt, batch_id, "dt_hour")
-
     def rewash(self, p_dt: str, dims: Dimensions) -> None:
         """Clean the whole day again from its raw pings, for a changed shop map or blacklist."""
         replace_day(wash_day(self.pings(p_dt), dims), self.path("dw"), p_dt, "dt_hour", "batch_id")
 
-    # --- derived tables ---
-
-    def refresh(
-        self, p_dt: str, hours: Iterable[int] | None = None, names: Iterable[str] = ("visits", "minutes", "steps")
-    ) -> None:
-        """Work out visits, floor minutes and path steps of the given event hours, or of the whole day, again."""
-        whole_day = hours is None
-        dw = self.clean_pings(p_dt, *(hours or ()))
-
-        derived = {
-            "visits": (visit_summary(dw, "p_dt", "dt_hour"), "dt_hour"),
-            "minutes": (floor_minute_flow(dw, "p_dt"), "dt_hour"),
-            "steps": (links.needed_steps(links.hour_steps(dw)), "part"),
-        }
-
-        def store(name: str) -> None:
-            frame, key = derived[name]
-            if whole_day:
-                replace_day(frame, self.path(name), p_dt, key)
-            else:
-                replace_partitions(frame, self.path(name), "p_dt", key)
+    # --- the day's state ---
+
+    def refresh(self, clean: DataFrame, p_dt: str, batch_id: int, moves: bool = True) -> None:
+        """Work a batch's clean pings of the business hours into the day. They are read several times."""
+        clean = clean.drop("p_dt", "batch_id")
+        steps = [
+            lambda: append_batch(clean, self.path("dw"), p_dt, batch_id, "dt_hour"),
+            partial(self._add_visits, clean, p_dt, batch_id),
+            partial(self._add_minutes, clean, p_dt, batch_id, whole_day=False),
+        ]
+        if moves:
+            steps.append(partial(self._add_moves, clean, p_dt, batch_id, whole_day=False))
+        together(self.spark, *steps)
+
+    def rebuild(self, p_dt: str, dims: Dimensions, batch_id: int, moves: bool = True) -> None:
+        """Clean the whole day again and make its state anew, as if all of it had come with this batch."""
+        self.rewash(p_dt, dims)
+        clean = self.clean_pings(p_dt).drop("p_dt", "batch_id")
+        steps = [
+            partial(self._add_visits, clean, p_dt, batch_id),
+            partial(self._add_minutes, clean, p_dt, batch_id, whole_day=True),
+        ]
+        if moves:
+            steps.append(partial(self._add_moves, clean, p_dt, batch_id, whole_day=True))
+        together(self.spark, *steps)
+
+    def merge(self, p_dt: str, merges: Sequence[Merge]) -> None:
+        """Put runs together. The old ones stay until the day is closed, for readers that still hold them."""
+        for merge in merges:
+            together(self.spark, *[partial(self._merge, name, p_dt, merge) for name in MERGEABLE])
+
+    def _merge(self, name: str, p_dt: str, merge: Merge) -> None:
+        _, merged = MERGEABLE[name]
+        self._put_run(merged(self._runs(name, p_dt, merge.runs)), name, p_dt, merge.into)
+
+    def _put_run(self, frame: DataFrame, name: str, p_dt: str, run: str) -> None:
+        replace_partition(frame, self.path(name), f"p_dt={p_dt}/run={run}")
+
+    def _runs(self, name: str, p_dt: str, runs: Iterable[str]) -> DataFrame:
+        schema, _ = MERGEABLE[name]
+        below = [f"run={run}" for run in runs]
+        return self._day(name, schema, p_dt, *below) if below else self.spark.createDataFrame([], schema)
+
+    def _put(self, frame: DataFrame, name: str, p_dt: str, *keys: str, whole_day: bool, order: Sequence[str] = ()) -> None:
+        if whole_day:
+            replace_day(frame, self.path(name), p_dt, *keys, order=order)
+        else:
+            replace_partitions(frame.withColumn("p_dt", F.lit(p_dt)), self.path(name), "p_dt", *keys, order=order)
+
+    def _add_visits(self, clean: DataFrame, p_dt: str, batch_id: int) -> None:
+        self._put_run(visit_summary(clean), "visits", p_dt, own_run(batch_id))
+
+    # --- minutes ---
+
+    def _add_minutes(self, clean: DataFrame, p_dt: str, batch_id: int, whole_day: bool) -> None:
+        """Store the digests that no earlier batch of the day had in these minutes, and count them."""
+        slot = (F.col("dt_hour") * 60 + F.col("dt_min")).alias("slot")
+        records = stamp(floors.minute_records(clean).select("*", slot), p_dt, batch_id)
+        # At most one for each minute of the day.
+        slots = [] if whole_day else [row["slot"] for row in clean.select(slot).distinct().collect()]
+        hours = sorted({value // 60 for value in slots})
+        if slots:
+            records = self._unseen(records, self._records(p_dt, hours).where(F.col("batch_id") != batch_id), slots)
+        self._put(records, "records", p_dt, "dt_hour", "batch_id", whole_day=whole_day, order=["slot"])
+        new = self._day("records", RECORDS, p_dt) if whole_day else self._records(p_dt, hours, batch_id)
+        self._put_run(floors.minute_counts(new), "minutes", p_dt, own_run(batch_id))
+
+    def _records(self, p_dt: str, hours: Iterable[int], batch_id: int | None = None) -> DataFrame:
+        below = [f"dt_hour={hour}" + ("" if batch_id is None else f"/batch_id={batch_id}") for hour in hours]
+        return self._day("records", RECORDS, p_dt, *below) if below else self.spark.createDataFrame([], RECORDS)
+
+    @staticmethod
+    def _unseen(records: DataFrame, earlier: DataFrame, slots: Sequence[int]) -> DataFrame:
+        keys = ["locName", "dt_hour", "dt_min", "d1", "d2"]
+        old = earlier.where(F.col("slot").between(min(slots), max(slots)) & F.col("slot").isin(*slots))
+        old = old.select(*[F.col(c).alias(f"old_{c}") for c in keys])
+        same = [F.col(c).eqNullSafe(F.col(f"old_{c}")) for c in keys]
+        return records.join(old, same[0] & same[1] & same[2] & same[3] & same[4], "left_anti")
+
+    # --- moves ---
+
+    def _add_moves(self, clean: DataFrame, p_dt: str, batch_id: int, whole_day: bool) -> None:
+        """Store the sightings, walk the touched hours again, and tie the hours of the day together."""
+        seen = stamp(links.sightings(clean.withColumn("p_dt", F.lit(p_dt))), p_dt, batch_id)
+        self._put(seen, "sightings", p_dt, "part", "batch_id", whole_day=whole_day)
+        if whole_day:
+            folded = self._day("sightings", SIGHTINGS, p_dt)
+        else:
+            # The clock hours of the batch's events.
+            parts = [row["part"] for row in links.parts(clean).collect()]
+            if not parts:
+                return
+            folded = self._day("sightings", SIGHTINGS, p_dt, *[f"part={part}" for part in parts])
+        # A sighting may have come with several batches.
+        steps = links.steps_of(folded.drop("batch_id").distinct()).persist()
+        try:
+            inner = links.hour_links(steps)
+            derived = {"edges": links.edges(steps), "links": inner, "pairs": links.pair_counts(inner, "part")}
+            together(self.spark, *[partial(self._put, frame, name, p_dt, "part", whole_day=whole_day) for name, frame in derived.items()])
+        finally:
+            steps.unpersist()
+        between = links.edge_links(self._day("edges", EDGES, p_dt))
+        replace_partition(between, self.path("links"), f"p_dt={p_dt}/part={BETWEEN}")
+        stored = self._day("links", LINKS, p_dt, f"part={BETWEEN}")
+        replace_partition(links.pair_counts(stored), self.path("pairs"), f"p_dt={p_dt}/part={BETWEEN}")
 
-        together(self.spark, *[partial(store, name) for name in names])
-
-    def visits(self, p_dt: str) -> DataFrame:
-        """Visit rows of the day, one per hour, cell, shop and device; the day metrics merge them."""
-        return self._day("visits", VISITS, p_dt)
+    def links(self, p_dt: str) -> DataFrame:
+        return self._day("links", LINKS, p_dt).drop("part")
 
-    def minutes(self, p_dt: str) -> DataFrame:
-        return self._day("minutes", MINUTES, p_dt)
+    def pairs(self, p_dt: str) -> DataFrame:
+        """Moves of the day per shop pair, by hour."""
+        return self._day("pairs", PAIRS, p_dt)
 
-    def snapshot(self, rt: DataFrame, p_dt: str) -> Snapshot:
-        """What the metrics of a batch read: the batch itself and the stored day."""
-        return Snapshot(rt, self.visits(p_dt), self.minutes(p_dt))
+    # --- what the metrics read ---
 
-    def publish_links(self, p_dt: str) -> None:
-        """Overwrite the day's moves from the stored steps."""
-        steps = self._day("steps", STEPS, p_dt)
-        day = links.hour_links(steps).unionByName(links.edge_links(steps))
-        replace_day(day, self.path("links"), p_dt)
+    def visits(self, p_dt: str, runs: Iterable[str]) -> DataFrame:
+        """Visit rows of the day; the day metrics merge them."""
+        return self._runs("visits", p_dt, runs)
 
-    def links(self, p_dt: str) -> DataFrame:
-        return self._day("links", LINKS, p_dt)
+    def minutes(self, p_dt: str, runs: Iterable[str]) -> DataFrame:
+        return floors.merged_minutes(self._runs("minutes", p_dt, runs))

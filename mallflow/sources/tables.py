@@ -49,15 +49,19 @@ def scan_day(spark: SparkSession, root: str, schema: T.StructType, p_dt: str, *b
     return scan(spark, root, schema, partitions).where(F.col("p_dt") == p_dt)
 
 
-def _sized(frame: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+def _sized(frame: DataFrame, keys: tuple[str, ...], order: Sequence[str] = ()) -> DataFrame:
     # Gathers each partition's rows into files of the advisory size; an oversized partition is split over several tasks.
-    return frame.hint("rebalance", *[F.col(k) for k in keys])
+    rows = frame.hint("rebalance", *[F.col(k) for k in keys])
+    return rows.sortWithinPartitions(*keys, *order) if order else rows
 
 
-def replace_partitions(frame: DataFrame, root: str, *keys: str, sized: bool = True) -> None:
-    """Replace exactly the partitions that ``frame`` holds rows for; all others stay as they are."""
+def replace_partitions(frame: DataFrame, root: str, *keys: str, sized: bool = True, order: Sequence[str] = ()) -> None:
+    """Replace exactly the partitions that ``frame`` holds rows for; all others stay as they are.
+
+    The rows of a file are in the given ``order``, so that readers of a range pass over the rest of it.
+    """
     (
-        (_sized(frame, keys) if sized else frame)
+        (_sized(frame, keys, order) if sized else frame)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*keys)
@@ -65,15 +69,24 @@ def replace_partitions(frame: DataFrame, root: str, *keys: str, sized: bool = Tr
     )
 
 
-def replace_day(frame: DataFrame, root: str, p_dt: str, *keys: str, sized: bool = True) -> None:
+def replace_day(
+    frame: DataFrame, root: str, p_dt: str, *keys: str, sized: bool = True, order: Sequence[str] = ()
+) -> None:
     """Replace everything stored for one processing date, also when ``frame`` is empty."""
     rows = frame.drop("p_dt")
     if keys and sized:
-        rows = _sized(rows, keys)
+        rows = _sized(rows, keys, order)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*keys) if keys else writer).parquet(f"{root}/p_dt={p_dt}")
 
 
+def replace_partition(frame: DataFrame, root: str, partition: str) -> None:
+    """Replace the one partition directory, such as ``p_dt=20240115/run=0-3``, also when ``frame`` is empty."""
+    keys = [level.split("=")[0] for level in partition.split("/")]
+    rows = frame.drop(*keys)
+    rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{partition}")
+
+
 def stamp(frame: DataFrame, p_dt: str, batch_id: int | None = None) -> DataFrame:
     """Add the processing date, and the batch a row arrived in."""
     frame = frame.withColumn("p_dt", F.lit(p_dt))

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import partial
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -16,6 +16,7 @@ from mallflow.operators.flow import batch_counts
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.visits import visit_summary
 from mallflow.plans.documents import PRODUCTS, Snapshot, product_documents
+from mallflow.plans.runs import compacted, own_run
 from mallflow.plans.warehouse import Warehouse
 from mallflow.session import size_for, stored_bytes, together
 from mallflow.sources.tables import replace_partitions, scan, scan_day, stamp
@@ -25,6 +26,10 @@ _RUN = T.StructType(
     [
         T.StructField("as_of", T.StringType()),
         T.StructField("dims_version", T.StringType()),
+        # The runs of the day that the batch builds on, whether it adds one, and whether it makes the day anew instead.
+        T.StructField("live", T.ArrayType(T.StringType())),
+        T.StructField("adds", T.BooleanType()),
+        T.StructField("rebuilds", T.BooleanType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -42,6 +47,23 @@ def _date_key(as_of: str) -> str:
     return as_of[:10].replace("-", "")
 
 
+@dataclass(frozen=True)
+class Run:
+    """What is noted of a batch."""
+
+    as_of: str
+    dims_version: str
+    live: list[str]
+    adds: bool
+    rebuilds: bool
+    batch_id: int
+
+    @property
+    def after(self) -> list[str]:
+        """The runs of the day once the batch is done."""
+        return [*self.live, own_run(self.batch_id)] if self.adds else list(self.live)
+
+
 @dataclass(frozen=True)
 class MallJob:
     """``dimensions`` is read again for every batch. ``clock`` gives a batch's processing time as clock text; by default
@@ -70,53 +92,61 @@ class MallJob:
                 return
             size_for(house.spark, messages.size)
             dims = self.dimensions()
-            as_of, rebuild = self._open(batch_id, dims.version)
-            p_dt = _date_key(as_of)
+            run = self._open(batch_id, dims.version)
+            p_dt = _date_key(run.as_of)
             land(house, messages, p_dt, batch_id)
 
         raw = house.pings(p_dt, batch_id).drop("p_dt", "batch_id")
         rt = clean_batch(raw, dims).persist()
         try:
-            if rebuild:
+            if run.rebuilds:
                 size_for(house.spark, stored_bytes(house.spark, f"{house.path('ods')}/p_dt={p_dt}"))
-                house.rewash(p_dt, dims)
-                house.refresh(p_dt)
+                house.rebuild(p_dt, dims, batch_id, self.links)
             else:
-                house.append_clean(rt, p_dt, batch_id)
-                # At most 24 values.
-                hours = [row["dt_hour"] for row in business_hours(rt).select("dt_hour").distinct().collect()]
-                if hours:
-                    house.refresh(p_dt, hours)
-            self._report(raw, rt, p_dt, batch_id, as_of)
+                house.refresh(business_hours(rt), p_dt, batch_id, self.links)
+            self._report(raw, rt, p_dt, batch_id, run)
         finally:
             rt.unpersist()
 
-    def _open(self, batch_id: int, dims_version: str) -> tuple[str, bool]:
-        """Processing time of the batch, and whether the day must be cleaned again from its raw pings.
+    def _open(self, batch_id: int, dims_version: str) -> Run:
+        """Note the batch: its processing time, the runs of the day before it, and whether the day must be made anew.
 
-        The time is written down before any other output, so a batch that is run again after midnight keeps its date. The
-        day is cleaned again when the static tables have changed since the batch before, and when a batch is run again.
+        The note is written before any other output, so a batch that is run again after midnight keeps its date and builds on the
+        same runs. The day is made anew from its raw pings when the static tables have changed since the batch before, when moves
+        were left out before, and when nothing is known of the batch before.
         """
+        version = f"{dims_version}{'/links' if self.links else ''}"
         seen, before = together(
             self.warehouse.spark, lambda: self._run(batch_id), lambda: self._run(batch_id - 1)
         )
-        as_of = seen["as_of"] if seen else self._now(batch_id)
-        self._note(as_of, dims_version, batch_id)
-        changed = before is not None and before["dims_version"] != dims_version
-        return as_of, seen is not None or changed or (before is None and batch_id > 0)
+        as_of = seen.as_of if seen else self._now(batch_id)
+        same_day = before is not None and _date_key(before.as_of) == _date_key(as_of)
+        changed = before is not None and before.dims_version != version
+        rebuilds = changed or (before is None and batch_id > 0) or (seen is not None and seen.rebuilds)
+        live = self._merged(before, _date_key(as_of)) if same_day and not rebuilds else []
+        run = Run(as_of, version, live, True, rebuilds, batch_id)
+        self._note(run)
+        return run
+
+    def _merged(self, before: Run, p_dt: str) -> list[str]:
+        """The runs after a batch, full levels put together."""
+        live, merges = compacted(before.after)
+        self.warehouse.merge(p_dt, merges)
+        return live
 
     def _skip(self, batch_id: int) -> None:
         """Hand the note of the batch before on, so that a change of the static tables is still seen by the next batch."""
         before = self._run(batch_id - 1)
         if before is not None:
-            self._note(before["as_of"], before["dims_version"], batch_id)
+            self._note(replace(before, live=before.after, adds=False, rebuilds=False, batch_id=batch_id))
 
-    def _run(self, batch_id: int) -> Row | None:
-        return scan(self.warehouse.spark, self.warehouse.path("runs"), _RUN, [f"batch_id={batch_id}"]).first()
+    def _run(self, batch_id: int) -> Run | None:
+        row = scan(self.warehouse.spark, self.warehouse.path("runs"), _RUN, [f"batch_id={batch_id}"]).first()
+        return Run(**row.asDict()) if row else None
 
-    def _note(self, as_of: str, dims_version: str, batch_id: int) -> None:
-        run = self.warehouse.spark.createDataFrame([(as_of, dims_version, batch_id)], _RUN)
-        replace_partitions(run, self.warehouse.path("runs"), "batch_id", sized=False)
+    def _note(self, run: Run) -> None:
+        row = self.warehouse.spark.createDataFrame([tuple(getattr(run, name) for name in _RUN.names)], _RUN)
+        replace_partitions(row, self.warehouse.path("runs"), "batch_id", sized=False)
 
     def _now(self, batch_id: int) -> str:
         if self.clock is not None:
@@ -124,12 +154,12 @@ class MallJob:
         now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
         return self.warehouse.spark.range(1).select(now.alias("now")).first()["now"]
 
-    def _report(self, raw: DataFrame, rt: DataFrame, p_dt: str, batch_id: int, as_of: str) -> None:
+    def _report(self, raw: DataFrame, rt: DataFrame, p_dt: str, batch_id: int, run: Run) -> None:
         """Refresh every metric on its own; a failing one is recorded and does not stop the others."""
         house = self.warehouse
-        # The day's visits are merged over the hours once for all day metrics.
-        day = visit_summary(house.visits(p_dt)).persist()
-        state = Snapshot(rt, day, house.minutes(p_dt))
+        # The day's visits are merged over the runs once for all day metrics.
+        day = visit_summary(house.visits(p_dt, run.after)).persist()
+        state = Snapshot(rt, day, house.minutes(p_dt, run.after), house.pairs(p_dt))
 
         def count() -> str:
             row = batch_counts(raw, rt).first()
@@ -137,7 +167,7 @@ class MallJob:
 
         def product(bi_name: str) -> Callable[[], None]:
             def store() -> None:
-                documents = product_documents(bi_name, state, as_of)
+                documents = product_documents(bi_name, state, run.as_of)
                 put = house.metrics.append if PRODUCTS[bi_name].appends else house.metrics.replace
                 put(documents, bi_name, p_dt, batch_id)
 
@@ -150,9 +180,7 @@ class MallJob:
                 return name, False, str(error)
 
         steps: dict[str, Callable[[], str | None]] = {"batch_counts": count}
-        steps |= {bi_name: product(bi_name) for bi_name in self.products}
-        if self.links:
-            steps["brand_link"] = lambda: house.publish_links(p_dt)
+        steps |= {bi_name: product(bi_name) for bi_name in self.products if self.links or bi_name != "brand_link"}
         try:
             outcomes = together(house.spark, *[partial(outcome, name, step) for name, step in steps.items()])
         finally:

@@ -6,10 +6,11 @@ from mallflow.operators.links import (
     anchor_links,
     consecutive_links,
     edge_links,
+    edges,
     hour_links,
     hour_steps,
     link_matrix,
-    needed_steps,
+    pair_counts,
 )
 from mallflow.operators.parse import parse_pings
 from rows import as_sets, clean, clean_pings, lines, message
@@ -127,8 +128,14 @@ def test_repeats_are_folded_before_the_shuffle_and_the_walk_is_shared(spark):
 def test_stored_steps_give_the_same_moves(spark):
     rng = random.Random(3)
     rows = [("20180403", rng.choice("abc"), at(rng.randrange(0, 40_000, 300)), rng.choice("ABC")) for _ in range(400)]
-    steps = needed_steps(hour_steps(frame(spark, rows)))
-    assert as_sets(hour_links(steps).unionByName(edge_links(steps)), *COLUMNS) == brute_consecutive(rows)
+    steps = hour_steps(frame(spark, rows))
+    moves = hour_links(steps).drop("part").unionByName(edge_links(edges(steps)))
+    assert as_sets(moves, *COLUMNS) == brute_consecutive(rows)
+    # Counts of parts put together are those of the whole.
+    parts = pair_counts(hour_links(steps), "part").drop("part").unionByName(pair_counts(edge_links(steps)))
+    assert as_sets(link_matrix(parts), "from_name", "to_name", "times", "total") == as_sets(
+        link_matrix(moves), "from_name", "to_name", "times", "total"
+    )
 
 
 def test_matrix(spark):

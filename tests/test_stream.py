@@ -18,7 +18,7 @@ SHOPS = [(x, y, f"F{f}", f"shop{x}{y}" if x else "走道", "t" if y else None) f
 BLACKLIST = ["m5"]
 AS_OF = "2018-04-03 23:00:00"
 DAY = "20180403"
-DAY_PRODUCTS = ["today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map"]
+DAY_PRODUCTS = ["today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map", "brand_link"]
 
 
 def texts(start, stop):
@@ -103,7 +103,7 @@ def test_stream_equals_batch_and_goes_on_after_restart(spark, tmp_path):
     assert job.warehouse.dead_letters(DAY).count() == 3
     assert job.warehouse.pings(DAY).count() == 150
     status = job.status(DAY).collect()
-    assert all(r["ok"] for r in status) and len(status) == 3 * (len(documents.PRODUCTS) + 2)
+    assert all(r["ok"] for r in status) and len(status) == 3 * (len(documents.PRODUCTS) + 1)
     assert {r["detail"] for r in status if r["step"] == "batch_counts" and r["batch_id"] == 2} == {
         f"raw=30 clean={rt.count()}"
     }
