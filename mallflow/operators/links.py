@@ -18,14 +18,15 @@ BETWEEN = "between"
 _COPIES = 10_000
 
 
-def _part() -> Column:
+def part_of() -> Column:
+    """The clock hour of a ping."""
     # Clock texts need not be padded, so the hour is put together from the clock's parts.
     return F.format_string("%04d%02d%02d%02d", "dt_year", "dt_month", "dt_day", "dt_hour")
 
 
 def _sightings(dw: DataFrame) -> DataFrame:
     named = dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull())
-    return named.select("p_dt", _part().alias("part"), "mac", "time_stamp", "date_time", "name")
+    return named.select("p_dt", part_of().alias("part"), "mac", "time_stamp", "date_time", "name")
 
 
 def _differ(a: str, b: str) -> Column:
@@ -46,7 +47,7 @@ def sightings(dw: DataFrame) -> DataFrame:
 
 def parts(dw: DataFrame) -> DataFrame:
     """The clock hours that have sightings."""
-    return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select(_part().alias("part")).distinct()
+    return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select(part_of().alias("part")).distinct()
 
 
 def hour_steps(dw: DataFrame) -> DataFrame:

@@ -25,6 +25,11 @@ def own_run(batch_id: int) -> str:
     return f"0-{batch_id}"
 
 
+def merged_run(batch_id: int) -> str:
+    """The name of a run that holds all of the day up to a batch; above every level that runs are merged to."""
+    return f"99-{batch_id}"
+
+
 def _level(run: str) -> int:
     return int(run.split("-")[0])
 

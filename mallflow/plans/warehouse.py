@@ -27,10 +27,10 @@ from pyspark.sql import types as T
 
 from mallflow.operators import floors, links
 from mallflow.operators.clean import wash_day
-from mallflow.operators.lookup import Dimensions
+from mallflow.operators.lookup import Dimensions, load_dimensions
 from mallflow.operators.visits import visit_summary
 from mallflow.plans.runs import Merge, own_run
-from mallflow.schema import CLEAN_PING, LINK, PING, VISIT, with_keys
+from mallflow.schema import BLACKLIST, CLEAN_PING, LINK, PING, SHOP, VISIT, with_keys
 from mallflow.session import together
 from mallflow.sources.metrics import MetricStore
 from mallflow.sources.tables import append_batch, replace_day, replace_partition, replace_partitions, scan_day, stamp
@@ -113,10 +113,28 @@ class Warehouse:
         """Clean pings of a processing date, or of some event hours of it."""
         return self._day("dw", DW, p_dt, *[f"dt_hour={hour}" for hour in hours])
 
+    def clean_parts(self, p_dt: str, parts: Iterable[tuple[int, int]]) -> DataFrame:
+        """Clean pings of some event hours and batches."""
+        return self._day("dw", DW, p_dt, *[f"dt_hour={hour}/batch_id={batch_id}" for hour, batch_id in parts])
+
     def rewash(self, p_dt: str, dims: Dimensions) -> None:
         """Clean the whole day again from its raw pings, for a changed shop map or blacklist."""
         replace_day(wash_day(self.pings(p_dt), dims), self.path("dw"), p_dt, "dt_hour", "batch_id")
 
+    # --- static tables ---
+
+    def keep_dimensions(self, dims: Dimensions, batch_id: int) -> None:
+        """Store the static tables that a batch is the first to be cleaned with."""
+        for name in ("shops", "blacklist"):
+            getattr(dims, name).write.mode("overwrite").parquet(self.path(f"dims/batch_id={batch_id}/{name}"))
+
+    def kept_dimensions(self, batch_id: int) -> Dimensions:
+        read = [
+            self.spark.read.schema(schema).parquet(self.path(f"dims/batch_id={batch_id}/{name}"))
+            for name, schema in (("shops", SHOP), ("blacklist", BLACKLIST))
+        ]
+        return load_dimensions(*read)
+
     # --- the day's state ---
 
     def refresh(self, clean: DataFrame, p_dt: str, batch_id: int, moves: bool = True) -> None:
@@ -150,9 +168,10 @@ class Warehouse:
 
     def _merge(self, name: str, p_dt: str, merge: Merge) -> None:
         _, merged = MERGEABLE[name]
-        self._put_run(merged(self._runs(name, p_dt, merge.runs)), name, p_dt, merge.into)
+        self.put_run(merged(self._runs(name, p_dt, merge.runs)), name, p_dt, merge.into)
 
-    def _put_run(self, frame: DataFrame, name: str, p_dt: str, run: str) -> None:
+    def put_run(self, frame: DataFrame, name: str, p_dt: str, run: str) -> None:
+        """Store a run of a mergeable table; the same run written again takes its own place."""
         replace_partition(frame, self.path(name), f"p_dt={p_dt}/run={run}")
 
     def _runs(self, name: str, p_dt: str, runs: Iterable[str]) -> DataFrame:
@@ -167,7 +186,7 @@ class Warehouse:
             replace_partitions(frame.withColumn("p_dt", F.lit(p_dt)), self.path(name), "p_dt", *keys, order=order)
 
     def _add_visits(self, clean: DataFrame, p_dt: str, batch_id: int) -> None:
-        self._put_run(visit_summary(clean), "visits", p_dt, own_run(batch_id))
+        self.put_run(visit_summary(clean), "visits", p_dt, own_run(batch_id))
 
     # --- minutes ---
 
@@ -182,7 +201,7 @@ class Warehouse:
             records = self._unseen(records, self._records(p_dt, hours).where(F.col("batch_id") != batch_id), slots)
         self._put(records, "records", p_dt, "dt_hour", "batch_id", whole_day=whole_day, order=["slot"])
         new = self._day("records", RECORDS, p_dt) if whole_day else self._records(p_dt, hours, batch_id)
-        self._put_run(floors.minute_counts(new), "minutes", p_dt, own_run(batch_id))
+        self.put_run(floors.minute_counts(new), "minutes", p_dt, own_run(batch_id))
 
     def _records(self, p_dt: str, hours: Iterable[int], batch_id: int | None = None) -> DataFrame:
         below = [f"dt_hour={hour}" + ("" if batch_id is None else f"/batch_id={batch_id}") for hour in hours]
@@ -211,11 +230,21 @@ class Warehouse:
                 return
             folded = self._day("sightings", SIGHTINGS, p_dt, *[f"part={part}" for part in parts])
         # A sighting may have come with several batches.
-        steps = links.steps_of(folded.drop("batch_id").distinct()).persist()
+        self.walk(p_dt, folded.drop("batch_id").distinct(), None if whole_day else parts)
+
+    def walk(self, p_dt: str, sightings: DataFrame, parts: Sequence[str] | None, fewer: bool = False) -> None:
+        """Make the moves of some clock hours, or of the whole day, from all their distinct sightings, and those between the hours.
+
+        ``fewer`` says that the hours may have lost sightings, and with them all their moves.
+        """
+        steps = links.steps_of(sightings).persist()
         try:
             inner = links.hour_links(steps)
             derived = {"edges": links.edges(steps), "links": inner, "pairs": links.pair_counts(inner, "part")}
-            together(self.spark, *[partial(self._put, frame, name, p_dt, "part", whole_day=whole_day) for name, frame in derived.items()])
+            put = [partial(self._put, frame, name, p_dt, "part", whole_day=parts is None) for name, frame in derived.items()]
+            together(self.spark, *put)
+            if fewer:
+                self._clear(p_dt, parts, steps, inner)
         finally:
             steps.unpersist()
         between = links.edge_links(self._day("edges", EDGES, p_dt))
@@ -223,6 +252,16 @@ class Warehouse:
         stored = self._day("links", LINKS, p_dt, f"part={BETWEEN}")
         replace_partition(links.pair_counts(stored), self.path("pairs"), f"p_dt={p_dt}/part={BETWEEN}")
 
+    def _clear(self, p_dt: str, parts: Sequence[str], steps: DataFrame, inner: DataFrame) -> None:
+        """Empty what the hours had before and have no more."""
+        seen, moved = ({row["part"] for row in frame.select("part").distinct().collect()} for frame in (steps, inner))
+        gone = [("edges", EDGES, part) for part in sorted(set(parts) - seen)]
+        gone += [(name, schema, part) for name, schema in (("links", LINKS), ("pairs", PAIRS)) for part in sorted(set(parts) - moved)]
+        for name, schema, part in gone:
+            old = self._day(name, schema, p_dt, f"part={part}")
+            if not old.isEmpty():
+                replace_partition(self.spark.createDataFrame([], schema), self.path(name), f"p_dt={p_dt}/part={part}")
+
     def links(self, p_dt: str) -> DataFrame:
         return self._day("links", LINKS, p_dt).drop("part")
 

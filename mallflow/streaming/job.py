@@ -15,6 +15,7 @@ from mallflow.operators.clean import business_hours, clean_batch
 from mallflow.operators.flow import batch_counts
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.visits import visit_summary
+from mallflow.plans.changes import apply_changes
 from mallflow.plans.documents import PRODUCTS, Snapshot, product_documents
 from mallflow.plans.runs import compacted, own_run
 from mallflow.plans.warehouse import Warehouse
@@ -30,6 +31,8 @@ _RUN = T.StructType(
         T.StructField("live", T.ArrayType(T.StringType())),
         T.StructField("adds", T.BooleanType()),
         T.StructField("rebuilds", T.BooleanType()),
+        # The batch that the static tables were last stored with.
+        T.StructField("dims_at", T.LongType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -56,6 +59,7 @@ class Run:
     live: list[str]
     adds: bool
     rebuilds: bool
+    dims_at: int
     batch_id: int
 
     @property
@@ -92,7 +96,7 @@ class MallJob:
                 return
             size_for(house.spark, messages.size)
             dims = self.dimensions()
-            run = self._open(batch_id, dims.version)
+            run = self._open(batch_id, dims)
             p_dt = _date_key(run.as_of)
             land(house, messages, p_dt, batch_id)
 
@@ -108,24 +112,39 @@ class MallJob:
         finally:
             rt.unpersist()
 
-    def _open(self, batch_id: int, dims_version: str) -> Run:
+    def _open(self, batch_id: int, dims: Dimensions) -> Run:
         """Note the batch: its processing time, the runs of the day before it, and whether the day must be made anew.
 
         The note is written before any other output, so a batch that is run again after midnight keeps its date and builds on the
-        same runs. The day is made anew from its raw pings when the static tables have changed since the batch before, when moves
-        were left out before, and when nothing is known of the batch before.
+        same runs. Changes of the static tables since the batch before are worked into the day first. The day is made anew from its raw
+        pings when that was begun before and the batch is run again, when moves were left out before, and when nothing is known of
+        the batch before.
         """
-        version = f"{dims_version}{'/links' if self.links else ''}"
-        seen, before = together(
-            self.warehouse.spark, lambda: self._run(batch_id), lambda: self._run(batch_id - 1)
-        )
+        house = self.warehouse
+        version = f"{dims.version}{'/links' if self.links else ''}"
+        seen, before = together(house.spark, lambda: self._run(batch_id), lambda: self._run(batch_id - 1))
         as_of = seen.as_of if seen else self._now(batch_id)
-        same_day = before is not None and _date_key(before.as_of) == _date_key(as_of)
+        p_dt = _date_key(as_of)
+        same_day = before is not None and _date_key(before.as_of) == p_dt
         changed = before is not None and before.dims_version != version
-        rebuilds = changed or (before is None and batch_id > 0) or (seen is not None and seen.rebuilds)
-        live = self._merged(before, _date_key(as_of)) if same_day and not rebuilds else []
-        run = Run(as_of, version, live, True, rebuilds, batch_id)
-        self._note(run)
+        links_alike = before is None or before.dims_version.endswith("/links") == version.endswith("/links")
+        rebuilds = (before is None and batch_id > 0) or (seen is not None and seen.rebuilds) or (same_day and not links_alike)
+        dims_at = before.dims_at if before is not None and not changed else batch_id
+        if dims_at == batch_id:
+            house.keep_dimensions(dims, batch_id)
+        run = Run(as_of, version, [], True, rebuilds, dims_at, batch_id)
+        if rebuilds or not same_day:
+            self._note(run)
+        elif changed:
+            # If this batch is run again, the day is made anew.
+            self._note(replace(run, rebuilds=True))
+            old = house.kept_dimensions(before.dims_at)
+            live = apply_changes(house, p_dt, batch_id, before.after, old, dims, self.links)
+            run = replace(run, live=live)
+            self._note(replace(run, rebuilds=True))
+        else:
+            run = replace(run, live=self._merged(before, p_dt))
+            self._note(run)
         return run
 
     def _merged(self, before: Run, p_dt: str) -> list[str]:

@@ -1,0 +1,82 @@
+"""Changes of the static tables worked into the day against washing all of it."""
+
+import pytest
+
+from mallflow.plans import changes
+from mallflow.plans.changes import dimension_changes
+from mallflow.plans.warehouse import Warehouse
+from mallflow.streaming import job as job_module
+from rows import as_sets, dims, lines, message
+from test_state import files
+from test_stream import BLACKLIST, DAY, SHOPS, expected, expected_links, mall, stored_day, stored_links, texts
+
+# A shop renamed, one closed, one new, one that lost its category, one on two rows.
+MOVED = [(x, y, f, {(1, 0): "renamed", (2, 1): None}.get((x, y), n) if f == "F1" else n, t) for x, y, f, n, t in SHOPS if (x, y, f) != (0, 0, "F2")]
+CHANGED = [*[(x, y, f, n, None if (x, y, f) == (2, 1, "F2") else t) for x, y, f, n, t in MOVED], (3, 0, "F2", "new", "t"), (1, 1, "F2", "double", "t")]
+
+
+def washed(spark, job):
+    return sorted(map(str, job.warehouse.clean_pings(DAY).drop("batch_id").collect()))
+
+
+def test_versions_are_compared_by_key(spark):
+    old = dims(spark, [(0, 0, "F1", "a", "t"), (1, 0, "F1", "b", None), (2, 0, "F1", "c", "t"), (None, 0, "F1", "x", "t")], ["m1", "m2"])
+    new = dims(spark, [(0, 0, "F1", "a", "t"), (1, 0, "F1", "b", "t"), (3, 0, "F1", "d", "t"), (2, 0, "F1", "c", "t"), (2, 0, "F1", "c", "t")], ["m2", "m2", "m3"])
+    found = dimension_changes(old, new)
+    assert as_sets(found.cells, "posx", "posy", "floor") == [(1, 0, "F1"), (2, 0, "F1"), (3, 0, "F1")]
+    assert as_sets(found.macs, "mac") == [("m1",), ("m3",)]
+
+
+@pytest.mark.parametrize("shops, blacklist", [(CHANGED, BLACKLIST), (SHOPS, ["m7", "m8"]), (CHANGED, []), (SHOPS[:2], BLACKLIST), ([], ["m1"])])
+def test_equal_to_washing_the_day(spark, tmp_path, monkeypatch, shops, blacklist):
+    monkeypatch.setattr(Warehouse, "rebuild", lambda *_, **__: pytest.fail("washes the whole day"))
+    first = mall(spark, tmp_path)
+    first.process(lines(spark, *texts(0, 70)), 0)
+    first.process(lines(spark, *texts(50, 90)), 1)
+    job = mall(spark, tmp_path, shops=shops, blacklist=blacklist)
+    job.process(lines(spark, *texts(90, 110)), 2)
+    sent = texts(0, 70) + texts(50, 90) + texts(90, 110)
+    assert stored_day(job) == expected(spark, sent, shops=shops, blacklist=blacklist)
+    assert stored_links(job) == expected_links(spark, sent, shops, blacklist)
+    job.process(lines(spark, *texts(100, 130)), 3)
+    sent += texts(100, 130)
+    assert stored_day(job) == expected(spark, sent, shops=shops, blacklist=blacklist)
+    assert stored_links(job) == expected_links(spark, sent, shops, blacklist)
+
+
+def test_what_has_not_changed_stays(spark, tmp_path, monkeypatch):
+    read = []
+    cleaned = changes.clean_batch
+    monkeypatch.setattr(changes, "clean_batch", lambda rows, new: read.append(rows.count()) or cleaned(rows, new))
+    sent = [message(f"2018-04-03 {h}:{m}0:00", f"m{d}", "F1", 14 * (h % 3), 14 * (m % 2)) for h in (10, 11, 12) for m in range(6) for d in range(4)]
+    # The cell that is renamed is only visited at eleven.
+    shops = [(x, y, f, "renamed" if (x, y, f) == (2, 0, "F1") else n, t) for x, y, f, n, t in SHOPS]
+    mall(spark, tmp_path).process(lines(spark, *sent), 0)
+    job = mall(spark, tmp_path, shops=shops)
+    before = {(name, hour): files(job, name, f"part=20180403{hour}") for name in ("links", "edges", "sightings") for hour in (10, 11, 12)}
+    dw = {hour: files(job, "dw", f"dt_hour={hour}") for hour in (10, 11, 12)}
+    job.process(lines(spark, message("2018-04-03 13:00:00", "m1")), 1)
+    assert all((files(job, name, f"part=20180403{hour}") == names) == (hour != 11) for (name, hour), names in before.items())
+    assert all((files(job, "dw", f"dt_hour={hour}") == names) == (hour != 11) for hour, names in dw.items())
+    assert read == [12]
+    sent.append(message("2018-04-03 13:00:00", "m1"))
+    assert stored_day(job) == expected(spark, sent, shops=shops)
+    assert stored_links(job) == expected_links(spark, sent, shops)
+
+
+def test_a_change_that_fails_half_way_makes_the_day_anew(spark, tmp_path, monkeypatch):
+    mall(spark, tmp_path).process(lines(spark, *texts(0, 60)), 0)
+    job = mall(spark, tmp_path, shops=CHANGED)
+
+    def lost(*_):
+        raise RuntimeError("lost on the way")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(changes, "_minutes", lost)
+        with pytest.raises(RuntimeError):
+            job.process(lines(spark, *texts(60, 90)), 1)
+    monkeypatch.setattr(job_module, "apply_changes", lambda *_: pytest.fail("the change is not made twice"))
+    job.process(lines(spark, *texts(60, 90)), 1)
+    job.process(lines(spark, *texts(90, 100)), 2)
+    assert stored_day(job) == expected(spark, texts(0, 60) + texts(60, 90) + texts(90, 100), shops=CHANGED)
+    assert stored_links(job) == expected_links(spark, texts(0, 60) + texts(60, 90) + texts(90, 100), CHANGED)
