@@ -39,12 +39,31 @@ def floor_shop_rank(visits: DataFrame) -> DataFrame:
     return flow.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SHOPS_PER_FLOOR)
 
 
+def floor_summary(visits: DataFrame) -> DataFrame:
+    """:func:`floor_dwell` and :func:`floor_shop_rank` in one pass: a row for each floor and top shop, with the floor's mean dwell.
+
+    Visits are reduced by (floor, device) and by (floor, shop, device) at once; what is left then is a row per floor and shop.
+    """
+    first, last = span(visits)
+    rows = visits.select("locName", "name", "mac", first.alias("first"), last.alias("last"))
+    devices = rows.groupingSets([["locName", "mac"], ["locName", "name", "mac"]], "locName", "name", "mac").agg(
+        F.grouping("name").alias("whole"), (F.max("last") - F.min("first")).alias("stay")
+    )
+    shares = devices.groupBy("locName", "whole", "name").agg(F.count("mac").alias("flow"), F.sum("stay").alias("stay"))
+    floor = Window.partitionBy("locName")
+    total_mac, total_stay = (F.max(F.when(F.col("whole") == 1, F.col(c))).over(floor) for c in ("flow", "stay"))
+    shop = (F.col("whole") == 0) & ~F.col("name").isin(WALKWAY, PASSAGE)
+    found = shares.withColumn("stay_min", total_stay / F.lit(60.0) / F.nullif(total_mac, F.lit(0))).where(shop)
+    order = Window.partitionBy("locName").orderBy(F.desc("flow"), "name")
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= SHOPS_PER_FLOOR)
+    return ranked.select("locName", "stay_min", "name", "flow", "rank")
+
+
 def floor_flow(rt: DataFrame, visits: DataFrame) -> DataFrame:
     """Batch devices per floor with the day's mean dwell and its three top shops, one row per shop."""
     return (
         floor_uv(rt)
-        .join(floor_dwell(visits), "locName", "left")
-        .join(floor_shop_rank(visits), "locName", "inner")
+        .join(floor_summary(visits), "locName")
         .select(
             F.col("locName").alias("floor"),
             "uv",

@@ -160,3 +160,20 @@ def test_brand_link_documents(spark):
     docs = documents.brand_link_documents(consecutive_links(day), "2018-04-03 12:00:00").collect()
     keys = ("from_name", "to_name", "times", "total")
     assert sorted(tuple(d["bi_value"][k] for k in keys) for d in docs) == [("A", "B", "1", "1"), ("B", "C", "1", "1")]
+
+
+def test_floor_summary_is_dwell_and_rank(spark):
+    rows = [
+        clean(
+            at(9 + i % 13, i * 7 % 60, i * 11 % 60),
+            None if i % 17 == 0 else f"m{i % 9}",
+            name=[None, "A", "B", "走道", "过道", "C", "D"][i * i % 7],
+            floor=None if i % 19 == 0 else f"F{i % 3}",
+        )
+        for i in range(300)
+    ] + [clean(at(9), "m1", name="走道", floor="F9"), clean(at(9), None, name="A", floor="F8")]
+    day = clean_pings(spark, *rows)
+    want = floors.floor_dwell(day).drop("total_mac").join(floors.floor_shop_rank(day), "locName")
+    for visits in (day, visit_summary(day), visit_summary(day, "dt_hour")):
+        got = floors.floor_summary(visits).where("locName is not null")
+        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))

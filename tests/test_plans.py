@@ -59,3 +59,12 @@ def test_message_is_split_once(spark):
     text = plan(spark, "parse_pings")
     assert "Filter" in text
     assert "split(" not in "".join(line for line in text.splitlines() if "Filter" in line)
+
+
+def test_floor_flow_reads_batch_and_day_once_each(spark):
+    text = plan(spark, "rt_floor_flow")
+    scans = [line for line in text.splitlines() if "FileScan parquet" in line and "user_id" in line]
+    assert len(scans) == 2
+    # One shuffle by device for the batch and one for the day; beyond them only rows per floor and shop.
+    by_device = [line for line in text.splitlines() if "Exchange hashpartitioning" in line and "mac" in line]
+    assert len(by_device) == 2
