@@ -33,6 +33,8 @@ _RUN = T.StructType(
         T.StructField("rebuilds", T.BooleanType()),
         # The batch that the static tables were last stored with.
         T.StructField("dims_at", T.LongType()),
+        # Date and number of the batches with failed steps that are still to be run again.
+        T.StructField("pending", T.ArrayType(T.StringType())),
         T.StructField("batch_id", T.LongType()),
     ]
 )
@@ -41,11 +43,18 @@ _OUTCOME = T.StructType(
         T.StructField("step", T.StringType()),
         T.StructField("ok", T.BooleanType()),
         T.StructField("detail", T.StringType()),
+        # How often the step was run for the batch.
+        T.StructField("tries", T.IntegerType()),
     ]
 )
 STATUS = T.StructType([*_OUTCOME.fields, T.StructField("p_dt", T.StringType()), T.StructField("batch_id", T.LongType())])
 
 
+# A failed step is run this often at most, and a batch takes up at most this many earlier batches again, the oldest first; the others wait.
+TRIES = 3
+CATCH_UP = 4
+
+
 def _date_key(as_of: str) -> str:
     return as_of[:10].replace("-", "")
 
@@ -60,8 +69,13 @@ class Run:
     adds: bool
     rebuilds: bool
     dims_at: int
+    pending: list[str]
     batch_id: int
 
+    @property
+    def name(self) -> str:
+        return f"{_date_key(self.as_of)}/{self.batch_id}"
+
     @property
     def after(self) -> list[str]:
         """The runs of the day once the batch is done."""
@@ -108,7 +122,7 @@ class MallJob:
                 house.rebuild(p_dt, dims, batch_id, self.links)
             else:
                 house.refresh(business_hours(rt), p_dt, batch_id, self.links)
-            self._report(raw, rt, p_dt, batch_id, run)
+            self._report(raw, rt, run)
         finally:
             rt.unpersist()
 
@@ -132,7 +146,8 @@ class MallJob:
         dims_at = before.dims_at if before is not None and not changed else batch_id
         if dims_at == batch_id:
             house.keep_dimensions(dims, batch_id)
-        run = Run(as_of, version, [], True, rebuilds, dims_at, batch_id)
+        pending = seen.pending if seen else self._pending(before)
+        run = Run(as_of, version, [], True, rebuilds, dims_at, pending, batch_id)
         if rebuilds or not same_day:
             self._note(run)
         elif changed:
@@ -157,7 +172,8 @@ class MallJob:
         """Hand the note of the batch before on, so that a change of the static tables is still seen by the next batch."""
         before = self._run(batch_id - 1)
         if before is not None:
-            self._note(replace(before, live=before.after, adds=False, rebuilds=False, batch_id=batch_id))
+            pending = self._pending(before)
+            self._note(replace(before, live=before.after, adds=False, rebuilds=False, pending=pending, batch_id=batch_id))
 
     def _run(self, batch_id: int) -> Run | None:
         row = scan(self.warehouse.spark, self.warehouse.path("runs"), _RUN, [f"batch_id={batch_id}"]).first()
@@ -173,39 +189,89 @@ class MallJob:
         now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
         return self.warehouse.spark.range(1).select(now.alias("now")).first()["now"]
 
-    def _report(self, raw: DataFrame, rt: DataFrame, p_dt: str, batch_id: int, run: Run) -> None:
-        """Refresh every metric on its own; a failing one is recorded and does not stop the others."""
-        house = self.warehouse
-        # The day's visits are merged over the runs once for all day metrics.
-        day = visit_summary(house.visits(p_dt, run.after)).persist()
-        state = Snapshot(rt, day, house.minutes(p_dt, run.after), house.pairs(p_dt))
+    def _steps(self, raw: DataFrame, state: Snapshot, run: Run) -> dict[str, Callable[[], str | None]]:
+        """What is done for a batch, each on its own."""
+        metrics, p_dt = self.warehouse.metrics, _date_key(run.as_of)
 
         def count() -> str:
-            row = batch_counts(raw, rt).first()
+            row = batch_counts(raw, state.rt).first()
             return f"raw={row['raw_rows']} clean={row['clean_rows']}"
 
-        def product(bi_name: str) -> Callable[[], None]:
-            def store() -> None:
-                documents = product_documents(bi_name, state, run.as_of)
-                put = house.metrics.append if PRODUCTS[bi_name].appends else house.metrics.replace
-                put(documents, bi_name, p_dt, batch_id)
+        def store(bi_name: str) -> None:
+            documents = product_documents(bi_name, state, run.as_of)
+            put = metrics.append if PRODUCTS[bi_name].appends else metrics.replace
+            put(documents, bi_name, p_dt, run.batch_id)
+
+        names = [bi_name for bi_name in self.products if self.links or bi_name != "brand_link"]
+        return {"batch_counts": count} | {bi_name: partial(store, bi_name) for bi_name in names}
 
-            return store
+    def _outcomes(self, steps: dict[str, Callable[[], str | None]], tries: int = 1) -> list[tuple]:
+        """A failing step is recorded and does not stop the others."""
 
-        def outcome(name: str, step: Callable[[], str | None]) -> tuple[str, bool, str | None]:
+        def outcome(name: str, step: Callable[[], str | None]) -> tuple[str, bool, str | None, int]:
             try:
-                return name, True, step()
+                return name, True, step(), tries
             except Exception as error:  # noqa: BLE001 - recorded, not hidden
-                return name, False, str(error)
+                return name, False, str(error), tries
+
+        return together(self.warehouse.spark, *[partial(outcome, name, step) for name, step in steps.items()])
 
-        steps: dict[str, Callable[[], str | None]] = {"batch_counts": count}
-        steps |= {bi_name: product(bi_name) for bi_name in self.products if self.links or bi_name != "brand_link"}
+    def _record(self, outcomes: list[tuple], name: str) -> None:
+        p_dt, batch_id = name.split("/")
+        spark = self.warehouse.spark
+        rows = stamp(spark.createDataFrame(outcomes, _OUTCOME).coalesce(1), p_dt, int(batch_id))
+        replace_partitions(rows, self.warehouse.path("status"), "p_dt", "batch_id", sized=False)
+
+    def _report(self, raw: DataFrame, rt: DataFrame, run: Run) -> None:
+        """Refresh every metric, then run again what failed for earlier batches."""
+        state, day = self._snapshot(rt, run)
+        try:
+            self._record(self._outcomes(self._steps(raw, state, run)), run.name)
+        finally:
+            day.unpersist()
+        for name in run.pending[:CATCH_UP]:
+            self._again(name)
+
+    def _snapshot(self, rt: DataFrame, run: Run) -> tuple[Snapshot, DataFrame]:
+        """What the metrics of a batch read, and the part of it that is held in memory."""
+        house, p_dt = self.warehouse, _date_key(run.as_of)
+        # The day's visits are merged over the runs once for all day metrics.
+        day = visit_summary(house.visits(p_dt, run.after)).persist()
+        return Snapshot(rt, day, house.minutes(p_dt, run.after), house.pairs(p_dt)), day
+
+    # --- catching up ---
+
+    def _failed(self, names: Sequence[str]) -> DataFrame:
+        """Steps of some batches that are to be run again: those that no later batch makes up for."""
+        once = [step for step in ("batch_counts", *self.products) if step not in PRODUCTS or PRODUCTS[step].appends]
+        below = ["p_dt={}/batch_id={}".format(*name.split("/")) for name in names]
+        rows = scan(self.warehouse.spark, self.warehouse.path("status"), STATUS, below)
+        return rows.where(~F.col("ok") & F.col("step").isin(once) & (F.col("tries") < TRIES))
+
+    def _pending(self, before: Run | None) -> list[str]:
+        """Batches up to the one before that have failed steps."""
+        if before is None:
+            return []
+        names = [*before.pending, before.name]
+        left = {f"{row['p_dt']}/{row['batch_id']}" for row in self._failed(names).select("p_dt", "batch_id").distinct().collect()}
+        return [name for name in dict.fromkeys(names) if name in left]
+
+    def _again(self, name: str) -> None:
+        """Run the failed steps of an earlier batch on what that batch had: its pings, static tables and runs of the day."""
+        house = self.warehouse
+        p_dt, number = name.split("/")
+        run = self._run(int(number))
+        failed = {row["step"]: row["tries"] for row in self._failed([name]).collect()}
+        below = [f"p_dt={p_dt}/batch_id={number}"]
+        rows = scan(house.spark, house.path("status"), STATUS, below).select(*_OUTCOME.names).collect()
+        raw = house.pings(p_dt, run.batch_id).drop("p_dt", "batch_id")
+        state, day = self._snapshot(clean_batch(raw, house.kept_dimensions(run.dims_at)), run)
+        steps = {step: run_it for step, run_it in self._steps(raw, state, run).items() if step in failed}
         try:
-            outcomes = together(house.spark, *[partial(outcome, name, step) for name, step in steps.items()])
+            done = self._outcomes(steps, max(failed.values(), default=0) + 1)
         finally:
             day.unpersist()
-        rows = stamp(house.spark.createDataFrame(outcomes, _OUTCOME).coalesce(1), p_dt, batch_id)
-        replace_partitions(rows, house.path("status"), "p_dt", "batch_id", sized=False)
+        self._record([tuple(row) for row in rows if row["step"] not in steps] + done, name)
 
     def status(self, p_dt: str) -> DataFrame:
         return scan_day(self.warehouse.spark, self.warehouse.path("status"), STATUS, p_dt)

@@ -221,6 +221,52 @@ def test_failing_metric_is_recorded_and_stops_no_other(spark, tmp_path, monkeypa
     assert stored_day(job) == expected(spark, texts(0, 40))
 
 
+def test_a_failed_step_is_made_up_for_by_the_next_batch(spark, tmp_path, monkeypatch):
+    tables_ = dims(spark, SHOPS, BLACKLIST)
+
+    def broken(state):
+        raise ValueError("for once")
+
+    job = mall(spark, tmp_path)
+    job.process(lines(spark, *texts(0, 40)), 0)
+    with monkeypatch.context() as patch:
+        patch.setitem(job_module.PRODUCTS, "today_flow", documents.Product(broken, {}, appends=True))
+        patch.setitem(job_module.PRODUCTS, "today_total", documents.Product(broken, {}))
+        job.process(lines(spark, *texts(40, 80)), 1)
+        assert {r["step"] for r in job.status(DAY).where("not ok").collect()} == {"today_flow", "today_total"}
+    # A batch without messages in between, another clock and other static tables.
+    job.process(lines(spark), 2)
+    later = mall(spark, tmp_path, blacklist=["m1"], clock=lambda _: "2018-04-03 23:10:00")
+    later.process(lines(spark, *texts(80, 100)), 3)
+    later.process(lines(spark, *texts(100, 110)), 4)
+
+    rt = clean_batch(parse_pings(lines(spark, *texts(40, 80))), tables_)
+    day = wash_day(parse_pings(lines(spark, *texts(0, 80))), tables_)
+    want = contents(documents.product_documents("today_flow", documents.snapshot(rt, day), AS_OF))
+    kept = job.warehouse.metrics.read().where("bi_name = 'today_flow'")
+    assert contents(kept.where("batch_id = 1")) == want
+    assert {r["batch_id"] for r in kept.select("batch_id").distinct().collect()} == {0, 1, 3, 4}
+    rows = {r["step"]: (r["ok"], r["tries"]) for r in job.status(DAY).where("batch_id = 1").collect()}
+    # What the next batch replaces anyway is not run again.
+    assert rows.pop("today_flow") == (True, 2) and rows.pop("today_total") == (False, 1)
+    assert set(rows.values()) == {(True, 1)}
+    assert later._run(3).pending == [f"{DAY}/1"] and later._run(4).pending == []
+    assert contents(job.warehouse.metrics.read().where("bi_name = 'today_total'"))
+
+
+def test_a_step_that_always_fails_is_given_up(spark, tmp_path, monkeypatch):
+    def broken(state):
+        raise ValueError("always")
+
+    monkeypatch.setitem(job_module.PRODUCTS, "today_flow", documents.Product(broken, {}, appends=True))
+    job = mall(spark, tmp_path, products=["today_flow"], links=False)
+    for batch in range(job_module.TRIES + 2):
+        job.process(lines(spark, message()), batch)
+    tries = {r["batch_id"]: r["tries"] for r in job.status(DAY).where("step = 'today_flow'").collect()}
+    assert tries == {0: 3, 1: 3, 2: 3, 3: 2, 4: 1}
+    assert job._run(batch).pending == [f"{DAY}/2", f"{DAY}/3"]
+
+
 def test_own_clock_is_clock_text(spark, tmp_path):
     assert len(mall(spark, tmp_path, clock=None)._now(0)) == 19
 
