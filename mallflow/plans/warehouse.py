@@ -32,6 +32,7 @@ from mallflow.operators.visits import visit_summary
 from mallflow.plans.runs import Merge, own_run
 from mallflow.schema import BLACKLIST, CLEAN_PING, LINK, PING, SHOP, VISIT, with_keys
 from mallflow.session import together
+from mallflow.sources.ledger import Ledger
 from mallflow.sources.metrics import MetricStore
 from mallflow.sources.tables import append_batch, replace_day, replace_partition, replace_partitions, scan_day, stamp
 
@@ -90,6 +91,10 @@ class Warehouse:
     def metrics(self) -> MetricStore:
         return MetricStore(self.spark, self.path("metrics"))
 
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(self.spark, self.path("ledger"))
+
     def _day(self, name: str, schema: T.StructType, p_dt: str, *below: str) -> DataFrame:
         return scan_day(self.spark, self.path(name), schema, p_dt, *below)
 
@@ -172,7 +177,8 @@ class Warehouse:
 
     def put_run(self, frame: DataFrame, name: str, p_dt: str, run: str) -> None:
         """Store a run of a mergeable table; the same run written again takes its own place."""
-        replace_partition(frame, self.path(name), f"p_dt={p_dt}/run={run}")
+        # Its rows come out of an aggregation, whose partitions the adaptive planner has already sized.
+        replace_partition(frame, self.path(name), f"p_dt={p_dt}/run={run}", sized=False)
 
     def _runs(self, name: str, p_dt: str, runs: Iterable[str]) -> DataFrame:
         schema, _ = MERGEABLE[name]

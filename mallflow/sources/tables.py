@@ -80,11 +80,11 @@ def replace_day(
     (writer.partitionBy(*keys) if keys else writer).parquet(f"{root}/p_dt={p_dt}")
 
 
-def replace_partition(frame: DataFrame, root: str, partition: str) -> None:
+def replace_partition(frame: DataFrame, root: str, partition: str, sized: bool = True) -> None:
     """Replace the one partition directory, such as ``p_dt=20240115/run=0-3``, also when ``frame`` is empty."""
     keys = [level.split("=")[0] for level in partition.split("/")]
     rows = frame.drop(*keys)
-    rows.hint("rebalance").write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{partition}")
+    (rows.hint("rebalance") if sized else rows).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{root}/{partition}")
 
 
 def stamp(frame: DataFrame, p_dt: str, batch_id: int | None = None) -> DataFrame:

@@ -35,7 +35,8 @@ class Messages:
 @contextmanager
 def messages_of(batch: DataFrame) -> Iterator[Messages | None]:
     """The batch's lines, read and parsed once, in the source's own partitions; None when there are none."""
-    read = read_lines(batch.select("value")).persist()
+    known = [c for c in ("value", "origin", "place") if c in batch.columns]
+    read = read_lines(batch.select(*known)).persist()
     try:
         size = read.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("value")).alias("bytes")).first()
         yield Messages(read, size["bytes"] or 0) if size["n"] else None
@@ -44,9 +45,11 @@ def messages_of(batch: DataFrame) -> Iterator[Messages | None]:
 
 
 def land(house: Warehouse, messages: Messages, p_dt: str, batch_id: int) -> None:
-    """Store the readable lines as pings and the others as dead letters."""
-    together(
-        house.spark,
+    """Store the readable lines as pings and the others as dead letters, and note where they came from, if the source says so."""
+    steps = [
         lambda: house.append_pings(messages.in_files(pings_of(messages.read)), p_dt, batch_id),
         lambda: house.append_dead_letters(messages.in_files(dead_letters_of(messages.read)), p_dt, batch_id),
-    )
+    ]
+    if "origin" in messages.read.columns:
+        steps.append(lambda: house.ledger.note(messages.read, batch_id))
+    together(house.spark, *steps)
