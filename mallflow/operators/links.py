@@ -45,9 +45,9 @@ def sightings(dw: DataFrame) -> DataFrame:
     return _sightings(dw).distinct()
 
 
-def parts(dw: DataFrame) -> DataFrame:
-    """The clock hours that have sightings."""
-    return dw.where(F.col("name").isNotNull() & F.col("mac").isNotNull()).select(part_of().alias("part")).distinct()
+def hour_of_sighting() -> Column:
+    """The clock hour of a ping that is a named sighting of a device; null for others."""
+    return F.when(F.col("name").isNotNull() & F.col("mac").isNotNull(), part_of())
 
 
 def hour_steps(dw: DataFrame) -> DataFrame:

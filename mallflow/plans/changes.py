@@ -22,7 +22,7 @@ from mallflow.operators.clean import business_hours, clean_batch
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.visits import visit_summary
 from mallflow.plans.runs import merged_run
-from mallflow.plans.warehouse import DW, RECORDS, SIGHTINGS, Warehouse
+from mallflow.plans.warehouse import DW, RECORDS, SIGHTINGS, Warehouse, slot_of
 from mallflow.session import together
 from mallflow.sources.tables import replace_partition, replace_partitions, scan
 
@@ -74,10 +74,6 @@ def _stored(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
-def _slot() -> Column:
-    return F.col("dt_hour") * 60 + F.col("dt_min")
-
-
 def apply_changes(
     house: Warehouse, p_dt: str, batch_id: int, live: Sequence[str], old: Dimensions, new: Dimensions, moves: bool = True
 ) -> list[str]:
@@ -92,7 +88,7 @@ def apply_changes(
     touched = [tuple(row) for row in hit.select("dt_hour", "batch_id").distinct().collect()]
     if not touched:
         return list(live)
-    slots = [row[0] for row in hit.select(_slot()).distinct().collect()]
+    slots = [row[0] for row in hit.select(slot_of()).distinct().collect()]
     hours = sorted({hour for hour, _ in touched})
     fresh = _stored(clean_batch(hit, new), f"{work}/fresh")
 
@@ -123,15 +119,15 @@ def _minutes(
     house: Warehouse, p_dt: str, batch_id: int, live: Sequence[str], hours: Sequence[int], slots: Sequence[int], run: str
 ) -> None:
     work = f"{house.path('changes')}/batch_id={batch_id}"
-    again = house.clean_pings(p_dt, *hours).where(_slot().isin(*slots) & (F.col("batch_id") < batch_id))
-    made = floors.minute_records(again).withColumn("slot", _slot())
+    again = house.clean_pings(p_dt, *hours).where(slot_of().isin(*slots) & (F.col("batch_id") < batch_id))
+    made = floors.minute_records(again).withColumn("slot", slot_of())
     below = [f"dt_hour={hour}" for hour in hours]
     rest = scan(house.spark, house.path("records"), RECORDS, [f"p_dt={p_dt}/{part}" for part in below]).where(~F.col("slot").isin(*slots))
     made = _stored(made, f"{work}/made")
     records = _stored(rest.drop("p_dt", "batch_id").unionByName(made), f"{work}/records")
     put = partial(_replace_below, house.path("records"), p_dt, "dt_hour", batch_id - 1)
     together(house.spark, *[partial(put, hour, records.where(F.col("dt_hour") == hour)) for hour in hours])
-    kept = house.minutes(p_dt, live).where(~_slot().isin(*slots))
+    kept = house.minutes(p_dt, live).where(~slot_of().isin(*slots))
     house.put_run(kept.unionByName(floors.minute_counts(made)), "minutes", p_dt, run)
 
 

@@ -18,18 +18,19 @@ from mallflow.schema import MALL_ID, METRIC
 class Snapshot:
     """What the metrics of one batch read: the clean batch, the clean day, and the day's floor minutes and moves by shop pair.
 
-    ``day`` holds clean pings or visit summaries of them; ``pairs`` may hold several counts of a pair, which add up.
+    ``day`` holds clean pings or visit summaries of them. ``pairs`` is asked for when it is needed, as moves are ready last; it may give
+    several counts of a pair, which add up.
     """
 
     rt: DataFrame
     day: DataFrame
     minutes: DataFrame
-    pairs: DataFrame
+    pairs: Callable[[], DataFrame]
 
 
 def snapshot(rt: DataFrame, dw: DataFrame) -> Snapshot:
     moves = consecutive_links(dw.withColumn("p_dt", F.lit("")))
-    return Snapshot(rt, dw, floors.floor_minute_flow(dw), pair_counts(moves))
+    return Snapshot(rt, dw, floors.floor_minute_flow(dw), lambda: pair_counts(moves))
 
 
 @dataclass(frozen=True)
@@ -70,7 +71,7 @@ PRODUCTS: dict[str, Product] = {
     ),
     "heat_map": Product(lambda s: floors.heat_map(s.day), {"floor": "floor", "x": "x", "y": "y", "count": "cnt"}),
     "brand_link": Product(
-        lambda s: link_matrix(s.pairs),
+        lambda s: link_matrix(s.pairs()),
         {"from_name": "from_name", "to_name": "to_name", "times": "times", "total": "total"},
     ),
 }

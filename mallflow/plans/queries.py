@@ -365,7 +365,7 @@ def metric_documents(spark, sf_dir):
     )
     day, minutes = (spark.read.parquet(f"{root}/{name}") for name in ("visits", "minutes"))
     moves = links.consecutive_links(dw.withColumn("p_dt", F.lit(AS_OF_DATE)))
-    state = documents.Snapshot(rt, day, minutes, links.pair_counts(moves))
+    state = documents.Snapshot(rt, day, minutes, lambda: links.pair_counts(moves))
     docs = [documents.product_documents(bi_name, state, AS_OF) for bi_name in documents.PRODUCTS]
     return _flattened(reduce(DataFrame.unionByName, docs))
 

@@ -21,7 +21,7 @@ from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,6 +72,12 @@ PAIRS = _table(("from_name", _TEXT), ("to_name", _TEXT), ("times", _LONG), _P_DT
 # The partition of the moves from one hour to another.
 BETWEEN = links.BETWEEN
 
+
+def slot_of() -> Column:
+    """The minute of the day."""
+    return F.col("dt_hour") * 60 + F.col("dt_min")
+
+
 # Tables of runs, and how runs are merged.
 MERGEABLE: dict[str, tuple[T.StructType, Callable[[DataFrame], DataFrame]]] = {
     "visits": (VISITS, visit_summary),
@@ -142,17 +148,18 @@ class Warehouse:
 
     # --- the day's state ---
 
-    def refresh(self, clean: DataFrame, p_dt: str, batch_id: int, moves: bool = True) -> None:
-        """Work a batch's clean pings of the business hours into the day. They are read several times."""
+    def refresh(self, clean: DataFrame, p_dt: str, batch_id: int) -> None:
+        """Work a batch's clean pings of the business hours into the day, but for the moves. They are read several times."""
         clean = clean.drop("p_dt", "batch_id")
-        steps = [
+        together(
+            self.spark,
             lambda: append_batch(clean, self.path("dw"), p_dt, batch_id, "dt_hour"),
             partial(self._add_visits, clean, p_dt, batch_id),
             partial(self._add_minutes, clean, p_dt, batch_id, whole_day=False),
-        ]
-        if moves:
-            steps.append(partial(self._add_moves, clean, p_dt, batch_id, whole_day=False))
-        together(self.spark, *steps)
+        )
+
+    def refresh_moves(self, clean: DataFrame, p_dt: str, batch_id: int) -> None:
+        self._add_moves(clean.drop("p_dt", "batch_id"), p_dt, batch_id, whole_day=False)
 
     def rebuild(self, p_dt: str, dims: Dimensions, batch_id: int, moves: bool = True) -> None:
         """Clean the whole day again and make its state anew, as if all of it had come with this batch."""
@@ -198,20 +205,23 @@ class Warehouse:
 
     def _add_minutes(self, clean: DataFrame, p_dt: str, batch_id: int, whole_day: bool) -> None:
         """Store the digests that no earlier batch of the day had in these minutes, and count them."""
-        slot = (F.col("dt_hour") * 60 + F.col("dt_min")).alias("slot")
-        records = stamp(floors.minute_records(clean).select("*", slot), p_dt, batch_id)
+        records = stamp(floors.minute_records(clean).withColumn("slot", slot_of()), p_dt, batch_id)
         # At most one for each minute of the day.
-        slots = [] if whole_day else [row["slot"] for row in clean.select(slot).distinct().collect()]
-        hours = sorted({value // 60 for value in slots})
+        slots = [] if whole_day else [row["slot"] for row in clean.select(slot_of().alias("slot")).distinct().collect()]
         if slots:
+            hours = sorted({value // 60 for value in slots})
             records = self._unseen(records, self._records(p_dt, hours).where(F.col("batch_id") != batch_id), slots)
-        self._put(records, "records", p_dt, "dt_hour", "batch_id", whole_day=whole_day, order=["slot"])
-        new = self._day("records", RECORDS, p_dt) if whole_day else self._records(p_dt, hours, batch_id)
-        self.put_run(floors.minute_counts(new), "minutes", p_dt, own_run(batch_id))
+        records = records.persist()
+        try:
+            # In order of time, so that a reader of some minutes passes over the rest of a file.
+            put = partial(self._put, records, "records", p_dt, "dt_hour", "batch_id", whole_day=whole_day, order=["slot"])
+            count = partial(self.put_run, floors.minute_counts(records), "minutes", p_dt, own_run(batch_id))
+            together(self.spark, put, count)
+        finally:
+            records.unpersist()
 
-    def _records(self, p_dt: str, hours: Iterable[int], batch_id: int | None = None) -> DataFrame:
-        below = [f"dt_hour={hour}" + ("" if batch_id is None else f"/batch_id={batch_id}") for hour in hours]
-        return self._day("records", RECORDS, p_dt, *below) if below else self.spark.createDataFrame([], RECORDS)
+    def _records(self, p_dt: str, hours: Iterable[int]) -> DataFrame:
+        return self._day("records", RECORDS, p_dt, *[f"dt_hour={hour}" for hour in hours])
 
     @staticmethod
     def _unseen(records: DataFrame, earlier: DataFrame, slots: Sequence[int]) -> DataFrame:
@@ -226,17 +236,16 @@ class Warehouse:
     def _add_moves(self, clean: DataFrame, p_dt: str, batch_id: int, whole_day: bool) -> None:
         """Store the sightings, walk the touched hours again, and tie the hours of the day together."""
         seen = stamp(links.sightings(clean.withColumn("p_dt", F.lit(p_dt))), p_dt, batch_id)
-        self._put(seen, "sightings", p_dt, "part", "batch_id", whole_day=whole_day)
-        if whole_day:
-            folded = self._day("sightings", SIGHTINGS, p_dt)
-        else:
-            # The clock hours of the batch's events.
-            parts = [row["part"] for row in links.parts(clean).collect()]
-            if not parts:
-                return
-            folded = self._day("sightings", SIGHTINGS, p_dt, *[f"part={part}" for part in parts])
+        put = partial(self._put, seen, "sightings", p_dt, "part", "batch_id", whole_day=whole_day)
+        # One row for each clock hour that the batch's events fall on.
+        touched = clean.select(links.hour_of_sighting().alias("part")).where("part is not null").distinct()
+        rows, _ = together(self.spark, touched.collect, put)
+        parts = None if whole_day else sorted(row["part"] for row in rows)
+        if parts is not None and not parts:
+            return
+        folded = self._day("sightings", SIGHTINGS, p_dt, *[f"part={part}" for part in parts or ()])
         # A sighting may have come with several batches.
-        self.walk(p_dt, folded.drop("batch_id").distinct(), None if whole_day else parts)
+        self.walk(p_dt, folded.drop("batch_id").distinct(), parts)
 
     def walk(self, p_dt: str, sightings: DataFrame, parts: Sequence[str] | None, fewer: bool = False) -> None:
         """Make the moves of some clock hours, or of the whole day, from all their distinct sightings, and those between the hours.
@@ -255,8 +264,6 @@ class Warehouse:
             steps.unpersist()
         between = links.edge_links(self._day("edges", EDGES, p_dt))
         replace_partition(between, self.path("links"), f"p_dt={p_dt}/part={BETWEEN}")
-        stored = self._day("links", LINKS, p_dt, f"part={BETWEEN}")
-        replace_partition(links.pair_counts(stored), self.path("pairs"), f"p_dt={p_dt}/part={BETWEEN}")
 
     def _clear(self, p_dt: str, parts: Sequence[str], steps: DataFrame, inner: DataFrame) -> None:
         """Empty what the hours had before and have no more."""
@@ -272,8 +279,9 @@ class Warehouse:
         return self._day("links", LINKS, p_dt).drop("part")
 
     def pairs(self, p_dt: str) -> DataFrame:
-        """Moves of the day per shop pair, by hour."""
-        return self._day("pairs", PAIRS, p_dt)
+        """Moves of the day per shop pair: those inside the hours as they were counted, those between hours counted now."""
+        between = links.pair_counts(self._day("links", LINKS, p_dt, f"part={BETWEEN}"))
+        return self._day("pairs", PAIRS, p_dt).drop("p_dt", "part").unionByName(between)
 
     # --- what the metrics read ---
 

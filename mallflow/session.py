@@ -6,8 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable, Iterator
+from concurrent.futures import Future, ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import lru_cache
 from typing import TypeVar
 
@@ -32,7 +33,7 @@ SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 20_000
 MAX_SCAN_TASKS = 100_000
 _SPLIT = "spark.sql.files.maxPartitionBytes"
-_CONCURRENT_ACTIONS = 6
+_CONCURRENT_ACTIONS = 12
 
 
 def configure(spark: SparkSession, zone: str = "UTC") -> SparkSession:
@@ -94,6 +95,13 @@ def together(spark: SparkSession, *actions: Callable[[], T]) -> list[T]:
         return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]]
 
 
+@contextmanager
+def meanwhile(spark: SparkSession, *actions: Callable[[], T]) -> Iterator[list[Future[T]]]:
+    """Start independent actions, to go on with something else until their results are asked for."""
+    with ThreadPoolExecutor(max_workers=_CONCURRENT_ACTIONS) as pool:
+        yield [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new directory for tables a query writes and reads back.
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import Future
 from dataclasses import dataclass, replace
 from functools import partial
 
@@ -19,7 +20,7 @@ from mallflow.plans.changes import apply_changes
 from mallflow.plans.documents import PRODUCTS, Snapshot, product_documents
 from mallflow.plans.runs import compacted, own_run
 from mallflow.plans.warehouse import Warehouse
-from mallflow.session import size_for, stored_bytes, together
+from mallflow.session import meanwhile, size_for, stored_bytes, together
 from mallflow.sources.tables import replace_partitions, scan, scan_day, stamp
 from mallflow.streaming.landing import land, messages_of
 
@@ -104,13 +105,14 @@ class MallJob:
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         house = self.warehouse
-        with messages_of(batch) as messages:
+        known = [self.dimensions, partial(self._run, batch_id), partial(self._run, batch_id - 1)]
+        with meanwhile(house.spark, *known) as (dims, seen, before), messages_of(batch) as messages:
             if messages is None:
-                self._skip(batch_id)
+                self._skip(before.result(), batch_id)
                 return
             size_for(house.spark, messages.size)
-            dims = self.dimensions()
-            run = self._open(batch_id, dims)
+            dims = dims.result()
+            run = self._open(batch_id, dims, seen.result(), before.result())
             p_dt = _date_key(run.as_of)
             land(house, messages, p_dt, batch_id)
 
@@ -120,13 +122,20 @@ class MallJob:
             if run.rebuilds:
                 size_for(house.spark, stored_bytes(house.spark, f"{house.path('ods')}/p_dt={p_dt}"))
                 house.rebuild(p_dt, dims, batch_id, self.links)
+                self._report(raw, rt, run)
             else:
-                house.refresh(business_hours(rt), p_dt, batch_id, self.links)
-            self._report(raw, rt, run)
+                clean = business_hours(rt)
+                walks = [partial(house.refresh_moves, clean, p_dt, batch_id)] if self.links else []
+                # The moves take longest and only their own metric waits for them. If they fail, so does the batch.
+                with meanwhile(house.spark, *walks) as moved:
+                    house.refresh(clean, p_dt, batch_id)
+                    self._report(raw, rt, run, *moved)
+                    for walk in moved:
+                        walk.result()
         finally:
             rt.unpersist()
 
-    def _open(self, batch_id: int, dims: Dimensions) -> Run:
+    def _open(self, batch_id: int, dims: Dimensions, seen: Run | None, before: Run | None) -> Run:
         """Note the batch: its processing time, the runs of the day before it, and whether the day must be made anew.
 
         The note is written before any other output, so a batch that is run again after midnight keeps its date and builds on the
@@ -136,7 +145,6 @@ class MallJob:
         """
         house = self.warehouse
         version = f"{dims.version}{'/links' if self.links else ''}"
-        seen, before = together(house.spark, lambda: self._run(batch_id), lambda: self._run(batch_id - 1))
         as_of = seen.as_of if seen else self._now(batch_id)
         p_dt = _date_key(as_of)
         same_day = before is not None and _date_key(before.as_of) == p_dt
@@ -168,9 +176,8 @@ class MallJob:
         self.warehouse.merge(p_dt, merges)
         return live
 
-    def _skip(self, batch_id: int) -> None:
+    def _skip(self, before: Run | None, batch_id: int) -> None:
         """Hand the note of the batch before on, so that a change of the static tables is still seen by the next batch."""
-        before = self._run(batch_id - 1)
         if before is not None:
             pending = self._pending(before)
             self._note(replace(before, live=before.after, adds=False, rebuilds=False, pending=pending, batch_id=batch_id))
@@ -222,9 +229,9 @@ class MallJob:
         rows = stamp(spark.createDataFrame(outcomes, _OUTCOME).coalesce(1), p_dt, int(batch_id))
         replace_partitions(rows, self.warehouse.path("status"), "p_dt", "batch_id", sized=False)
 
-    def _report(self, raw: DataFrame, rt: DataFrame, run: Run) -> None:
-        """Refresh every metric, then run again what failed for earlier batches."""
-        state, day = self._snapshot(rt, run)
+    def _report(self, raw: DataFrame, rt: DataFrame, run: Run, *waits: Future[None]) -> None:
+        """Refresh every metric, that of the moves after ``waits``, then run again what failed for earlier batches."""
+        state, day = self._snapshot(rt, run, *waits)
         try:
             self._record(self._outcomes(self._steps(raw, state, run)), run.name)
         finally:
@@ -232,12 +239,18 @@ class MallJob:
         for name in run.pending[:CATCH_UP]:
             self._again(name)
 
-    def _snapshot(self, rt: DataFrame, run: Run) -> tuple[Snapshot, DataFrame]:
+    def _snapshot(self, rt: DataFrame, run: Run, *waits: Future[None]) -> tuple[Snapshot, DataFrame]:
         """What the metrics of a batch read, and the part of it that is held in memory."""
         house, p_dt = self.warehouse, _date_key(run.as_of)
+
+        def pairs() -> DataFrame:
+            for wait in waits:
+                wait.result()
+            return house.pairs(p_dt)
+
         # The day's visits are merged over the runs once for all day metrics.
         day = visit_summary(house.visits(p_dt, run.after)).persist()
-        return Snapshot(rt, day, house.minutes(p_dt, run.after), house.pairs(p_dt)), day
+        return Snapshot(rt, day, house.minutes(p_dt, run.after), pairs), day
 
     # --- catching up ---
 
