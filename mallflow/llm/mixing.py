@@ -19,8 +19,9 @@ document every domain is equally likely.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -42,9 +43,11 @@ _SHARES = 6
 _EPOCHS, _PENALTY = 120, 1e-4
 # Least G statistic of a mark: how far its share of the domains must be from chance.
 _TELLING = 20.0
-ROUNDS, CLOSE = 40, 0.02
-# Errors are taken relative to the target, or to this share of the total where the target is less.
-_LEAST_TARGET = 0.05
+ROUNDS, CLOSE = 120, 0.02
+# Errors are taken relative to the target, or to this share of the total where the target is less (0 has no relative error).
+_LEAST_TARGET = 0.005
+# Rounds without a gain of this share of the squared error: the least squares are reached, short of the targets.
+_STALLED, _GAIN = 10, 1e-3
 
 MEMBERSHIP = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("p", T.ArrayType(T.DoubleType()))])
 
@@ -158,12 +161,20 @@ def _telling(marks: np.ndarray, domain: np.ndarray, sizes: np.ndarray) -> np.nda
 
 @dataclass(frozen=True)
 class Descent:
-    """The rounds so far: errors of the domains, momentum, step length, and the most a rate may be."""
+    """The rounds so far: errors of the domains, momentum, step length, the most a rate may be, and what the rates came to.
+
+    ``off`` is the largest relative error of a domain; the targets are ``met`` if it is below :data:`CLOSE`.
+    """
 
     errors: tuple[np.ndarray, ...]
     carried: tuple[float, ...]
     step: float
     most: float
+    off: float = 0.0
+
+    @property
+    def met(self) -> bool:
+        return self.off < CLOSE
 
     def rates(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rates after all rounds, and the point the next round looks at: a round carries on by some of its move."""
@@ -205,7 +216,9 @@ def _curvature(members: DataFrame) -> np.ndarray:
 
 
 def descend(members: DataFrame, targets: dict[str, float], total: float | None, most: float | None) -> Descent:
-    """Rounds until every domain is within :data:`CLOSE` of its target, relative to it, or :data:`ROUNDS` are done.
+    """Rounds until every domain is within :data:`CLOSE` of its target, relative to it, until more rounds gain nothing, or until
+    :data:`ROUNDS` are done. In the last two cases, as when a target asks for more words than there are, the rates are the least
+    squares found, a warning says how far off they are, and the descent is not ``met``.
 
     ``members`` has ``n_words`` and ``p``.
     """
@@ -220,16 +233,21 @@ def descend(members: DataFrame, targets: dict[str, float], total: float | None,
         return Descent((), (), 0.0, most)
     bend = _curvature(members) / total / np.outer(scale, scale)
     descent = Descent((), (), 1.0 / max(np.linalg.eigvalsh(bend)[-1], 1e-9), most)
-    rates, ahead, run, off = here, here, 0, np.inf
+    rates, ahead, run, history = here, here, 0, [np.inf]
     for _ in range(ROUNDS):
         if np.abs((rates / total - share) / scale).max() < CLOSE:
             break
+        if len(history) > _STALLED and history[-1] > (1 - _GAIN) * min(history[:-_STALLED]):
+            break
         error = (ahead / total - share) / scale**2
         descent = Descent((*descent.errors, error), (*descent.carried, run / (run + 3)), descent.step, most)
         rates, ahead = _sums(members, descent)
-        before, off = off, np.square((rates / total - share) / scale).sum()
+        history.append(np.square((rates / total - share) / scale).sum())
         # Momentum that leads uphill is dropped.
-        run = run + 1 if off < before else 0
+        run = run + 1 if history[-1] < history[-2] else 0
+    descent = replace(descent, off=float(np.abs((rates / total - share) / scale).max()))
+    if not descent.met:
+        warnings.warn(f"after {len(descent.errors)} rounds a domain is {descent.off:.3f} of its target away from it", stacklevel=2)
     return descent
 
 
