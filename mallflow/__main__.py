@@ -1,4 +1,4 @@
-"""Command line: ``python -m mallflow stream ...`` and ``python -m mallflow backfill ...`` (or through spark-submit)."""
+"""Command line: ``python -m mallflow stream ...``, ``backfill ...`` and ``close ...`` (or through spark-submit)."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 
 from mallflow.operators.lookup import Dimensions, load_dimensions
 from mallflow.plans.backfill import backfill_links
+from mallflow.plans.closing import close_day
 from mallflow.plans.warehouse import Warehouse
 from mallflow.schema import BLACKLIST, SHOP
 from mallflow.session import configure, size_for, stored_bytes
@@ -47,6 +48,10 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     backfill.add_argument("days", nargs="*", metavar="yyyyMMdd")
     backfill.add_argument("--all", action="store_true", help="every stored date")
 
+    close = commands.add_parser("close", help="merge the batch folders of past days")
+    close.add_argument("--root", required=True)
+    close.add_argument("days", nargs="+", metavar="yyyyMMdd")
+
     parsed = parser.parse_args(argv)
     if parsed.command == "stream" and parsed.kafka and not parsed.topic:
         parser.error("--kafka needs --topic")
@@ -54,7 +59,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
         parser.error("--option takes NAME=VALUE")
     if parsed.command == "backfill" and bool(parsed.days) == parsed.all:
         parser.error("name the days, or --all")
-    if parsed.command == "backfill" and (wrong := [day for day in parsed.days if not _is_date(day)]):
+    if parsed.command != "stream" and (wrong := [day for day in parsed.days if not _is_date(day)]):
         parser.error(f"no date of the form yyyyMMdd: {', '.join(wrong)}")
     return parsed
 
@@ -77,6 +82,12 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
         backfill_links(spark, house.path("dw"), house.path("links"), None if args.all else args.days)
         return
 
+    if args.command == "close":
+        for day in args.days:
+            size_for(spark, stored_bytes(spark, f"{house.path('dw')}/p_dt={day}"))
+            close_day(house, day)
+        return
+
     def dimensions() -> Dimensions:
         return load_dimensions(
             spark.read.schema(SHOP).parquet(args.shops), spark.read.schema(BLACKLIST).parquet(args.blacklist)

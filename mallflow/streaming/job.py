@@ -56,7 +56,7 @@ TRIES = 3
 CATCH_UP = 4
 
 
-def _date_key(as_of: str) -> str:
+def date_key(as_of: str) -> str:
     return as_of[:10].replace("-", "")
 
 
@@ -75,7 +75,7 @@ class Run:
 
     @property
     def name(self) -> str:
-        return f"{_date_key(self.as_of)}/{self.batch_id}"
+        return f"{date_key(self.as_of)}/{self.batch_id}"
 
     @property
     def after(self) -> list[str]:
@@ -83,6 +83,21 @@ class Run:
         return [*self.live, own_run(self.batch_id)] if self.adds else list(self.live)
 
 
+    def closed(self, run: str) -> Run:
+        """The note of a day's last batch once all runs of the day are one."""
+        return replace(self, live=[run], adds=False)
+
+
+def noted_runs(house: Warehouse, *batch_ids: int) -> DataFrame:
+    """The notes of all batches, or of some."""
+    return scan(house.spark, house.path("runs"), _RUN, [f"batch_id={n}" for n in batch_ids] or None)
+
+
+def note_run(house: Warehouse, run: Run) -> None:
+    row = house.spark.createDataFrame([tuple(getattr(run, name) for name in _RUN.names)], _RUN)
+    replace_partitions(row, house.path("runs"), "batch_id", sized=False)
+
+
 @dataclass(frozen=True)
 class MallJob:
     """``dimensions`` is read again for every batch. ``clock`` gives a batch's processing time as clock text; by default
@@ -113,7 +128,7 @@ class MallJob:
             size_for(house.spark, messages.size)
             dims = dims.result()
             run = self._open(batch_id, dims, seen.result(), before.result())
-            p_dt = _date_key(run.as_of)
+            p_dt = date_key(run.as_of)
             land(house, messages, p_dt, batch_id)
 
         raw = house.pings(p_dt, batch_id).drop("p_dt", "batch_id")
@@ -146,8 +161,8 @@ class MallJob:
         house = self.warehouse
         version = f"{dims.version}{'/links' if self.links else ''}"
         as_of = seen.as_of if seen else self._now(batch_id)
-        p_dt = _date_key(as_of)
-        same_day = before is not None and _date_key(before.as_of) == p_dt
+        p_dt = date_key(as_of)
+        same_day = before is not None and date_key(before.as_of) == p_dt
         changed = before is not None and before.dims_version != version
         links_alike = before is None or before.dims_version.endswith("/links") == version.endswith("/links")
         rebuilds = (before is None and batch_id > 0) or (seen is not None and seen.rebuilds) or (same_day and not links_alike)
@@ -183,12 +198,11 @@ class MallJob:
             self._note(replace(before, live=before.after, adds=False, rebuilds=False, pending=pending, batch_id=batch_id))
 
     def _run(self, batch_id: int) -> Run | None:
-        row = scan(self.warehouse.spark, self.warehouse.path("runs"), _RUN, [f"batch_id={batch_id}"]).first()
+        row = noted_runs(self.warehouse, batch_id).first()
         return Run(**row.asDict()) if row else None
 
     def _note(self, run: Run) -> None:
-        row = self.warehouse.spark.createDataFrame([tuple(getattr(run, name) for name in _RUN.names)], _RUN)
-        replace_partitions(row, self.warehouse.path("runs"), "batch_id", sized=False)
+        note_run(self.warehouse, run)
 
     def _now(self, batch_id: int) -> str:
         if self.clock is not None:
@@ -198,7 +212,7 @@ class MallJob:
 
     def _steps(self, raw: DataFrame, state: Snapshot, run: Run) -> dict[str, Callable[[], str | None]]:
         """What is done for a batch, each on its own."""
-        metrics, p_dt = self.warehouse.metrics, _date_key(run.as_of)
+        metrics, p_dt = self.warehouse.metrics, date_key(run.as_of)
 
         def count() -> str:
             row = batch_counts(raw, state.rt).first()
@@ -241,7 +255,7 @@ class MallJob:
 
     def _snapshot(self, rt: DataFrame, run: Run, *waits: Future[None]) -> tuple[Snapshot, DataFrame]:
         """What the metrics of a batch read, and the part of it that is held in memory."""
-        house, p_dt = self.warehouse, _date_key(run.as_of)
+        house, p_dt = self.warehouse, date_key(run.as_of)
 
         def pairs() -> DataFrame:
             for wait in waits:
