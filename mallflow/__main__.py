@@ -11,6 +11,7 @@ from pyspark.sql import SparkSession
 from mallflow.operators.lookup import Dimensions, load_dimensions
 from mallflow.plans.backfill import backfill_links
 from mallflow.plans.closing import close_day
+from mallflow.plans.documents import TRAILING
 from mallflow.plans.warehouse import Warehouse
 from mallflow.schema import BLACKLIST, SHOP
 from mallflow.session import configure, size_for, stored_bytes
@@ -41,6 +42,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     stream.add_argument("--interval", default="60 seconds", help="time between micro-batches")
     stream.add_argument("--once", action="store_true", help="process what is there, then stop")
     stream.add_argument("--no-links", action="store_true", help="leave the shop moves to the backfill")
+    stream.add_argument("--trailing", action="append", default=[], choices=list(TRAILING), help="keep this metric over a trailing window too")
     stream.add_argument("--zone", default="UTC", help="time zone of the clock text and the processing dates")
 
     backfill = commands.add_parser("backfill", help="rebuild the shop moves of past days")
@@ -98,7 +100,7 @@ def main(argv: Sequence[str] | None = None, spark: SparkSession | None = None) -
     else:
         lines = file_messages(spark, args.directory, args.max_files, origins=True)
     trigger = {"availableNow": True} if args.once else {"processingTime": args.interval}
-    MallJob(house, dimensions, links=not args.no_links).start(lines, **trigger).awaitTermination()
+    MallJob(house, dimensions, links=not args.no_links, trailing=tuple(args.trailing)).start(lines, **trigger).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from mallflow.operators import floors, links
 from mallflow.operators.clean import business_hours, clean_batch
 from mallflow.operators.lookup import Dimensions
+from mallflow.operators.panes import pane_summary
 from mallflow.operators.visits import visit_summary
 from mallflow.plans.runs import merged_run
 from mallflow.plans.warehouse import DW, RECORDS, SIGHTINGS, Warehouse, slot_of
@@ -75,7 +76,7 @@ def _stored(frame: DataFrame, path: str) -> DataFrame:
 
 
 def apply_changes(
-    house: Warehouse, p_dt: str, batch_id: int, live: Sequence[str], old: Dimensions, new: Dimensions, moves: bool = True
+    house: Warehouse, p_dt: str, batch_id: int, live: Sequence[str], old: Dimensions, new: Dimensions, moves: bool = True, panes: bool = False
 ) -> list[str]:
     """Bring the day up to, but without, the given batch from ``old`` to ``new``. Returns the runs that are live then."""
     spark: SparkSession = house.spark
@@ -106,6 +107,8 @@ def apply_changes(
     ]
     if moves:
         steps.append(partial(_moves, house, p_dt, batch_id, hit, hours))
+    if panes:
+        steps.append(partial(_panes, house, p_dt, batch_id, changes, fresh, hours))
     together(spark, *steps)
     return [run]
 
@@ -115,6 +118,13 @@ def _visits(house: Warehouse, p_dt: str, live: Sequence[str], changes: Changes,
     house.put_run(kept.unionByName(visit_summary(fresh)), "visits", p_dt, run)
 
 
+def _panes(house: Warehouse, p_dt: str, batch_id: int, changes: Changes, fresh: DataFrame, hours: Sequence[int]) -> None:
+    kept = changes.missed(house.panes(p_dt, hours).drop("p_dt", "batch_id"))
+    rows = _stored(kept.unionByName(pane_summary(fresh, "dt_hour")), f"{house.path('changes')}/batch_id={batch_id}/panes")
+    put = partial(_replace_below, house.path("panes"), p_dt, "dt_hour", batch_id - 1)
+    together(house.spark, *[partial(put, hour, rows.where(F.col("dt_hour") == hour)) for hour in hours])
+
+
 def _minutes(
     house: Warehouse, p_dt: str, batch_id: int, live: Sequence[str], hours: Sequence[int], slots: Sequence[int], run: str
 ) -> None:

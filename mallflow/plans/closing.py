@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 
 from mallflow.plans.documents import PRODUCTS
 from mallflow.plans.runs import merged_run
-from mallflow.plans.warehouse import DEAD, DW, MERGEABLE, ODS, RECORDS, SIGHTINGS, Warehouse
+from mallflow.plans.warehouse import DEAD, DW, MERGEABLE, ODS, PANES, RECORDS, SIGHTINGS, Warehouse
 from mallflow.schema import METRIC, with_keys
 from mallflow.session import together
 from mallflow.sources.tables import replace_day, replace_partition, scan, scan_day
@@ -30,6 +30,7 @@ _TABLES: dict[str, tuple[T.StructType, tuple[str, ...]]] = {
     "dw": (DW, ("dt_hour",)),
     "records": (RECORDS, ("dt_hour",)),
     "sightings": (SIGHTINGS, ("part",)),
+    "panes": (PANES, ("dt_hour",)),
 }
 _SERIES = with_keys(T.StructType([f for f in METRIC.fields if f.name != "bi_name"]), ("p_dt", T.StringType()), ("batch_id", T.LongType()))
 _TABLES |= {f"metrics/bi_name={name}": (_SERIES, ()) for name, product in PRODUCTS.items() if product.appends}

@@ -77,6 +77,23 @@ PRODUCTS: dict[str, Product] = {
 }
 
 
+@dataclass(frozen=True)
+class Trailing:
+    """A metric over the last seconds before the batch's processing time: distinct devices, from what was seen in the window."""
+
+    seconds: int
+    build: Callable[[DataFrame], DataFrame]
+    values: dict[str, str]
+
+
+# Optional metrics; their windows are fixed values.
+TRAILING: dict[str, Trailing] = {
+    "trailing_shop": Trailing(600, shops.shop_flow, {"shop": "shop", "flow": "flow"}),
+    "trailing_floor": Trailing(600, floors.floor_uv, {"floor": "locName", "uv": "uv"}),
+    "trailing_catalog": Trailing(3600, shops.day_top_category, {"catalog": "catalog", "total": "total"}),
+}
+
+
 def metric_documents(
     rows: DataFrame, bi_name: str, as_of: str, values: dict[str, str], hour: str | None = None, minute: str | None = None
 ) -> DataFrame:
@@ -102,6 +119,11 @@ def product_documents(bi_name: str, state: Snapshot, as_of: str) -> DataFrame:
     return metric_documents(product.build(state), bi_name, as_of, product.values, product.hour, product.minute)
 
 
+def trailing_documents(bi_name: str, seen: DataFrame, as_of: str) -> DataFrame:
+    product = TRAILING[bi_name]
+    return metric_documents(product.build(seen), bi_name, as_of, product.values)
+
+
 def brand_link_documents(links: DataFrame, as_of: str) -> DataFrame:
     """Shop-pair moves as documents, from the moves themselves."""
     return metric_documents(link_matrix(links), "brand_link", as_of, PRODUCTS["brand_link"].values)

@@ -195,8 +195,8 @@ _DOCUMENTS = {
 }
 
 
-def _entries(bi_name: str) -> str:
-    table, values, (hour, minute) = _DOCUMENTS[bi_name]
+def _entries(bi_name: str, documents: dict[str, tuple] = _DOCUMENTS) -> str:
+    table, values, (hour, minute) = documents[bi_name]
     return " UNION ALL ".join(
         f"""SELECT 'sh001' AS mall_id, '20240115' AS p_dt, '2024' AS dt_year, '01' AS dt_month, '15' AS dt_day,
                    CAST({hour} AS VARCHAR) AS dt_hour, CAST({minute} AS VARCHAR) AS dt_min,
@@ -205,6 +205,29 @@ def _entries(bi_name: str) -> str:
     )
 
 
+_WINDOW = "(SELECT * FROM dw WHERE date_time > '2024-01-15 {}' AND date_time <= '2024-01-15 15:00:00')"
+_AT_THREE = ("'15'", "'00'")
+_TRAILING = {
+    "trailing_shop": (
+        f"(SELECT name AS shop, count(DISTINCT mac) AS flow FROM {_WINDOW.format('14:50:00')} WHERE name <> '走道' GROUP BY name)",
+        {"shop": "shop", "flow": "flow"},
+        _AT_THREE,
+    ),
+    "trailing_floor": (
+        f"(SELECT locName AS floor, count(DISTINCT mac) AS uv FROM {_WINDOW.format('14:50:00')} GROUP BY locName)",
+        {"floor": "floor", "uv": "uv"},
+        _AT_THREE,
+    ),
+    "trailing_catalog": (
+        f"""(SELECT type AS catalog, count(DISTINCT mac) AS total FROM {_WINDOW.format('14:00:00')}
+             WHERE type IS NOT NULL AND name <> '走道' GROUP BY type ORDER BY total DESC, catalog LIMIT 10)""",
+        {"catalog": "catalog", "total": "total"},
+        _AT_THREE,
+    ),
+}
+
+_TAILS["stream_trailing"] = " UNION ALL ".join(_entries(name, _TRAILING) for name in _TRAILING)
+
 _TAILS["stream_ledger"] = """
     SELECT kind, messages FROM (
       SELECT 'taken' AS kind, count(*) AS messages FROM ping UNION ALL SELECT 'landed', count(*) FROM ping

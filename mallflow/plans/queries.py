@@ -415,6 +415,19 @@ def stream_ledger(spark, sf_dir):
     return reduce(DataFrame.unionByName, parts)
 
 
+TRAILING_AS_OF = "2024-01-15 15:00:00"
+
+
+@query
+def stream_trailing(spark, sf_dir):
+    """Metrics over the last ten minutes and the last hour before a processing time, from the panes of two micro-batches."""
+    house = Warehouse(spark, scratch_dir(spark, "trailing"))
+    dims, names = (lambda: fixtures.dimensions(spark, sf_dir)), tuple(documents.TRAILING)
+    job = MallJob(house, dims, clock=lambda _: TRAILING_AS_OF, products=(), links=False, trailing=names)
+    job.start(_message_stream(spark, sf_dir, "messages", 2), availableNow=True).awaitTermination()
+    return _flattened(house.metrics.read_day(AS_OF_DATE, *names))
+
+
 STREAM_BATCHES = 2
 _DAY_PRODUCTS = ("today_total", "day_max_shop", "day_catalog", "floor_day_flow", "heat_map", "brand_link")
 

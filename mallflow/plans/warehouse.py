@@ -28,6 +28,7 @@ from pyspark.sql import types as T
 from mallflow.operators import floors, links
 from mallflow.operators.clean import wash_day
 from mallflow.operators.lookup import Dimensions, load_dimensions
+from mallflow.operators.panes import pane_summary, trailing_panes
 from mallflow.operators.visits import visit_summary
 from mallflow.plans.runs import Merge, own_run
 from mallflow.schema import BLACKLIST, CLEAN_PING, LINK, PING, SHOP, VISIT, with_keys
@@ -66,6 +67,9 @@ EDGES = _table(
     _P_DT,
     _PART,
 )
+PANES = with_keys(
+    T.StructType([T.StructField("pane", _INT), *[f for f in VISIT.fields if f.name != "pings"]]), _P_DT, _HOUR, _BATCH
+)
 LINKS = with_keys(LINK, _P_DT, _PART)
 PAIRS = _table(("from_name", _TEXT), ("to_name", _TEXT), ("times", _LONG), _P_DT, _PART)
 
@@ -148,20 +152,22 @@ class Warehouse:
 
     # --- the day's state ---
 
-    def refresh(self, clean: DataFrame, p_dt: str, batch_id: int) -> None:
+    def refresh(self, clean: DataFrame, p_dt: str, batch_id: int, panes: bool = False) -> None:
         """Work a batch's clean pings of the business hours into the day, but for the moves. They are read several times."""
         clean = clean.drop("p_dt", "batch_id")
-        together(
-            self.spark,
+        steps = [
             lambda: append_batch(clean, self.path("dw"), p_dt, batch_id, "dt_hour"),
             partial(self._add_visits, clean, p_dt, batch_id),
             partial(self._add_minutes, clean, p_dt, batch_id, whole_day=False),
-        )
+        ]
+        if panes:
+            steps.append(partial(self._add_panes, clean, p_dt, batch_id, whole_day=False))
+        together(self.spark, *steps)
 
     def refresh_moves(self, clean: DataFrame, p_dt: str, batch_id: int) -> None:
         self._add_moves(clean.drop("p_dt", "batch_id"), p_dt, batch_id, whole_day=False)
 
-    def rebuild(self, p_dt: str, dims: Dimensions, batch_id: int, moves: bool = True) -> None:
+    def rebuild(self, p_dt: str, dims: Dimensions, batch_id: int, moves: bool = True, panes: bool = False) -> None:
         """Clean the whole day again and make its state anew, as if all of it had come with this batch."""
         self.rewash(p_dt, dims)
         clean = self.clean_pings(p_dt).drop("p_dt", "batch_id")
@@ -171,6 +177,8 @@ class Warehouse:
         ]
         if moves:
             steps.append(partial(self._add_moves, clean, p_dt, batch_id, whole_day=True))
+        if panes:
+            steps.append(partial(self._add_panes, clean, p_dt, batch_id, whole_day=True))
         together(self.spark, *steps)
 
     def merge(self, p_dt: str, merges: Sequence[Merge]) -> None:
@@ -201,6 +209,22 @@ class Warehouse:
     def _add_visits(self, clean: DataFrame, p_dt: str, batch_id: int) -> None:
         self.put_run(visit_summary(clean), "visits", p_dt, own_run(batch_id))
 
+    # --- panes ---
+
+    def _add_panes(self, clean: DataFrame, p_dt: str, batch_id: int, whole_day: bool) -> None:
+        made = stamp(pane_summary(clean, "dt_hour"), p_dt, batch_id)
+        # In order of time, so that a reader of a window passes over the rest of a file.
+        self._put(made, "panes", p_dt, "dt_hour", "batch_id", whole_day=whole_day, order=["pane"])
+
+    def panes(self, p_dt: str, hours: Iterable[int]) -> DataFrame:
+        return self._day("panes", PANES, p_dt, *[f"dt_hour={hour}" for hour in hours])
+
+    def trailing(self, p_dt: str, as_of: int, seconds: int) -> DataFrame:
+        """What was seen in the ``seconds`` up to the epoch second ``as_of``, from the panes of the hours that these fall into."""
+        places = f"concat(sequence({as_of - seconds + 1}, {as_of}, 3600), array({as_of}))"
+        hours = self.spark.sql(f"SELECT DISTINCT hour(timestamp_seconds(t)) AS h FROM (SELECT explode({places}) AS t)").collect()
+        return trailing_panes(self.panes(p_dt, [row["h"] for row in hours]), as_of, seconds)
+
     # --- minutes ---
 
     def _add_minutes(self, clean: DataFrame, p_dt: str, batch_id: int, whole_day: bool) -> None:

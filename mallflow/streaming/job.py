@@ -17,7 +17,7 @@ from mallflow.operators.flow import batch_counts
 from mallflow.operators.lookup import Dimensions
 from mallflow.operators.visits import visit_summary
 from mallflow.plans.changes import apply_changes
-from mallflow.plans.documents import PRODUCTS, Snapshot, product_documents
+from mallflow.plans.documents import PRODUCTS, TRAILING, Snapshot, product_documents, trailing_documents
 from mallflow.plans.runs import compacted, own_run
 from mallflow.plans.warehouse import Warehouse
 from mallflow.session import meanwhile, size_for, stored_bytes, together
@@ -109,6 +109,8 @@ class MallJob:
     clock: Callable[[int], str] | None = None
     products: Sequence[str] = tuple(PRODUCTS)
     links: bool = True
+    # Names of the metrics over trailing windows that are kept as well.
+    trailing: Sequence[str] = ()
 
     def start(self, lines: DataFrame, **trigger) -> StreamingQuery:
         return (
@@ -136,14 +138,14 @@ class MallJob:
         try:
             if run.rebuilds:
                 size_for(house.spark, stored_bytes(house.spark, f"{house.path('ods')}/p_dt={p_dt}"))
-                house.rebuild(p_dt, dims, batch_id, self.links)
+                house.rebuild(p_dt, dims, batch_id, self.links, bool(self.trailing))
                 self._report(raw, rt, run)
             else:
                 clean = business_hours(rt)
                 walks = [partial(house.refresh_moves, clean, p_dt, batch_id)] if self.links else []
                 # The moves take longest and only their own metric waits for them. If they fail, so does the batch.
                 with meanwhile(house.spark, *walks) as moved:
-                    house.refresh(clean, p_dt, batch_id)
+                    house.refresh(clean, p_dt, batch_id, bool(self.trailing))
                     self._report(raw, rt, run, *moved)
                     for walk in moved:
                         walk.result()
@@ -159,13 +161,15 @@ class MallJob:
         the batch before.
         """
         house = self.warehouse
-        version = f"{dims.version}{'/links' if self.links else ''}"
+        # What else the state of the day holds goes with the version: a part that was left out before is made from the raw pings.
+        extras = "+".join(name for name, wanted in (("links", self.links), ("panes", self.trailing)) if wanted)
+        version = f"{dims.version}#{extras}"
         as_of = seen.as_of if seen else self._now(batch_id)
         p_dt = date_key(as_of)
         same_day = before is not None and date_key(before.as_of) == p_dt
         changed = before is not None and before.dims_version != version
-        links_alike = before is None or before.dims_version.endswith("/links") == version.endswith("/links")
-        rebuilds = (before is None and batch_id > 0) or (seen is not None and seen.rebuilds) or (same_day and not links_alike)
+        alike = before is None or before.dims_version.split("#")[-1] == extras
+        rebuilds = (before is None and batch_id > 0) or (seen is not None and seen.rebuilds) or (same_day and not alike)
         dims_at = before.dims_at if before is not None and not changed else batch_id
         if dims_at == batch_id:
             house.keep_dimensions(dims, batch_id)
@@ -177,7 +181,7 @@ class MallJob:
             # If this batch is run again, the day is made anew.
             self._note(replace(run, rebuilds=True))
             old = house.kept_dimensions(before.dims_at)
-            live = apply_changes(house, p_dt, batch_id, before.after, old, dims, self.links)
+            live = apply_changes(house, p_dt, batch_id, before.after, old, dims, self.links, bool(self.trailing))
             run = replace(run, live=live)
             self._note(replace(run, rebuilds=True))
         else:
@@ -210,6 +214,10 @@ class MallJob:
         now = F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss")
         return self.warehouse.spark.range(1).select(now.alias("now")).first()["now"]
 
+    def _seconds(self, as_of: str) -> int:
+        """Clock text of the session's zone as epoch seconds."""
+        return self.warehouse.spark.range(1).select(F.unix_timestamp(F.lit(as_of)).alias("t")).first()["t"]
+
     def _steps(self, raw: DataFrame, state: Snapshot, run: Run) -> dict[str, Callable[[], str | None]]:
         """What is done for a batch, each on its own."""
         metrics, p_dt = self.warehouse.metrics, date_key(run.as_of)
@@ -224,7 +232,12 @@ class MallJob:
             put(documents, bi_name, p_dt, run.batch_id)
 
         names = [bi_name for bi_name in self.products if self.links or bi_name != "brand_link"]
-        return {"batch_counts": count} | {bi_name: partial(store, bi_name) for bi_name in names}
+        def store_trailing(bi_name: str) -> None:
+            seen = self.warehouse.trailing(p_dt, self._seconds(run.as_of), TRAILING[bi_name].seconds)
+            metrics.replace(trailing_documents(bi_name, seen, run.as_of), bi_name, p_dt, run.batch_id)
+
+        steps = {"batch_counts": count} | {bi_name: partial(store, bi_name) for bi_name in names}
+        return steps | {bi_name: partial(store_trailing, bi_name) for bi_name in self.trailing}
 
     def _outcomes(self, steps: dict[str, Callable[[], str | None]], tries: int = 1) -> list[tuple]:
         """A failing step is recorded and does not stop the others."""
