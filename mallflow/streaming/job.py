@@ -157,8 +157,8 @@ class MallJob:
 
         The note is written before any other output, so a batch that is run again after midnight keeps its date and builds on the
         same runs. Changes of the static tables since the batch before are worked into the day first. The day is made anew from its raw
-        pings when that was begun before and the batch is run again, when moves were left out before, and when nothing is known of
-        the batch before.
+        pings when a batch with changes, or with other static tables, is run again, when a part of the state was left out before, and when
+        nothing is known of the batch before.
         """
         house = self.warehouse
         # What else the state of the day holds goes with the version: a part that was left out before is made from the raw pings.
@@ -169,7 +169,9 @@ class MallJob:
         same_day = before is not None and date_key(before.as_of) == p_dt
         changed = before is not None and before.dims_version != version
         alike = before is None or before.dims_version.split("#")[-1] == extras
-        rebuilds = (before is None and batch_id > 0) or (seen is not None and seen.rebuilds) or (same_day and not alike)
+        # A batch that was begun with other static tables has left rows of theirs.
+        again = seen is not None and (seen.rebuilds or seen.dims_version != version)
+        rebuilds = again or (before is None and batch_id > 0) or (same_day and not alike)
         dims_at = before.dims_at if before is not None and not changed else batch_id
         if dims_at == batch_id:
             house.keep_dimensions(dims, batch_id)

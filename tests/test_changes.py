@@ -80,3 +80,18 @@ def test_a_change_that_fails_half_way_makes_the_day_anew(spark, tmp_path, monkey
     job.process(lines(spark, *texts(90, 100)), 2)
     assert stored_day(job) == expected(spark, texts(0, 60) + texts(60, 90) + texts(90, 100), shops=CHANGED)
     assert stored_links(job) == expected_links(spark, texts(0, 60) + texts(60, 90) + texts(90, 100), CHANGED)
+
+
+def test_a_batch_run_again_with_other_tables(spark, tmp_path, monkeypatch):
+    """The first attempt was lost after it had stored its state; the tables have changed when it is run again."""
+    first = mall(spark, tmp_path)
+    first.process(lines(spark, *texts(0, 40)), 0)
+    with monkeypatch.context() as patch:
+        patch.setattr(job_module.MallJob, "_report", lambda *_: (_ for _ in ()).throw(RuntimeError("lost on the way")))
+        with pytest.raises(RuntimeError):
+            first.process(lines(spark, *texts(40, 70)), 1)
+    job = mall(spark, tmp_path, shops=CHANGED, blacklist=["m2"])
+    job.process(lines(spark, *texts(40, 70)), 1)
+    job.process(lines(spark, *texts(70, 80)), 2)
+    assert stored_day(job) == expected(spark, texts(0, 40) + texts(40, 70) + texts(70, 80), shops=CHANGED, blacklist=["m2"])
+    assert stored_links(job) == expected_links(spark, texts(0, 40) + texts(40, 70) + texts(70, 80), CHANGED, ["m2"])
