@@ -57,58 +57,89 @@ def passages():
 
 
 @pytest.mark.parametrize(("group", "batch"), [(substrings.GROUP, 1000), (2, 7), (substrings.GROUP, 1)])
-def test_every_split_gives_the_same(spark, passages, monkeypatch, group, batch):
+def test_every_split_gives_the_same(spark, tmp_path, passages, monkeypatch, group, batch):
     monkeypatch.setattr(frames, "_BATCH_ROWS", batch)
-    docs = spark.createDataFrame(list(enumerate(passages)), "doc_id bigint, text string").repartition(5)
+    docs = spark.createDataFrame(list(enumerate(passages)), "doc_id bigint, text string")
+    docs.repartition(5).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
     want = sorted(((i, *row) for i, row in enumerate(plain(passages))), key=str)
     assert _rows(substrings.remove_repeats(docs, ["doc_id"], group=group)) == want
 
 
-def test_condensed_groups(passages):
-    """A group read in many batches, settled on the way, against the whole group at once."""
-    found = [b for b in _suffix_batches(passages)]
-    table = pa.Table.from_batches(found)
+@pytest.mark.parametrize("held", [1, 7, 1 << 14])
+def test_groups_in_many_batches(passages, monkeypatch, held):
+    """Groups read in batches of any size against the whole table at once."""
+    table = pa.Table.from_batches(list(_slices(passages)))
     table = table.take(pa.array(np.argsort(table["key"].to_numpy(), kind="stable")))
-    whole = {(r["digest"], r["first"]): r["bits"] for b in [substrings._found(table, substrings._deep_nodes(table))] for r in b.to_pylist()}
-    for size, held in ((1, 0), (3, 1), (50, 4)):
-        old, substrings._HELD_ROWS = substrings._HELD_ROWS, held
-        got: dict = {}
-        for batch in substrings._tree_task(iter(table.to_batches(max_chunksize=size))):
-            for r in batch.to_pylist():
-                key = (r["digest"], r["first"])
-                got[key] = got.get(key, 0) | r["bits"]
-        substrings._HELD_ROWS = old
-        assert got == whole
-
-
-def _suffix_batches(texts):
-    class Shared:
-        value = np.zeros(0, np.uint64)
-
-    # One text at a time, so that equal suffixes are not merged before they meet.
+    whole = substrings._found(table, 35).to_pylist()
+    monkeypatch.setattr(substrings, "_HELD_ROWS", held)
+    got = [r for b in substrings._tree_task(35)(iter(table.to_batches(max_chunksize=3))) for r in b.to_pylist()]
+    assert got == whole and whole
+
+
+def _slices(texts):
+    """All suffixes of the texts, taken one text at a time, so that equal ones are not merged before they meet."""
     for i, text in enumerate(texts):
-        batch = pa.RecordBatch.from_arrays([pa.array([str(i).encode()]), pa.array([text])], ["digest", "text"])
-        yield from substrings._suffix_task(Shared, 35)(iter([batch]))
-
-
-def test_runs_alike_in_half_their_hash():
-    """Runs whose hashes agree in the upper or the lower 32 bits only are different runs, equal ones are not."""
-    runs = [(7 << 32) | 1, (7 << 32) | 2, (8 << 32) | 2, (9 << 32) | 5, (9 << 32) | 5]
-    kinds = [substrings._ONE] * len(runs)
-    values = np.array(runs, np.uint64)
-    at = np.arange(len(runs))
-    table = pa.table(
-        {
-            "key": pa.array([3] * len(runs)),
-            "digest": pa.array([bytes([i]) for i in at]),
-            "first": pa.array([0] * len(runs), pa.int32()),
-            "back": pa.array([4] * len(runs), pa.int32()),
-            "runs": substrings._binary(values, at, at + 1),
-            "n": pa.array([1] * len(runs), pa.int32()),
-            "kind": pa.array(kinds, pa.int32()),
-        }
-    )
-    assert substrings._deep_nodes(table).tolist() == [0, 0, 0, 1, 1]
+        batch = pa.RecordBatch.from_arrays([pa.array([i]), pa.array([text])], ["row", "text"])
+        for found in substrings._place_task(35)(iter([batch])):
+            places = pa.array([found.column(2).to_pylist()], pa.list_(pa.int64()))
+            rows = pa.RecordBatch.from_arrays([*batch.columns, places], ["row", "text", "places"])
+            yield from substrings._slice_task(35, common=False)(iter([rows]))
+
+
+def test_tree_of_sorted_words():
+    """Depths of neighbours and nodes at a depth, against plain prefixes."""
+    pick = np.random.default_rng(4)
+    words, first = pick.integers(0, 2, (200, 9)), pick.integers(0, 3, 200)
+    tree = substrings._sorted_tree(first, words)
+    for depth in range(10):
+        node = substrings._at_depth(tree, depth)
+        want = {(f, *w[:depth]) for f, w in zip(first, words.tolist(), strict=True)}
+        assert len(set(zip(node, first, map(tuple, words[:, :depth].tolist()), strict=True))) == len(set(node)) == len(want)
+
+
+def test_keys_that_collide(passages):
+    """The words decide, not the key: with all suffixes in one group the same runs are found."""
+    table = pa.Table.from_batches(list(_slices(passages)))
+    table = table.take(pa.array(np.argsort(table["key"].to_numpy(), kind="stable")))
+    one = table.set_column(0, "key", pa.array(np.full(table.num_rows, 7)))
+    assert (substrings._deep_nodes(one, 35) == substrings._deep_nodes(table, 35)).all()
+
+
+def test_stretches(spark, passages):
+    """Repeats longer than the length come out whole, those that only overlap apart."""
+    long = cases.prose(77, 130).split()
+    texts = [*passages, "x " + " ".join(long) + " y", " ".join(["z", "z", *long[:90]]), " ".join(["q", *long[40:], "r"]), None]
+    split = [cases.words(t) for t in texts]
+    seen = Counter(tuple(w[k : k + 35]) for w in split for k in range(len(w) - 34))
+    want = []
+    for words in split:
+        spans = []
+        for k in range(len(words) - 34):
+            if seen[tuple(words[k : k + 35])] > 1:
+                if spans and spans[-1][1] == k + 34:
+                    spans[-1] = (spans[-1][0], k + 35)
+                else:
+                    spans.append((k, k + 35))
+        want.append(spans)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    frame = substrings.repeated_stretches(docs)
+    assert frame.columns == ["doc_id", "text", "stretches"]
+    got = {r["doc_id"]: [tuple(s) for s in r["stretches"]] for r in frame.collect()}
+    assert got == dict(enumerate(want))
+    assert got[len(passages)] == [(1, 131)]
+    assert got[len(passages) + 1] == [(2, 92)] and got[len(passages) + 2] == [(1, 91)]
+
+
+def test_long_words_and_lengths(spark):
+    words = ["w" * 5000 + str(i) for i in range(40)]
+    texts = [" ".join(words), " ".join([*words[:36], "other"]), " ".join([*words[:20], "w" * 4999 + "20", *words[21:]])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for length in (8, 35, 70):
+        assert _rows(substrings.remove_repeats(docs, ["doc_id"], length=length)) == [(i, *r) for i, r in enumerate(plain(texts, length))]
+    for length in (7, 71):
+        with pytest.raises(ValueError, match="length must be"):
+            substrings.remove_repeats(docs, length=length)
 
 
 def test_awkward_documents(spark):
