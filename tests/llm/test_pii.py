@@ -77,6 +77,9 @@ def test_long_runs(spark):
         ("bank DE89370400440532013000 ok", ["iban"]),
         ("DE89370400440532013001", []),
         ("example sample iban test DE89370400440532013000", ["iban"]),
+        ("example DE89370400440532013000", []),
+        ("a fake one: DE89 3704 0044 0532 0130 00", []),
+        ("no example within reach of the number, as this is far off, so: DE89370400440532013000", ["iban"]),
         ("card 4111111111111111", ["card"]),
         ("card 4111111111111112", []),
         ("999.1.1.1 and 1.2.3.4.5", ["ip"]),
@@ -107,6 +110,25 @@ def test_context_moves_the_score(spark):
     assert high > plain_ > low
 
 
+def test_many_matches_in_one_text(spark):
+    """Texts with very many matches, at places before, at and after the ends of blocks."""
+    pick = random.Random(5)
+    numbers = ["".join(pick.choice("0123456789") for _ in range(pick.randint(2, 20))) for _ in range(200_000)]
+    texts = [", ".join(numbers), " a@b.c".join(str(i) for i in range(30_000)), "漢 1.2.3.4 𝄞 " * 5_000]
+    texts += ["+491234567890 x " * n for n in (127, 128, 129, 256, 257)]
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")).collect()
+    for row in rows:
+        assert _base(row) == plain(row["text"])
+
+
+def test_context_at_the_ends_of_blocks(spark):
+    card = "4111111111111111"
+    texts = ["x " * half + " card " + card + " ok " + "y" * 2000 for half in range(480, 520)]
+    texts += ["x " * half + card + " visa " + "y" * 2000 for half in range(490, 515)] + ["x " * half + card for half in (504, 512)]
+    rows = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "id bigint, text string")).collect()
+    assert {r["id"] for r in rows if r["pii"][0]["score"] > 0.9} == set(range(len(texts) - 2))
+
+
 def test_awkward_documents(spark):
     docs = cases.documents(spark).withColumnRenamed("found", "found_ip").withColumnRenamed("key", "safe")
     frame = pii.find_pii(docs)
