@@ -2,12 +2,14 @@
 
 The model is modified Kneser-Ney over runs of ``ORDER`` characters. Spark counts the runs of all documents by language (runs are
 summed inside each task before the shuffle), works out discounts, back-off weights and interpolated probabilities order by order
-as SQL, and the top order is packed into arrays sorted by a 64-bit hash of language and run. Every run of a scored document was
-counted, so its probability is always found in the top order. A document is rejected when its log perplexity lies outside its
-language's band, which is the median plus and minus a multiple of the median absolute deviation.
+as SQL, and the top order is packed into arrays sorted by a 64-bit hash of language and run. Documents with more than
+``TAUGHT_SYMBOLS`` symbols a word teach the model nothing, so that junk does not make itself likely: their runs are counted as
+unseen, and get their probability by back-off. Every run of a scored document thus has its probability in the top order. A document
+is rejected when its log perplexity lies outside its language's band, which is the median plus and minus a multiple of the median
+absolute deviation.
 
-The arrays are broadcast while they take at most ``model_bytes``; a larger model is joined to the documents' runs by hash, with the
-same results.
+The arrays are broadcast while they take at most ``model_bytes``; a larger model is joined to the documents' runs by hash. Logarithms
+are kept as whole numbers of 2^-20 and added up without rounding, so both ways give the same perplexity to the last bit.
 
 Defined results: a null text counts as empty; a text shorter than one run has no perplexity and is judged by the counts alone; a
 null language is a language of its own; repeated rows are scored each on its own; an empty table gives an empty table.
@@ -29,12 +31,15 @@ from mallflow.llm.words import PLAIN, Chunk, chunks, grams, mix, spans_hash
 ORDER = 5
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
+# Symbols a word from which a document teaches the model nothing.
+TAUGHT_SYMBOLS = 0.1
 # Width of the band on either side, in median absolute deviations, and the least deviation that is taken (in nats).
 BELOW, ABOVE, LEAST_DEVIATION = 12.0, 7.0, 0.01
 # Perplexities are put into steps of this many nats to find the medians: their number is bounded, so the medians are exact.
 _STEP = 0.002
 MODEL_BYTES = 128 << 20
 _ENTRY_BYTES = 12
+_UNIT = 1 << 20
 _FEW_LANGUAGES = 100_000
 _HELD = 1 << 19
 
@@ -201,56 +206,63 @@ class _RunCounter:
 
 
 def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct runs of a task with their numbers; a task that meets very many hands them on part by part."""
-    counters: dict[str | None, _RunCounter] = {}
+    """The distinct runs of a task with their numbers, 0 in documents that teach nothing; a task that meets very many hands them on part
+    by part."""
+    counters: dict[tuple[str | None, bool], _RunCounter] = {}
 
-    def handed_on(language: str | None) -> pa.RecordBatch:
-        runs, numbers = counters.pop(language).rows()
+    def handed_on(kind: tuple[str | None, bool]) -> pa.RecordBatch:
+        runs, numbers = counters.pop(kind).rows()
+        language, taught = kind
         return pa.RecordBatch.from_arrays(
-            [pa.array([language] * len(runs), pa.string()), pa.array(runs, pa.string()), pa.array(numbers)], ["lang", "run", "n"]
+            [pa.array([language] * len(runs), pa.string()), pa.array(runs, pa.string()), pa.array(numbers * taught)], ["lang", "run", "n"]
         )
 
     for batch in batches:
         languages = batch.column(1).to_pylist()
         for chunk in chunks(batch.column(0)):
             points, lengths = _points(chunk)
-            own = languages[chunk.rows.start : chunk.rows.stop]
-            for language in dict.fromkeys(own):
-                mine = np.array([x == language for x in own])
+            own = list(zip(languages[chunk.rows.start : chunk.rows.stop], _taught(chunk).tolist(), strict=True))
+            for kind in dict.fromkeys(own):
+                mine = np.array([x == kind for x in own])
                 if mine.all():
                     text, starts = points, _starts(lengths)
                 else:
                     text, starts = points[np.repeat(mine, lengths)], _starts(lengths[mine])
-                yield from _counted(counters, language, text, starts, handed_on)
+                yield from _counted(counters, kind, text, starts, handed_on)
         if sum(c.held for c in counters.values()) > _HELD:
-            for language, counter in list(counters.items()):
+            for kind, counter in list(counters.items()):
                 counter.merge()
                 if counter.held > _HELD // 4 or len(counters) > 64:
-                    yield handed_on(language)
-    for language in list(counters):
-        yield handed_on(language)
+                    yield handed_on(kind)
+    for kind in list(counters):
+        yield handed_on(kind)
 
 
-def _counted(counters: dict, language: str | None, text: np.ndarray, starts: np.ndarray, handed_on) -> Iterator[pa.RecordBatch]:
+def _taught(chunk: Chunk) -> np.ndarray:
+    """Which texts the model learns from."""
+    return _per_text(_SYMBOLS[chunk.data], chunk.bounds) <= TAUGHT_SYMBOLS * chunk.counts
+
+
+def _counted(counters: dict, kind: tuple[str | None, bool], text: np.ndarray, starts: np.ndarray, handed_on) -> Iterator[pa.RecordBatch]:
     """Count a piece of text; what is held goes on first if its characters leave no room for the new ones."""
     if not starts.any():
         return
-    counter = counters.setdefault(language, _RunCounter())
+    counter = counters.setdefault(kind, _RunCounter())
     if not counter.learn(text):
-        yield handed_on(language)
-        counter = counters.setdefault(language, _RunCounter())
+        yield handed_on(kind)
+        counter = counters.setdefault(kind, _RunCounter())
         if not counter.learn(text):
             # More characters than can be numbered at once: one half after the other, cut between two first places.
-            del counters[language]
+            del counters[kind]
             half = len(starts) // 2
-            yield from _counted(counters, language, text[: half + ORDER - 1], starts[:half], handed_on)
-            yield from _counted(counters, language, text[half:], starts[half:], handed_on)
+            yield from _counted(counters, kind, text[: half + ORDER - 1], starts[:half], handed_on)
+            yield from _counted(counters, kind, text[half:], starts[half:], handed_on)
             return
     counter.add(text, starts)
 
 
 def run_counts(docs: DataFrame) -> DataFrame:
-    """How often each run of characters occurs in the texts of each language."""
+    """How often each run of characters occurs in the texts of each language that teach the model; 0 if in others only."""
     found = in_batches(docs.select("text", "lang"), _count_task, "lang string, run string, n bigint")
     return found.groupBy("lang", "run").agg(F.sum("n").alias("n"))
 
@@ -272,22 +284,26 @@ def _discounts(of: DataFrame) -> DataFrame:
 
 
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
-    """Interpolated modified Kneser-Ney probabilities ``p`` of every run, given all but its last character."""
+    """Interpolated modified Kneser-Ney probabilities ``p`` of every run, given all but its last character.
+
+    A run with the number 0 was not seen; one whose context was not seen either has the probability of its shorter run.
+    """
     levels = [counts]
     for size in range(order - 1, 0, -1):
         # Below the top order a run counts by the number of different characters seen before it.
         above = levels[-1]
-        levels.append(above.groupBy("lang", F.substring("run", 2, size).alias("run")).agg(F.count(F.lit(1)).alias("n")))
+        levels.append(above.groupBy("lang", F.substring("run", 2, size).alias("run")).agg(F.count_if(F.col("n") > 0).alias("n")))
     lower: DataFrame | None = None
     for size, level in enumerate(reversed(levels), start=1):
         rows = _with_discounts(level)
         context = Window.partitionBy("lang", F.substring("run", 1, size - 1))
-        taken = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        taken = F.when(F.col("n") == 0, 0.0).when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+        total = F.nullif(F.sum("n").over(context), F.lit(0))
         rows = rows.withColumn("taken", taken).select(
             "lang",
             "run",
-            ((F.col("n") - F.col("taken")) / F.sum("n").over(context)).alias("own"),
-            (F.sum("taken").over(context) / F.sum("n").over(context)).alias("left"),
+            F.coalesce((F.col("n") - F.col("taken")) / total, F.lit(0.0)).alias("own"),
+            F.coalesce(F.sum("taken").over(context) / total, F.lit(1.0)).alias("left"),
         )
         if lower is None:
             alphabet = F.count(F.lit(1)).over(Window.partitionBy("lang"))
@@ -315,10 +331,10 @@ def _pack_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def ngram_model(docs: DataFrame) -> DataFrame:
-    """One row per run met in ``docs``: its hash ``key`` and the natural logarithm ``logp`` of its probability. Stored."""
+    """One row per run met in ``docs``: its hash ``key`` and the natural logarithm ``logp`` of its probability, in 2^-20. Stored."""
     counts = stored(run_counts(docs), "run-counts")
-    logs = kneser_ney(counts).select("lang", "run", F.log("p").alias("logp"))
-    return stored(in_batches(logs, _pack_task, "key bigint, logp double"), "ngram-model")
+    logs = kneser_ney(counts).select("lang", "run", F.round(F.log("p") * _UNIT).cast("int").alias("logp"))
+    return stored(in_batches(logs, _pack_task, "key bigint, logp int"), "ngram-model")
 
 
 class HashArrays:
@@ -327,14 +343,14 @@ class HashArrays:
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
         self.keys = keys[order]
-        self.values = values[order].astype(np.float32)
+        self.values = values[order].astype(np.int32)
         self.bits = max(1, int(len(keys)).bit_length() + 1)
         edges = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
         self.first = np.searchsorted(self.keys, edges).astype(np.int32)
 
     def find(self, wanted: np.ndarray) -> np.ndarray:
         """Values of the wanted keys; nan for a key that is not there."""
-        out = np.full(len(wanted), np.nan, np.float32)
+        out = np.full(len(wanted), np.nan)
         if not len(self.keys) or not len(wanted):
             return out
         last = len(self.keys) - 1
@@ -371,7 +387,7 @@ def _scores(docs: DataFrame, model: DataFrame, into: str, keep: list[str], model
             runs, n = _runs(chunk, hashes[chunk.rows.start : chunk.rows.stop])
             sums = np.concatenate([[0.0], np.cumsum(shared.value.find(runs), dtype=np.float64)])
             ends = np.cumsum(n)
-            ppl.append(np.where(n > 0, (sums[ends - n] - sums[ends]) / np.maximum(n, 1), np.nan))
+            ppl.append(np.where(n > 0, (sums[ends - n] - sums[ends]) / np.maximum(n, 1) / _UNIT, np.nan))
         columns = [np.concatenate(column) for column in zip(*counts, strict=True)]
         score = np.concatenate(ppl)
         fields = [pa.array(c, pa.int64()) for c in columns] + [pa.array(score, pa.float64(), mask=np.isnan(score))]
@@ -407,7 +423,7 @@ def _scores_by_join(docs: DataFrame, model: DataFrame, into: str, keep: list[str
 
     counted = add_in_batches(numbered, name, COUNTS, count, [c for c in docs.columns if c not in keep])
     met = in_batches(numbered.select("text", "lang", row), runs_of, "row bigint, key bigint, n bigint").join(model, "key")
-    sums = met.groupBy("row").agg((-F.sum(F.col("n") * F.col("logp")) / F.sum("n")).alias("log_ppl"))
+    sums = met.groupBy("row").agg((-F.sum(F.col("n") * F.col("logp")) / F.sum("n") / _UNIT).alias("log_ppl"))
     joined = counted.join(sums.withColumnRenamed("row", row).withColumnRenamed("log_ppl", into), row, "left")
     score = F.struct(*[F.col(f"{name}.{c}") for c in COUNTS.fieldNames()], F.col(into).alias("log_ppl"))
     return joined.select(*keep, score.alias(into))

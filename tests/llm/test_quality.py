@@ -16,11 +16,13 @@ SF_DIR = "/root/testdata/sf0.001"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
-def plain_model(texts: list[str], order: int) -> dict[str, float]:
-    """Interpolated modified Kneser-Ney over characters, by the book."""
+def plain_model(texts: list[str], order: int, untaught: list[str] = ()) -> dict[str, float]:
+    """Interpolated modified Kneser-Ney over characters, by the book; ``untaught`` texts bring runs, but no counts."""
     levels = [Counter(t[i : i + order] for t in texts for i in range(len(t) - order + 1))]
+    levels[0].update({t[i : i + order]: 0 for t in untaught for i in range(len(t) - order + 1)})
     for _ in range(order - 1):
-        levels.append(Counter(run[1:] for run in levels[-1]))
+        levels.append(Counter(run[1:] for run, n in levels[-1].items() if n))
+        levels[-1].update({run[1:]: 0 for run in levels[-2]})
     lower: dict[str, float] = {}
     for size, level in enumerate(reversed(levels), start=1):
         met = Counter(level.values())
@@ -29,15 +31,16 @@ def plain_model(texts: list[str], order: int) -> dict[str, float]:
         for k in (1, 2, 3):
             raw = k - (k + 1) * y * met[k + 1] / met[k] if met[1] and met[k] else k / 2
             cut[k] = min(max(raw, 0.05), k - 0.05)
+        cut[0] = 0
         total, left = defaultdict(float), defaultdict(float)
         for run, n in level.items():
             total[run[:-1]] += n
             left[run[:-1]] += cut[min(n, 3)]
-        lower = {
-            run: (n - cut[min(n, 3)]) / total[run[:-1]]
-            + left[run[:-1]] / total[run[:-1]] * (lower[run[1:]] if size > 1 else 1 / len(level))
-            for run, n in level.items()
-        }
+        new = {}
+        for run, n in level.items():
+            below, all_ = lower[run[1:]] if size > 1 else 1 / len(level), total[run[:-1]]
+            new[run] = (n - cut[min(n, 3)]) / all_ + left[run[:-1]] / all_ * below if all_ else below
+        lower = new
     return lower
 
 
@@ -56,6 +59,45 @@ def test_model_is_kneser_ney(spark, some_texts):
         assert all(math.isclose(got[r], want[r], rel_tol=1e-9) for r in want)
 
 
+SYMBOLS = set("#*$%&|<>")
+
+
+def _plain_median(values):
+    values = sorted(values)
+    low, high = (len(values) - 1) // 2, len(values) // 2
+    return (values[low] + values[high]) / 2
+
+
+@pytest.mark.parametrize("size", [quality.MODEL_BYTES, 0])
+def test_perplexities_and_verdicts(spark, size):
+    """Scores, bands and verdicts of whole documents against the plain model, for arrays and for the join."""
+    texts = [cases.prose(i, 60 + i) for i in range(60)] + [" | ".join(cases.prose(90 + i, 70).split()) for i in range(5)]
+    texts += [" ".join(w + "%%%" for w in cases.prose(70, 80).split()), "漢字 " * 30 + cases.prose(71, 60), "größe # " + cases.prose(72, 55), "ab", ""]
+    rows = [(i, t, "x" if i % 3 else None) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    got = {r["doc_id"]: r["quality"] for r in quality.quality(docs, ["doc_id"], model_bytes=size).collect()}
+    for language in ("x", None):
+        mine = [(i, t) for i, t, lang in rows if lang == language]
+        odd = {i for i, t in mine if sum(c in SYMBOLS for c in t) > quality.TAUGHT_SYMBOLS * len(cases.words(t))}
+        assert odd
+        model = plain_model([t for i, t in mine if i not in odd], quality.ORDER, [t for i, t in mine if i in odd])
+        ppl = {}
+        for i, t in mine:
+            runs = [t[k : k + quality.ORDER] for k in range(len(t) - quality.ORDER + 1)]
+            if runs:
+                ppl[i] = -sum(math.log(model[r]) for r in runs) / len(runs)
+                assert math.isclose(got[i]["log_ppl"], ppl[i], abs_tol=1e-6)
+            else:
+                assert got[i]["log_ppl"] is None
+        steps = [round(got[i]["log_ppl"] / quality._STEP) for i in ppl if not got[i]["base_failed"]]
+        middle = _plain_median(steps)
+        width = max(_plain_median([abs(x - middle) for x in steps]) * quality._STEP, quality.LEAST_DEVIATION)
+        low, high = middle * quality._STEP - quality.BELOW * width, middle * quality._STEP + quality.ABOVE * width
+        for i, _ in mine:
+            assert got[i]["kept"] == (not got[i]["base_failed"] and (i not in ppl or low <= got[i]["log_ppl"] <= high))
+        assert not any(got[i]["kept"] for i in odd)
+
+
 def test_probabilities_of_a_context_add_up(spark, some_texts):
     docs = spark.createDataFrame([(t, "x") for t in some_texts], "text string, lang string")
     # With every run of the lower orders seen, what follows a context has probability 1 at most.
@@ -102,6 +144,15 @@ def test_clean_documents_are_kept(spark):
     assert kept > 0.98
 
 
+def test_labelled_junk_is_rejected(spark):
+    """Of the labelled junk that passes the counts the bands catch nearly all, and hardly any good document."""
+    rows = registry()["op4_quality"](spark, "/root/testdata/sf0.01").where("not base_failed")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    kept = {r["quality"]: r for r in rows.join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept"), F.count("*").alias("n")).collect()}
+    assert kept[0]["n"] > 20 and kept[0]["kept"] < 0.05
+    assert kept[1]["n"] > 200 and kept[1]["kept"] > 0.98
+
+
 def test_bands_reject_both_ends(spark):
     plain = [(i, cases.prose(i, 150), "x") for i in range(300)]
     odd = [(900, " ".join("zq%d" % (i * 7919 % 10007) for i in range(150)), "x"), (901, " ".join(cases.prose(i, 1) + "#*" for i in range(150)), "x")]
@@ -123,7 +174,7 @@ def test_awkward_documents(spark):
 def test_join_gives_the_same_scores(spark):
     docs = cases.documents(spark)
     order = ["doc_id", "n_words", "word_chars", "kept", "low"]
-    show = [F.col("v.n_words"), F.col("v.word_chars"), F.col("v.kept"), F.round("v.log_ppl", 5).alias("low")]
+    show = [F.col("v.n_words"), F.col("v.word_chars"), F.col("v.kept"), F.col("v.log_ppl").alias("low")]
     small, large = (
         sorted(map(str, quality.quality(docs, ["doc_id"], "v", size).select("doc_id", *show).select(order).collect()))
         for size in (quality.MODEL_BYTES, 0)
