@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,6 +66,11 @@ def fresh(taken: Iterable[str], name: str) -> str:
     return name
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def add_in_batches(
     frame: DataFrame, name: str, kind: T.DataType, make: Callable[[pa.RecordBatch], pa.Array], drop: Iterable[str] = ()
 ) -> DataFrame:

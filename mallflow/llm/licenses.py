@@ -1,57 +1,120 @@
-"""Licence scan: sparse TF-IDF cosine of notice lines to templates, then inheritance from the nearest directory above.
+"""Licence scan: sparse TF-IDF cosine of headers and licence files to templates, then inheritance from the nearest directory above.
 
-Every line of every text is a possible notice, in a header as in a licence file. Its words are weighted by their number in the line
-and by their rarity over all documents; words that no template uses count as the rarest, so prose that happens to hold a template's
-words stays far from it. A line is a notice of the template with the largest cosine if that is at least :data:`THRESHOLD`; a
-document's own licence is that of its best line.
+What is compared with a template is a unit of a text: each line, each block of two lines or more with words, which lines without a
+word set apart (a header, a paragraph), and, in a licence file, the whole text. Words are weighted by their number in the unit and by
+their rarity over all documents; words that no template uses count as the rarest, so prose that happens to hold a template's words
+stays far from it. A unit is a notice of the template with the largest cosine if that is at least :data:`THRESHOLD`. It must hold
+those words of the licence's name that the template holds: without them it may be a notice of another licence in like words. A
+document's own licence is that of its best unit. ``line`` is the unit's first line.
 
-Only lines that hold an anchor word are compared. The anchors of a template are its heaviest words, as many as it takes for the rest
-to be unable to reach the threshold by themselves, so no notice is missed.
+Only units that hold an anchor word are compared. The anchors of a template are its rarest words, as many as it takes for the rest to
+be unable to reach the threshold by themselves, so no notice is missed. The words of such units are counted, and their products with
+the templates added up, as rows by unit and template: the work grows with the words, however long a line is.
 
 A document is a file at a path. A licence file (named by :data:`LICENCE_FILE`) speaks for its directory and those below it: a file
 without a notice of its own takes the licence of the nearest one. Directories, not files, are joined to their ancestors.
 
 Everything is built from Spark's own functions; the templates are the only constants, and their words' frequencies the only thing
-that comes to the driver.
+that comes to the driver. Only their table, of one row for each word of a template, is broadcast.
 
-Defined results: a null or empty text has no licence of its own and may inherit one; a null path is in no directory; among lines of
-equal cosine the first wins, among templates the first by name, among licence files of one directory the best cosine, then the name;
-repeated rows are two files.
+Defined results: a null or empty text has no licence of its own and may inherit one; a null path is in no directory; among units of
+equal cosine that with the first line wins, among templates the first by name, among licence files of one directory the best cosine,
+then the name; repeated rows are two files.
 """
 
 from __future__ import annotations
 
 import json
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mallflow.llm.frames import fresh, stored
+from mallflow.llm.frames import fresh, let, stored
 
 THRESHOLD = 0.6
 LICENCE_FILE = "(?i)^(?:licen[cs]e|copying)(?:\\..*)?$"
 
-# Names of licences and the notices by which files refer to them.
+# Names of licences, their titles, and the notices and paragraphs by which files refer to them or state them.
+_MIT = [
+    "MIT License",
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, '
+    "publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do "
+    "so, subject to the following conditions:",
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF '
+    "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE "
+    "FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN "
+    "CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+]
+_BSD = [
+    "BSD 3-Clause License",
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+    "conditions are met:",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in "
+    "the documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from "
+    "this software without specific prior written permission.",
+]
+_APACHE = [
+    'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
+    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+    "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "
+    '"AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language '
+    "governing permissions and limitations under the License.",
+]
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License as "
+    "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version."
+)
 TEMPLATES = [
+    ("AGPL-3.0", "GNU AFFERO GENERAL PUBLIC LICENSE Version 3, 19 November 2007"),
+    ("AGPL-3.0", _GNU.format("Affero", 3)),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'),
+    *[("Apache-2.0", part) for part in _APACHE],
+    ("Apache-2.0", " ".join(_APACHE)),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("BSD-3-Clause", "Use of this source code is governed by a BSD-style license"),
+    *[("BSD-3-Clause", part) for part in _BSD],
+    ("BSD-3-Clause", " ".join(_BSD)),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
+    ("CC-BY-4.0", "Creative Commons Attribution 4.0 International"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "Creative Commons Attribution-NonCommercial 4.0 International"),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE Version 2, June 1991"),
+    ("GPL-2.0", _GNU.format("", 2)),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("GPL-3.0", _GNU.format("", 3)),
+    ("LGPL-2.1", "GNU LESSER GENERAL PUBLIC LICENSE Version 2.1, February 1999"),
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "GNU LESSER GENERAL PUBLIC LICENSE Version 3, 29 June 2007"),
+    ("LGPL-3.0", _GNU.format("Lesser", 3)),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"),
+    *[("MIT", part) for part in _MIT],
+    ("MIT", " ".join(_MIT)),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    (
+        "MPL-2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed "
+        "with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    ),
 ]
+TEMPLATES += [(name, f"SPDX-License-Identifier: {name}") for name in dict.fromkeys(name for name, _ in TEMPLATES)]
 
 _SEPARATORS = "[^\\p{L}\\p{N}]+"
-_MODEL = "array<struct<name:string,norm:double,words:array<struct<word:string,weight:double>>>>"
+# By word: its rarity, its weight by template over the template's norm, and whether it is part of the licence's name there.
+_USES = "array<struct<template:int,weight:double,named:int>>"
+_MODEL = f"array<struct<word:string,idf:double,uses:{_USES}>>"
+_WHOLE = -1
 
 
 def _words(text: Column) -> Column:
@@ -76,11 +139,11 @@ def rarity(docs: DataFrame, words: list[str]) -> tuple[dict[str, float], float]:
     return {w: math.log((1 + total) / (1 + rows.get(w, 0))) + 1 for w in words}, math.log(1 + total) + 1
 
 
-def _anchors(weights: dict[str, float]) -> set[str]:
-    """The heaviest words of a template without which no line reaches the threshold."""
+def _anchors(weights: dict[str, float], idf: dict[str, float]) -> set[str]:
+    """The rarest words of a template without which no unit reaches the threshold."""
     rest = sum(w * w for w in weights.values())
     whole, taken = rest, set()
-    for word in sorted(weights, key=lambda w: (-weights[w], w)):
+    for word in sorted(weights, key=lambda w: (-idf[w], -weights[w], w)):
         if math.sqrt(max(rest, 0.0) / whole) < THRESHOLD:
             break
         taken.add(word)
@@ -88,57 +151,96 @@ def _anchors(weights: dict[str, float]) -> set[str]:
     return taken
 
 
-def _notice(text: Column, model: Column, idf: Column, unseen: float, anchors: Column) -> Column:
-    """The best (score, -line, name) of a text's lines, null if none reaches the threshold."""
-    lines = F.transform(F.split(text, "\n"), lambda line, at: F.struct(at.alias("at"), _words(line).alias("words")))
-    lines = F.filter(lines, lambda line: F.arrays_overlap(line["words"], anchors))
+def _units(text: Column, licence_file: Column, anchors: Column) -> Column:
+    """Array of (line, words, whole) of a text's lines, blocks and, of a licence file, all of it, if they hold an anchor word."""
+    kind = "array<struct<line:int,words:array<string>,whole:boolean>>"
 
-    def number(words: Column, word: Column) -> Column:
-        return F.size(F.filter(words, lambda w: w == word))
+    def unit(line: Column, words: Column, whole: bool = False) -> Column:
+        return F.struct(line.cast("int").alias("line"), words.alias("words"), F.lit(whole).alias("whole"))
 
-    def norm(words: Column) -> Column:
-        def add(total: Column, word: Column) -> Column:
-            weight = F.coalesce(F.try_element_at(idf, word), F.lit(unseen)) * number(words, word)
-            return total + weight * weight
+    def blocks(lines: Column, edges: Column) -> Column:
+        between = F.transform(
+            F.sequence(F.lit(0), F.size(edges) - 2),
+            lambda i: F.struct((F.get(edges, i) + 1).alias("line"), (F.get(edges, i + 1) - F.get(edges, i) - 1).alias("n")),
+        )
+        return F.transform(
+            F.filter(between, lambda b: b["n"] > 1), lambda b: unit(b["line"], F.flatten(F.slice(lines, b["line"] + 1, b["n"])))
+        )
 
-        return F.sqrt(F.aggregate(F.array_distinct(words), F.lit(0.0), add))
+    def every(lines: Column) -> Column:
+        empty = F.filter(F.transform(lines, lambda words, at: F.when(F.size(words) == 0, at)), lambda at: at.isNotNull())
+        edges = F.concat(F.array(F.lit(-1)), empty, F.array(F.size(lines)))
+        whole = F.when(licence_file, F.array(unit(F.lit(0), F.flatten(lines), True))).otherwise(F.array().cast(kind))
+        return F.concat(F.transform(lines, lambda words, at: unit(at, words)), let(edges, lambda edges: blocks(lines, edges)), whole)
 
-    def compare(line: Column) -> Column:
-        def score(template: Column) -> Column:
-            dot = F.aggregate(
-                template["words"],
-                F.lit(0.0),
-                lambda total, x: total + x["weight"] * F.element_at(idf, x["word"]) * number(line["words"], x["word"]),
-            )
-            cosine = F.round(dot / (template["norm"] * line["norm"]), 9)
-            return F.struct(cosine.alias("score"), (-line["at"]).alias("line"), template["name"].alias("name"))
+    lines = F.transform(F.split(text, "\n"), _words)
+    return F.filter(let(lines, every), lambda x: F.arrays_overlap(x["words"], anchors))
 
-        return F.transform(model, score)
 
-    lines = F.transform(lines, lambda line: F.struct(line["at"].alias("at"), line["words"].alias("words"), norm(line["words"]).alias("norm")))
-    scores = F.filter(F.flatten(F.transform(lines, compare)), lambda x: x["score"] >= THRESHOLD)
-    top = F.array_max(F.transform(scores, lambda x: F.struct(x["score"], x["line"])))
-    names = F.transform(
-        F.filter(scores, lambda x: (x["score"] == top["score"]) & (x["line"] == top["line"])), lambda x: x["name"]
-    )
-    return F.when(F.size(scores) > 0, F.struct(top["score"].alias("score"), (-top["line"]).alias("line"), F.array_min(names).alias("name")))
+def _name_words(name: str) -> set[str]:
+    return set(name.lower().replace(".", "-").split("-"))
 
 
-def own_licences(docs: DataFrame, into: str = "own") -> DataFrame:
-    """``docs`` with a struct ``into`` (score, line, name) of each text's best notice, null without one."""
-    templates = _template_words(docs.sparkSession)
+def _model(docs: DataFrame) -> tuple[DataFrame, float, list[str], list[int]]:
+    """The templates by word (word, idf, uses), the rarity of all other words, the anchors, and by template the number of words that are
+    part of the licence's name."""
+    spark = docs.sparkSession
+    templates = _template_words(spark)
     vocabulary = sorted({w for _, words in templates for w in words})
     idf, unseen = rarity(docs, vocabulary)
-    model, anchors = [], set()
-    for name, words in templates:
-        weights = {w: words.count(w) * idf[w] for w in words}
+    uses: dict[str, list[dict]] = {w: [] for w in vocabulary}
+    anchors: set[str] = set()
+    for number, (name, words) in enumerate(templates):
+        weights = {w: n * idf[w] for w, n in Counter(words).items()}
         norm = math.sqrt(sum(w * w for w in weights.values()))
-        model.append({"name": name, "norm": norm, "words": [{"word": w, "weight": x} for w, x in sorted(weights.items())]})
-        anchors |= _anchors(weights)
-    anchor_words = _strings(sorted(anchors))
-    known = F.create_map(*[F.lit(x) for pair in sorted(idf.items()) for x in pair])
-    notice = _notice(F.col("text"), F.from_json(F.lit(json.dumps(model)), _MODEL), known, unseen, anchor_words)
-    return docs.withColumn(into, F.when(F.arrays_overlap(_words(F.col("text")), anchor_words), notice))
+        for word, weight in weights.items():
+            uses[word].append({"template": number, "weight": weight / norm, "named": int(word in _name_words(name))})
+        anchors |= _anchors(weights, idf)
+    rows = [{"word": w, "idf": idf[w], "uses": uses[w]} for w in vocabulary]
+    table = spark.range(1).select(F.inline(F.from_json(F.lit(json.dumps(rows)), _MODEL)))
+    return table, unseen, sorted(anchors), [len(set(words) & _name_words(name)) for name, words in templates]
+
+
+def _best(units: DataFrame, table: DataFrame, unseen: float, named: list[int]) -> DataFrame:
+    """The best notice ``own`` (score, line, name) of each ``row`` of ``units`` (row, line, words, whole)."""
+    unit = ["row", "whole", "line", "last"]
+    words = units.select("row", "whole", "line", F.size("words").alias("last"), F.explode("words").alias("word"))
+    counted = words.groupBy(*unit, "word").agg(F.count(F.lit(1)).alias("n"))
+    known = counted.join(F.broadcast(table), "word", "left")
+    weight = F.col("n") * F.coalesce("idf", F.lit(unseen))
+    own = F.struct(F.lit(_WHOLE).alias("template"), (weight * weight).alias("part"), F.lit(0).alias("named"))
+    products = F.transform(
+        F.coalesce("uses", F.array().cast(_USES)),
+        lambda u: F.struct(u["template"].alias("template"), (u["weight"] * weight).alias("part"), u["named"].alias("named")),
+    )
+    parts = known.select(*unit, F.inline(F.concat(F.array(own), products)))
+    sums = parts.groupBy(*unit, "template").agg(F.sum("part").alias("part"), F.sum("named").alias("named"))
+    norm = F.sqrt(F.max(F.when(F.col("template") == _WHOLE, F.col("part"))))
+    scores = sums.groupBy(*unit).agg(
+        norm.alias("norm"), F.collect_list(F.when(F.col("template") != _WHOLE, F.struct("template", "part", "named"))).alias("dots")
+    )
+    names = F.array(*[F.lit(name) for name, _ in TEMPLATES])
+    needed = F.get(F.array(*[F.lit(n) for n in named]), F.col("template"))
+    each = scores.select("row", "line", "norm", F.inline("dots")).where(F.col("named") == needed)
+    cosine = F.round(F.col("part") / F.col("norm"), 9)
+    each = each.select("row", F.struct((-cosine).alias("minus"), "line", F.get(names, F.col("template")).alias("name")).alias("x"))
+    least = each.where(F.col("x.minus") <= -THRESHOLD).groupBy("row").agg(F.min("x").alias("x"))
+    return least.select("row", F.struct((-F.col("x.minus")).alias("score"), F.col("x.line").alias("line"), F.col("x.name").alias("name")).alias("own"))
+
+
+def own_licences(docs: DataFrame, into: str = "own", file: str | None = None) -> DataFrame:
+    """``docs`` without its text, with a struct ``into`` (score, line, name) of each text's best notice, null without one. ``file`` is the
+    column of file names by which licence files are known."""
+    keep = [c for c in docs.columns if c != "text"]
+    row, units = fresh(docs.columns, "row"), fresh(docs.columns, "units")
+    table, unseen, anchors, named = _model(docs)
+    anchor_words = _strings(anchors)
+    licence_file = F.coalesce(F.col(file).rlike(LICENCE_FILE), F.lit(False)) if file else F.lit(False)
+    found = F.when(F.arrays_overlap(_words(F.col("text")), anchor_words), _units(F.col("text"), licence_file, anchor_words))
+    rows = stored(docs.select(*keep, F.monotonically_increasing_id().alias(row), found.alias(units)), "units")
+    some = rows.where(F.size(units) > 0).select(F.col(row).alias("row"), F.inline(units))
+    best = stored(_best(some, table, unseen, named), "own-licences", narrow=True).select(F.col("row").alias(row), F.col("own").alias(into))
+    return rows.drop(units).join(best, row, "left").select(*keep, into)
 
 
 def _directory(path: str) -> Column:
@@ -172,17 +274,17 @@ def scan_licences(docs: DataFrame, path: str = "path") -> DataFrame:
     inherited one. New columns get underscores where names clash."""
     keep = [c for c in docs.columns if c != "text"]
     own, directory, file = (fresh(docs.columns, name) for name in ("own", "directory", "file"))
-    named = own_licences(docs, own).select(
-        *keep, own, _directory(path).alias(directory), F.regexp_extract(path, "([^/]*)$", 1).alias(file)
-    )
+    named = docs.withColumns({directory: _directory(path), file: F.regexp_extract(path, "([^/]*)$", 1)})
+    named = own_licences(named, own, file)
     rows = stored(named, "notices")
     files = rows.select(F.col(directory).alias("directory"), F.col(file).alias("file"), F.col(own).alias("own"))
+    below, given = (fresh(rows.columns, name) for name in ("below", "given"))
     nearest = stored(inherited(files), "inherited").select(
-        F.col("directory").alias("_directory"), F.struct("name", "from").alias("_inherited")
+        F.col("directory").alias(below), F.struct("name", "from").alias(given)
     )
-    joined = rows.join(nearest, F.col(directory) == F.col("_directory"), "left")
+    joined = rows.join(nearest, F.col(directory) == F.col(below), "left")
     got, licence = fresh(docs.columns, "inherited"), fresh(docs.columns, "licence")
-    whose = F.when(F.col(own).isNull(), F.col("_inherited"))
+    whose = F.when(F.col(own).isNull(), F.col(given))
     return joined.select(*keep, own, whose.alias(got), F.coalesce(F.col(f"{own}.name"), whose["name"]).alias(licence))
 
 

@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mallflow.llm.frames import fresh
+from mallflow.llm.frames import fresh, let
 
 NEARBY = 48
 LEAST_SCORE = 0.5
@@ -149,11 +149,6 @@ def _confirmed(kind: str, match: Column) -> Column:
     return F.lit(True)
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)``, with the value worked out once."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
 def _proposed(kind: Kind, text: Column) -> Column:
     """Array of (start, end, match) of the kind's matches in the text."""
     marked = F.regexp_replace(text, kind.pattern, f"{_OPEN}${1 if kind.overlapping else 0}{_SHUT}")
@@ -163,7 +158,7 @@ def _proposed(kind: Kind, text: Column) -> Column:
         last = (F.size(pieces) - 2).cast("int")
         numbers = F.sequence(F.lit(0), F.greatest(F.floor(last / _BLOCK).cast("int"), F.lit(0)))
         blocks = F.transform(numbers, lambda i: F.slice(pieces, i * _BLOCK + 2, F.lit(_BLOCK)))
-        return _let(blocks, lambda blocks: _let(_starts(F.length(F.get(pieces, F.lit(0))), blocks), lambda at: _placed(blocks, at)))
+        return let(blocks, lambda blocks: let(_starts(F.length(F.get(pieces, F.lit(0))), blocks), lambda at: _placed(blocks, at)))
 
     def own(piece: Column) -> Column:
         """How many characters of the text a piece holds: the span of an overlapping kind stands before it, as a copy."""
@@ -187,7 +182,7 @@ def _proposed(kind: Kind, text: Column) -> Column:
 
         return F.aggregate(block, state, step)["found"]
 
-    return _let(F.split(marked, _OPEN), found)
+    return let(F.split(marked, _OPEN), found)
 
 
 def _apart(spans: Column) -> Column:
@@ -235,7 +230,7 @@ def find_pii(docs: DataFrame, into: str = "pii") -> DataFrame:
     for kind in KINDS:
         frame = frame.withColumn(found[kind.name], F.when(text.rlike(kind.hint), _proposed(kind, text)).otherwise(none))
     blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_BLOCK_CHARACTERS}}}"), F.lit(0))
-    every = _let(blocks, lambda blocks: F.array_sort(F.concat(*[_scored(kind, blocks, F.col(found[kind.name])) for kind in KINDS])))
+    every = let(blocks, lambda blocks: F.array_sort(F.concat(*[_scored(kind, blocks, F.col(found[kind.name])) for kind in KINDS])))
     shown = F.transform(
         every, lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"), x["kind"].alias("kind"), x["score"].alias("score"))
     )

@@ -15,8 +15,21 @@ def _words(text):
     return re.findall(r"[^\W_]+", text.lower())
 
 
-def plain_notices(texts):
-    """Best (cosine, line, name) of every text."""
+def plain_units(text, whole):
+    """First line and text of each line, of each block of lines with words, and of a licence file."""
+    lines = text.split("\n")
+    out = list(enumerate(lines)) + ([(0, text)] if whole else [])
+    low = 0
+    for at in range(len(lines) + 1):
+        if at == len(lines) or not _words(lines[at]):
+            if at - low > 1:
+                out.append((low, " ".join(lines[low:at])))
+            low = at + 1
+    return out
+
+
+def plain_notices(texts, whole=()):
+    """Best (cosine, line, name) of every text; those with the places ``whole`` are licence files."""
     docs = [set(_words(t or "")) for t in texts]
     known = {w for _, notice in licenses.TEMPLATES for w in _words(notice)}
     rare = math.log(1 + len(texts)) + 1
@@ -30,10 +43,14 @@ def plain_notices(texts):
         return round(sum(x * b.get(w, 0) for w, x in a.items()) / norm, 9) if norm else 0
 
     out = []
-    for text in texts:
+    for place, text in enumerate(texts):
         best = None
-        for at, line in enumerate((text or "").split("\n")):
+        for at, line in plain_units(text or "", place in whole):
+            if not {w for w in _words(line)} & known:
+                continue
             for name, notice in licenses.TEMPLATES:
+                if not set(_words(name)) & set(_words(notice)) <= set(_words(line)):
+                    continue
                 score = cosine(vector(notice), vector(line))
                 if score >= licenses.THRESHOLD and (best is None or (-score, at, name) < (-best[0], best[1], best[2])):
                     best = (score, at, name)
@@ -43,7 +60,8 @@ def plain_notices(texts):
 
 def test_query_notices(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text").collect()
-    want = dict(zip((r["doc_id"] for r in docs), plain_notices([r["text"] for r in docs]), strict=True))
+    whole = {i for i, r in enumerate(docs) if r["doc_id"] % 50 == 0}
+    want = dict(zip((r["doc_id"] for r in docs), plain_notices([r["text"] for r in docs], whole), strict=True))
     rows = registry()["op5_licences"](spark, SF_DIR).collect()
     assert len(rows) == len(docs)
     for row in rows:
@@ -53,6 +71,62 @@ def test_query_notices(spark):
     assert any(want.values())
 
 
+APACHE = """/*
+ * Copyright 2020 The Authors
+ *
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ */
+package x;"""
+
+HEADS = [
+    ('Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.', "Apache-2.0"),
+    (APACHE, "Apache-2.0"),
+    ("MIT License\n\nCopyright (c) 2020 Someone", "MIT"),
+    ("BSD 3-Clause License\n\nCopyright (c) 2020, Someone\nAll rights reserved.", "BSD-3-Clause"),
+    ("Mozilla Public License Version 2.0\n==================================", "MPL-2.0"),
+    ("// SPDX-License-Identifier: Apache-2.0", "Apache-2.0"),
+    ("# SPDX-License-Identifier: GPL-2.0", "GPL-2.0"),
+    ("                   GNU LESSER GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n text", "LGPL-3.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n text", "GPL-3.0"),
+    ("                    GNU GENERAL PUBLIC LICENSE\n                       Version 2, June 1991\n\n text", "GPL-2.0"),
+    ("\n\n".join(licenses._MIT), "MIT"),
+    ("\n".join(licenses._MIT[1:]), "MIT"),
+    ("SPDX-License-Identifier: Unknown-7.1", None),
+    ("Released under the Unknown License.", None),
+    ("License", None),
+    (cases.prose(3, 300), None),
+    ("The committee met in January 2004 to discuss version two of the plan.", None),
+]
+
+
+def test_heads_and_files(spark):
+    """Titles, headers over several lines, whole texts; as they stand and below prose, against the plain version too."""
+    texts = [t for t, _ in HEADS] + [cases.prose(40 + i, 80) + "\n\n" + t + "\n\n" + cases.prose(60 + i, 80) for i, (t, _) in enumerate(HEADS)]
+    texts += [cases.prose(100 + i, 50) for i in range(100)]
+    files = [(i, f"d{i}/" + ("LICENSE" if i < len(HEADS) else "x.py"), t) for i, t in enumerate(texts)]
+    rows = licenses.scan_licences(spark.createDataFrame(files, "id int, path string, text string")).collect()
+    got = {r["id"]: r["own"] for r in rows}
+    plain = plain_notices(texts, set(range(len(HEADS))))
+    for i in range(len(texts)):
+        assert (got[i] and (got[i]["line"], got[i]["name"])) == (plain[i] and plain[i][1:])
+    names = [name for _, name in HEADS]
+    assert [got[i] and got[i]["name"] for i in range(2 * len(HEADS))] == names + names
+
+
+def test_long_lines(spark):
+    """A line of very many words beside a notice, one of one word very often, and very many lines."""
+    many = " ".join(f"w{i}" for i in range(100_000))
+    texts = ["Released under the MIT License. " + many, many + "\nReleased under the MIT License.", "license " * 100_000]
+    texts += ["Released under the MIT License.\n" * 20_000]
+    rows = licenses.own_licences(spark.createDataFrame(list(enumerate(texts)), "id int, text string")).collect()
+    found = {r["id"]: r["own"] and (r["own"]["line"], r["own"]["name"]) for r in rows}
+    assert found == {0: None, 1: (1, "MIT"), 2: None, 3: (0, "MIT")}
+
+
 def _scan(spark, files):
     docs = spark.createDataFrame(files, "path string, text string")
     return {(r["path"], r["licence"], r["inherited"]["from"] if r["inherited"] else None) for r in licenses.scan_licences(docs).collect()}
@@ -99,7 +173,7 @@ def test_top_directory(spark):
 
 def test_anchors_miss_nothing():
     weights = {"a": 5.0, "b": 4.0, "c": 1.0, "d": 1.0}
-    taken = licenses._anchors(weights)
+    taken = licenses._anchors(weights, weights)
     left = sum(w * w for k, w in weights.items() if k not in taken)
     assert math.sqrt(left / sum(w * w for w in weights.values())) < licenses.THRESHOLD
     assert taken == {"a", "b"}
