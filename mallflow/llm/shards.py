@@ -2,13 +2,13 @@
 
 Groups (rows with equal texts) are packed in order of falling size: each enters the bin whose remaining capacity is the least that
 still holds it, found in a balanced tree over the remaining capacities. Groups of one size are interchangeable, so the packing works
-on the number of groups of each size: a run of equal groups fills the tightest bin as far as it holds, then the next. The tree is
-that of a sorted list with binary search. Sizes and their numbers are all that comes to the driver; since different sizes add up to
+on the number of groups of each size: a run of equal groups fills the tightest bin as far as it holds, then the next. The tree is a
+treap, so a step takes a time that grows with the logarithm of the open bins. Sizes and their numbers are all that comes to the driver; since different sizes add up to
 the bytes of the corpus at least, there are at most ``sqrt(2 * bytes)`` of them (14 million for 100 TB). Which group of a size goes
 to which of the bins chosen for it is settled on the cluster, by the groups' rank within their size.
 
-``fixed_capacity`` gives as few shards of a given capacity as the heuristic finds. ``into_shards`` fixes the number of shards and
-looks for the least capacity that fits: groups larger than an even share get a shard of their own, and the others are packed into
+With a ``capacity``, ``into_shards`` gives as few shards of it as the heuristic finds. With a number of ``shards`` it looks for the
+least capacity that fits: groups larger than an even share get a shard of their own, and the others are packed into
 the rest.
 
 Defined results: a null text counts as empty (size 1, checksum 0); equal texts, empty ones too, are one group; repeated rows get a
@@ -17,7 +17,7 @@ slot each; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from random import Random
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,12 +33,65 @@ Runs = list[tuple[int, int]]
 Plan = list[tuple[int, int, int, int]]
 
 
+class _Bins:
+    """Open bins in a treap: a search tree by (capacity left, bin), kept balanced by drawn priorities.
+
+    A node is a list: its key, its priority, the tree of smaller and that of greater keys.
+    """
+
+    def __init__(self) -> None:
+        self.root: list | None = None
+        self.draw = Random(0)
+
+    def add(self, left: int, shard: int) -> None:
+        low, high = _split(self.root, (left, shard))
+        self.root = _joined(_joined(low, [(left, shard), self.draw.random(), None, None]), high)
+
+    def take(self, size: int) -> tuple[int, int] | None:
+        """Take out the bin with the least capacity left that holds ``size``; None if none does."""
+        low, high = _split(self.root, (size, -1))
+        found = None
+        if high is not None:
+            above, node = None, high
+            while node[2] is not None:
+                above, node = node, node[2]
+            found = node[0]
+            if above is None:
+                high = node[3]
+            else:
+                above[2] = node[3]
+        self.root = _joined(low, high)
+        return found
+
+
+def _split(node: list | None, key: tuple[int, int]) -> tuple[list | None, list | None]:
+    """The trees of the keys below ``key`` and of all others."""
+    if node is None:
+        return None, None
+    if node[0] < key:
+        node[3], high = _split(node[3], key)
+        return node, high
+    low, node[2] = _split(node[2], key)
+    return low, node
+
+
+def _joined(low: list | None, high: list | None) -> list | None:
+    """One tree of two, all keys of the first being below those of the second."""
+    if low is None or high is None:
+        return high if low is None else low
+    if low[1] > high[1]:
+        low[3] = _joined(low[3], high)
+        return low
+    high[2] = _joined(low, high[2])
+    return high
+
+
 def pack(runs: Runs, capacity: int, bins: int | None = None) -> tuple[Plan, int] | None:
     """Best-fit decreasing of (size, number) runs in falling order of size; None if ``bins`` bins do not suffice.
 
     The plan has (size, first, last, bin): the groups ranked ``first`` to ``last`` (exclusive) of that size go to the bin.
     """
-    tree: list[tuple[int, int]] = []
+    tree = _Bins()
     plan: Plan = []
     opened = 0
     for size, number in runs:
@@ -46,9 +99,9 @@ def pack(runs: Runs, capacity: int, bins: int | None = None) -> tuple[Plan, int]
             return None
         rank = 0
         while rank < number:
-            at = bisect_left(tree, (size, -1))
-            if at < len(tree):
-                left, shard = tree.pop(at)
+            tightest = tree.take(size)
+            if tightest is not None:
+                left, shard = tightest
             elif bins is None or opened < bins:
                 left, shard = capacity, opened
                 opened += 1
@@ -57,7 +110,8 @@ def pack(runs: Runs, capacity: int, bins: int | None = None) -> tuple[Plan, int]
             take = min(left // size, number - rank)
             plan.append((size, rank, rank + take, shard))
             rank += take
-            insort(tree, (left - take * size, shard))
+            if left > take * size:
+                tree.add(left - take * size, shard)
     return plan, opened
 
 

@@ -40,6 +40,31 @@ def test_runs_pack_like_single_groups(seed):
     assert opened == len(load)
 
 
+def test_bins_against_a_sorted_list():
+    pick, tree, plain = random.Random(2), shards._Bins(), []
+    for shard in range(4000):
+        if pick.random() < 0.6 or not plain:
+            plain.append((pick.randint(0, 500), shard))
+            tree.add(*plain[-1])
+        else:
+            size = pick.randint(0, 520)
+            want = min((x for x in plain if x[0] >= size), default=None)
+            assert tree.take(size) == want
+            if want:
+                plain.remove(want)
+
+
+def test_many_bins():
+    """Packing into 100,000 open bins stays shallow and gives what fits."""
+    runs = [(size, 50) for size in range(6000, 4000, -1)]
+    plan, opened = shards.pack(runs, 10_000)
+    load = defaultdict(int)
+    for size, low, high, shard in plan:
+        load[shard] += size * (high - low)
+    assert len(load) == opened and max(load.values()) <= 10_000
+    assert sum(load.values()) == sum(size * n for size, n in runs)
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_least_capacity_is_even(seed):
     pick = random.Random(seed)
