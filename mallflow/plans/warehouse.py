@@ -32,7 +32,7 @@ from mallflow.operators.panes import pane_summary, trailing_panes
 from mallflow.operators.visits import visit_summary
 from mallflow.plans.runs import Merge, own_run
 from mallflow.schema import BLACKLIST, CLEAN_PING, LINK, PING, SHOP, VISIT, with_keys
-from mallflow.session import together
+from mallflow.session import held, together
 from mallflow.sources.ledger import Ledger
 from mallflow.sources.metrics import MetricStore
 from mallflow.sources.tables import append_batch, replace_day, replace_partition, replace_partitions, scan_day, stamp
@@ -235,14 +235,11 @@ class Warehouse:
         if slots:
             hours = sorted({value // 60 for value in slots})
             records = self._unseen(records, self._records(p_dt, hours).where(F.col("batch_id") != batch_id), slots)
-        records = records.persist()
-        try:
+        with held(records) as records:
             # In order of time, so that a reader of some minutes passes over the rest of a file.
             put = partial(self._put, records, "records", p_dt, "dt_hour", "batch_id", whole_day=whole_day, order=["slot"])
             count = partial(self.put_run, floors.minute_counts(records), "minutes", p_dt, own_run(batch_id))
             together(self.spark, put, count)
-        finally:
-            records.unpersist()
 
     def _records(self, p_dt: str, hours: Iterable[int]) -> DataFrame:
         return self._day("records", RECORDS, p_dt, *[f"dt_hour={hour}" for hour in hours])
@@ -276,16 +273,13 @@ class Warehouse:
 
         ``fewer`` says that the hours may have lost sightings, and with them all their moves.
         """
-        steps = links.steps_of(sightings).persist()
-        try:
+        with held(links.steps_of(sightings)) as steps:
             inner = links.hour_links(steps)
             derived = {"edges": links.edges(steps), "links": inner, "pairs": links.pair_counts(inner, "part")}
             put = [partial(self._put, frame, name, p_dt, "part", whole_day=parts is None) for name, frame in derived.items()]
             together(self.spark, *put)
             if fewer:
                 self._clear(p_dt, parts, steps, inner)
-        finally:
-            steps.unpersist()
         between = links.edge_links(self._day("edges", EDGES, p_dt))
         replace_partition(between, self.path("links"), f"p_dt={p_dt}/part={BETWEEN}")
 

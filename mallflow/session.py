@@ -14,7 +14,7 @@ from typing import TypeVar
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 T = TypeVar("T")
@@ -102,6 +102,20 @@ def meanwhile(spark: SparkSession, *actions: Callable[[], T]) -> Iterator[list[F
         yield [pool.submit(inheritable_thread_target(spark)(action)) for action in actions]
 
 
+@contextmanager
+def held(frame: DataFrame) -> Iterator[DataFrame]:
+    """The frame kept in memory for several actions, worked out first by a job of its own.
+
+    Actions that start together on a frame that is not there yet would each fill the cores with tasks that wait for the same few partitions.
+    """
+    kept = frame.persist()
+    try:
+        kept.count()
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new directory for tables a query writes and reads back.
 

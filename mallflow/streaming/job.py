@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import Future
+from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from functools import partial
 
@@ -20,7 +21,7 @@ from mallflow.plans.changes import apply_changes
 from mallflow.plans.documents import PRODUCTS, TRAILING, Snapshot, product_documents, trailing_documents
 from mallflow.plans.runs import compacted, own_run
 from mallflow.plans.warehouse import Warehouse
-from mallflow.session import meanwhile, size_for, stored_bytes, together
+from mallflow.session import held, meanwhile, size_for, stored_bytes, together
 from mallflow.sources.tables import replace_partitions, scan, scan_day, stamp
 from mallflow.streaming.landing import land, messages_of
 
@@ -134,8 +135,7 @@ class MallJob:
             land(house, messages, p_dt, batch_id)
 
         raw = house.pings(p_dt, batch_id).drop("p_dt", "batch_id")
-        rt = clean_batch(raw, dims).persist()
-        try:
+        with held(clean_batch(raw, dims)) as rt:
             if run.rebuilds:
                 size_for(house.spark, stored_bytes(house.spark, f"{house.path('ods')}/p_dt={p_dt}"))
                 house.rebuild(p_dt, dims, batch_id, self.links, bool(self.trailing))
@@ -149,8 +149,6 @@ class MallJob:
                     self._report(raw, rt, run, *moved)
                     for walk in moved:
                         walk.result()
-        finally:
-            rt.unpersist()
 
     def _open(self, batch_id: int, dims: Dimensions, seen: Run | None, before: Run | None) -> Run:
         """Note the batch: its processing time, the runs of the day before it, and whether the day must be made anew.
@@ -260,16 +258,14 @@ class MallJob:
 
     def _report(self, raw: DataFrame, rt: DataFrame, run: Run, *waits: Future[None]) -> None:
         """Refresh every metric, that of the moves after ``waits``, then run again what failed for earlier batches."""
-        state, day = self._snapshot(rt, run, *waits)
-        try:
+        with self._snapshot(rt, run, *waits) as state:
             self._record(self._outcomes(self._steps(raw, state, run)), run.name)
-        finally:
-            day.unpersist()
         for name in run.pending[:CATCH_UP]:
             self._again(name)
 
-    def _snapshot(self, rt: DataFrame, run: Run, *waits: Future[None]) -> tuple[Snapshot, DataFrame]:
-        """What the metrics of a batch read, and the part of it that is held in memory."""
+    @contextmanager
+    def _snapshot(self, rt: DataFrame, run: Run, *waits: Future[None]) -> Iterator[Snapshot]:
+        """What the metrics of a batch read; the day's visits are held in memory."""
         house, p_dt = self.warehouse, date_key(run.as_of)
 
         def pairs() -> DataFrame:
@@ -277,9 +273,10 @@ class MallJob:
                 wait.result()
             return house.pairs(p_dt)
 
-        # The day's visits are merged over the runs once for all day metrics.
-        day = visit_summary(house.visits(p_dt, run.after)).persist()
-        return Snapshot(rt, day, house.minutes(p_dt, run.after), pairs), day
+        # The day's visits are merged over the runs once for all day metrics. They are dealt by device, so that what is counted or timed
+        # by device stays in its task; a device has a row for each cell and shop of each run at most, however many pings it sent.
+        with held(visit_summary(house.visits(p_dt, run.after).repartition("mac"))) as day:
+            yield Snapshot(rt, day, house.minutes(p_dt, run.after), pairs)
 
     # --- catching up ---
 
@@ -307,12 +304,9 @@ class MallJob:
         below = [f"p_dt={p_dt}/batch_id={number}"]
         rows = scan(house.spark, house.path("status"), STATUS, below).select(*_OUTCOME.names).collect()
         raw = house.pings(p_dt, run.batch_id).drop("p_dt", "batch_id")
-        state, day = self._snapshot(clean_batch(raw, house.kept_dimensions(run.dims_at)), run)
-        steps = {step: run_it for step, run_it in self._steps(raw, state, run).items() if step in failed}
-        try:
+        with self._snapshot(clean_batch(raw, house.kept_dimensions(run.dims_at)), run) as state:
+            steps = {step: run_it for step, run_it in self._steps(raw, state, run).items() if step in failed}
             done = self._outcomes(steps, max(failed.values(), default=0) + 1)
-        finally:
-            day.unpersist()
         self._record([tuple(row) for row in rows if row["step"] not in steps] + done, name)
 
     def status(self, p_dt: str) -> DataFrame:

@@ -17,7 +17,9 @@ from mallflow.operators.parse import dead_letters_of, pings_of, read_lines
 from mallflow.plans.warehouse import Warehouse
 from mallflow.session import together
 
+# Of a batch's text in one file. Up to the number of cores there are more and smaller files, so that no core waits for the writers.
 _FILE_BYTES = 128 * 1024 * 1024
+_LEAST_FILE_BYTES = 16 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -29,7 +31,8 @@ class Messages:
 
     def in_files(self, rows: DataFrame) -> DataFrame:
         """``rows`` of the batch in as many tasks as there are files to write; the parsing is done by then."""
-        return rows.coalesce(max(1, -(-self.size // _FILE_BYTES)))
+        cores = rows.sparkSession.sparkContext.defaultParallelism
+        return rows.coalesce(max(1, -(-self.size // _FILE_BYTES), min(cores, self.size // _LEAST_FILE_BYTES)))
 
 
 @contextmanager
