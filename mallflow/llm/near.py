@@ -310,8 +310,9 @@ def _first_pairs(members: DataFrame) -> DataFrame:
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """``block``, ``side`` and ``digest`` of the members of buckets, each pair of them with a possible link together in a block. Stored."""
-    small = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("block"), F.lit(0).alias("side"), "digest")
+    """``block``, ``side``, ``digest`` and ``root`` of the members of buckets, each pair of them with a possible link together in a block.
+    Members of side 0 meet all others of their block, those of side 1 or 2 the other sides. Stored."""
+    small = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("block"), F.lit(0).alias("side"), "digest", "root")
     band = F.floor(F.log(F.greatest("size", F.lit(1))) / F.log(F.lit(_BAND)))
     large = stored(members.where(F.col("n") > BLOCK).select("bucket", "digest", "size", "root", band.alias("band")), "large")
     if large.isEmpty():
@@ -323,20 +324,27 @@ def _blocks(members: DataFrame) -> DataFrame:
     number = stored(each.groupBy("bucket", "band", "own").agg(parts), "part-numbers", narrow=True)
     cells = stored(each.drop("n").join(number, ["bucket", "band", "own"]), "parts", narrow=True)
     part = F.xxhash64("band", "own", F.pmod(F.xxhash64("digest", "bucket"), F.col("parts")))
-    placed = large.join(cells, ["bucket", "band", "root"]).select("bucket", "digest", "size", "own", part.alias("part"))
+    placed = large.join(cells, ["bucket", "band", "root"]).select("bucket", "digest", "root", "size", "own", part.alias("part"))
     placed = stored(placed, "part-members")
     spans = placed.groupBy("bucket", "part", "own").agg(F.min("size").alias("low"), F.max("size").alias("high"))
     spans = stored(spans, "spans", narrow=True)
     x, y = (spans.select("bucket", *[F.col(c).alias(f"{c}_{s}") for c in ("part", "own", "low", "high")]) for s in "xy")
-    apart = F.greatest("low_x", "low_y") - F.least("high_x", "high_y") <= F.expr(f"greatest(high_x, high_y) div {SHARE}")
+    # What a text lacks of another's words may be a share of the longer one, so the shortest of the longer part decides.
+    apart = F.greatest("low_x", "low_y") - F.least("high_x", "high_y") <= F.expr(f"greatest(low_x, low_y) div {SHARE}")
     one_class = (F.col("own_x") == F.col("own_y")) & (F.col("own_x") != F.lit(b""))
     met = x.join(y, "bucket").where((F.col("part_x") <= F.col("part_y")) & apart & ~one_class)
     block = F.xxhash64("bucket", "part_x", "part_y").alias("block")
-    both = F.array(*[F.struct(F.col(f"part_{s}").alias("part"), F.lit(i).alias("side")) for i, s in ((1, "x"), (2, "y"))])
-    alone = F.array(F.struct(F.col("part_x").alias("part"), F.lit(0).alias("side")))
-    sides = met.select("bucket", block, F.explode(F.when(F.col("part_x") == F.col("part_y"), alone).otherwise(both)).alias("s"))
-    sides = stored(sides.select("bucket", "block", "s.part", "s.side"), "sides", narrow=True)
-    return stored(small.unionByName(placed.join(sides, ["bucket", "part"]).select("block", "side", "digest")), "blocks")
+    ends = F.array(*[F.struct(F.col(f"part_{p}").alias("part"), F.col(f"part_{q}").alias("other"), F.col(f"own_{p}").alias("own")) for p, q in ("xy", "yx")])
+    sides = met.select("bucket", block, F.explode(F.array_distinct(ends)).alias("s")).select("bucket", "block", "s.*")
+    # A part meets itself in its block with the least of the other parts, and has a block alone only if there are none: a bucket whose lengths
+    # spread over many bands is then stored about twice.
+    alone = F.col("part") == F.col("other")
+    sides = sides.withColumn("least", F.min(F.when(~alone, F.col("other"))).over(Window.partitionBy("bucket", "part")))
+    sides = sides.where(~alone | F.col("least").isNull())
+    home = alone | ((F.col("other") == F.col("least")) & (F.col("own") == F.lit(b"")))
+    side = F.when(home, 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
+    sides = stored(sides.select("bucket", "block", "part", side.alias("side")), "sides", narrow=True)
+    return stored(small.unionByName(placed.join(sides, ["bucket", "part"]).select("block", "side", "digest", "root")), "blocks")
 
 
 def _open_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
@@ -374,13 +382,14 @@ def _texts(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return stored(in_batches(once, _profile_task, "digest binary, text string, words bigint, profile binary"), "texts")
 
 
-def _several(rows: DataFrame, roots: DataFrame, group: str) -> DataFrame:
-    """Rows with their ``root``, without the groups that are one class by now. Stored."""
+def _several(rows: DataFrame, roots: DataFrame, group: str, among: DataFrame | None = None) -> DataFrame:
+    """Rows with their ``root``, without the groups that are one class by now, or are not ``among`` some. Stored."""
     # Members without a link keep themselves.
     placed = rows.join(roots.withColumnRenamed("node", "digest"), "digest", "left")
     placed = stored(placed.withColumn("root", F.coalesce("root", "digest")), "placed")
     mixed = placed.groupBy(group).agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return placed.join(stored(mixed.select(group), "mixed", narrow=True), group, "left_semi")
+    mixed = mixed.select(group) if among is None else mixed.join(among, group, "left_semi").select(group)
+    return stored(placed.join(stored(mixed, "mixed", narrow=True), group, "left_semi"), "several")
 
 
 def link_classes(docs: DataFrame) -> DataFrame:
@@ -392,7 +401,7 @@ def link_classes(docs: DataFrame) -> DataFrame:
     rows = _blocks(_several(buckets, roots, "bucket"))
     tried, most = None, NEAREST
     while True:
-        found = stored(_open_pairs(_several(rows, roots, "block"), texts, most), "open")
+        found = stored(_open_pairs(rows, texts, most), "open")
         pairs = found.drop("block", "cut").distinct()
         pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "untried")
         more = _verified(pairs, texts)
@@ -402,7 +411,7 @@ def link_classes(docs: DataFrame) -> DataFrame:
         left = stored(found.where("cut").select("block").distinct(), "left", narrow=True)
         if left.isEmpty():
             return roots
-        rows = stored(rows.join(left, "block", "left_semi"), "blocks")
+        rows = _several(rows.drop("root"), roots, "block", left)
         new = pairs.select("a", "b")
         tried = new if tried is None else tried.unionByName(new)
         most *= MORE

@@ -163,3 +163,38 @@ def test_one_bucket_against_all_pairs(spark, monkeypatch, block, nearest):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     assert len(set(want.values())) > 3
     assert {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()} == want
+
+
+def _large_bucket(spark, sizes, roots):
+    rows = [(1, f"t{i:05d}".encode(), size, f"r{root}".encode(), len(sizes)) for i, (size, root) in enumerate(zip(sizes, roots, strict=True))]
+    return spark.createDataFrame(rows, "bucket bigint, digest binary, size int, root binary, n bigint")
+
+
+def _met(rows):
+    """How often each pair of texts meets in a block."""
+    met = {}
+    for block in {row["block"] for row in rows}:
+        for x, y in combinations(sorted((row["digest"], row["side"]) for row in rows if row["block"] == block), 2):
+            if x[1] != y[1] or x[1] == 0:
+                met[x[0], y[0]] = met.get((x[0], y[0]), 0) + 1
+    return met
+
+
+@pytest.mark.parametrize("block", [20, 6])
+def test_blocks_of_a_large_bucket(spark, monkeypatch, block):
+    """Every pair that may be linked meets in one block, and no pair twice; also those of parts and of classes with parts of their own."""
+    monkeypatch.setattr(near, "BLOCK", block)
+    pick = random.Random(8)
+    sizes = [pick.randint(40, 160) for _ in range(60)]
+    roots = [i if i % 3 else 0 for i in range(60)]
+    met = _met(near._blocks(_large_bucket(spark, sizes, roots)).collect())
+    assert set(met.values()) == {1}
+    for i, j in combinations(range(60), 2):
+        if roots[i] != roots[j] and abs(sizes[i] - sizes[j]) <= max(sizes[i], sizes[j]) // near.SHARE:
+            assert (f"t{i:05d}".encode(), f"t{j:05d}".encode()) in met
+
+
+def test_a_large_bucket_of_many_lengths_is_stored_twice_at_most(spark, monkeypatch):
+    monkeypatch.setattr(near, "BLOCK", 100)
+    sizes = [60 + 2 * i for i in range(300)]
+    assert near._blocks(_large_bucket(spark, sizes, range(300))).count() <= 2 * len(sizes)
