@@ -7,17 +7,18 @@ order. Texts that share a bucket are compared by their words: they are linked wh
 longer text's words (edit similarity 0.8 or more). The distance is found along a band of diagonals that is doubled until the
 distance fits into it or the limit is reached.
 
-First, each text of a bucket is compared with two others only: the bucket's hub, and the one before it in order of length, as
-near-copies are about equally long. Classes are the connected components of the links. Buckets that then still hold several classes
-are searched in full: texts of different classes are compared in blocks, so near-copies by the thousand, which are one class by then,
-cost nothing here. A bucket of over ``BLOCK`` texts is cut into parts of about so many, by length and then by hash, and each part makes a
+First, each text is compared with two others only: the hubs of the largest and of the smallest bucket it is in. Classes are the connected
+components of the links. In the buckets that then still hold several classes, each text is compared with the one of another class before
+it in order of length, as near-copies are about equally long. Buckets that still hold several classes after that are searched in full:
+texts of different classes are compared in blocks, so near-copies by the thousand, which are one class by then, cost nothing here. A bucket of over ``BLOCK`` texts is cut into parts of about so many, by length and then by hash, and each part makes a
 block with itself and with every other part, but for parts whose lengths allow no link and parts of one and the same class. A block
 emits only pairs whose lengths and profiles allow a link, never all its pairs. One link joins two classes, so of the texts of another
 class the ``NEAREST`` by profile are tried first; blocks with pairs left over are searched again with the classes found by then and
-``MORE`` times as many, until no block has a likely pair of two classes that was not tried. Equal texts are one node from the start.
+``MORE`` times as many, until no block has a likely pair of two classes that was not tried. A pair belongs to the block of the least
+bucket that its texts share, and to one search, so that it is emitted once. Equal texts are one node from the start.
 
-A profile is the numbers of a text's words in ``PLACES`` hashed places: each edit changes two of them at most, so texts whose profiles
-differ by more than twice the limit are no candidates, and their texts are not moved.
+A profile is the numbers of a text's words in ``PLACES`` hashed places: each edit takes away one word at most and adds one at most, so
+texts one of which has more words than the limit that the other lacks are no candidates, and their texts are not moved.
 
 Defined results: equal texts are in one class, also empty ones; a null text is a class of its own; a text of fewer than ``SHINGLE``
 words is one run; a text without words is only like its equals; repeated rows are in one class; the class id is its least doc_id.
@@ -226,7 +227,8 @@ def _likely(size: np.ndarray, profiles: list[np.ndarray], i: int, others: np.nda
     others, limit = (x[np.abs(size[others] - size[i]) <= limit] for x in (others, limit))
     off = limit
     for profile in profiles:
-        off = np.abs(profile[others] - profile[i]).sum(axis=1)
+        # Twice the words that the longer has over the shorter, by place: what they differ by, and by how much it is longer.
+        off = np.abs(profile[others] - profile[i]).sum(axis=1) + np.abs(size[others] - size[i])
         near = off <= 2 * limit
         others, limit, off = others[near], limit[near], off[near]
     return others, off
@@ -242,39 +244,56 @@ def _rank(text: np.ndarray, kind: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def _block_pairs(table: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
-    """Likely pairs of different classes, for rows of whole blocks in order of block: of each class, the ``most`` nearest to a text.
-    ``cut`` says whether the block has others. In a block of two parts (sides 1 and 2), pairs of both."""
-    block, size, side = (table[c].to_numpy() for c in ("block", "words", "side"))
+def _marks(lists: list[list[int]]) -> np.ndarray:
+    """The buckets of each text as a row, filled up with a number that no bucket is below."""
+    marks = np.full((len(lists), max(map(len, lists))), np.iinfo(np.int64).max)
+    for row, buckets in zip(marks, lists, strict=True):
+        row[: len(buckets)] = buckets
+    return marks
+
+
+def _numbers(roots: list[bytes]) -> np.ndarray:
+    number = {root: i for i, root in enumerate(dict.fromkeys(roots))}
+    return np.array([number[root] for root in roots])
+
+
+def _block_pairs(table: pa.Table, done: int, most: int) -> Iterator[pa.RecordBatch]:
+    """Likely pairs of different classes, for rows of whole blocks in order of block and digest: of each class, the ``most`` nearest to a
+    text without the ``done`` nearest, which an earlier search had. In a block of two parts (sides 1 and 2), pairs of both. Blocks with
+    other pairs left over follow in ``left``.
+
+    Classes for this order are those of the first search (``first``), so that a pair keeps its place in all of them.
+    """
+    block, bucket, size, side = (table[c].to_numpy() for c in ("block", "bucket", "words", "side"))
     fine = np.frombuffer(b"".join(table["profile"].to_pylist()), np.uint8).reshape(-1, PLACES).astype(np.int16)
     profiles = [fine.reshape(len(fine), _COARSE, -1).sum(axis=2, dtype=np.int16), fine]
-    roots = table["root"].to_pylist()
-    number = {root: i for i, root in enumerate(dict.fromkeys(roots))}
-    kind = np.array([number[root] for root in roots])
+    kind, first = (_numbers(table[c].to_pylist()) for c in ("root", "first"))
+    marks = _marks(table["buckets"].to_pylist())
     ends = np.searchsorted(block, block, side="right")
     one, other, off = [], [], []
     for i, end in enumerate(ends):
         rest = np.arange(i + 1, end)
-        apart = (kind[rest] != kind[i]) & ((side[rest] != side[i]) | (side[i] == 0))
+        apart = (first[rest] != first[i]) & ((side[rest] != side[i]) | (side[i] == 0))
         found, far = _likely(size, profiles, i, rest[apart])
-        one.append(np.full(len(found), i))
-        other.append(found)
-        off.append(far)
+        own = ~np.isin(marks[found], marks[i][marks[i] < bucket[i]]).any(axis=1)
+        one.append(np.full(int(own.sum()), i))
+        other.append(found[own])
+        off.append(far[own])
     one, other, off = (np.concatenate(part).astype(np.int64) for part in (one, other, off))
-    nearest = (_rank(one, kind[other], off) < most) & (_rank(other, kind[one], off) < most)
-    cut = np.isin(block[one[nearest]], block[one[~nearest]])
-    one, other = one[nearest], other[nearest]
+    place = np.maximum(_rank(one, first[other], off), _rank(other, first[one], off))
+    apart = kind[one] != kind[other]
+    left = np.unique(block[one[apart & (place >= most)]])
+    now = apart & (place >= done) & (place < most)
+    one, other = one[now], other[now]
     digest, root = (table[c].combine_chunks() for c in ("digest", "root"))
+    names = ["a", "b", "root_a", "root_b", "left"]
     for low in range(0, len(one), _EMITTED):
         x, y = (pa.array(part[low : low + _EMITTED]) for part in (one, other))
-        yield pa.RecordBatch.from_arrays(
-            [digest.take(x), digest.take(y), root.take(x), root.take(y)]
-            + [pa.array(block[one[low : low + _EMITTED]]), pa.array(cut[low : low + _EMITTED])],
-            ["a", "b", "root_a", "root_b", "block", "cut"],
-        )
+        yield pa.RecordBatch.from_arrays([digest.take(x), digest.take(y), root.take(x), root.take(y), pa.nulls(len(x), pa.int64())], names)
+    yield pa.RecordBatch.from_arrays([pa.nulls(len(left), pa.binary())] * 4 + [pa.array(left)], names)
 
 
-def _block_task(most: int):
+def _block_task(done: int, most: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: pa.Table | None = None
         for batch in batches:
@@ -285,34 +304,45 @@ def _block_task(most: int):
             block = table["block"].to_numpy()
             cut = int(np.searchsorted(block, block[-1]))
             if cut:
-                yield from _block_pairs(table.slice(0, cut).combine_chunks(), most)
+                yield from _block_pairs(table.slice(0, cut).combine_chunks(), done, most)
             held = table.slice(cut)
         if held is not None and held.num_rows:
-            yield from _block_pairs(held.combine_chunks(), most)
+            yield from _block_pairs(held.combine_chunks(), done, most)
 
     return work
 
 
 # --- links and classes ---------------------------------------------------------------------------
 
-_PAIR = "a binary, b binary, root_a binary, root_b binary, block bigint, cut boolean"
+_PAIR = "a binary, b binary, root_a binary, root_b binary, left bigint"
+
 
+def _hub_pairs(members: DataFrame) -> DataFrame:
+    """Texts with the hubs of the largest and of the smallest bucket they are in: two pairs a text at most, whatever the buckets' sizes."""
+    hubs = stored(members.groupBy("bucket").agg(F.min("digest").alias("y")), "hubs", narrow=True)
+    sized = F.struct("n", "bucket")
+    ends = members.groupBy(F.col("digest").alias("x")).agg(F.array_distinct(F.array(F.max(sized), F.min(sized))).alias("ends"))
+    pairs = ends.select("x", F.explode("ends.bucket").alias("bucket")).join(hubs, "bucket").where("x <> y")
+    pairs = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    return pairs.select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
 
-def _first_pairs(members: DataFrame) -> DataFrame:
-    """Members of a bucket with its hub, and with the member before them in order of length."""
-    hubs = stored(members.groupBy("bucket").agg(F.min("digest").alias("hub")), "hubs", narrow=True)
-    to_hub = members.join(hubs, "bucket").select(F.col("digest").alias("x"), F.col("hub").alias("y"))
+
+def _length_pairs(rows: DataFrame) -> DataFrame:
+    """Texts with the one before them in order of length, where that is of another class (``root``): one pair a text, of the smallest
+    bucket that has one."""
     draw = F.xxhash64("digest")
     order = Window.partitionBy("bucket", F.pmod(draw, F.expr(f"(n + {BLOCK - 1}) div {BLOCK}"))).orderBy("size", draw)
-    to_last = members.select(F.col("digest").alias("x"), F.lag("digest").over(order).alias("y"))
-    pairs = to_hub.unionByName(to_last).where("x <> y").select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b"))
-    return pairs.distinct().select("a", "b", F.col("a").alias("root_a"), F.col("b").alias("root_b"))
+    last = F.lag(F.struct("digest", "root")).over(order)
+    met = rows.select(F.struct("digest", "root").alias("x"), last.alias("y"), "n").where("x.root <> y.root")
+    pairs = met.groupBy("x").agg(F.min(F.struct("n", "y")).alias("least")).select("x", "least.y")
+    pairs = pairs.select(F.greatest("x", "y").alias("a"), F.least("x", "y").alias("b")).distinct()
+    return pairs.select("a.digest", "b.digest", "a.root", "b.root").toDF("a", "b", "root_a", "root_b")
 
 
 def _blocks(members: DataFrame) -> DataFrame:
-    """``block``, ``side``, ``digest`` and ``root`` of the members of buckets, each pair of them with a possible link together in a block.
+    """``block``, ``bucket``, ``side``, ``digest`` and ``root`` of the members of buckets, each pair of them with a possible link together in a block.
     Members of side 0 meet all others of their block, those of side 1 or 2 the other sides. Stored."""
-    small = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("block"), F.lit(0).alias("side"), "digest", "root")
+    small = members.where(F.col("n") <= BLOCK).select(F.col("bucket").alias("block"), "bucket", F.lit(0).alias("side"), "digest", "root")
     band = F.floor(F.log(F.greatest("size", F.lit(1))) / F.log(F.lit(_BAND)))
     large = stored(members.where(F.col("n") > BLOCK).select("bucket", "digest", "size", "root", band.alias("band")), "large")
     if large.isEmpty():
@@ -344,22 +374,21 @@ def _blocks(members: DataFrame) -> DataFrame:
     home = alone | ((F.col("other") == F.col("least")) & (F.col("own") == F.lit(b"")))
     side = F.when(home, 0).when(F.col("part") < F.col("other"), 1).otherwise(2)
     sides = stored(sides.select("bucket", "block", "part", side.alias("side")), "sides", narrow=True)
-    return stored(small.unionByName(placed.join(sides, ["bucket", "part"]).select("block", "side", "digest", "root")), "blocks")
+    return stored(small.unionByName(placed.join(sides, ["bucket", "part"]).select("block", "bucket", "side", "digest", "root")), "blocks")
 
 
-def _open_pairs(rows: DataFrame, texts: DataFrame, most: int) -> DataFrame:
-    """Likely pairs of different classes (``root``) of a block, with the block and whether it has more of them."""
-    rows = rows.join(texts.select("digest", "words", "profile"), "digest").select("block", "side", "digest", "root", "words", "profile")
-    blocks = rows.repartition(shuffle_width(rows.sparkSession), "block").sortWithinPartitions("block")
-    pairs = in_batches(blocks, _block_task(most), _PAIR)
+def _open_pairs(rows: DataFrame, profiles: DataFrame, done: int, most: int) -> DataFrame:
+    """Likely pairs of different classes (``root``) of a block, and in rows of their own the blocks that have more of them (``left``)."""
+    rows = rows.join(profiles, "digest").select("block", "bucket", "side", "digest", "root", "first", "words", "profile", "buckets")
+    blocks = rows.repartition(shuffle_width(rows.sparkSession), "block").sortWithinPartitions("block", "digest")
+    pairs = in_batches(blocks, _block_task(done, most), _PAIR)
     turned = F.col("a") < F.col("b")
     return pairs.select(
         F.greatest("a", "b").alias("a"),
         F.least("a", "b").alias("b"),
         F.when(turned, F.col("root_b")).otherwise(F.col("root_a")).alias("root_a"),
         F.when(turned, F.col("root_a")).otherwise(F.col("root_b")).alias("root_b"),
-        "block",
-        "cut",
+        "left",
     )
 
 
@@ -392,29 +421,41 @@ def _several(rows: DataFrame, roots: DataFrame, group: str, among: DataFrame | N
     return stored(placed.join(stored(mixed, "mixed", narrow=True), group, "left_semi"), "several")
 
 
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after links between them: only classes that are linked take part in the search for components."""
+    if links.isEmpty():
+        return roots
+    moved = stored(components(links), "moved", narrow=True)
+    kept = roots.join(moved.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left")
+    alone = moved.join(roots, "node", "left_anti")
+    return stored(kept.select("node", F.coalesce("to", "root").alias("root")).unionByName(alone), "roots", narrow=True)
+
+
 def link_classes(docs: DataFrame) -> DataFrame:
     """``node`` and ``root`` of every text (by digest) that is linked to another. ``docs`` has ``digest`` and ``text``."""
     buckets = buckets_of(docs)
     texts = _texts(docs, buckets)
-    links = _verified(stored(_first_pairs(buckets), "pairs"), texts)
-    roots = stored(components(links), "roots", narrow=True)
-    rows = _blocks(_several(buckets, roots, "bucket"))
-    tried, most = None, NEAREST
+    pairs = stored(_hub_pairs(buckets), "pairs")
+    tried = pairs.select("a", "b")
+    roots = stored(components(_verified(pairs, texts)), "roots", narrow=True)
+    rows = _several(buckets, roots, "bucket")
+    pairs = stored(_length_pairs(rows).join(tried, ["a", "b"], "left_anti"), "pairs")
+    tried = tried.unionByName(pairs.select("a", "b"))
+    roots = _merged(roots, _verified(pairs, texts))
+    rows = _several(rows.drop("root"), roots, "bucket")
+    buckets = rows.groupBy("digest").agg(F.collect_list("bucket").alias("buckets"))
+    profiles = stored(texts.select("digest", "words", "profile").join(buckets, "digest"), "profiles")
+    rows = _blocks(rows).withColumn("first", F.col("root"))
+    done, most = 0, NEAREST
     while True:
-        found = stored(_open_pairs(rows, texts, most), "open")
-        pairs = found.drop("block", "cut").distinct()
-        pairs = stored(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"), "untried")
-        more = _verified(pairs, texts)
-        if not more.isEmpty():
-            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-            roots = stored(roots, "roots", narrow=True)
-        left = stored(found.where("cut").select("block").distinct(), "left", narrow=True)
+        found = stored(_open_pairs(rows, profiles, done, most), "open")
+        pairs = stored(found.where("a is not null").drop("left").join(tried, ["a", "b"], "left_anti"), "untried")
+        roots = _merged(roots, _verified(pairs, texts))
+        left = stored(found.where("left is not null").select(F.col("left").alias("block")).distinct(), "left", narrow=True)
         if left.isEmpty():
             return roots
         rows = _several(rows.drop("root"), roots, "block", left)
-        new = pairs.select("a", "b")
-        tried = new if tried is None else tried.unionByName(new)
-        most *= MORE
+        done, most = most, most * MORE
 
 
 def with_digest(docs: DataFrame, name: str = "digest") -> DataFrame:

@@ -198,3 +198,34 @@ def test_a_large_bucket_of_many_lengths_is_stored_twice_at_most(spark, monkeypat
     monkeypatch.setattr(near, "BLOCK", 100)
     sizes = [60 + 2 * i for i in range(300)]
     assert near._blocks(_large_bucket(spark, sizes, range(300))).count() <= 2 * len(sizes)
+
+
+def test_pairs_are_tried_and_emitted_once(spark, monkeypatch):
+    """Near-copies that share many buckets make two first pairs a text at most, and unlike texts that share many are paired once."""
+    pick = random.Random(5)
+    base, half = cases.prose(50, 200).split(), cases.prose(51, 100).split()
+    copies = [list(base) for _ in range(40)]
+    for words in copies:
+        for k in pick.sample(range(200), 2):
+            words[k] = f"n{pick.randrange(10**6)}"
+    # As many of each word, in another order: likely pairs by their words, and yet no links.
+    turned = [half + pick.sample(half, len(half)) for _ in range(30)]
+    texts = [" ".join(words) for words in copies + turned]
+    want = all_pairs(dict(enumerate(texts)))
+    sizes, store = {}, near.stored
+
+    def stored(frame, label, narrow=False):
+        kept = store(frame, label, narrow)
+        if label in ("pairs", "open", "untried"):
+            rows = [(r["a"], r["b"]) for r in kept.collect()]
+            sizes.setdefault(label, []).extend(pair for pair in rows if pair[0] is not None)
+        return kept
+
+    monkeypatch.setattr(near, "stored", stored)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r["doc_id"]: r["class_id"] for r in near.near_classes(docs).collect()} == want
+    assert len(set(want.values())) == 31
+    assert len(sizes["pairs"]) <= 3 * len(texts)
+    assert len(sizes["open"]) == len(set(sizes["open"])) > 0
+    tried = sizes["pairs"] + sizes["untried"]
+    assert len(tried) == len(set(tried))
