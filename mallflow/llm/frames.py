@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
@@ -15,8 +17,9 @@ from pyspark.sql import types as T
 from mallflow.session import scratch_dir
 
 
-# Rows in one Arrow batch: texts are long, and a task holds a batch several times over.
-_BATCH_ROWS = 1000
+# Rows and bytes in one Arrow batch: texts are long, and a task holds a batch several times over. With its last text a batch stays
+# below a megabyte, as a rule.
+_BATCH_ROWS, _BATCH_BYTES = 1000, 15 << 16
 
 _PACKAGE = Path(__file__).resolve().parents[1]
 _shipped: set[str] = set()
@@ -40,7 +43,22 @@ def in_batches(
     """``mapInArrow`` with this package at hand in the tasks, in batches that suit long texts."""
     ship(frame.sparkSession)
     frame.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_BATCH_ROWS))
-    return frame.mapInArrow(work, schema)
+    frame.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(_BATCH_BYTES))
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        give_back()
+
+    return frame.mapInArrow(task, schema)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers are used again, and would keep the most that any task before has held."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
 
 
 # Shuffle partitions that one task of a narrow table works on.

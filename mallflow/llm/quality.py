@@ -21,6 +21,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -369,14 +370,19 @@ class HashArrays:
 # --- scores and verdicts -------------------------------------------------------------------------
 
 
-def _scores(docs: DataFrame, model: DataFrame, into: str, keep: list[str], model_bytes: int) -> DataFrame:
-    """``keep`` of ``docs`` with a struct ``into`` of counts and log perplexity."""
-    size = model.count()
-    if size * _ENTRY_BYTES > model_bytes:
-        return _scores_by_join(docs, model, into, keep)
+def _shared(model: DataFrame, model_bytes: int) -> Broadcast[HashArrays] | None:
+    """The model's arrays, sent to the executors once however often they score; None for a model too large to hold."""
+    if model.count() * _ENTRY_BYTES > model_bytes:
+        return None
     table = model.toArrow()
     arrays = HashArrays(table["key"].to_numpy().view(np.uint64), table["logp"].to_numpy())
-    shared = docs.sparkSession.sparkContext.broadcast(arrays)
+    return model.sparkSession.sparkContext.broadcast(arrays)
+
+
+def _scores(docs: DataFrame, model: DataFrame, shared: Broadcast[HashArrays] | None, into: str, keep: list[str]) -> DataFrame:
+    """``keep`` of ``docs`` with a struct ``into`` of counts and log perplexity."""
+    if shared is None:
+        return _scores_by_join(docs, model, into, keep)
     places = {c: docs.columns.index(c) for c in ("text", "lang")}
 
     def make(batch: pa.RecordBatch) -> pa.Array:
@@ -462,9 +468,10 @@ def quality(docs: DataFrame, keep: list[str] | None = None, into: str = "quality
     score = fresh(docs.columns, "score")
     model = ngram_model(docs)
     wanted = list(dict.fromkeys([*keep, "lang"]))
-    rows = _scores(docs, model, score, wanted, model_bytes)
+    shared = _shared(model, model_bytes)
+    rows = _scores(docs, model, shared, score, wanted)
     if "text" in keep:
-        band = bands(_scores(docs.select("text", "lang"), model, score, ["lang"], model_bytes), score)
+        band = bands(_scores(docs.select("text", "lang"), model, shared, score, ["lang"]), score)
     else:
         rows = stored(rows, "scores")
         band = bands(rows, score)

@@ -180,3 +180,12 @@ def test_join_gives_the_same_scores(spark):
         for size in (quality.MODEL_BYTES, 0)
     )
     assert small == large
+
+
+def test_the_model_is_sent_once(spark, some_texts, monkeypatch):
+    """Also when documents are scored twice, for their bands and for their verdicts."""
+    sent, send = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(type(value)) or send(self, value))
+    docs = spark.createDataFrame([(i, text, "en") for i, text in enumerate(some_texts)], "doc_id bigint, text string, lang string")
+    assert quality.quality(docs).count() == len(some_texts)
+    assert sent.count(quality.HashArrays) == 1
